@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from unicodedata import normalize
+
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,24 +73,36 @@ def non_empty(col: Column) -> Column:
     return F.nullif(col, F.lit(""))
 
 
+# Ranges that compatibility normalisation leaves alone, none of them combining:
+# ASCII, accented Latin, Cyrillic, Hebrew, kana, ideographs, Hangul, dashes and quotes.
+STABLE_RANGES = (
+    r"\x00-\x7f\xc0-\u0131\u0134-\u013e\u0141-\u0148\u014a-\u017e\u0400-\u0481\u05d0-\u05ea\u3041-\u3096"
+    r"\u30a1-\u30fa\u4e00-\u9fff\uac00-\ud7a3\u2013\u2014\u2018-\u201e"
+)
+
+
 def non_ascii(col: Column) -> Column:
     return F.octet_length(col) > F.char_length(col)
 
 
+def may_normalize(col: Column) -> Column:
+    return non_ascii(col) & F.rlike(col, F.lit(f"[^{STABLE_RANGES}]"))
+
+
 @F.arrow_udf(T.StringType())
 def _compose(values: pa.Array) -> pa.Array:
-    return pc.utf8_normalize(values, form="NFKC")
+    return pa.array([None if v is None else normalize("NFKC", v) for v in values.to_pylist()], pa.string())
 
 
 @F.arrow_udf(T.StringType())
 def _compose_and_fold(values: pa.Array) -> pa.Array:
-    folded = [v.casefold() if v is not None else None for v in pc.utf8_normalize(values, form="NFKC").to_pylist()]
+    folded = [None if v is None else normalize("NFKC", v).casefold() for v in values.to_pylist()]
     return pa.array(folded, pa.string())
 
 
 def nfkc(col: Column) -> Column:
-    """Compatibility-normalise. ASCII text cannot change, so only the rest crosses to Python."""
-    return F.coalesce(_compose(F.when(non_ascii(col), col)), col)
+    """Compatibility-normalise; only texts that can change cross to Python."""
+    return F.coalesce(_compose(F.when(may_normalize(col), col)), col)
 
 
 def nfkc_casefold(col: Column) -> Column:

@@ -54,10 +54,8 @@ def iso_text(instant: datetime) -> str:
 class _Field:
     """Predicates on one member of the message; each is true when the rule is broken."""
 
-    def __init__(self, path: str):
-        self.raw = F.try_variant_get("doc", path, "variant")
-        self.kind = F.schema_of_variant(self.raw)
-        self.text = F.when(self.kind == "STRING", F.try_variant_get("doc", path, "string"))
+    def __init__(self, name: str):
+        self.kind, self.text = F.col(f"_kind_{name}"), F.col(f"_text_{name}")
 
     @property
     def present(self) -> Column:
@@ -76,22 +74,41 @@ class _Field:
         return self.present & ~F.coalesce(self.text.isin(*allowed), F.lit(False))
 
 
+def _read_members(df: DataFrame) -> DataFrame:
+    """Types and texts of all members as flat columns.
+
+    Flat, because the optimiser copies the parts of a struct into every rule that
+    uses them; a plain column is computed once.
+    """
+    paths = {n: f"$.{n}" for n in C.TASK_KEYS} | {f"payload_{n}": f"$.payload.{n}" for n in C.TASK_PAYLOAD_KEYS}
+    found = df.withColumns({f"_member_{n}": F.try_variant_get("doc", p, "variant") for n, p in paths.items()})
+    kinds = found.withColumns({f"_kind_{n}": F.schema_of_variant(f"_member_{n}") for n in paths})
+    text = lambda n: F.when(F.col(f"_kind_{n}") == "STRING", F.try_variant_get(f"_member_{n}", "$", "string"))
+    return kinds.withColumns(
+        {
+            **{f"_text_{n}": text(n) for n in paths if n != "payload"},
+            "_root": F.schema_of_variant("doc"),
+            "_keys": F.map_keys(F.try_variant_get("doc", "$", "map<string,variant>")),
+            "_payload_keys": F.map_keys(F.try_variant_get("_member_payload", "$", "map<string,variant>")),
+        }
+    )
+
+
 def _broken_rules() -> list[tuple[str, Column]]:
     """Every rule in the order the first error is chosen: the root, then by path."""
-    root = F.schema_of_variant("doc")
-    keys = F.map_keys(F.try_variant_get("doc", "$", "map<string,variant>"))
-    payload = _Field("$.payload")
-    payload_keys = F.map_keys(F.try_variant_get("doc", "$.payload", "map<string,variant>"))
+    root, keys, payload_keys = F.col("_root"), F.col("_keys"), F.col("_payload_keys")
+    payload_kind = F.col("_kind_payload")
     listed = lambda names: F.array(*[F.lit(n) for n in names])
     extra = lambda have, names: F.size(F.array_except(have, listed(names))) > 0
     lacks = lambda have, names: F.size(F.array_except(listed(names), have)) > 0
 
-    kind, source, created, key = (_Field(f"$.{n}") for n in ("type", "source", "created_at", "dedupe_key"))
-    p = {n: _Field(f"$.payload.{n}") for n in C.TASK_PAYLOAD_KEYS}
+    kind, source, created, key = (_Field(n) for n in ("type", "source", "created_at", "dedupe_key"))
+    p = {n: _Field(f"payload_{n}") for n in C.TASK_PAYLOAD_KEYS}
     is_link = F.coalesce(kind.text == C.LINK_TASK, F.lit(False))
     is_file = F.coalesce(kind.text.isin(*C.FILE_TASKS), F.lit(False))
     too_long = lambda n: p[n].longer_than(C.TASK_MAX_LENGTHS[n])
-    bad_time = ~F.rlike(created.text, F.lit(_DATE_TIME)) | created.text.try_cast("timestamp").isNull()
+    bad_time = ~F.rlike(created.text, F.lit(_DATE_TIME)) | (created.text.isNotNull() & created.text.try_cast("timestamp").isNull())
+    own_key = dedupe_key(kind.text, source.text, p["url"].text, p["sha256"].text)
 
     return [
         ("not json", F.col("doc").isNull()),
@@ -103,7 +120,7 @@ def _broken_rules() -> list[tuple[str, Column]]:
         ("created_at: maxLength", created.longer_than(C.CREATED_AT_MAX)),
         ("dedupe_key: type", key.not_text()),
         ("dedupe_key: pattern", key.mismatches(C.SHA256_PATTERN)),
-        ("payload: type", payload.present & ~F.startswith(payload.kind, F.lit("OBJECT"))),
+        ("payload: type", payload_kind.isNotNull() & ~F.startswith(payload_kind, F.lit("OBJECT"))),
         ("payload: additionalProperties", extra(payload_keys, C.TASK_PAYLOAD_KEYS)),
         ("payload: required", lacks(payload_keys, C.TASK_PAYLOAD_REQUIRED)),
         ("payload: required", is_file & lacks(payload_keys, ("sha256",))),
@@ -121,26 +138,27 @@ def _broken_rules() -> list[tuple[str, Column]]:
         ("payload/url: type", is_link & p["url"].not_text()),
         ("payload/version: type", p["version"].not_text(nullable=True)),
         ("payload/version: maxLength", too_long("version")),
-        ("schema: const", _Field("$.schema").not_in(C.TASK_SCHEMA)),
+        ("schema: const", _Field("schema").not_in(C.TASK_SCHEMA)),
         ("source: enum", source.not_in(*C.TASK_SOURCES)),
         ("source: const", is_link & source.not_in("telegram")),
-        ("task_id: type", _Field("$.task_id").not_text()),
-        ("task_id: pattern", _Field("$.task_id").mismatches(C.TASK_ID_PATTERN)),
+        ("task_id: type", _Field("task_id").not_text()),
+        ("task_id: pattern", _Field("task_id").mismatches(C.TASK_ID_PATTERN)),
         ("type: enum", kind.not_in(*C.TASK_TYPES)),
-        ("dedupe_key: does not match payload identity", key.text != dedupe_key(kind.text, source.text, p["url"].text, p["sha256"].text)),
-    ]
+        ("dedupe_key: does not match payload identity", key.text != own_key),
+    ]
 
 
 def check_messages(messages: DataFrame, value: str = "value") -> DataFrame:
     """Add ``task`` (typed, NULL when invalid) and ``reason`` (first broken rule, NULL when valid)."""
-    parsed = messages.withColumn("doc", F.try_parse_json(message_text(messages[value])))
-    first = F.coalesce(*[F.when(broken, F.lit(reason)) for reason, broken in _broken_rules()])
-    reasoned = parsed.withColumn("reason", first)
-    get = lambda path: F.try_variant_get("doc", path, "string")
-    payload = F.struct(*[get(f"$.payload.{n}").alias(n) for n in TASK_PAYLOAD_SCHEMA.names]).alias("payload")
-    members = [payload if n == "payload" else get(f"$.{n}").alias(n) for n in TASK_SCHEMA_TYPE.names]
-    task = F.when(F.col("reason").isNull(), F.struct(*members))
-    return reasoned.withColumn("task", task).drop("doc")
+    parsed = _read_members(messages.withColumn("doc", F.try_parse_json(message_text(messages[value]))))
+    broken = F.filter(
+        F.array(*[F.when(rule, F.lit(reason)) for reason, rule in _broken_rules()]), lambda r: r.isNotNull()
+    )
+    reasoned = parsed.withColumn("reason", F.try_element_at(broken, F.lit(1)))
+    payload = F.struct(*[F.col(f"_text_payload_{n}").alias(n) for n in TASK_PAYLOAD_SCHEMA.names]).alias("payload")
+    members = [payload if n == "payload" else F.col(f"_text_{n}").alias(n) for n in TASK_SCHEMA_TYPE.names]
+    task = F.when(F.col("reason").isNull(), F.struct(*members)).alias("task")
+    return reasoned.select(*messages.columns, "reason", task)
 
 
 def split_messages(messages: DataFrame, value: str = "value") -> Split:
