@@ -70,6 +70,16 @@ SCAN_RULES = (
     ("encoding_smuggle", r"(?i)(base64.{0,20}ignore|<script|\\x00)"),
     ("send_action", r"(?i)(send (this|the) (cv|email|application)|submit (the )?application|שלח (את )?(הקורות|המייל|המועמדות))"),
 )
+# Every match of a rule contains one of its words (whole, where so marked); checked before the rule itself.
+SCAN_WORDS = {
+    "instruction_override": ("ignore ", "disregard ", "jailbreak", r"\bdan\b", "developer mode", "system prompt"),
+    "instruction_override_he": ("תעלם", "שכח"),
+    "role_hijack": ("you are now", "persona", "pretend you have no ", "act as "),
+    "tool_coercion": ("system.run", "shell", "docker.sock", "/bin/sh", "subprocess", "os.system", "curl"),
+    "path_exfil": ("sagole", "real_inputs", "secure_data_939", "statedb.db", ".env"),
+    "encoding_smuggle": ("base64", "<script", "\\x00"),
+    "send_action": ("send th", "submit ", "שלח "),
+}
 PII_RULES = (
     ("email", r"[\w.+-]+@[\w-]+\.[\w.-]+"),
     ("il_id", r"(?<!\d)\d{9}(?!\d)"),

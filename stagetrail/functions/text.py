@@ -5,7 +5,7 @@ from __future__ import annotations
 from unicodedata import normalize
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,6 +81,10 @@ STABLE_RANGES = (
 )
 
 
+# What scanning neither rewrites nor removes: the stable ranges without control characters.
+PLAIN_RANGES = STABLE_RANGES.replace(r"\x00-\x7f", r"\t\n\r\x20-\x7e")
+
+
 def non_ascii(col: Column) -> Column:
     return F.octet_length(col) > F.char_length(col)
 
@@ -107,3 +111,13 @@ def nfkc(col: Column) -> Column:
 
 def nfkc_casefold(col: Column) -> Column:
     return F.coalesce(_compose_and_fold(F.when(non_ascii(col), col)), F.lower(col))
+
+
+def computed_once(df: DataFrame, *names: str) -> DataFrame:
+    """Keep later filters from repeating the work behind ``names``.
+
+    A filter on a computed column is moved below the projection with the whole
+    expression in it; it does not move below a generator.
+    """
+    rest = [c for c in df.columns if c not in names]
+    return df.select(*rest, F.inline(F.array(F.struct(*names)))).select(*df.columns)

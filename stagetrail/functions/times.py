@@ -10,31 +10,35 @@ from pyspark.sql import functions as F
 from stagetrail.constants import TS_FORMAT
 from stagetrail.functions.text import strip
 
-_DATE = r"(\d{4}-\d{2}-\d{2}|\d{8})"
-_CLOCK = r"(\d{2}(?::\d{2}(?::\d{2}(?:[.,]\d+)?)?)?|\d{4}(?:\d{2}(?:[.,]\d+)?)?)"
-_OFFSET = r"([+-]\d{2}(?::?\d{2}(?::?\d{2}(?:\.\d+)?)?)?)"
-_ISO = rf"^{_DATE}(?:.{_CLOCK}{_OFFSET}?)?$"
+# The form nearly all input has; the engine's own cast reads it.
+_USUAL = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:\.\d+)?(?:Z|[+-](?:0\d|1[0-7]):[0-5]\d)?$"
+# Everything else ISO allows: basic format, any separator, shortened clock, odd offsets.
+_ISO = (
+    r"^(\d{4})(-?)(\d{2})\2(\d{2})"
+    r"(?:.(\d{2})(?:(:?)(\d{2})(?:\6(\d{2})(?:[.,]\d+)?)?)?([+-]\d{2}(?::?\d{2}(?::?\d{2}(?:\.\d+)?)?)?)?)?$"
+)
+
+
+def _from_parts(p: Column) -> Column:
+    """Instant from the array [y, m, d, h, min, s, offset] of texts, absent parts empty."""
+    two = lambda i: F.rpad(p[i], 2, "0")
+    stamp = F.concat(p[0], F.lit("-"), p[1], F.lit("-"), p[2], F.lit("T"), two(3), F.lit(":"), two(4), F.lit(":"), two(5), F.lit("Z"))
+    east = F.rpad(F.regexp_replace(F.regexp_replace(p[6], r"\.\d+$", ""), "[:+-]", ""), 6, "0")
+    hours, minutes, seconds = (F.substring(east, i, 2).try_cast("int") for i in (1, 3, 5))
+    shift = F.when((hours < 24) & (minutes < 60) & (seconds < 60), hours * 3600 + minutes * 60 + seconds)
+    sign = F.when(F.startswith(p[6], F.lit("-")), -1).otherwise(1)
+    return F.timestamp_seconds(F.unix_seconds(stamp.try_cast("timestamp")) - sign * shift)
 
 
 def parse_ts(col: Column) -> Column:
     """ISO-8601 text to a UTC instant; naive is UTC, sub-seconds are cut, anything else is NULL."""
-    text = F.replace(strip(col.cast("string")), F.lit("Z"), F.lit("+00:00"))
-    ok = F.rlike(text, F.lit(_ISO))
-    digits = F.regexp_replace(F.regexp_extract(text, _ISO, 1), "-", "")
-    clock = F.rpad(F.regexp_replace(F.regexp_replace(F.regexp_extract(text, _ISO, 2), r"[.,]\d+$", ""), ":", ""), 6, "0")
-    offset = F.regexp_extract(text, _ISO, 3)
-    shift = F.rpad(F.regexp_replace(F.regexp_replace(offset, r"\.\d+$", ""), "[:+-]", ""), 6, "0")
-    part = lambda c, start: F.substring(c, start, 2)
-    stamp = F.concat(
-        F.substring(digits, 1, 4), F.lit("-"), part(digits, 5), F.lit("-"), part(digits, 7), F.lit("T"),
-        part(clock, 1), F.lit(":"), part(clock, 3), F.lit(":"), part(clock, 5), F.lit("Z"),
-    )
-    local = F.unix_seconds(F.when(ok, stamp).try_cast("timestamp"))
-    hours, minutes, seconds = (part(shift, i).try_cast("int") for i in (1, 3, 5))
-    legal = (hours < 24) & (minutes < 60) & (seconds < 60)
-    seconds_east = F.when(legal, hours * 3600 + minutes * 60 + seconds)
-    sign = F.when(F.startswith(offset, F.lit("-")), -1).otherwise(1)
-    return F.timestamp_seconds(local - sign * seconds_east)
+    text = strip(col.cast("string"))
+    usual = F.date_trunc("second", text.try_cast("timestamp"))
+    zoned = F.replace(text, F.lit("Z"), F.lit("+00:00"))
+    parts = F.split(F.regexp_replace(zoned, _ISO, r"$1|$3|$4|$5|$7|$8|$9"), r"\|", -1)
+    # A one-element transform names the parts, so that they are split once.
+    rare = F.transform(F.array(parts), _from_parts)[0]
+    return F.when(F.rlike(text, F.lit(_USUAL)), usual).when(F.rlike(zoned, F.lit(_ISO)), rare)
 
 
 def first_ts(columns: Sequence[Column]) -> Column:

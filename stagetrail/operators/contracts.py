@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stagetrail import constants as C
 from stagetrail.functions.identity import dedupe_key, normalize_url
-from stagetrail.functions.text import matches, non_empty
+from stagetrail.functions.text import computed_once, matches, non_empty
 from stagetrail.functions.times import iso_utc
 from stagetrail.schemas import TASK_PAYLOAD_SCHEMA, TASK_SCHEMA_TYPE
 from stagetrail.sources.messages import encode_tasks, message_text
@@ -151,14 +151,12 @@ def _broken_rules() -> list[tuple[str, Column]]:
 def check_messages(messages: DataFrame, value: str = "value") -> DataFrame:
     """Add ``task`` (typed, NULL when invalid) and ``reason`` (first broken rule, NULL when valid)."""
     parsed = _read_members(messages.withColumn("doc", F.try_parse_json(message_text(messages[value]))))
-    broken = F.filter(
-        F.array(*[F.when(rule, F.lit(reason)) for reason, rule in _broken_rules()]), lambda r: r.isNotNull()
-    )
-    reasoned = parsed.withColumn("reason", F.try_element_at(broken, F.lit(1)))
+    first = F.coalesce(*[F.when(rule, F.lit(reason)) for reason, rule in _broken_rules()])
+    reasoned = parsed.withColumn("reason", first)
     payload = F.struct(*[F.col(f"_text_payload_{n}").alias(n) for n in TASK_PAYLOAD_SCHEMA.names]).alias("payload")
     members = [payload if n == "payload" else F.col(f"_text_{n}").alias(n) for n in TASK_SCHEMA_TYPE.names]
     task = F.when(F.col("reason").isNull(), F.struct(*members)).alias("task")
-    return reasoned.select(*messages.columns, "reason", task)
+    return computed_once(reasoned.select(*messages.columns, "reason", task), "reason", "task")
 
 
 def split_messages(messages: DataFrame, value: str = "value") -> Split:

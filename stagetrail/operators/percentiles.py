@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,63 +11,55 @@ from pyspark.sql import functions as F
 SPLITTERS = 64
 
 
-def _ranked(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
-    """Distinct values per group with ``n`` copies, ``before`` copies below, ``total`` in the group.
+Ranks = Callable[[Column], dict[str, list[Column]]]
+
+
+def _values_at(df: DataFrame, groups: Sequence[str], value: str, ranks: Ranks) -> DataFrame:
+    """One row per group; each output column is the mean of the values at its 1-based ranks.
 
     Copies are combined before any shuffle. Approximate quantiles of the distinct
-    values only choose split points; ranks come from exact counts per interval, so
-    each window covers one interval, not one group.
+    values only choose split points; exact counts per interval then tell which
+    intervals hold a wanted rank, and only those are ordered. Every pass reads the
+    same grouped counts, so their exchange is planned once and reused.
     """
-    counts = (
-        df.filter(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("n"))
-    )
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("n"))
+    # Without groups all rows share one key; the planner cannot fold this one into a cross join.
+    keys, counts = (list(groups), counts) if groups else (["_all"], counts.withColumn("_all", F.col("n") < 0))
     marks = [i / SPLITTERS for i in range(1, SPLITTERS)]
-    edges = counts.groupBy(*groups).agg(F.percentile_approx(value, marks, 1000).alias("_edges"))
-    if groups:
-        split = counts.join(edges, list(groups))
-    else:
-        split = counts.withColumn("_all", F.lit(0)).join(edges.withColumn("_all", F.lit(0)), "_all").drop("_all")
-    split = split.withColumn("_slot", F.size(F.filter("_edges", lambda e: e < F.col(value)))).drop("_edges")
-
-    slots = split.groupBy(*groups, "_slot").agg(F.sum("n").alias("_slot_n"))
-    by_group = Window.partitionBy(*groups)
-    below = by_group.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    slots = slots.select(
-        *groups,
-        "_slot",
-        F.coalesce(F.sum("_slot_n").over(below), F.lit(0)).alias("_start"),
-        F.sum("_slot_n").over(by_group).alias("total"),
+    edges = counts.groupBy(*keys).agg(
+        F.percentile_approx(value, marks, 1000).alias("_edges"), F.sum("n").alias("_total")
     )
-    within = Window.partitionBy(*groups, "_slot").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    placed = split.join(slots, [*groups, "_slot"])
-    return placed.withColumn("before", F.col("_start") + F.coalesce(F.sum("n").over(within), F.lit(0)))
+    slot = F.size(F.filter("_edges", lambda e: e < F.col(value)))
+    placed = counts.join(edges, keys).withColumn("_slot", slot).drop("_edges")
 
+    slots = placed.groupBy(*keys, "_slot", "_total").agg(F.sum("n").alias("_in"))
+    upto = F.sum("_in").over(Window.partitionBy(*keys).orderBy("_slot"))
+    slots = slots.withColumn("_start", upto - F.col("_in"))
+    wanted = [(name, i, r) for name, rs in ranks(F.col("_total")).items() for i, r in enumerate(rs)]
+    inside = lambda r, start, n: (start < r) & (r <= start + n)
+    any_of = lambda start, n: reduce(lambda a, b: a | b, [inside(r, start, n) for _, _, r in wanted])
+    chosen = slots.filter(any_of(F.col("_start"), F.col("_in"))).select(*keys, "_slot", "_start")
 
-def _at_ranks(ranked: DataFrame, groups: Sequence[str], value: str, wanted: dict[str, Sequence[Column]]) -> DataFrame:
-    """One row per group; each output column is the mean of the values at its ranks (1-based)."""
-    inside = lambda r: (F.col("before") < r) & (r <= F.col("before") + F.col("n"))
-    hits = None
-    for ranks in wanted.values():
-        for r in ranks:
-            hits = inside(r) if hits is None else hits | inside(r)
-    firsts = {(c, i): F.max(F.when(inside(r), F.col(value))) for c, ranks in wanted.items() for i, r in enumerate(ranks)}
+    ordered = Window.partitionBy(*keys, "_slot").orderBy(value)
+    near = placed.join(chosen, [*keys, "_slot"])
+    near = near.withColumn("_before", F.col("_start") + F.sum("n").over(ordered) - F.col("n"))
+    before, n = F.col("_before"), F.col("n")
+    hit = {(name, i): F.max(F.when(inside(r, before, n), F.col(value))) for name, i, r in wanted}
     out = []
-    for name, ranks in wanted.items():
-        total = firsts[name, 0].cast("double")
-        for i in range(1, len(ranks)):
-            total = total + firsts[name, i]
-        out.append((total / len(ranks)).alias(name) if len(ranks) > 1 else firsts[name, 0].alias(name))
-    return ranked.filter(hits).groupBy(*groups).agg(*out)
+    for name in dict.fromkeys(name for name, _, _ in wanted):
+        found = [c for (k, _), c in hit.items() if k == name]
+        mean = found[0] if len(found) == 1 else reduce(lambda a, b: a + b, found) / F.lit(float(len(found)))
+        out.append(mean.alias(name))
+    return near.filter(any_of(before, n)).groupBy(*keys).agg(*out).select(*groups, *[c for c in ranks(F.lit(0))])
 
 
 def nearest_rank(df: DataFrame, groups: Sequence[str], value: str, quantiles: dict[str, float]) -> DataFrame:
     """Nearest-rank percentiles: the value at position ceil(q * n)."""
-    rank = lambda q: F.greatest(F.lit(1), F.least(F.col("total"), F.ceil(F.lit(q) * F.col("total"))))
-    return _at_ranks(_ranked(df, groups, value), groups, value, {n: [rank(q)] for n, q in quantiles.items()})
+    return _values_at(
+        df, groups, value, lambda n: {name: [F.greatest(F.lit(1), F.ceil(F.lit(q) * n))] for name, q in quantiles.items()}
+    )
 
 
 def median(df: DataFrame, value: str, groups: Sequence[str] = (), out: str = "median") -> DataFrame:
     """Middle value, or the mean of the two middle values."""
-    total = F.col("total")
-    ranks = [F.floor((total + 1) / 2), F.floor(total / 2) + 1]
-    return _at_ranks(_ranked(df, groups, value), groups, value, {out: ranks})
+    return _values_at(df, groups, value, lambda n: {out: [F.floor((n + 1) / 2), F.floor(n / 2) + 1]})

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,32 +12,32 @@ from stagetrail.functions.identity import event_id
 from stagetrail.functions.text import blank_to_null, java_regex, matches, non_empty, strip
 from stagetrail.functions.titles import keywords, title_family
 
-def reply_object(reply: Column) -> Column:
-    """JSON object inside a free-text reply as a variant, NULL when there is none.
+def with_reply_object(df: DataFrame, reply: str, out: str = "doc") -> DataFrame:
+    """Add the JSON object inside a free-text reply as a variant, NULL when there is none.
 
     A fenced block wins; otherwise the outermost braces are taken.
     """
-    text = strip(F.coalesce(reply, F.lit("")))
     fence = java_regex(C.REPLY_FENCE)
-    body = F.when(F.rlike(text, F.lit(fence)), strip(F.regexp_extract(text, fence, 1))).otherwise(text)
-    first = F.locate("{", body)
-    last = F.char_length(body) - F.locate("}", F.reverse(body)) + 1
-    braces = (first > 0) & (last > first) & F.contains(body, F.lit("}"))
-    cut = F.when(~F.startswith(body, F.lit("{")) & braces, F.substr(body, first, last - first + 1)).otherwise(body)
-    parsed = F.try_parse_json(cut)
-    return F.when(F.startswith(F.schema_of_variant(parsed), F.lit("OBJECT")), parsed)
-
-
-def contact(raw: Column) -> Column:
-    """A whole e-mail, phone or URL as it is, else the first one found inside, else NULL."""
-    text = blank_to_null(raw)
-    whole = F.lit(False)
-    for pattern in C.CONTACT_WHOLE:
-        whole = whole | matches(text, pattern)
+    rows = df.withColumn("_reply", strip(F.coalesce(df[reply], F.lit(""))))
+    fenced = F.contains("_reply", F.lit("```")) & F.rlike("_reply", F.lit(fence))
+    rows = rows.withColumn("_body", F.when(fenced, strip(F.regexp_extract("_reply", fence, 1))).otherwise(F.col("_reply")))
+    rows = rows.withColumns(
+        {"_first": F.locate("{", F.col("_body")), "_last": F.char_length("_body") - F.locate("}", F.reverse("_body")) + 1}
+    )
+    braces = (F.col("_first") > 1) & F.contains("_body", F.lit("}")) & (F.col("_last") > F.col("_first"))
+    cut = F.when(braces, F.substr(F.col("_body"), F.col("_first"), F.col("_last") - F.col("_first") + 1))
+    rows = rows.withColumn("_parsed", F.try_parse_json(cut.otherwise(F.col("_body"))))
+    is_object = F.startswith(F.schema_of_variant("_parsed"), F.lit("OBJECT"))
+    return rows.select(*[c for c in df.columns if c != out], F.when(is_object, F.col("_parsed")).alias(out))
+
+
+def contact(text: Column) -> Column:
+    """Of a stripped text: a whole e-mail, phone or URL as it is, else the first one found inside, else NULL."""
+    whole = reduce(lambda a, b: a | b, [matches(text, p) for p in C.CONTACT_WHOLE])
     branch = F.when(whole, text)
     for pattern in C.CONTACT_SEARCH:
         found = F.regexp_extract(text, java_regex(pattern), 0)
-        branch = branch.when(found != "", F.rtrim(found, F.lit(C.CONTACT_TAIL)))
+        branch = branch.when(matches(text, pattern), F.rtrim(found, F.lit(C.CONTACT_TAIL)))
     return branch
 
 
@@ -46,49 +48,56 @@ def normalize_records(df: DataFrame, col: str = "doc") -> DataFrame:
     invalid; blanks become NULL; unusable contacts, list items and confidence keys
     are dropped without failing it.
     """
-    get = lambda n, t: F.try_variant_get(df[col], f"$.{n}", t)
-    kind = {n: F.schema_of_variant(get(n, "variant")) for n in (*C.RECORD_FIELDS, "language", "confidence", "field_confidence")}
-    is_list = F.startswith(kind["requirements"], F.lit("ARRAY"))
-    is_map = F.startswith(kind["field_confidence"], F.lit("OBJECT"))
+    names = (*C.RECORD_FIELDS, "language", "confidence", "field_confidence")
+    texts = ("title", "company", "location", "contact")
+    get = lambda n, t: F.try_variant_get(F.col(f"_v_{n}"), "$", t)
+    kind = {n: F.col(f"_k_{n}") for n in names}
+    rows = df.withColumns({f"_v_{n}": F.try_variant_get(df[col], f"$.{n}", "variant") for n in names})
+    rows = rows.withColumns({f"_k_{n}": F.schema_of_variant(f"_v_{n}") for n in names})
+
     number = kind["confidence"].isin("STRING", "BOOLEAN", "BIGINT", "DOUBLE", "FLOAT") | F.startswith(
         kind["confidence"], F.lit("DECIMAL")
     )
-    confidence = F.when(kind["confidence"].isNull(), F.lit(0.0)).when(number, get("confidence", "double"))
-
-    items = F.slice(get("requirements", "array<variant>"), 1, C.REQUIREMENTS_LIMIT)
-    texts = F.filter(items, lambda v: F.schema_of_variant(v) == "STRING")
-    trimmed = F.transform(texts, lambda v: strip(F.try_variant_get(v, "$", "string")))
-    requirements = F.transform(F.filter(trimmed, lambda t: t != ""), lambda t: F.left(t, F.lit(C.REQUIREMENT_CHARS)))
-
-    scores = get("field_confidence", "map<string,variant>")
-    numeric = F.transform_values(scores, lambda _k, v: F.try_variant_get(v, "$", "double"))
-    known = F.map_filter(numeric, lambda k, _v: k.isin(*C.RECORD_FIELDS, "language"))
+    rows = rows.withColumns(
+        {
+            **{f"_t_{n}": blank_to_null(get(n, "string")) for n in texts},
+            "_items": F.slice(get("requirements", "array<variant>"), 1, C.REQUIREMENTS_LIMIT),
+            "_scores": F.transform_values(
+                get("field_confidence", "map<string,variant>"), lambda _k, v: F.try_variant_get(v, "$", "double")
+            ),
+            "_language": get("language", "string"),
+            "_confidence": F.when(kind["confidence"].isNull(), F.lit(0.0)).when(number, get("confidence", "double")),
+        }
+    )
+    said = F.transform("_items", lambda v: F.when(F.schema_of_variant(v) == "STRING", strip(F.try_variant_get(v, "$", "string"))))
+    requirements = F.transform(F.filter(said, lambda t: t != ""), lambda t: F.left(t, F.lit(C.REQUIREMENT_CHARS)))
+    known = F.map_filter("_scores", lambda k, _v: k.isin(*C.RECORD_FIELDS, "language"))
     clamped = F.transform_values(known, lambda _k, v: F.greatest(F.lit(0.0), F.least(F.lit(1.0), v)))
 
-    bad_text = lambda n: ~kind[n].isin("STRING", "VOID")
     bad = [
-        *((n, bad_text(n)) for n in ("title", "company", "location", "contact")),
-        ("requirements", ~is_list & (kind["requirements"] != "VOID")),
-        ("language", (kind["language"] != "VOID") & ~F.coalesce(get("language", "string").isin(*C.RECORD_LANGUAGES), F.lit(False))),
-        ("confidence", ~F.coalesce(confidence.between(0.0, 1.0), F.lit(False))),
-        ("field_confidence", ~is_map),
-        ("field_confidence", F.exists(F.map_values(numeric), lambda v: v.isNull())),
-    ]
+        *((n, ~kind[n].isin("STRING", "VOID")) for n in texts),
+        ("requirements", ~F.startswith(kind["requirements"], F.lit("ARRAY")) & (kind["requirements"] != "VOID")),
+        ("language", (kind["language"] != "VOID") & ~F.coalesce(F.col("_language").isin(*C.RECORD_LANGUAGES), F.lit(False))),
+        ("confidence", ~F.coalesce(F.col("_confidence").between(0.0, 1.0), F.lit(False))),
+        ("field_confidence", ~F.startswith(kind["field_confidence"], F.lit("OBJECT"))),
+        ("field_confidence", F.exists(F.map_values("_scores"), lambda v: v.isNull())),
+    ]
     invalid = F.when(df[col].isNull(), F.lit("document"))
     for name, broken in bad:
         invalid = invalid.when(broken, F.lit(name))
     record = F.struct(
-        blank_to_null(get("title", "string")).alias("title"),
-        blank_to_null(get("company", "string")).alias("company"),
+        F.col("_t_title").alias("title"),
+        F.col("_t_company").alias("company"),
         F.coalesce(requirements, F.array().cast("array<string>")).alias("requirements"),
-        blank_to_null(get("location", "string")).alias("location"),
-        contact(get("contact", "string")).alias("contact"),
-        get("language", "string").alias("language"),
-        confidence.alias("confidence"),
+        F.col("_t_location").alias("location"),
+        contact(F.col("_t_contact")).alias("contact"),
+        F.col("_language").alias("language"),
+        F.col("_confidence").alias("confidence"),
         F.coalesce(clamped, F.create_map().cast("map<string,double>")).alias("field_confidence"),
     )
-    checked = df.withColumn("invalid", invalid)
-    return checked.withColumn("record", F.when(F.col("invalid").isNull(), record))
+    checked = rows.withColumn("invalid", invalid)
+    whole = F.when(F.col("invalid").isNull(), record).alias("record")
+    return checked.select(*[c for c in df.columns if c not in ("invalid", "record")], "invalid", whole)
 
 
 def review_reasons(record: Column, hits: Column) -> Column:

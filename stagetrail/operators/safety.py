@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,15 +17,30 @@ from stagetrail.constants import (
     PII_RULES,
     SCAN_MAX_CHARS,
     SCAN_RULES,
+    SCAN_WORDS,
 )
-from stagetrail.functions.text import java_regex, matches, nfkc, non_empty
+from stagetrail.functions.text import PLAIN_RANGES, computed_once, java_regex, matches, nfkc, non_empty
 from stagetrail.functions.urls import first_safe_url
 
 _INVISIBLE = f"[{INVISIBLE_CHARS}]"
+_DIGIT_RUN = r"\p{Nd}(?:[ -]?\p{Nd}){3}"
 
 
 def without_invisible(col: Column) -> Column:
-    return F.regexp_replace(col, f"{_INVISIBLE}+", "")
+    return F.when(F.rlike(col, F.lit(_INVISIBLE)), F.regexp_replace(col, f"{_INVISIBLE}+", "")).otherwise(col)
+
+
+def _near(folded: Column, word: str) -> Column:
+    plain = word.replace(r"\b", "")
+    found = F.contains(folded, F.lit(plain))
+    return found if plain == word else found & matches(folded, word)
+
+
+def _rule_hit(text: Column, folded: Column, name: str, pattern: str) -> Column:
+    """Test a rule only on texts that contain one of its words."""
+    hit = matches(text, pattern)
+    words = SCAN_WORDS.get(name, ()) if (name, pattern) in SCAN_RULES else ()
+    return reduce(or_, [_near(folded, w) for w in words]) & hit if words else hit
 
 
 def scan_untrusted(
@@ -36,20 +53,28 @@ def scan_untrusted(
     """Add ``text, hits, truncated, ok`` (optionally prefixed) for one text column.
 
     Normalise, drop invisible characters, cut, then test the rules on what is left.
-    ``max_chars=None`` tests the whole text.
+    ``max_chars=None`` tests the whole text. Substring search is far cheaper than
+    the rules, so each rule runs only where one of its words occurs.
     """
     text, hits, truncated, ok = (prefix + n for n in ("text", "hits", "truncated", "ok"))
-    scanned = df.withColumn("_normal", nfkc(F.coalesce(df[col], F.lit(""))))
-    scanned = scanned.withColumn("_stripped", without_invisible(F.col("_normal")))
-    shorter = F.char_length("_stripped") != F.char_length("_normal")
+    # One pass finds the few texts that normalising or stripping could change at all.
+    scanned = df.withColumn("_raw", F.coalesce(df[col], F.lit("")))
+    scanned = scanned.withColumn("_odd", F.when(F.rlike("_raw", F.lit(f"[^{PLAIN_RANGES}]")), F.col("_raw")))
+    scanned = scanned.withColumn("_normal", nfkc(F.col("_odd")))
+    scanned = scanned.withColumn("_visible", without_invisible(F.col("_normal")))
+    scanned = scanned.withColumn("_stripped", F.coalesce("_visible", "_raw"))
+    shorter = F.coalesce(F.octet_length("_visible") != F.octet_length("_normal"), F.lit(False))
     if max_chars is None:
         cut, was_cut = F.col("_stripped"), F.lit(False)
     else:
-        cut, was_cut = F.left("_stripped", F.lit(max_chars)), F.char_length("_stripped") > max_chars
+        was_cut = F.char_length("_stripped") > max_chars
+        cut = F.when(was_cut, F.left("_stripped", F.lit(max_chars))).otherwise(F.col("_stripped"))
     scanned = scanned.withColumns({"_cut": cut, "_shorter": shorter, "_was_cut": was_cut})
+    # The rules' case folding takes both Turkish letters for an i.
+    scanned = scanned.withColumn("_folded", F.lower(F.replace(F.replace("_cut", F.lit("İ"), F.lit("i")), F.lit("ı"), F.lit("i"))))
     found = [F.when(F.col("_shorter"), F.lit("invisible_chars"))]
-    found += [F.when(matches(F.col("_cut"), pattern), F.lit(name)) for name, pattern in rules]
-    scanned = scanned.withColumn("_hits", F.array_compact(F.array(*found)))
+    found += [F.when(_rule_hit(F.col("_cut"), F.col("_folded"), name, p), F.lit(name)) for name, p in rules]
+    scanned = computed_once(scanned.withColumn("_hits", F.array_compact(F.array(*found))), "_hits")
     kept = [c for c in df.columns if c not in (text, hits, truncated, ok)]
     return scanned.select(
         *kept,
@@ -61,11 +86,22 @@ def scan_untrusted(
 
 
 def redact(col: Column, rules: Sequence[tuple[str, str]] = PII_RULES) -> Column:
-    """Replace personal data by ``<name>``, rule after rule."""
+    """Replace personal data by ``<name>``, rule after rule.
+
+    The given rules need an ``@`` or four digits in a row, so most texts are only searched.
+    """
     out = F.coalesce(col, F.lit(""))
+    if tuple(rules) != PII_RULES:
+        return _replaced(out, rules)
+    mail, digits = PII_RULES[:1], PII_RULES[1:]
+    out = F.when(F.contains(out, F.lit("@")), _replaced(out, mail)).otherwise(out)
+    return F.when(F.rlike(out, F.lit(_DIGIT_RUN)), _replaced(out, digits)).otherwise(out)
+
+
+def _replaced(col: Column, rules: Sequence[tuple[str, str]]) -> Column:
     for name, pattern in rules:
-        out = F.regexp_replace(out, java_regex(pattern), f"<{name}>")
-    return out
+        col = F.regexp_replace(col, java_regex(pattern), f"<{name}>")
+    return col
 
 
 def log_safe(col: Column, limit: int = LOG_MAX_CHARS) -> Column:
@@ -123,6 +159,6 @@ def intake_links(updates: DataFrame, allowed_chats: DataFrame | Sequence[int]) -
         rows = rows.join(senders, "chat_id", "left_semi")
     else:
         rows = rows.filter(F.col("chat_id").isin(*allowed_chats))
-    linked = rows.withColumn("url", first_safe_url(F.col("body"), F.col("marks"))).filter(F.col("url").isNotNull())
-    scanned = scan_untrusted(linked, "body")
+    linked = computed_once(rows.withColumn("url", first_safe_url(F.col("body"), F.col("marks"))), "url")
+    scanned = scan_untrusted(linked.filter(F.col("url").isNotNull()), "body")
     return scanned.select("update_id", "chat_id", "url", F.when(F.col("ok"), non_empty(F.col("text"))).alias("text"))

@@ -7,13 +7,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stagetrail.functions.text import computed_once
 from stagetrail.operators.hooks import Extractor, run_extractor
 from stagetrail.operators.records import (
     image_found_events,
     normalize_records,
-    reply_object,
     review_reasons,
     safe_file_ref,
+    with_reply_object,
 )
 from stagetrail.operators.safety import record_hits
 
@@ -36,14 +37,14 @@ class QueueResult:
 
 def structure_replies(replies: DataFrame, reply: str = "reply") -> DataFrame:
     """Add ``record, invalid, hits, reasons, needs_review`` for a column of free-text replies."""
-    docs = replies.withColumn("doc", reply_object(F.col(reply)))
+    docs = with_reply_object(replies, reply)
     records = normalize_records(docs)
     fields = [f"_{n}" for n in ("title", "company", "location", "contact")]
     flat = records.withColumns({f: F.col(f"record.{f[1:]}") for f in fields})
     flat = flat.withColumn("_requirements", F.col("record.requirements"))
     scanned = record_hits(flat, fields, ["_requirements"]).drop(*fields, "_requirements", "doc")
     reasons = review_reasons(F.col("record"), F.col("hits"))
-    return scanned.withColumn("reasons", reasons).withColumn("needs_review", F.size("reasons") > 0)
+    return computed_once(scanned.withColumn("reasons", reasons), "reasons").withColumn("needs_review", F.size("reasons") > 0)
 
 
 def drain_queue(items: DataFrame, files: DataFrame, extract: Extractor, path_name: str) -> QueueResult:

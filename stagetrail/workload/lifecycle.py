@@ -516,7 +516,7 @@ SEEN_TS = datetime(2024, 1, 15)
 
 def ledger(t: Tables) -> DataFrame:
     """One job per order; open orders lack a found time, finished ones have sent and reply times."""
-    o = t.orders
+    o = t.spread("orders")
     iso = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
     shifted = lambda days: iso(F.col("o_orderdate") + F.expr(f"INTERVAL {days} DAYS"))
     status = F.col("o_orderstatus")

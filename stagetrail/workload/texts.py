@@ -42,7 +42,7 @@ _ENDINGS = {
 def untrusted(t: Tables) -> DataFrame:
     """Whole documents with the ending of their source."""
     endings = F.create_map(*[F.lit(x) for pair in _ENDINGS.items() for x in pair])
-    return t.documents.select(
+    return t.spread("documents").select(
         "doc_id", "source", F.concat("text", F.coalesce(endings[F.col("source")], F.lit(""))).alias("body")
     )
 
@@ -217,7 +217,7 @@ def safe_urls(t: Tables) -> DataFrame:
 
 def chat_updates(t: Tables) -> DataFrame:
     """One chat update per conversation turn: the page's link inside the turn's text."""
-    turns = t.conversations.join(t.pages.select(F.col("page_id").alias("conv_id"), "url"), "conv_id")
+    turns = t.spread("conversations").join(t.pages.select(F.col("page_id").alias("conv_id"), "url"), "conv_id")
     message = F.struct(
         F.struct(F.when(F.col("role") == "system", 2).otherwise(1).cast("bigint").alias("id")).alias("chat"),
         F.concat(
@@ -274,7 +274,7 @@ def titled_parts(t: Tables) -> DataFrame:
     """Parts as postings: the size picks the role."""
     roles = F.array(*[F.lit(r) for r in _ROLES])
     title = F.concat(F.element_at(roles, F.col("p_size") % len(_ROLES) + 1), F.lit(" / "), F.col("p_name"), F.lit(" S.Q.L"))
-    return t.part.select("p_partkey", title.alias("title"), "p_name", "p_type")
+    return t.spread("part").select("p_partkey", title.alias("title"), "p_name", "p_type")
 
 
 def _listed(values) -> str:
@@ -339,13 +339,13 @@ def versions_and_types(t: Tables) -> DataFrame:
 
 def page_messages(t: Tables) -> DataFrame:
     """Encoded link tasks of all pages; http ones break the contract."""
-    tasks = build_tasks(t.pages.select("page_id", "url"), "telegram_job_link", "telegram", CREATED)
+    tasks = build_tasks(t.spread("pages").select("page_id", "url"), "telegram_job_link", "telegram", CREATED)
     return encode_tasks(tasks)
 
 
 def document_messages(t: Tables) -> DataFrame:
     """Encoded file tasks of all documents; copies share their content hash."""
-    rows = t.documents.select(
+    rows = t.spread("documents").select(
         F.concat(F.lit("inbox_raw/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("file_id"),
         F.when(F.col("lang") != "es", F.sha2("text", 256)).alias("sha256"),
         F.when(F.col("lang") == "fr", F.lit("text/html")).otherwise(F.lit("text/plain")).alias("mime"),
@@ -376,7 +376,7 @@ def quarantine_reasons(t: Tables) -> DataFrame:
         page_messages(t)
         .unionByName(document_messages(t))
         .unionByName(t.benchmark.select(F.col("text").alias("value")))
-        .unionByName(t.events.select(F.col("props").alias("value")))
+        .unionByName(t.spread("events").select(F.col("props").alias("value")))
     )
     return split_messages(everything).quarantine.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
@@ -509,7 +509,7 @@ def replies(t: Tables) -> DataFrame:
         .when(F.col("p_type") == "SMALL", F.concat(F.lit("Here: "), body, F.lit(" done")))
         .otherwise(body)
     )
-    return t.part.select("p_partkey", reply.alias("reply"))
+    return t.spread("part").select("p_partkey", reply.alias("reply"))
 
 
 @query(
@@ -562,7 +562,7 @@ SELECT conv_id, turn, CASE WHEN np = 0 AND ng = 0 THEN 1.0::DOUBLE WHEN np = 0 O
 )
 def turn_overlap(t: Tables) -> DataFrame:
     """Token F1 of each turn and the one after it, over whole texts."""
-    sets = t.conversations.select("conv_id", "turn", plain_text(F.col("text")).alias("p")).withColumn(
+    sets = t.spread("conversations").select("conv_id", "turn", plain_text(F.col("text")).alias("p")).withColumn(
         "s", token_set(F.col("p"))
     )
     after = sets.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("s").alias("next"))
