@@ -28,6 +28,18 @@ def event_id(job_id: Column, event_type: Column, ts: Column) -> Column:
     return F.sha2(F.concat(job_id, F.lit("|"), event_type, F.lit("|"), iso_utc(ts)), 256)
 
 
+def strict_json(text: Column) -> Column:
+    """Variant of a text that is one JSON value and nothing else, else NULL.
+
+    The parser stops after the first value. Inside brackets whatever follows it is
+    an error, unless it starts with a bracket itself, which braces then show.
+    """
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    alone = F.try_variant_get(listed, "$[1]", "variant").isNull()
+    braced = F.try_parse_json(F.concat(F.lit('{"x":'), text, F.lit("}")))
+    return F.when(alone & (~F.contains(text, F.lit("]")) | braced.isNotNull()), F.try_variant_get(listed, "$[0]", "variant"))
+
+
 def is_variant(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, T.VariantType)
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stagetrail import constants as C
-from stagetrail.functions.identity import dedupe_key, normalize_url
+from stagetrail.functions.identity import dedupe_key, normalize_url, strict_json
 from stagetrail.functions.text import computed_once, matches, non_empty
 from stagetrail.functions.times import iso_utc
 from stagetrail.schemas import TASK_PAYLOAD_SCHEMA, TASK_SCHEMA_TYPE
@@ -150,7 +150,8 @@ def _broken_rules() -> list[tuple[str, Column]]:
 
 def check_messages(messages: DataFrame, value: str = "value") -> DataFrame:
     """Add ``task`` (typed, NULL when invalid) and ``reason`` (first broken rule, NULL when valid)."""
-    parsed = _read_members(messages.withColumn("doc", F.try_parse_json(message_text(messages[value]))))
+    texts = messages.withColumn("_message", message_text(messages[value]))
+    parsed = _read_members(texts.withColumn("doc", strict_json(F.col("_message"))))
     first = F.coalesce(*[F.when(rule, F.lit(reason)) for reason, rule in _broken_rules()])
     reasoned = parsed.withColumn("reason", first)
     payload = F.struct(*[F.col(f"_text_payload_{n}").alias(n) for n in TASK_PAYLOAD_SCHEMA.names]).alias("payload")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stagetrail import constants as C
-from stagetrail.functions.identity import event_id
+from stagetrail.functions.identity import event_id, strict_json
 from stagetrail.functions.text import blank_to_null, java_regex, matches, non_empty, strip
 from stagetrail.functions.titles import keywords, title_family
 
@@ -26,7 +26,8 @@ def with_reply_object(df: DataFrame, reply: str, out: str = "doc") -> DataFrame:
     )
     braces = (F.col("_first") > 1) & F.contains("_body", F.lit("}")) & (F.col("_last") > F.col("_first"))
     cut = F.when(braces, F.substr(F.col("_body"), F.col("_first"), F.col("_last") - F.col("_first") + 1))
-    rows = rows.withColumn("_parsed", F.try_parse_json(cut.otherwise(F.col("_body"))))
+    rows = rows.withColumn("_json", cut.otherwise(F.col("_body")))
+    rows = rows.withColumn("_parsed", strict_json(F.col("_json")))
     is_object = F.startswith(F.schema_of_variant("_parsed"), F.lit("OBJECT"))
     return rows.select(*[c for c in df.columns if c != out], F.when(is_object, F.col("_parsed")).alias(out))
 

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
 RUNTIME_SETTINGS = {
     # Naive input is UTC and event ids contain UTC text, so one zone everywhere.
     "spark.sql.session.timeZone": "UTC",
+    # A repeated key in a message means its last value, as JSON readers usually take it.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     # Lookups keep a unique right side; AQE splits hot keys of the left side.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -55,9 +58,12 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="stagetrail-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="stagetrail-")
 
 
 def run_folder(spark: SparkSession, name: str) -> str:

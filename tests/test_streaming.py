@@ -1,0 +1,141 @@
+"""Streaming jobs run with file sources and availableNow."""
+
+import json
+import random
+from datetime import datetime
+
+from pyspark.sql import functions as F
+from test_text import MESSAGES, link_task
+
+from stagetrail import constants as C
+from stagetrail.operators.contracts import build_tasks, check_messages
+from stagetrail.sources.messages import encode_tasks, read_chat_updates, read_messages
+from stagetrail.streaming.intake import Intake, by_response, file_handlers, first_deliveries, start_intake
+from stagetrail.streaming.listener import start_listener
+from stagetrail.streaming.stability import LISTING, stable_files, stable_files_stream
+
+
+def deliver(spark, folder, name, lines):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text("\n".join(lines) + "\n", encoding="utf-8")
+
+
+def responses(spark, codes):
+    return spark.createDataFrame(
+        [(k, c, True, None) for k, c in codes.items()], "dedupe_key string, status_code int, ok boolean, error_type string"
+    )
+
+
+def run(spark, tmp_path, intake):
+    stream = read_messages(spark, str(tmp_path / "in"), streaming=True, files_per_trigger=1)
+    start_intake(stream, intake, str(tmp_path / "checkpoint")).awaitTermination()
+
+
+def test_intake_retries_dead_letters_and_settles(spark, tmp_path):
+    a, b = link_task(spark, "https://a.example/1"), link_task(spark, "https://b.example/1")
+    again = {**a, "task_id": link_task(spark)["task_id"]}
+    line = lambda t: json.dumps(t)
+    deliver(spark, tmp_path / "in", "0.txt", [line(a), line(again), line(b), "garbage", line({**a, "x": 1})])
+    down = Intake(str(tmp_path / "state"), {C.LINK_TASK: by_response(responses(spark, {a["dedupe_key"]: 200, b["dedupe_key"]: 503}))})
+    run(spark, tmp_path, down)
+    got = {r["dedupe_key"]: (r["status"], r["attempts"]) for r in down.state.read(spark).collect()}
+    assert got == {a["dedupe_key"]: ("done", 0), b["dedupe_key"]: ("retry", 1)}
+    assert sorted(r["reason"] for r in down.quarantine(spark).collect()) == ["<root>: additionalProperties", "not json"]
+    counts = down.counters(spark).filter("pulled > 0").drop("version").collect()
+    assert [tuple(r) for r in counts] == [(5, 4, 1, 2)]
+
+    deliver(spark, tmp_path / "in", "1.txt", [line(b)] * 4 + [line(a)])
+    run(spark, tmp_path, down)
+    dead = down.dead_letters(spark).collect()
+    assert [(r["dedupe_key"], r["detail"], r["attempts"]) for r in dead] == [(b["dedupe_key"], "max_attempts", 5)]
+
+    up = Intake(str(tmp_path / "state"), {C.LINK_TASK: by_response(responses(spark, {b["dedupe_key"]: 200}))})
+    deliver(spark, tmp_path / "in", "2.txt", [line(b), line(a)])
+    run(spark, tmp_path, up)
+    assert {r["status"] for r in up.state.read(spark).collect()} == {"done"}
+
+
+def test_repeated_batch_changes_nothing(spark, tmp_path):
+    files = spark.createDataFrame([(f"in/{i}.png", "ab"[i % 2] * 64) for i in range(6)], "file_id string, sha256 string")
+    lines = [r["value"] for r in encode_tasks(build_tasks(files, "drive_file", "drive", datetime(2025, 1, 1))).collect()]
+    messages = spark.createDataFrame([(x,) for x in lines], "value string")
+    intake = Intake(str(tmp_path / "state"), file_handlers())
+    intake.process(messages, 0)
+    first = sorted(map(tuple, intake.state.read(spark).collect())), sorted(map(tuple, intake.queue(spark).collect()))
+    intake.process(messages, 0)
+    assert first == (sorted(map(tuple, intake.state.read(spark).collect())), sorted(map(tuple, intake.queue(spark).collect())))
+    intake.process(messages, 1)
+    assert intake.state._all(spark).filter("version = 1").count() == 0
+    assert intake.queue(spark).count() == 2
+
+
+def test_unknown_type_is_rejected(spark, tmp_path):
+    lines = [json.dumps(link_task(spark))]
+    intake = Intake(str(tmp_path / "state"), file_handlers())
+    intake.process(spark.createDataFrame([(x,) for x in lines], "value string"), 0)
+    row = intake.state.read(spark).first()
+    assert (row["status"], row["detail"]) == ("rejected", "unknown_type")
+
+
+def test_listener_publishes_valid_links(spark, tmp_path):
+    deliver(spark, tmp_path / "in", "0.json", [json.dumps({"update_id": i, **m}) for i, m in enumerate(MESSAGES)])
+    stream = read_chat_updates(spark, str(tmp_path / "in"), streaming=True)
+    start_listener(stream, [1, 2], str(tmp_path / "out"), str(tmp_path / "c")).awaitTermination()
+    got = check_messages(read_messages(spark, str(tmp_path / "out"))).collect()
+    assert {r["task"]["payload"]["url"] for r in got} == {"https://a.example/safe", "https://b.example/y", "https://d.example"}
+    assert all(r["reason"] is None for r in got)
+
+
+def listings(spark, seed=5):
+    rnd = random.Random(seed)
+    out = []
+    for path in range(12):
+        for scan in range(8):
+            if rnd.random() < 0.85:
+                out.append((f"f{path}", rnd.randrange(2), datetime(2025, 1, 1 + rnd.randrange(2)), scan))
+    return out
+
+
+def python_stable(rows):
+    pending, out = {}, []
+    for scan in range(8):
+        now = {p: (s, m) for p, s, m, n in rows if n == scan}
+        pending = {p: sig for p, sig in pending.items() if p in now}
+        for p, sig in now.items():
+            if pending.get(p) == sig:
+                out.append((p, *sig, scan))
+                del pending[p]
+            else:
+                pending[p] = sig
+    return sorted(out)
+
+
+def test_stable_files_batch_and_stream(spark, tmp_path):
+    rows = listings(spark)
+    batch = stable_files(spark.createDataFrame(rows, LISTING))
+    assert sorted(map(tuple, batch.collect())) == python_stable(rows)
+
+    (tmp_path / "in").mkdir()
+    stream = spark.readStream.schema(LISTING).parquet(str(tmp_path / "in"))
+    for part in range(2):
+        half = [r for r in rows if r[3] // 4 == part]
+        spark.createDataFrame(half, LISTING).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        query = (
+            stable_files_stream(stream).writeStream.format("parquet").option("path", str(tmp_path / "out"))
+            .option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).select("path", "size", "mtime", "scan").collect())) == python_stable(rows)
+
+
+def test_first_deliveries(spark, tmp_path):
+    at = datetime(2025, 1, 1)
+    data = spark.createDataFrame([("k1", at), ("k1", at), ("k2", at)], "dedupe_key string, at timestamp")
+    data.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(data.schema).parquet(str(tmp_path / "in"))
+    query = (
+        first_deliveries(stream, "at").writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        .option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).groupBy().agg(F.count("*")).first()[0] == 2
