@@ -13,13 +13,14 @@ from stagetrail.functions.identity import is_variant
 CANONICAL_ID_COVERS = ("job_id", "event_type", "ts")
 
 
+# Content columns that cost far more to read than the rest.
+WIDE_COLUMNS = ("keywords", "payload")
+
+
 def _tie_breakers(df: DataFrame, key: str, order: str) -> list:
-    out = []
-    for field in df.schema.fields:
-        if field.name in (key, order) or field.dataType.simpleString().startswith("map"):
-            continue
-        out.append(F.to_json(field.name).desc() if is_variant(df, field.name) else F.col(field.name).desc())
-    return out
+    """Remaining columns, wide ones last, so that a view without them settles ties the same way."""
+    names = sorted((n for n in df.columns if n not in (key, order)), key=lambda n: n in WIDE_COLUMNS)
+    return [(F.to_json(n) if is_variant(df, n) else F.col(n)).desc() for n in names]
 
 
 def keep_latest(

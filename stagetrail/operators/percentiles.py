@@ -8,58 +8,92 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SPLITTERS = 64
+ACCURACY = 10_000
+MARGIN = 2 / ACCURACY
 
+# Output name -> (quantile, ranks as functions of the group's size)
+Targets = dict[str, tuple[float, list[Callable[[Column], Column]]]]
 
-Ranks = Callable[[Column], dict[str, list[Column]]]
 
+def _beside(rows: DataFrame, side: DataFrame, groups: Sequence[str], few_groups: bool) -> DataFrame:
+    """Rows with the one line of ``side`` for their group as ``_side``."""
+    line = F.struct(*[c for c in side.columns if c not in groups]).alias("_side")
+    if not groups:
+        return rows.withColumn("_side", side.select(line).scalar())
+    named = side.select(*groups, line)
+    return rows.join(F.broadcast(named) if few_groups else named, list(groups))
 
-def _values_at(df: DataFrame, groups: Sequence[str], value: str, ranks: Ranks) -> DataFrame:
+
+def _values_at(df: DataFrame, groups: Sequence[str], value: str, targets: Targets, few_groups: bool) -> DataFrame:
     """One row per group; each output column is the mean of the values at its 1-based ranks.
 
-    Copies are combined before any shuffle. Approximate quantiles of the distinct
-    values only choose split points; exact counts per interval then tell which
-    intervals hold a wanted rank, and only those are ordered. Every pass reads the
-    same grouped counts, so their exchange is planned once and reused.
+    Three passes, none of which moves the rows of a group: a sketch brackets each
+    wanted rank by two values, counts tell how many rows lie below and inside the
+    bracket, and only the rows inside are ordered. A bracket the counts prove wrong,
+    as may happen in a small group, is opened to the whole group, so the result is
+    exact either way. ``few_groups`` says that the caller knows the groups to be a
+    short list; otherwise the planner chooses the joins by size.
     """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("n"))
-    # Without groups all rows share one key; the planner cannot fold this one into a cross join.
-    keys, counts = (list(groups), counts) if groups else (["_all"], counts.withColumn("_all", F.col("n") < 0))
-    marks = [i / SPLITTERS for i in range(1, SPLITTERS)]
-    edges = counts.groupBy(*keys).agg(
-        F.percentile_approx(value, marks, 1000).alias("_edges"), F.sum("n").alias("_total")
+    rows = df.select(*groups, value).filter(F.col(value).isNotNull())
+    marks = sorted({q for q, _ in targets.values()})
+    spots = [s for q in marks for s in (max(0.0, q - MARGIN), min(1.0, q + MARGIN))]
+    sketch = rows.groupBy(*groups).agg(
+        F.percentile_approx(value, spots, ACCURACY).alias("edges"), F.count(F.lit(1)).alias("total")
+    )
+    v, side = F.col(value), F.col("_side")
+    low = lambda i: side["edges"][2 * i]
+    high = lambda i: side["edges"][2 * i + 1]
+    counted = _beside(rows, sketch, groups, few_groups).groupBy(*groups).agg(
+        F.max(side).alias("_side"),
+        *[F.count_if(v < low(i)).alias(f"below{i}") for i in range(len(marks))],
+        *[F.count_if(v.between(low(i), high(i))).alias(f"inside{i}") for i in range(len(marks))],
     )
-    slot = F.size(F.filter("_edges", lambda e: e < F.col(value)))
-    placed = counts.join(edges, keys).withColumn("_slot", slot).drop("_edges")
-
-    slots = placed.groupBy(*keys, "_slot", "_total").agg(F.sum("n").alias("_in"))
-    upto = F.sum("_in").over(Window.partitionBy(*keys).orderBy("_slot"))
-    slots = slots.withColumn("_start", upto - F.col("_in"))
-    wanted = [(name, i, r) for name, rs in ranks(F.col("_total")).items() for i, r in enumerate(rs)]
-    inside = lambda r, start, n: (start < r) & (r <= start + n)
-    any_of = lambda start, n: reduce(lambda a, b: a | b, [inside(r, start, n) for _, _, r in wanted])
-    chosen = slots.filter(any_of(F.col("_start"), F.col("_in"))).select(*keys, "_slot", "_start")
-
-    ordered = Window.partitionBy(*keys, "_slot").orderBy(value)
-    near = placed.join(chosen, [*keys, "_slot"])
-    near = near.withColumn("_before", F.col("_start") + F.sum("n").over(ordered) - F.col("n"))
-    before, n = F.col("_before"), F.col("n")
-    hit = {(name, i): F.max(F.when(inside(r, before, n), F.col(value))) for name, i, r in wanted}
+    within = lambda r, before, n: (before < r) & (r <= before + n)
+    brackets = []
+    for i, q in enumerate(marks):
+        ranks = [r(side["total"]) for wanted, rs in targets.values() if wanted == q for r in rs]
+        holds = reduce(lambda a, b: a & b, [within(r, F.col(f"below{i}"), F.col(f"inside{i}")) for r in ranks])
+        brackets.append(
+            F.struct(
+                F.lit(i).alias("mark"),
+                F.when(holds, low(i)).alias("low"),
+                F.when(holds, high(i)).alias("high"),
+                F.when(holds, F.col(f"below{i}")).otherwise(F.lit(0)).alias("start"),
+            )
+        )
+    plan = counted.select(*groups, side["total"].alias("total"), F.array(*brackets).alias("brackets"))
+
+    placed = _beside(rows, plan, groups, few_groups)
+    mine = F.filter(side["brackets"], lambda b: b["low"].isNull() | v.between(b["low"], b["high"]))
+    near = placed.select(*groups, value, side["total"].alias("_total"), F.inline(mine))
+    copies = near.groupBy(*groups, "mark", "start", "_total", value).agg(F.count(F.lit(1)).alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy(*groups, "mark").orderBy(value))
+    copies = copies.withColumn("_before", F.col("start") + upto - F.col("_n"))
+
+    def pick(q: float, rank: Callable[[Column], Column]) -> Column:
+        hit = (F.col("mark") == marks.index(q)) & within(rank(F.col("_total")), F.col("_before"), F.col("_n"))
+        return F.max(F.when(hit, v))
+
     out = []
-    for name in dict.fromkeys(name for name, _, _ in wanted):
-        found = [c for (k, _), c in hit.items() if k == name]
-        mean = found[0] if len(found) == 1 else reduce(lambda a, b: a + b, found) / F.lit(float(len(found)))
+    for name, (q, ranks) in targets.items():
+        picked = [pick(q, r) for r in ranks]
+        mean = picked[0] if len(picked) == 1 else reduce(lambda a, b: a + b, picked) / F.lit(float(len(picked)))
         out.append(mean.alias(name))
-    return near.filter(any_of(before, n)).groupBy(*keys).agg(*out).select(*groups, *[c for c in ranks(F.lit(0))])
+    result = copies.groupBy(*groups).agg(*out)
+    return result if groups else result.filter(F.col(next(iter(targets))).isNotNull())
 
 
-def nearest_rank(df: DataFrame, groups: Sequence[str], value: str, quantiles: dict[str, float]) -> DataFrame:
+def nearest_rank(
+    df: DataFrame, groups: Sequence[str], value: str, quantiles: dict[str, float], few_groups: bool = False
+) -> DataFrame:
     """Nearest-rank percentiles: the value at position ceil(q * n)."""
-    return _values_at(
-        df, groups, value, lambda n: {name: [F.greatest(F.lit(1), F.ceil(F.lit(q) * n))] for name, q in quantiles.items()}
-    )
+    rank = lambda q: lambda n: F.greatest(F.lit(1), F.ceil(F.lit(q) * n))
+    return _values_at(df, groups, value, {name: (q, [rank(q)]) for name, q in quantiles.items()}, few_groups)
 
 
-def median(df: DataFrame, value: str, groups: Sequence[str] = (), out: str = "median") -> DataFrame:
+def median(
+    df: DataFrame, value: str, groups: Sequence[str] = (), out: str = "median", few_groups: bool = False
+) -> DataFrame:
     """Middle value, or the mean of the two middle values."""
-    return _values_at(df, groups, value, lambda n: {out: [F.floor((n + 1) / 2), F.floor(n / 2) + 1]})
+    middle = [lambda n: F.floor((n + 1) / 2), lambda n: F.floor(n / 2) + 1]
+    return _values_at(df, groups, value, {out: (0.5, middle)}, few_groups)

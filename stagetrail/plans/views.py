@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stagetrail.functions.identity import json_field
 from stagetrail.functions.times import whole_days
-from stagetrail.operators.dedup import CANONICAL_ID_COVERS, keep_latest
+from stagetrail.operators.dedup import CANONICAL_ID_COVERS, WIDE_COLUMNS, keep_latest
 from stagetrail.operators.rates import response_rate
 
 
@@ -17,6 +17,12 @@ def events_dedup(events: DataFrame, covers: Sequence[str] = ()) -> DataFrame:
     return keep_latest(events, covers=covers)
 
 
+def response_rate_view(events: DataFrame, group: str, covers: Sequence[str] = ()) -> DataFrame:
+    """Response rates straight from the event table; payloads and keywords are not even read."""
+    narrow = events.drop(*WIDE_COLUMNS)
+    return response_rate(keep_latest(narrow, covers=covers), group)
+
+
 def jobs_latest(dedup: DataFrame) -> DataFrame:
     """One row per job: first times by type, last time, and the fields of the latest event.
 
@@ -75,5 +81,5 @@ def register_views(spark: SparkSession, events: DataFrame, covers: Sequence[str]
     latest = jobs_latest(dedup)
     latest.createOrReplaceTempView("jobs_latest")
     days_to_reply(latest).createOrReplaceTempView("days_to_reply")
-    response_rate(dedup, "title_family").createOrReplaceTempView("response_rate_by_title_family")
-    response_rate(dedup, "cv_version").createOrReplaceTempView("response_rate_by_cv_version")
+    for group in ("title_family", "cv_version"):
+        response_rate_view(events, group, covers).createOrReplaceTempView(f"response_rate_by_{group}")

@@ -11,7 +11,6 @@ from stagetrail.constants import TITLE_FAMILIES
 from stagetrail.operators import quality
 from stagetrail.operators.dedup import duplicate_groups, table_counts
 from stagetrail.operators.derive import derive_events
-from stagetrail.operators.rates import response_rate
 from stagetrail.operators.reconcile import dropped_jobs, events_by_type, reconcile
 from stagetrail.operators.sync import decide, decision_counts, next_fingerprints, to_append
 from stagetrail.functions.identity import event_id
@@ -171,12 +170,12 @@ def days_to_reply(t: Tables) -> DataFrame:
 
 @query("rr_by_family", _rr_sql("title_family"))
 def rr_by_family(t: Tables) -> DataFrame:
-    return response_rate(dedup(t), "title_family")
+    return views.response_rate_view(life(t), "title_family", COVERS)
 
 
 @query("rr_by_cv", _rr_sql("cv_version"))
 def rr_by_cv(t: Tables) -> DataFrame:
-    return response_rate(dedup(t), "cv_version")
+    return views.response_rate_view(life(t), "cv_version", COVERS)
 
 
 @query(
