@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stagetrail.constants import TITLE_FAMILIES
 from stagetrail.operators import quality
 from stagetrail.operators.dedup import duplicate_groups, table_counts
-from stagetrail.operators.derive import derive_events
+from stagetrail.operators.derive import derive_events, outcome_events
 from stagetrail.operators.reconcile import dropped_jobs, events_by_type, reconcile
 from stagetrail.operators.sync import decide, decision_counts, next_fingerprints, to_append
 from stagetrail.functions.identity import event_id
@@ -34,7 +34,7 @@ def single_exports(t: Tables) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
     stage = F.create_map(*[F.lit(x) for pair in _STAGE.items() for x in pair])
     family = F.element_at(F.array(*[F.lit(f) for f in TITLE_FAMILIES]), (k % 8 + 1).cast("int"))
-    return t.events.select(
+    return t.spread("events").select(
         F.col("event_id").cast("string").alias("event_id"),
         F.concat(F.col("user_id").cast("string"), F.lit("-"), F.to_date("ts").cast("string")).alias("job_id"),
         stage[F.col("event_type")].alias("event_type"),
@@ -548,7 +548,7 @@ def ledger_seen(t: Tables) -> DataFrame:
 
 def outcomes(t: Tables) -> DataFrame:
     """Manual outcome rows: returned lines are rejections, some of orders nobody knows."""
-    returned = t.lineitem.filter("l_returnflag = 'R'")
+    returned = t.spread("lineitem").filter("l_returnflag = 'R'")
     return returned.select(
         F.concat(F.lit("order-"), (F.col("l_orderkey") * 2).cast("string")).alias("job_id"),
         F.when(F.col("l_linestatus") == "O", F.lit("offer")).otherwise(F.lit("reject")).alias("event_type"),
@@ -615,9 +615,8 @@ joined AS (
   FROM oc o LEFT JOIN ctx c USING (job_id))
 SELECT {_EVENT_SQL} FROM joined""",
 )
-def outcome_events(t: Tables) -> DataFrame:
-    events = derive_events(ledger(t), RUN_TS, outcomes(t), ledger_seen(t)).events
-    return _flat(events.filter(F.col("event_type").isin("offer", "reject")))
+def outcomes_of_jobs(t: Tables) -> DataFrame:
+    return _flat(outcome_events(ledger(t), outcomes(t)))
 
 
 @query(

@@ -572,7 +572,7 @@ def turn_overlap(t: Tables) -> DataFrame:
 
 def gold(t: Tables) -> DataFrame:
     key = F.col("p_partkey").cast("string")
-    return t.part.select(
+    return t.spread("part").select(
         key.alias("ad_id"),
         F.col("p_name").alias("title"),
         F.col("p_brand").alias("company"),
@@ -585,7 +585,7 @@ def gold(t: Tables) -> DataFrame:
 def predictions(t: Tables) -> DataFrame:
     """Three paths: exact up to spelling, cheap but often wrong, and failing for promotions."""
     key = F.col("p_partkey").cast("string")
-    base = t.part.select(
+    base = t.spread("part").select(
         key.alias("ad_id"), "p_name", "p_brand", "p_type", "p_size", "p_retailprice",
         F.explode(F.array(F.lit("exact"), F.lit("cheap"), F.lit("flaky"))).alias("path"),
     )
