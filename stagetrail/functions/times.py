@@ -11,7 +11,7 @@ from stagetrail.constants import TS_FORMAT
 from stagetrail.functions.text import strip
 
 # The form nearly all input has; the engine's own cast reads it.
-_USUAL = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:\.\d+)?(?:Z|[+-](?:0\d|1[0-7]):[0-5]\d)?$"
+_USUAL = r"^\d{4}-\d{2}-\d{2}(?:T\d{2}:\d{2}:\d{2}(?:\.\d+)?(?:Z|[+-](?:0\d|1[0-7]):[0-5]\d)?)?$"
 # Everything else ISO allows: basic format, any separator, shortened clock, odd offsets.
 _ISO = (
     r"^(\d{4})(-?)(\d{2})\2(\d{2})"
