@@ -12,23 +12,32 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 LISTING = "path string, size bigint, mtime timestamp, scan bigint"
 
 
-def stable_files(listings: DataFrame) -> DataFrame:
-    """Batch form over numbered scans ``(path, size, mtime, scan)``.
+def stable_files(listings: DataFrame, block: int = 1000) -> DataFrame:
+    """Batch form over numbered scans, one row per ``(path, size, mtime, scan)``.
 
     A file is handed out on the second of two equal sightings in consecutive scans
     and then forgotten, so within a run of equal sightings it is every second one.
     A scan without the file breaks the run.
+
+    A path listed in very many scans must not become one task's work: neighbours
+    meet in a join on path and scan, and the start of a run is looked for within a
+    block of scans first, then among the blocks' last starts.
     """
-    by_path = Window.partitionBy("path").orderBy("scan")
-    same = (
-        (F.lag("scan").over(by_path) == F.col("scan") - 1)
-        & F.lag("size").over(by_path).eqNullSafe(F.col("size"))
-        & F.lag("mtime").over(by_path).eqNullSafe(F.col("mtime"))
+    before = listings.select(
+        "path", (F.col("scan") + 1).alias("scan"), F.struct("size", "mtime").alias("_before")
     )
-    starts = listings.withColumn("_new", F.when(F.coalesce(same, F.lit(False)), 0).otherwise(1))
-    runs = starts.withColumn("_run", F.sum("_new").over(by_path))
-    nth = F.row_number().over(Window.partitionBy("path", "_run").orderBy("scan"))
-    return runs.withColumn("_nth", nth).filter(F.col("_nth") % 2 == 0).drop("_new", "_run", "_nth")
+    seen = listings.join(before, ["path", "scan"], "left")
+    same = F.col("_before").isNotNull() & F.struct("size", "mtime").eqNullSafe(F.col("_before"))
+    marked = seen.withColumns(
+        {"_start": F.when(~same, F.col("scan")), "_block": F.floor(F.col("scan") / block)}
+    ).drop("_before")
+    in_block = Window.partitionBy("path", "_block").orderBy("scan")
+    last_starts = marked.groupBy("path", "_block").agg(F.max("_start").alias("_last"))
+    earlier = Window.partitionBy("path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = last_starts.select("path", "_block", F.max("_last").over(earlier).alias("_carried"))
+    placed = marked.withColumn("_own", F.max("_start").over(in_block)).join(carried, ["path", "_block"])
+    nth = F.col("scan") - F.coalesce("_own", "_carried") + 1
+    return placed.filter(nth % 2 == 0).select(*listings.columns)
 
 
 class _Stability(StatefulProcessor):

@@ -112,8 +112,9 @@ def python_stable(rows):
 
 def test_stable_files_batch_and_stream(spark, tmp_path):
     rows = listings(spark)
-    batch = stable_files(spark.createDataFrame(rows, LISTING))
-    assert sorted(map(tuple, batch.collect())) == python_stable(rows)
+    for block in (1000, 3, 1):
+        batch = stable_files(spark.createDataFrame(rows, LISTING), block)
+        assert sorted(map(tuple, batch.collect())) == python_stable(rows)
 
     (tmp_path / "in").mkdir()
     stream = spark.readStream.schema(LISTING).parquet(str(tmp_path / "in"))
