@@ -73,13 +73,14 @@ def days_to_reply(latest: DataFrame) -> DataFrame:
     )
 
 
-def register_views(spark: SparkSession, events: DataFrame, covers: Sequence[str] = CANONICAL_ID_COVERS) -> None:
+def register_views(
+    spark: SparkSession, events: DataFrame, covers: Sequence[str] = CANONICAL_ID_COVERS, prefix: str = ""
+) -> None:
     """Temp views in dependency order, under the names reports use."""
-    events.createOrReplaceTempView("events")
     dedup = events_dedup(events, covers)
-    dedup.createOrReplaceTempView("events_dedup")
     latest = jobs_latest(dedup)
-    latest.createOrReplaceTempView("jobs_latest")
-    days_to_reply(latest).createOrReplaceTempView("days_to_reply")
+    named = {"events": events, "events_dedup": dedup, "jobs_latest": latest, "days_to_reply": days_to_reply(latest)}
     for group in ("title_family", "cv_version"):
-        response_rate_view(events, group, covers).createOrReplaceTempView(f"response_rate_by_{group}")
+        named[f"response_rate_by_{group}"] = response_rate_view(events, group, covers)
+    for name, view in named.items():
+        view.createOrReplaceTempView(prefix + name)

@@ -183,8 +183,8 @@ def rr_by_cv(t: Tables) -> DataFrame:
     f"""{_rr_sql("title_family")} ORDER BY rate DESC""",
 )
 def registered_views(t: Tables) -> DataFrame:
-    views.register_views(t.spark, life(t))
-    return t.spark.sql("SELECT * FROM response_rate_by_title_family ORDER BY rate DESC")
+    views.register_views(t.spark, life(t), COVERS, prefix="life_")
+    return t.spark.sql("SELECT * FROM life_response_rate_by_title_family ORDER BY rate DESC")
 
 
 @query(
