@@ -107,6 +107,7 @@ TASK_URL_PATTERN = r"^https://"
 TASK_MAX_LENGTHS = {"url": 2000, "file_id": 300, "version": 64, "text": 4000}
 CREATED_AT_MAX = 40
 TRANSIENT_CODES = (408, 429)
+TRANSIENT_ERROR = "bus_dir_unset"
 MAX_ATTEMPTS = 5
 RETENTION_DAYS = 7
 

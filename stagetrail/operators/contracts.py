@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stagetrail import constants as C
 from stagetrail.functions.identity import dedupe_key, normalize_url, strict_json
-from stagetrail.functions.text import computed_once, matches, non_empty
+from stagetrail.functions.text import computed_once, matches
 from stagetrail.functions.times import iso_utc
 from stagetrail.schemas import TASK_PAYLOAD_SCHEMA, TASK_SCHEMA_TYPE
 from stagetrail.sources.messages import encode_tasks, message_text
@@ -193,6 +193,6 @@ def delivery_outcome(status_code: Column, ok: Column, error_type: Column) -> Col
         | (status_code >= 500)
         | status_code.isin(*C.TRANSIENT_CODES)
         | ok.isNull()
-        | (~ok & (F.coalesce(non_empty(error_type), F.lit("")) == "bus_dir_unset"))
+        | (~ok & (F.coalesce(error_type, F.lit("")) == C.TRANSIENT_ERROR))
     )
     return F.when(transient, F.lit("transient")).when(ok, F.lit("done")).otherwise(F.lit("rejected"))
