@@ -19,7 +19,7 @@ from stagetrail.constants import (
     SCAN_RULES,
     SCAN_WORDS,
 )
-from stagetrail.functions.text import PLAIN_RANGES, computed_once, java_regex, matches, nfkc, non_empty
+from stagetrail.functions.text import computed_once, is_plain, java_regex, matches, nfkc, non_empty
 from stagetrail.functions.urls import first_safe_url
 
 _INVISIBLE = f"[{INVISIBLE_CHARS}]"
@@ -59,7 +59,7 @@ def scan_untrusted(
     text, hits, truncated, ok = (prefix + n for n in ("text", "hits", "truncated", "ok"))
     # One pass finds the few texts that normalising or stripping could change at all.
     scanned = df.withColumn("_raw", F.coalesce(df[col], F.lit("")))
-    scanned = scanned.withColumn("_odd", F.when(F.rlike("_raw", F.lit(f"[^{PLAIN_RANGES}]")), F.col("_raw")))
+    scanned = scanned.withColumn("_odd", F.when(~is_plain(F.col("_raw")), F.col("_raw")))
     scanned = scanned.withColumn("_normal", nfkc(F.col("_odd")))
     scanned = scanned.withColumn("_visible", without_invisible(F.col("_normal")))
     scanned = scanned.withColumn("_stripped", F.coalesce("_visible", "_raw"))
