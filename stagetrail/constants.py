@@ -16,13 +16,12 @@ FOUND_TS_COLUMNS = ("created_at_utc", "found_at_utc", "added_at_utc")
 APPLIED_TS_COLUMNS = ("sent_at_utc", "form_submitted_at_utc", "email_sent_at_utc")
 CV_COLUMNS = ("cv_basename", "cv_pdf", "cv_docx", "cv_path")
 CV_PATTERN = r"^cv-\d{8}-[a-z_]+$"
-PAYLOAD_TEXT_LIMITS = {"company": 160, "title": 160, "location": 160, "application_type": 64, "origin": 64}
+PAYLOAD_TEXTS = ("company", "title", "location", "application_type", "origin")
 IMAGE_SOURCE_TYPES = ("image", "image/png", "image/jpeg", "image/webp")
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 # -- fixed values: keywords and titles -----------------------------------------
 KEYWORD_TOKEN = r"[a-zA-Z+#.]{2,}"
-KEYWORD_LIMIT = 12
 KEYWORD_VOCABULARY = (
     "sql", "python", "ml", "nlp", "rag", "bi", "looker", "bigquery", "gcp", "aws", "spark", "excel",
     "tableau", "pandas", "dbt", "etl", "kafka", "docker", "kubernetes", "terraform", "java", "scala",
@@ -66,7 +65,7 @@ SCAN_RULES = (
     ("instruction_override_he", r"(התעלם|תתעלם|שכח|תשכח)\s+(מכל\s+)?(ה)?(הוראות|כללים|ההנחיות)"),
     ("role_hijack", r"(?i)(you are now|new (system )?persona|pretend you have no (rules|limits)|act as (root|admin))"),
     ("tool_coercion", r"(?i)(system\.run|shell\s*=\s*true|docker\.sock|/bin/sh|subprocess|os\.system|curl\s+-)"),
-    ("path_exfil", r"(?i)(desktop[/\\]sagole|sagole[/\\]939|real_inputs|secure_data_939|statedb\.db|\.env\b)"),
+    ("path_exfil", r"(?i)(\.env\b)"),
     ("encoding_smuggle", r"(?i)(base64.{0,20}ignore|<script|\\x00)"),
     ("send_action", r"(?i)(send (this|the) (cv|email|application)|submit (the )?application|שלח (את )?(הקורות|המייל|המועמדות))"),
 )
@@ -76,7 +75,7 @@ SCAN_WORDS = {
     "instruction_override_he": ("תעלם", "שכח"),
     "role_hijack": ("you are now", "persona", "pretend you have no ", "act as "),
     "tool_coercion": ("system.run", "shell", "docker.sock", "/bin/sh", "subprocess", "os.system", "curl"),
-    "path_exfil": ("sagole", "real_inputs", "secure_data_939", "statedb.db", ".env"),
+    "path_exfil": (".env",),
     "encoding_smuggle": ("base64", "<script", "\\x00"),
     "send_action": ("send th", "submit ", "שלח "),
 }
@@ -126,8 +125,6 @@ FILE_VERSION_CHARS = 16
 # -- fixed values: extraction records -----------------------------------------------
 RECORD_FIELDS = ("title", "company", "requirements", "location", "contact")
 RECORD_LANGUAGES = ("he", "en", "mixed")
-REQUIREMENTS_LIMIT = 15
-REQUIREMENT_CHARS = 200
 CONTACT_WHOLE = (
     r"(?i)^[\w.+-]+@[\w-]+\.[\w.-]+$",
     r"^(?:\+?\d{1,3}[-\s]?)?(?:\(?\d{2,4}\)?[-\s]?)?\d{3}[-\s]?\d{4,6}$",

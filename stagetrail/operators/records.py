@@ -42,12 +42,13 @@ def contact(text: Column) -> Column:
     return branch
 
 
-def normalize_records(df: DataFrame, col: str = "doc") -> DataFrame:
+def normalize_records(df: DataFrame, col: str = "doc", max_items: int | None = None, max_chars: int | None = None) -> DataFrame:
     """Add ``record`` (struct, NULL when invalid) and ``invalid`` (first bad field) for a variant column.
 
     A NULL variant is invalid as a whole. Members of the wrong type make the record
     invalid; blanks become NULL; unusable contacts, list items and confidence keys
-    are dropped without failing it.
+    are dropped without failing it. ``max_items`` requirements of ``max_chars`` characters
+    are kept if a caller limits them.
     """
     names = (*C.RECORD_FIELDS, "language", "confidence", "field_confidence")
     texts = ("title", "company", "location", "contact")
@@ -59,10 +60,11 @@ def normalize_records(df: DataFrame, col: str = "doc") -> DataFrame:
     number = kind["confidence"].isin("STRING", "BOOLEAN", "BIGINT", "DOUBLE", "FLOAT") | F.startswith(
         kind["confidence"], F.lit("DECIMAL")
     )
+    items = get("requirements", "array<variant>")
     rows = rows.withColumns(
         {
             **{f"_t_{n}": blank_to_null(get(n, "string")) for n in texts},
-            "_items": F.slice(get("requirements", "array<variant>"), 1, C.REQUIREMENTS_LIMIT),
+            "_items": items if max_items is None else F.slice(items, 1, max_items),
             "_scores": F.transform_values(
                 get("field_confidence", "map<string,variant>"), lambda _k, v: F.try_variant_get(v, "$", "double")
             ),
@@ -71,7 +73,9 @@ def normalize_records(df: DataFrame, col: str = "doc") -> DataFrame:
         }
     )
     said = F.transform("_items", lambda v: F.when(F.schema_of_variant(v) == "STRING", strip(F.try_variant_get(v, "$", "string"))))
-    requirements = F.transform(F.filter(said, lambda t: t != ""), lambda t: F.left(t, F.lit(C.REQUIREMENT_CHARS)))
+    requirements = F.filter(said, lambda t: t != "")
+    if max_chars is not None:
+        requirements = F.transform(requirements, lambda t: F.left(t, F.lit(max_chars)))
     known = F.map_filter("_scores", lambda k, _v: k.isin(*C.RECORD_FIELDS, "language"))
     clamped = F.transform_values(known, lambda _k, v: F.greatest(F.lit(0.0), F.least(F.lit(1.0), v)))
 
@@ -120,9 +124,11 @@ def safe_file_ref(file_id: Column) -> Column:
     return F.coalesce((file_id != "") & (F.element_at(parts, 1) != "") & ~F.array_contains(parts, ".."), F.lit(False))
 
 
-def image_found_events(records: DataFrame) -> DataFrame:
+def image_found_events(records: DataFrame, title_chars: int | None = None) -> DataFrame:
     """Found event per record ``(sha256, queued_at, record)``; queue time makes the id repeatable."""
-    title = F.coalesce(F.left(F.col("record.title"), F.lit(160)), F.lit(""))
+    title = F.coalesce("record.title", F.lit(""))
+    if title_chars is not None:
+        title = F.left(title, F.lit(title_chars))
     job_id = F.concat(F.lit(C.IMAGE_JOB_PREFIX), F.left("sha256", F.lit(12)))
     payload = F.struct(
         non_empty(F.col("record.company")).alias("company"),

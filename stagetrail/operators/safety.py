@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 from operator import or_
@@ -15,7 +16,6 @@ from stagetrail.constants import (
     INVISIBLE_CHARS,
     LOG_MAX_CHARS,
     PII_RULES,
-    SCAN_MAX_CHARS,
     SCAN_RULES,
     SCAN_WORDS,
 )
@@ -46,14 +46,14 @@ def _rule_hit(text: Column, folded: Column, name: str, pattern: str) -> Column:
 def scan_untrusted(
     df: DataFrame,
     col: str,
-    max_chars: int | None = SCAN_MAX_CHARS,
+    max_chars: int | None = None,
     rules: Sequence[tuple[str, str]] = SCAN_RULES,
     prefix: str = "",
 ) -> DataFrame:
     """Add ``text, hits, truncated, ok`` (optionally prefixed) for one text column.
 
-    Normalise, drop invisible characters, cut, then test the rules on what is left.
-    ``max_chars=None`` tests the whole text. Substring search is far cheaper than
+    Normalise, drop invisible characters, then test the rules on what is left: the whole
+    text, or its first ``max_chars`` characters where a caller has such a limit. Substring search is far cheaper than
     the rules, so each rule runs only where one of its words occurs.
     """
     text, hits, truncated, ok = (prefix + n for n in ("text", "hits", "truncated", "ok"))
@@ -121,10 +121,22 @@ def joined_fields(fields: Sequence[Column], lists: Sequence[Column] = ()) -> Col
     return F.array_join(F.filter(parts, lambda p: p != ""), " \n")
 
 
-def record_hits(df: DataFrame, fields: Sequence[str], lists: Sequence[str] = (), out: str = "hits") -> DataFrame:
-    """Sorted distinct rule hits over several fields of a record."""
+def private_rules(markers: Sequence[str], rules: Sequence[tuple[str, str]] = SCAN_RULES) -> tuple[tuple[str, str], ...]:
+    """The rules with names of private folders, files or tables added to ``path_exfil``."""
+    more = "|".join(re.escape(m) for m in markers)
+    return tuple((n, f"{p[:-1]}|{more})" if n == "path_exfil" and more else p) for n, p in rules)
+
+
+def record_hits(
+    df: DataFrame,
+    fields: Sequence[str],
+    lists: Sequence[str] = (),
+    out: str = "hits",
+    rules: Sequence[tuple[str, str]] = SCAN_RULES,
+) -> DataFrame:
+    """Sorted distinct rule hits over several fields of a record, each read whole."""
     joined = df.withColumn("_joined", joined_fields([df[c] for c in fields], [df[c] for c in lists]))
-    scanned = scan_untrusted(joined, "_joined", prefix="_scan_")
+    scanned = scan_untrusted(joined, "_joined", rules=rules, prefix="_scan_")
     return scanned.withColumn(out, F.array_sort(F.array_distinct("_scan_hits"))).select(*df.columns, out)
 
 
@@ -137,11 +149,11 @@ def _filled(variant: Column) -> Column:
     return variant.isNotNull() & ~F.coalesce(empty, F.lit(False))
 
 
-def intake_links(updates: DataFrame, allowed_chats: DataFrame | Sequence[int]) -> DataFrame:
-    """Chat updates to ``(update_id, chat_id, url, text)``.
+def intake_links(updates: DataFrame, allowed_chats: DataFrame | Sequence[int], max_chars: int | None = None) -> DataFrame:
+    """Chat updates to ``(update_id, chat_id, url, text, truncated)``.
 
-    Unknown senders, media messages and messages without a safe URL are dropped.
-    The text is kept only when the scan finds nothing in it.
+    Unknown senders, media messages and messages without a safe URL are dropped. The
+    whole text is scanned and kept only when nothing is found in it; ``max_chars`` cuts what is kept.
     """
     has_message = F.col("message").isNotNull() & (F.to_json("message") != "{}")
     messages = updates.select(
@@ -161,4 +173,7 @@ def intake_links(updates: DataFrame, allowed_chats: DataFrame | Sequence[int]) -
         rows = rows.filter(F.col("chat_id").isin(*allowed_chats))
     linked = computed_once(rows.withColumn("url", first_safe_url(F.col("body"), F.col("marks"))), "url")
     scanned = scan_untrusted(linked.filter(F.col("url").isNotNull()), "body")
-    return scanned.select("update_id", "chat_id", "url", F.when(F.col("ok"), non_empty(F.col("text"))).alias("text"))
+    text, truncated = F.col("text"), F.col("truncated")
+    if max_chars is not None:
+        text, truncated = F.left(text, F.lit(max_chars)), F.char_length(text) > max_chars
+    return scanned.select("update_id", "chat_id", "url", F.when(F.col("ok"), non_empty(text)).alias("text"), truncated.alias("truncated"))

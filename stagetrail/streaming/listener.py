@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from stagetrail.constants import LINK_TASK
+from stagetrail.constants import LINK_TASK, TASK_MAX_LENGTHS
 from stagetrail.operators.contracts import build_tasks, check_messages
 from stagetrail.operators.safety import intake_links
 from stagetrail.sources.messages import encode_tasks
@@ -17,7 +17,8 @@ from stagetrail.sources.messages import encode_tasks
 
 def link_messages(updates: DataFrame, allowed_chats: DataFrame | Sequence[int], created_at: datetime) -> DataFrame:
     """Encoded link tasks of the acceptable updates; what the contract refuses is left out."""
-    tasks = build_tasks(intake_links(updates, allowed_chats), LINK_TASK, "telegram", created_at)
+    links = intake_links(updates, allowed_chats, TASK_MAX_LENGTHS["text"]).drop("truncated")
+    tasks = build_tasks(links, LINK_TASK, "telegram", created_at)
     return check_messages(encode_tasks(tasks)).filter("reason IS NULL").select("value")
 
 

@@ -34,7 +34,7 @@ def single_exports(t: Tables) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
     stage = F.create_map(*[F.lit(x) for pair in _STAGE.items() for x in pair])
     family = F.element_at(F.array(*[F.lit(f) for f in TITLE_FAMILIES]), (k % 8 + 1).cast("int"))
-    return t.spread("events").select(
+    return t.events.select(
         F.col("event_id").cast("string").alias("event_id"),
         F.concat(F.col("user_id").cast("string"), F.lit("-"), F.to_date("ts").cast("string")).alias("job_id"),
         stage[F.col("event_type")].alias("event_type"),
@@ -503,11 +503,11 @@ def stable(t: Tables) -> DataFrame:
 # -- ledger jobs out of orders -----------------------------------------------------------
 
 _TITLES = {
-    "1-URGENT": "Data Analyst — SQL & Python",
+    "1-URGENT": "Pricing Analyst (SQL), Python",
     "2-HIGH": "Machine Learning Engineer (Python, Spark)",
-    "3-MEDIUM": "Backend Developer Java",
-    "4-NOT SPECIFIED": "BI Developer Looker",
-    "5-LOW": "Customer Success Manager",
+    "3-MEDIUM": "Mobile Developer, Java",
+    "4-NOT SPECIFIED": "BI Modeller, Looker",
+    "5-LOW": "Garden Designer",
 }
 RUN_TS = datetime(2024, 2, 1, 8, 30)
 SEEN_TS = datetime(2024, 1, 15)
@@ -515,7 +515,7 @@ SEEN_TS = datetime(2024, 1, 15)
 
 def ledger(t: Tables) -> DataFrame:
     """One job per order; open orders lack a found time, finished ones have sent and reply times."""
-    o = t.spread("orders")
+    o = t.orders
     iso = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
     shifted = lambda days: iso(F.col("o_orderdate") + F.expr(f"INTERVAL {days} DAYS"))
     status = F.col("o_orderstatus")
@@ -548,7 +548,7 @@ def ledger_seen(t: Tables) -> DataFrame:
 
 def outcomes(t: Tables) -> DataFrame:
     """Manual outcome rows: returned lines are rejections, some of orders nobody knows."""
-    returned = t.spread("lineitem").filter("l_returnflag = 'R'")
+    returned = t.lineitem.filter("l_returnflag = 'R'")
     return returned.select(
         F.concat(F.lit("order-"), (F.col("l_orderkey") * 2).cast("string")).alias("job_id"),
         F.when(F.col("l_linestatus") == "O", F.lit("offer")).otherwise(F.lit("reject")).alias("event_type"),
@@ -563,10 +563,10 @@ jobs AS (
               WHEN '3-MEDIUM' THEN 'software_engineer' WHEN '4-NOT SPECIFIED' THEN 'bi_analyst' ELSE 'other' END AS title_family,
          CASE o_orderpriority WHEN '1-URGENT' THEN 'sql,python' WHEN '2-HIGH' THEN 'python,spark'
               WHEN '3-MEDIUM' THEN 'java' WHEN '4-NOT SPECIFIED' THEN 'bi,looker' ELSE '' END AS keywords,
-         CASE o_orderpriority WHEN '1-URGENT' THEN 'Data Analyst — SQL & Python'
+         CASE o_orderpriority WHEN '1-URGENT' THEN 'Pricing Analyst (SQL), Python'
               WHEN '2-HIGH' THEN 'Machine Learning Engineer (Python, Spark)'
-              WHEN '3-MEDIUM' THEN 'Backend Developer Java' WHEN '4-NOT SPECIFIED' THEN 'BI Developer Looker'
-              ELSE 'Customer Success Manager' END AS title,
+              WHEN '3-MEDIUM' THEN 'Mobile Developer, Java' WHEN '4-NOT SPECIFIED' THEN 'BI Modeller, Looker'
+              ELSE 'Garden Designer' END AS title,
          CASE o_orderstatus WHEN 'O' THEN 'cv-' || substr(sha256(CAST(o_custkey AS VARCHAR) || '.pdf'), 1, 8)
               WHEN 'F' THEN 'cv-20240101-data_scientist' END AS cv_version,
          lower(o_orderpriority) AS origin, CAST(o_custkey AS VARCHAR) AS cust, o_orderdate AS od FROM orders),

@@ -23,15 +23,6 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def spread(self, name: str) -> DataFrame:
-        """A table for work that is heavy per row.
-
-        A table of one file with one row group would be read by a single task; a
-        table with enough files is left as it is.
-        """
-        table, cores = getattr(self, name), self.spark.sparkContext.defaultParallelism
-        return table.repartition(cores) if len(table.inputFiles()) < cores else table
-
 
 def query(name: str, oracle: str | None = None):
     def register(fn: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:

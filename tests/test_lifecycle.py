@@ -36,40 +36,40 @@ def rows(df, *cols):
     return sorted(tuple(r[c] for c in cols) for r in df.collect())
 
 
-def test_sixteen_events_from_eight_jobs(jobs):
+def test_events_of_every_stage(jobs):
     events = derive_events(jobs, NOW).events.collect()
-    assert Counter(e["event_type"] for e in events) == {"found": 8, "draft_created": 1, "applied": 5, "reply": 1, "closed": 1}
-    first = next(e for e in events if e["job_id"] == "w-1")
+    assert Counter(e["event_type"] for e in events) == {"found": 9, "draft_created": 1, "applied": 5, "reply": 2, "closed": 1}
+    first = next(e for e in events if e["job_id"] == "k-10")
     assert json.loads(str(first["payload"].toJson())) == {
-        "company": "North BI", "title": "Data Analyst — SQL & Python", "location": "Haifa",
-        "source_host": "jobs.example.com", "match_score": 0.5, "origin": "chat",
+        "company": "Blue Kiln", "title": "Forecasting Analyst (Excel, SQL)", "location": "Porto",
+        "source_host": "board.example.org", "match_score": 0.25, "origin": "feed",
     }
-    assert first["keywords"] == ["sql", "python"] and first["title_family"] == "data_analyst"
+    assert first["keywords"] == ["excel", "sql"] and first["title_family"] == "data_analyst"
     blob = " ".join(str(e.asDict()) + (e["payload"].toJson() if e["payload"] else "") for e in events)
-    for secret in ("private remark", "whole posting", "someone@", "/a/b", "https://"):
+    for secret in ("do not share", "full advert", "hr@", "/srv/", "https://"):
         assert secret not in blob
 
 
 def test_first_seen_is_sticky(spark, jobs):
     first = derive_events(jobs, NOW)
     state = spark.createDataFrame(first.first_seen.collect(), FIRST_SEEN_SCHEMA)
-    assert rows(state, "job_id", "bucket") == [("w-5", "applied"), ("w-6", "closed")]
+    assert rows(state, "job_id", "bucket") == [("k-14", "applied"), ("k-14", "found"), ("k-15", "closed")]
     again = derive_events(jobs, NOW + timedelta(days=30), first_seen=state)
     assert rows(first.events, "event_id") == rows(again.events, "event_id")
-    assert again.first_seen.count() == 2
+    assert again.first_seen.count() == 3
 
 
 def test_outcomes_join_the_last_row(spark, jobs, tmp_path):
-    doubled = JOBS + [{"job_id": "w-1", "title": "Chef"}]
+    doubled = JOBS + [{"job_id": "k-10", "title": "Chef"}]
     jobs = ledger.read_ledger(spark, write_ledger(tmp_path, doubled, "jobs_b.json"))
     csv = tmp_path / "outcomes.csv"
     csv.write_text(
-        "job_id,event_type,ts\n w-1 ,interview,2025-03-22T10:00:00Z\nw-1,invalid,2025-03-22T10:00:00Z\n"
-        "zz,reject,2025-03-23\nw-3,offer,never\n,offer,2025-03-23\n"
+        "job_id,event_type,ts\n k-10 ,interview,2025-03-22T10:00:00Z\nk-10,invalid,2025-03-22T10:00:00Z\n"
+        "zz,reject,2025-03-23\nk-12,offer,never\n,offer,2025-03-23\n"
     )
     outcomes = ledger.read_outcomes(spark, str(csv))
     got = derive_events(jobs, NOW, outcomes).events.filter(F.col("event_type").isin("interview", "reject", "offer"))
-    assert rows(got, "job_id", "event_type", "title_family") == [("w-1", "interview", "other"), ("zz", "reject", "other")]
+    assert rows(got, "job_id", "event_type", "title_family") == [("k-10", "interview", "other"), ("zz", "reject", "other")]
 
 
 def test_title_fallback_only_fills_gaps(spark):
@@ -105,30 +105,30 @@ def test_sync_cycle(spark, tmp_path):
     table, state = str(tmp_path / "table"), str(tmp_path / "state")
     run = lambda mode, at: run_sync(spark, path, table, state, at, mode)
     dry = run("dry_run", NOW)
-    assert dry.reconciliation["reconciled"] and dry.rows_to_append == 16 and dry.dropped.count() == 0
-    assert run("preview", NOW).rows_to_append == 16
+    assert dry.reconciliation["reconciled"] and dry.rows_to_append == 18 and dry.dropped.count() == 0
+    assert run("preview", NOW).rows_to_append == 18
     applied = run_backfill(spark, path, table, state, NOW, mode="apply")
-    assert applied.export["rows"] == 16 and applied.export["chunks"] == 1
+    assert applied.export["rows"] == 18 and applied.export["chunks"] == 1
     later = NOW + timedelta(days=2)
     again = run("apply", later)
-    assert again.decisions["unchanged"] == 16 and again.rows_to_append == 0
+    assert again.decisions["unchanged"] == 18 and again.rows_to_append == 0
 
     changed = [dict(j) for j in JOBS]
-    changed[0]["company"] = "South BI"
-    changed[6]["created_at_utc"] = "2025-03-18T14:00:00Z"
-    changed.append({"job_id": "w-9", "title": "Chef"})
+    changed[0]["company"] = "Red Kiln"
+    changed[6]["created_at_utc"] = "2025-02-21T17:00:00Z"
+    changed.append({"job_id": "k-99", "title": "Chef"})
     path = write_ledger(tmp_path, changed)
     assert run("preview", later).decisions["updated"] == 1
     third = run("apply", later)
-    want = {"derived_total": 17, "new": 1, "updated": 1, "unchanged": 14, "already_in_table": 0, "skipped_logical_duplicate": 1}
+    want = {"derived_total": 19, "new": 1, "updated": 1, "unchanged": 16, "already_in_table": 0, "skipped_logical_duplicate": 1}
     assert third.decisions == want
     events = event_table.read_events(spark, table)
-    assert table_counts(events).first().asDict() == {"total_rows": 18, "distinct_ids": 17, "distinct_jobs": 9, "duplicates": 1}
+    assert table_counts(events).first().asDict() == {"total_rows": 20, "distinct_ids": 19, "distinct_jobs": 10, "duplicates": 1}
     assert event_table.duplicate_report(events).first().asDict() == {"duplicate_groups": 1, "extra_rows": 1}
     counts = event_table.rewrite_deduplicated(spark, table, str(tmp_path / "clean"))
-    assert counts == {"total_rows": 17, "distinct_event_id": 17, "duplicates": 0}
-    since = event_table.read_events(spark, table, datetime(2025, 3, 15))
-    assert since.filter("ts < '2025-03-15'").count() == 0
+    assert counts == {"total_rows": 19, "distinct_event_id": 19, "duplicates": 0}
+    since = event_table.read_events(spark, table, datetime(2025, 2, 20))
+    assert since.filter("ts < '2025-02-20'").count() == 0
     assert re.search(r"PartitionFilters: \[[^]]*event_date", since._jdf.queryExecution().toString())
 
 
@@ -211,27 +211,27 @@ def test_views_and_funnel(spark, jobs, tmp_path):
     events = event_table.table_rows(derive_events(jobs, NOW).events, F.lit(NOW).cast("timestamp"))
     views.register_views(spark, events)
     latest = spark.table("jobs_latest")
-    assert latest.count() == 8
-    row = latest.filter("job_id = 'w-4'").first()
-    assert row["last_event_type"] == "reply" and row["title"] == "Software Engineer Backend"
+    assert latest.count() == 9
+    row = latest.filter("job_id = 'k-13'").first()
+    assert row["last_event_type"] == "reply" and row["title"] == "Vision Researcher"
     days = spark.table("days_to_reply")
-    assert rows(days, "job_id", "days_to_reply") == [("w-4", 3)]
-    assert funnel.scorecards(latest).first().asDict() == {"jobs": 8, "applied": 5, "replied": 1}
-    assert rows(funnel.reply_buckets(days), "bucket", "n") == [("0-3", 1)]
-    assert funnel.reply_median(days).first()["median_days"] == 3
-    assert sum(r["n"] for r in funnel.weekly_found(latest).collect()) == 8
+    assert rows(days, "job_id", "days_to_reply") == [("k-13", 5), ("k-18", 12)]
+    assert funnel.scorecards(latest).first().asDict() == {"jobs": 9, "applied": 5, "replied": 2}
+    assert rows(funnel.reply_buckets(days), "bucket", "n") == [("4-7", 1), ("8-14", 1)]
+    assert funnel.reply_median(days).first()["median_days"] == 8.5
+    assert sum(r["n"] for r in funnel.weekly_found(latest).collect()) == 9
     by_cv = {r["cv_version"]: r["n_applied"] for r in spark.table("response_rate_by_cv_version").collect()}
     assert by_cv[None] == 3 and len(by_cv) == 3
     assert ledger_rates(jobs).first().asDict() == {
-        "jobs_total": 8, "applied_count": 4, "reply_count": 1, "apply_rate": 0.5, "reply_rate_of_applied": 0.25,
+        "jobs_total": 9, "applied_count": 4, "reply_count": 2, "apply_rate": 0.4444, "reply_rate_of_applied": 0.5,
     }
     hist = ledger_histograms(jobs)
-    assert {r["value"]: r["n"] for r in hist.filter("dimension = 'origin'").collect()} == {"chat": 1, "unknown": 7}
+    assert {r["value"]: r["n"] for r in hist.filter("dimension = 'origin'").collect()} == {"feed": 1, "unknown": 8}
     write_report(hist, str(tmp_path / "report"))
     assert spark.read.json(str(tmp_path / "report")).count() == hist.count()
     event_table.write_ndjson(events, str(tmp_path / "nd"), 10)
     lines = [json.loads(r["value"]) for r in spark.read.text(str(tmp_path / "nd")).collect()]
-    assert len(lines) == 16 and all("cv_version" in line for line in lines)
+    assert len(lines) == 18 and all("cv_version" in line for line in lines)
 
 
 def test_quality(spark):

@@ -103,12 +103,13 @@ MESSAGES = [
 
 
 def test_intake_links(spark):
-    got = {r["update_id"]: (r["url"], r["text"]) for r in safety.intake_links(updates(spark, MESSAGES), [1, 2]).collect()}
-    assert got == {
-        3: ("https://a.example/safe", None),
-        4: ("https://b.example/y", "see https://b.example/y)."),
-        6: ("https://d.example", "go"),
+    links = lambda limit: {r[0]: tuple(r)[2:] for r in safety.intake_links(updates(spark, MESSAGES), [1, 2], limit).collect()}
+    assert links(None) == {
+        3: ("https://a.example/safe", None, False),
+        4: ("https://b.example/y", "see https://b.example/y).", False),
+        6: ("https://d.example", "go", False),
     }
+    assert links(3) == {3: ("https://a.example/safe", None, True), 4: ("https://b.example/y", "see", True), 6: ("https://d.example", "go", False)}
     senders = spark.createDataFrame([(2,)], "id long")
     assert [r["update_id"] for r in safety.intake_links(updates(spark, MESSAGES), senders).collect()] == [6]
 
@@ -170,7 +171,7 @@ def test_first_broken_rule(spark):
         (broken(good, ["dedupe_key"], "x"), "dedupe_key: pattern"),
         ([], "<root>: type"),
     ]
-    values = [json.dumps(c).encode() for c, _ in cases] + [b"\xff\xfe not json", b"{", None, json.dumps(good).encode() + b" x", json.dumps(good).encode() + b"] "]
+    values = [json.dumps(c).encode() for c, _ in cases] + [b"\xc3\x28 {", b"{", None, json.dumps(good).encode() + b" x", json.dumps(good).encode() + b"] "]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, value binary")
     got = {r["i"]: r["reason"] for r in check_messages(df).collect()}
     assert [got[i] for i in range(len(values))] == [want for _, want in cases] + ["not json"] * 5
@@ -220,12 +221,12 @@ def test_records(spark):
     ]
     assert got[0]["record"]["title"] is None and got[0]["record"]["company"] is None
     assert got[0]["record"]["requirements"] == ["SQL"] and got[0]["record"]["confidence"] == 1.0
-    assert len(got[1]["record"]["requirements"]) == 15 and got[1]["record"]["confidence"] == 0.0
+    assert len(got[1]["record"]["requirements"]) == 30 and got[1]["record"]["confidence"] == 0.0
     assert got[8]["record"]["field_confidence"] == {"title": 1.0, "language": 0.0}
     assert got[2]["record"] is None and got[10]["record"]["requirements"] == []
 
 
-GOOD = {"title": "Data Analyst", "company": "Example Ltd", "location": "Haifa", "contact": "jobs@example.com",
+GOOD = {"title": "Data Analyst", "company": "Kiln & Co", "location": "Haifa", "contact": "jobs@example.com",
         "requirements": ["SQL", "Python"], "confidence": 0.95}
 
 
@@ -262,7 +263,7 @@ def test_queue_run(spark, tmp_path):
     events = {r["job_id"]: r for r in image_found_events(done).collect()}
     ok = events["img-" + "0" * 12]
     assert ok["title_family"] == "data_analyst" and ok["payload"].toPython() == {
-        "company": "Example Ltd", "location": "Haifa", "origin": "image_ad", "title": "Data Analyst",
+        "company": "Kiln & Co", "location": "Haifa", "origin": "image_ad", "title": "Data Analyst",
     }
     assert events["img-" + "3" * 12]["payload"].toPython() == {"origin": "image_ad"}
 
@@ -279,7 +280,7 @@ def python_plain(v):
 
 
 def test_plain_text_against_brute_force(spark):
-    raw = [t for t in texts() if t is not None] + ["תל-אביב!", "ך ם ן ף ץ", "  Example Ltd. ", "a_b", "STRAẞE", None, " x. ."]
+    raw = [t for t in texts() if t is not None] + ["תל-אביב!", "ך ם ן ף ץ", "  Kiln & Co. ", "a_b", "STRAẞE", None, " x. ."]
     assert column(spark, raw, plain_text) == [python_plain(t) for t in raw]
 
 
@@ -295,14 +296,14 @@ def test_path_scores(spark, tmp_path):
     csv.write_text(
         "﻿ad_id,image_file,title,company,requirements,location,contact,language,notes\n"
         's1,s1.png,אנליסט נתונים,"דוגמה בע""מ",SQL|Python,תל אביב,jobs@example.com,he,\n'
-        "s2,s2.png,Data Engineer,Example Ltd,Spark|Airflow,Haifa,,en,\ns3,,x,,,,,,\n",
+        "s2,s2.png,Data Engineer,Kiln & Co,Spark|Airflow,Haifa,,en,\ns3,,x,,,,,,\n",
         encoding="utf-8",
     )
     gold = read_labelled(spark, str(csv))
     assert gold.count() == 2
     pred = [
         ("good", "s1", "אנליסט נתונים", 'דוגמה בע"מ', ["SQL", "Python"], "תל-אביב", "jobs@example.com", 0.5, 10.0, False),
-        ("good", "s2", "data engineer", "Example Ltd.", ["Spark", "Airflow", "AWS"], "Haifa", None, 0.25, 30.0, False),
+        ("good", "s2", "data engineer", "Kiln & Co.", ["Spark", "Airflow", "AWS"], "Haifa", None, 0.25, 30.0, False),
     ]
     kinds = "path string, ad_id string, title string, company string, requirements array<string>, location string, contact string, cost_usd double, latency_ms double, failed boolean"
     scores = score_paths(gold, spark.createDataFrame(pred, kinds), ["good", "empty"])
