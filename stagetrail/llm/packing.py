@@ -69,22 +69,21 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
     with open(tokenizer_path, encoding="utf-8") as f:
         definition = docs.sparkSession.sparkContext.broadcast(f.read())
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         if tokenizer_path not in _loaded:
             _loaded[tokenizer_path] = WordTokens(definition.value)
         tokens, end, size = _loaded[tokenizer_path], np.array([end_id], "<u4").tobytes(), 4 * capacity
-        for pdf in batches:
-            for a in range(0, len(pdf), BATCH):
-                part, out = pdf.iloc[a : a + BATCH], []
-                for doc, ids in zip(part["doc_id"], tokens.encode([t or "" for t in part["text"]]), strict=True):
+        for texts in batches:
+            out = []
+            for a in range(0, len(texts), BATCH):
+                for ids in tokens.encode([t or "" for t in texts.iloc[a : a + BATCH]]):
                     ids += end
-                    for k, at in enumerate(range(0, len(ids), size)):
-                        cut = ids[at : at + size]
-                        out.append((doc, k, k * capacity, len(cut) // 4, zlib.crc32(cut)))
-                yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
+                    cuts = [ids[at : at + size] for at in range(0, len(ids), size)]
+                    out.append([(k, k * capacity, len(cut) // 4, zlib.crc32(cut)) for k, cut in enumerate(cuts)])
+            yield pd.Series(out)
 
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(run, schema)
+    cut = F.pandas_udf(run, "array<struct<piece: int, start: long, length: long, ids_crc32: long>>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(cut(F.col("text").cast("string"))).alias("cut")).select("doc_id", "cut.*")
 
 
 # ---- the plan: made from the number of pieces of each length, at most `capacity` numbers however many pieces ----
@@ -276,13 +275,12 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, large:
     bound = int(firsts.max()) + 1 if len(firsts) else 1
     table = spark.sparkContext.broadcast((lengths * bound + firsts, firsts, placed["sequence"].to_numpy(np.int64), placed["offset"].to_numpy(np.int64)))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("sequence_id long, offset long")
+    def place(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
         keys, first, sequence, offset = table.value
-        for pdf in batches:
-            rank = pdf["rank"].to_numpy(np.int64)
-            # A length's last run may reach beyond the bound of first numbers; the place is still that run's.
-            at = np.searchsorted(keys, pdf["length"].to_numpy(np.int64) * bound + np.minimum(rank, bound - 1), side="right") - 1
-            yield pdf.drop(columns="rank").assign(sequence_id=sequence[at] + rank - first[at], offset=offset[at])
-
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-    return ranked.mapInPandas(run, schema)
+        rank = rank.to_numpy(np.int64)
+        # A length's last run may reach beyond the bound of first numbers; the place is still that run's.
+        at = np.searchsorted(keys, length.to_numpy(np.int64) * bound + np.minimum(rank, bound - 1), side="right") - 1
+        return pd.DataFrame({"sequence_id": sequence[at] + rank - first[at], "offset": offset[at]})
+
+    return ranked.withColumn("place", place("length", "rank")).select("doc_id", "piece", "start", "length", "ids_crc32", "place.*")

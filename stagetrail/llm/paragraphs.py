@@ -99,7 +99,8 @@ def paragraph_table(docs: DataFrame, bands: int, rows: int, shingle: int, least_
             for first in range(0, len(pdf), BATCH):
                 out: list[tuple] = []
                 for doc, text in zip(pdf["doc_id"].iloc[first : first + BATCH], pdf["text"].iloc[first : first + BATCH], strict=True):
-                    for start, stop in split_paragraphs(text or ""):
+                    text = text or ""
+                    for start, stop in split_paragraphs(text):
                         words = WORD.findall(text[start:stop].lower())
                         if len(words) >= least_words:
                             out.append((doc, start, stop - start, len(words), _uid(words), _band_keys(shingle_hashes(words, shingle), factors, bands, rows)))

@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 SPACE = "▁"
 #: Segments remembered per worker, and the longest that is.
 REMEMBERED, LONGEST_REMEMBERED = 400_000, 48
-BATCH = 32
 
 
 def _one_mark_per_byte(error: UnicodeError) -> tuple[str, int]:
@@ -191,23 +190,21 @@ def encode_documents(docs: DataFrame, model_path: str, digests: bool = False) ->
     with open(model_path, "rb") as f:
         model = docs.sparkSession.sparkContext.broadcast(f.read())
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         coder = load(model.value)
         first, last = np.array([coder.bos], "<u4").tobytes(), np.array([coder.eos], "<u4").tobytes()
-        for pdf in batches:
-            for a in range(0, len(pdf), BATCH):
-                part = pdf.iloc[a : a + BATCH]
-                ids = [first + coder.encode(t or "") + last for t in part["text"]]
-                texts = [coder.decode(i) for i in ids]
-                if digests:
-                    out = {
-                        "n_tokens": [len(i) // 4 for i in ids],
-                        "ids_sha256": [hashlib.sha256(i).hexdigest() for i in ids],
-                        "decoded_sha256": [hashlib.sha256(t.encode()).hexdigest() for t in texts],
-                    }
-                else:
-                    out = {"ids": [np.frombuffer(i, "<u4").astype(np.int64) for i in ids], "decoded": texts}
-                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), **out})
-
-    schema = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "ids array<long>, decoded string"
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(run, f"doc_id long, {schema}")
+
+        def digest(text: str | None) -> tuple[int, str, str]:
+            ids = first + coder.encode(text or "") + last
+            return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(coder.decode(ids).encode()).hexdigest()
+
+        def both(text: str | None) -> tuple[np.ndarray, str]:
+            ids = first + coder.encode(text or "") + last
+            return np.frombuffer(ids, "<u4").astype(np.int64), coder.decode(ids)
+
+        for texts in batches:
+            yield pd.DataFrame([(digest if digests else both)(t) for t in texts], columns=names)
+
+    names = ["n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["ids", "decoded"]
+    coded = F.pandas_udf(run, "n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "ids array<long>, decoded string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), coded(F.col("text").cast("string")).alias("coded")).select("doc_id", "coded.*")

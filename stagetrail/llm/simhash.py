@@ -43,12 +43,11 @@ def fingerprint(text: str | None, words: int) -> int:
 def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
     """(doc_id, fp): one row per row of docs; fp is the fingerprint's bits as a signed long."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            fps = np.array([fingerprint(t, words) for t in pdf["text"]], np.uint64).view(np.int64)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "fp": fps})
+    @F.pandas_udf("long")
+    def marked(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.array([fingerprint(t, words) for t in texts], np.uint64).view(np.int64))
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), marked(F.col("text").cast("string")).alias("fp"))
 
 
 class Cover:

@@ -166,18 +166,14 @@ def severity(docs: DataFrame, labels: DataFrame, docs_per_label: int = DOCS_PER_
     """
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, docs_per_label, grades))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         fitted = model.value
-        for pdf in batches:
-            for a in range(0, len(pdf), TEXTS):
-                part = pdf.iloc[a : a + TEXTS]
-                if fitted is None:
-                    yield pd.DataFrame({"doc_id": part["doc_id"], "expected_severity": 0.0, "grade": 0, "toxic": False})
-                    continue
-                scores = np.array([fitted.weights[features(t)].sum() for t in part["text"]])
-                above = fitted.above(scores)
-                grade = (above > 0.5).sum(axis=1)
-                yield pd.DataFrame({"doc_id": part["doc_id"], "expected_severity": above.sum(axis=1), "grade": grade, "toxic": above[:, 0] > DECISION})
-
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInPandas(run, "doc_id long, expected_severity double, grade int, toxic boolean")
+        for texts in batches:
+            if fitted is None:
+                yield pd.DataFrame({"expected_severity": 0.0, "grade": 0, "toxic": False}, index=range(len(texts)))
+                continue
+            above = fitted.above(np.array([fitted.weights[features(t)].sum() for t in texts]))
+            yield pd.DataFrame({"expected_severity": above.sum(axis=1), "grade": (above > 0.5).sum(axis=1), "toxic": above[:, 0] > DECISION})
+
+    judge = F.pandas_udf(run, "expected_severity double, grade int, toxic boolean")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), judge(F.col("text").cast("string")).alias("judged")).select("doc_id", "judged.*")
