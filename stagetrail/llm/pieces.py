@@ -57,6 +57,7 @@ class PieceModel:
             else:
                 self.ids[piece], self.scores[piece] = i, library.get_score(i)
                 self.bytes_of.append(piece.replace(SPACE, " ").encode())
+        self.raw = frozenset(self.byte_ids)
         self.joined = {a + b for p in self.ids for a, b in zip(p, p[1:], strict=False)}
         # Cutting before each run of spaces is the common case and needs no look at single characters.
         self.by_word = not any(b == SPACE and a != SPACE for a, b in self.joined)
@@ -168,10 +169,16 @@ class PieceModel:
         return b"".join([self.segment(s) if len(s) <= LONGEST_REMEMBERED else self._segment(s) for s in segments])
 
     def decode(self, ids: bytes) -> str:
-        """Text of ids; bytes that are no UTF-8 become U+FFFD one by one, begin and end ids nothing."""
-        table = self.bytes_of
-        found = b"".join([table[i] for i in np.frombuffer(ids, "<u4").tolist()])
-        return found.removeprefix(b" ").decode("utf-8", "one-mark-per-byte")
+        """Text of ids; bytes that are no UTF-8 become U+FFFD one by one, begin and end ids nothing.
+
+        The dummy prefix goes: one space at the start of the first piece, unless that piece is a byte.
+        """
+        table, numbers = self.bytes_of, np.frombuffer(ids, "<u4").tolist()
+        found = b"".join([table[i] for i in numbers])
+        first = next((i for i in numbers if table[i]), None)
+        if first is not None and first not in self.raw:
+            found = found.removeprefix(b" ") if first != self.unknown else found
+        return found.decode("utf-8", "one-mark-per-byte")
 
 
 @lru_cache(2)

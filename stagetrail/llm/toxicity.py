@@ -160,9 +160,9 @@ def severity(docs: DataFrame, labels: DataFrame, docs_per_label: int = DOCS_PER_
     """(doc_id, expected_severity, grade, toxic) of every row of docs, from its whole text.
 
     expected_severity is the mean of the predicted distribution over grades 0 .. grades - 1, grade its median, toxic
-    whether the grade is above 0 with a probability of more than DECISION. Null and empty texts have no features and get what the thresholds give; if nothing can
-    be learnt (no row of either label) severity and grade are 0. One row per row of docs; an empty table gives no rows;
-    other columns are ignored.
+    whether the grade is above 0 with a probability of more than DECISION. Texts without a word, null ones too, have
+    severity and grade 0, and so do all if nothing can be learnt (no row of one of the labels). One row per row of docs;
+    an empty table gives no rows; other columns are ignored.
     """
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, docs_per_label, grades))
 
@@ -172,7 +172,9 @@ def severity(docs: DataFrame, labels: DataFrame, docs_per_label: int = DOCS_PER_
             if fitted is None:
                 yield pd.DataFrame({"expected_severity": 0.0, "grade": 0, "toxic": False}, index=range(len(texts)))
                 continue
-            above = fitted.above(np.array([fitted.weights[features(t)].sum() for t in texts]))
+            found = [features(t) for t in texts]
+            above = fitted.above(np.array([fitted.weights[f].sum() for f in found]))
+            above[[len(f) == 0 for f in found]] = 0
             yield pd.DataFrame({"expected_severity": above.sum(axis=1), "grade": (above > 0.5).sum(axis=1), "toxic": above[:, 0] > DECISION})
 
     judge = F.pandas_udf(run, "expected_severity double, grade int, toxic boolean")
