@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from stagetrail.llm.common import WORD, components, in_cells, own_exchange, per_cell, stored
 
 #: A sentence of this many words stands alone as a paragraph; runs of shorter ones stay together.
-LONG_SENTENCE = 20
+LONG_SENTENCE = 12
 #: Paragraphs of fewer words are never removed.
-LEAST_WORDS = 16
+LEAST_WORDS = 12
 #: Paragraphs of one side of a comparison cell.
 CHUNK = 1024
 #: Texts in one Arrow row group of Python results.

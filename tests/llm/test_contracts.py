@@ -15,7 +15,7 @@ import __spark_entry__ as entry_point
 import corpus_pipeline
 from check import TABLES, normal
 from stagetrail.llm import language, queries
-from stagetrail.llm.paragraphs import split_paragraphs
+from stagetrail.llm.paragraphs import LEAST_WORDS, split_paragraphs
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -120,7 +120,7 @@ def test_substring_stage(stages):
     def shingles(w):
         return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))}
 
-    spans = {(d, a, b): shingles(words(t[a:b])) for d, t in before.items() for a, b in split_paragraphs(t) if len(words(t[a:b])) >= 16}
+    spans = {(d, a, b): shingles(words(t[a:b])) for d, t in before.items() for a, b in split_paragraphs(t) if len(words(t[a:b])) >= LEAST_WORDS}
     holders = {}
     for p, found in spans.items():
         for s in found:
