@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -20,45 +21,84 @@ CAPACITY = 2048
 #: Lengths above this share of the capacity are grouped and placed by configurations; the rest are best-fitted.
 LARGE = 0.4
 GROUPS = 600
-#: Token strings remembered per worker.
-REMEMBERED = 600_000
-BATCH = 64
+#: Strings remembered per worker, and the longest that is.
+REMEMBERED, LONGEST_REMEMBERED = 400_000, 48
 #: Shares into which the pieces of one length are cut to number them.
 SHARES = 64
 
-# Texts of these characters only are split here as the tokenizer's own normaliser and pattern do; others go to it by
-# blank-separated strings, which it never joins.
+# Texts of these characters only are lower-cased and split here as the tokenizer's own normaliser and pattern do; the
+# blank-separated strings of others go through the whole tokenizer, which never joins two of them.
 _PLAIN = re.compile("[\t\n\r\x20-~¡-ɏ]*")
 _PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_²³¹¼½¾]+|[\d²³¹¼½¾]|(?:[^\s\w]|_)+")
 _BLANKS = re.compile(r"[^\x20\x09-\x0D]+")
 _MARKERS = re.compile(r"<\|(?:start|end)oftext\|>")
 
 
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in byte-level vocabularies: itself if it prints, else the next free one."""
+    printing = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = iter(range(256, 512))
+    return [chr(b) if b in printing else chr(next(others)) for b in range(256)]
+
+
+class Remembered(dict):
+    """Ids by string, computed when first asked for; when full, strings not asked for since it was last full are forgotten."""
+
+    def __init__(self, compute: Callable[[str], bytes]):
+        self.compute, self.older = compute, {}
+
+    def __missing__(self, key: str) -> bytes:
+        ids = self.older.get(key)
+        if ids is None:
+            ids = self.compute(key)
+        if len(key) <= LONGEST_REMEMBERED:
+            if len(self) >= REMEMBERED:
+                self.older = dict(self)
+                self.clear()
+            self[key] = ids
+        return ids
+
+
+class RememberedWords(Remembered):
+    """Normalised strings: a word with a stop after it needs no entry of its own, as the two are never joined."""
+
+    def __missing__(self, key: str) -> bytes:
+        if key[-1] in ".," and key[:-1].isalpha():
+            return self[key[:-1]] + self[key[-1]]
+        return super().__missing__(key)
+
+
 class WordTokens:
-    """Ids of texts by the tokenizers library, asked once per distinct string."""
+    """Ids of texts by the tokenizers library, asked once per distinct word."""
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.known: dict[str, bytes] = {}
-
-    def split(self, text: str) -> list[str]:
+        self.model, self.letters = self.tokenizer.model, _byte_letters()
+        self.plain = RememberedWords(self._chunk)
+        self.odd = Remembered(lambda chunk: _packed(self.tokenizer.encode(chunk, add_special_tokens=False).ids))
+
+    def _chunk(self, chunk: str) -> bytes:
+        parts = _PARTS.findall(chunk)
+        return self._part(chunk) if len(parts) == 1 else b"".join([self.plain[p] for p in parts])
+
+    def _part(self, part: str) -> bytes:
+        """Ids of what the pattern does not split further, by the library's merges alone."""
+        if not part.isascii():
+            part = "".join([self.letters[b] for b in part.encode()])
+        return _packed([t.id for t in self.model.tokenize(part)])
+
+    def encode(self, text: str) -> bytes:
+        """Ids of a text as little-endian unsigned 32-bit integers."""
         if _PLAIN.fullmatch(text) and not _MARKERS.search(text):
-            return _PARTS.findall(text.lower())
-        return _BLANKS.findall(text)
+            return b"".join(map(self.plain.__getitem__, text.lower().split()))
+        return b"".join(map(self.odd.__getitem__, _BLANKS.findall(text)))
+
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        parts = [self.split(t) for t in texts]
-        new = list(set().union(*parts).difference(known))
-        for part, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[part] = np.array(found.ids, "<u4").tobytes()
-        return [b"".join([known[p] for p in part]) for part in parts]
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 _loaded: dict[str, WordTokens] = {}
@@ -75,11 +115,10 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
         tokens, end, size = _loaded[tokenizer_path], np.array([end_id], "<u4").tobytes(), 4 * capacity
         for texts in batches:
             out = []
-            for a in range(0, len(texts), BATCH):
-                for ids in tokens.encode([t or "" for t in texts.iloc[a : a + BATCH]]):
-                    ids += end
-                    cuts = [ids[at : at + size] for at in range(0, len(ids), size)]
-                    out.append([(k, k * capacity, len(cut) // 4, zlib.crc32(cut)) for k, cut in enumerate(cuts)])
+            for text in texts:
+                ids = tokens.encode(text or "") + end
+                cuts = [ids[at : at + size] for at in range(0, len(ids), size)]
+                out.append([(k, k * capacity, len(cut) // 4, zlib.crc32(cut)) for k, cut in enumerate(cuts)])
             yield pd.Series(out)
 
     cut = F.pandas_udf(run, "array<struct<piece: int, start: long, length: long, ids_crc32: long>>")

@@ -103,13 +103,13 @@ def test_documents_keep_every_row(spark, library):
 @given(st.lists(st.text(st.sampled_from("abEÉüß'srtlm 012²½_-.,\n\t\x0b\x1c\x85\xa0日İΣσ<|>"), max_size=25) | st.text(max_size=25), max_size=6))
 def test_ids_are_the_tokenizers(texts):
     want = [TOKENIZER.encode(t, add_special_tokens=False).ids for t in texts]
-    assert [np.frombuffer(i, "<u4").tolist() for i in word_tokens().encode(texts)] == want
+    assert [np.frombuffer(word_tokens().encode(t), "<u4").tolist() for t in texts] == want
 
 
 def test_markers_and_contractions():
-    texts = ["a<|endoftext|> b<|startoftext|>", "l'eau d'retour I'LL don't", "'s 't", "Straße İstanbul ΟΔΟΣ"]
-    for text, ids in zip(texts, word_tokens().encode(texts), strict=True):
-        assert np.frombuffer(ids, "<u4").tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
+    texts = ["a<|endoftext|> b<|startoftext|>", "l'eau d'retour I'LL don't", "'s 't", "Straße İstanbul ΟΔΟΣ", "İ. İ, 日本. Σ.", "é.. e\u0301. ª."]
+    for text in texts:
+        assert np.frombuffer(word_tokens().encode(text), "<u4").tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
 
 
 def check_plan(counts, capacity, **kw):
