@@ -8,92 +8,62 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ACCURACY = 10_000
-MARGIN = 2 / ACCURACY
+from stagetrail.session import run_folder
 
-# Output name -> (quantile, ranks as functions of the group's size)
-Targets = dict[str, tuple[float, list[Callable[[Column], Column]]]]
+# Output name -> ranks as functions of the group's size; the output is their mean.
+Targets = dict[str, list[Callable[[Column], Column]]]
 
 
-def _beside(rows: DataFrame, side: DataFrame, groups: Sequence[str], few_groups: bool) -> DataFrame:
-    """Rows with the one line of ``side`` for their group as ``_side``."""
-    line = F.struct(*[c for c in side.columns if c not in groups]).alias("_side")
-    if not groups:
-        return rows.withColumn("_side", side.select(line).scalar())
-    named = side.select(*groups, line)
-    return rows.join(F.broadcast(named) if few_groups else named, list(groups))
+def _ranges(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
+    """``(groups, value, _n, _part)``: each value with its number of rows, dealt to parts by group and value.
+
+    The source is read once. A group's parts follow each other in value order, and a group with many values has many
+    parts. Parts depend on Spark's sample of the values, so they are written out before anything looks at them.
+    """
+    copies = df.select(*groups, value).filter(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n"))
+    path = run_folder(df.sparkSession, "ranges")
+    copies.repartitionByRange(*groups, value).withColumn("_part", F.spark_partition_id()).write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
-def _values_at(df: DataFrame, groups: Sequence[str], value: str, targets: Targets, few_groups: bool) -> DataFrame:
+def _values_at(df: DataFrame, groups: Sequence[str], value: str, targets: Targets) -> DataFrame:
     """One row per group; each output column is the mean of the values at its 1-based ranks.
 
-    Three passes, none of which moves the rows of a group: a sketch brackets each
-    wanted rank by two values, counts tell how many rows lie below and inside the
-    bracket, and only the rows inside are ordered. A bracket the counts prove wrong,
-    as may happen in a small group, is opened to the whole group, so the result is
-    exact either way. ``few_groups`` says that the caller knows the groups to be a
-    short list; otherwise the planner chooses the joins by size.
+    Sums per part say which part holds a wanted rank; only those parts are ordered, each by itself.
     """
-    rows = df.select(*groups, value).filter(F.col(value).isNotNull())
-    marks = sorted({q for q, _ in targets.values()})
-    spots = [s for q in marks for s in (max(0.0, q - MARGIN), min(1.0, q + MARGIN))]
-    sketch = rows.groupBy(*groups).agg(
-        F.percentile_approx(value, spots, ACCURACY).alias("edges"), F.count(F.lit(1)).alias("total")
-    )
-    v, side = F.col(value), F.col("_side")
-    low = lambda i: side["edges"][2 * i]
-    high = lambda i: side["edges"][2 * i + 1]
-    counted = _beside(rows, sketch, groups, few_groups).groupBy(*groups).agg(
-        F.max(side).alias("_side"),
-        *[F.count_if(v < low(i)).alias(f"below{i}") for i in range(len(marks))],
-        *[F.count_if(v.between(low(i), high(i))).alias(f"inside{i}") for i in range(len(marks))],
-    )
+    ranges = _ranges(df, groups, value)
+    sizes = ranges.groupBy(*groups, "_part").agg(F.sum("_n").alias("_size"))
+    in_order = Window.partitionBy(*groups).orderBy("_part")
+    whole = Window.partitionBy(*groups)
+    sizes = sizes.withColumns({"_total": F.sum("_size").over(whole), "_start": F.sum("_size").over(in_order) - F.col("_size")})
     within = lambda r, before, n: (before < r) & (r <= before + n)
-    brackets = []
-    for i, q in enumerate(marks):
-        ranks = [r(side["total"]) for wanted, rs in targets.values() if wanted == q for r in rs]
-        holds = reduce(lambda a, b: a & b, [within(r, F.col(f"below{i}"), F.col(f"inside{i}")) for r in ranks])
-        brackets.append(
-            F.struct(
-                F.lit(i).alias("mark"),
-                F.when(holds, low(i)).alias("low"),
-                F.when(holds, high(i)).alias("high"),
-                F.when(holds, F.col(f"below{i}")).otherwise(F.lit(0)).alias("start"),
-            )
-        )
-    plan = counted.select(*groups, side["total"].alias("total"), F.array(*brackets).alias("brackets"))
-
-    placed = _beside(rows, plan, groups, few_groups)
-    mine = F.filter(side["brackets"], lambda b: b["low"].isNull() | v.between(b["low"], b["high"]))
-    near = placed.select(*groups, value, side["total"].alias("_total"), F.inline(mine))
-    copies = near.groupBy(*groups, "mark", "start", "_total", value).agg(F.count(F.lit(1)).alias("_n"))
-    upto = F.sum("_n").over(Window.partitionBy(*groups, "mark").orderBy(value))
-    copies = copies.withColumn("_before", F.col("start") + upto - F.col("_n"))
-
-    def pick(q: float, rank: Callable[[Column], Column]) -> Column:
-        hit = (F.col("mark") == marks.index(q)) & within(rank(F.col("_total")), F.col("_before"), F.col("_n"))
-        return F.max(F.when(hit, v))
+    ranks = [r(F.col("_total")) for rs in targets.values() for r in rs]
+    wanted = sizes.filter(reduce(lambda a, b: a | b, [within(r, F.col("_start"), F.col("_size")) for r in ranks]))
+    keys = [ranges[c].eqNullSafe(F.col(f"_{c}")) for c in (*groups, "_part")]
+    wanted = wanted.select(*[F.col(c).alias(f"_{c}") for c in (*groups, "_part")], "_total", "_start")
+    near = ranges.join(wanted, reduce(lambda a, b: a & b, keys)).select(*groups, "_part", value, "_n", "_total", "_start")
+    upto = F.sum("_n").over(Window.partitionBy(*groups, "_part").orderBy(value))
+    placed = near.withColumn("_before", F.col("_start") + upto - F.col("_n"))
+
+    def pick(rank: Callable[[Column], Column]) -> Column:
+        return F.max(F.when(within(rank(F.col("_total")), F.col("_before"), F.col("_n")), F.col(value)))
 
     out = []
-    for name, (q, ranks) in targets.items():
-        picked = [pick(q, r) for r in ranks]
+    for name, wanted_ranks in targets.items():
+        picked = [pick(r) for r in wanted_ranks]
         mean = picked[0] if len(picked) == 1 else reduce(lambda a, b: a + b, picked) / F.lit(float(len(picked)))
         out.append(mean.alias(name))
-    result = copies.groupBy(*groups).agg(*out)
+    result = placed.groupBy(*groups).agg(*out)
     return result if groups else result.filter(F.col(next(iter(targets))).isNotNull())
 
 
-def nearest_rank(
-    df: DataFrame, groups: Sequence[str], value: str, quantiles: dict[str, float], few_groups: bool = False
-) -> DataFrame:
+def nearest_rank(df: DataFrame, groups: Sequence[str], value: str, quantiles: dict[str, float]) -> DataFrame:
     """Nearest-rank percentiles: the value at position ceil(q * n)."""
     rank = lambda q: lambda n: F.greatest(F.lit(1), F.ceil(F.lit(q) * n))
-    return _values_at(df, groups, value, {name: (q, [rank(q)]) for name, q in quantiles.items()}, few_groups)
+    return _values_at(df, groups, value, {name: [rank(q)] for name, q in quantiles.items()})
 
 
-def median(
-    df: DataFrame, value: str, groups: Sequence[str] = (), out: str = "median", few_groups: bool = False
-) -> DataFrame:
+def median(df: DataFrame, value: str, groups: Sequence[str] = (), out: str = "median") -> DataFrame:
     """Middle value, or the mean of the two middle values."""
     middle = [lambda n: F.floor((n + 1) / 2), lambda n: F.floor(n / 2) + 1]
-    return _values_at(df, groups, value, {out: (0.5, middle)}, few_groups)
+    return _values_at(df, groups, value, {out: middle})

@@ -12,8 +12,8 @@ from stagetrail.functions.stats import wilson
 from stagetrail.functions.text import java_regex, nfkc_casefold, strip
 from stagetrail.operators.percentiles import nearest_rank
 
-SCALAR_FIELDS = ("title", "company", "location", "contact")
-FIELDS = (*SCALAR_FIELDS, "requirements")
+FIELDS = C.RECORD_FIELDS
+SCALAR_FIELDS = tuple(f for f in FIELDS if f != "requirements")
 
 
 def plain_text(col: Column) -> Column:
@@ -92,7 +92,7 @@ def score_paths(gold: DataFrame, predictions: DataFrame, paths: Sequence[str], k
     sums = sums.withColumns({"k": correct, "of": F.col("n") * len(FIELDS)})
     low, high = wilson(F.col("k"), F.col("of"))
     sums = sums.withColumns({"accuracy": F.col("k") / F.col("of"), "wilson_low": low, "wilson_high": high})
-    latency = nearest_rank(rows, ["path"], "latency_ms", {"p50_ms": 0.5, "p95_ms": 0.95}, few_groups=True)
+    latency = nearest_rank(rows, ["path"], "latency_ms", {"p50_ms": 0.5, "p95_ms": 0.95})
     return sums.join(latency, "path")
 
 

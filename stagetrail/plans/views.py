@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stagetrail.functions.identity import json_field
 from stagetrail.functions.times import whole_days
-from stagetrail.operators.dedup import CANONICAL_ID_COVERS, WIDE_COLUMNS, keep_latest
+from stagetrail.operators.dedup import WIDE_COLUMNS, keep_latest
 from stagetrail.operators.rates import response_rate
 
 
@@ -74,9 +74,13 @@ def days_to_reply(latest: DataFrame) -> DataFrame:
 
 
 def register_views(
-    spark: SparkSession, events: DataFrame, covers: Sequence[str] = CANONICAL_ID_COVERS, prefix: str = ""
+    spark: SparkSession, events: DataFrame, covers: Sequence[str] = (), prefix: str = ""
 ) -> None:
-    """Temp views in dependency order, under the names reports use."""
+    """Temp views in dependency order, under the names reports use.
+
+    A caller whose ids are all made by ``functions.identity.event_id`` may pass
+    ``dedup.CANONICAL_ID_COVERS``; with foreign or missing ids that would keep too many rows.
+    """
     dedup = events_dedup(events, covers)
     latest = jobs_latest(dedup)
     named = {"events": events, "events_dedup": dedup, "jobs_latest": latest, "days_to_reply": days_to_reply(latest)}

@@ -187,6 +187,23 @@ def registered_views(t: Tables) -> DataFrame:
     return t.spark.sql("SELECT * FROM life_response_rate_by_title_family ORDER BY rate DESC")
 
 
+@query(
+    "views_of_foreign_ids",
+    f"""WITH {LIFE_SQL.split("dedup AS")[0].rstrip().rstrip(",")},
+foreign_ids AS (
+  SELECT CASE WHEN CAST(event_id AS BIGINT) % 11 = 0 THEN NULL ELSE CAST(CAST(event_id AS BIGINT) % 997 AS VARCHAR) END AS event_id,
+         job_id, event_type, ts, cv_version, title_family, payload, exported_at FROM life)
+SELECT * FROM foreign_ids QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY exported_at DESC NULLS LAST, cv_version DESC,
+  event_type DESC, job_id DESC, title_family DESC, ts DESC, payload DESC) = 1""",
+)
+def views_of_foreign_ids(t: Tables) -> DataFrame:
+    """Ids made elsewhere: one id may carry several instants, and rows without an id are one group."""
+    number = F.col("event_id").cast("long")
+    named = F.when(number % 11 == 0, F.lit(None)).otherwise((number % 997).cast("string"))
+    views.register_views(t.spark, life(t).drop("keywords", "source_type").withColumn("event_id", named), prefix="foreign_")
+    return t.spark.sql("SELECT * FROM foreign_events_dedup")
+
+
 @query(
     "funnel_scorecards",
     f"""WITH {LATEST_SQL} SELECT count(DISTINCT job_id) AS jobs, count(applied_ts) AS applied,
