@@ -109,6 +109,7 @@ TRANSIENT_CODES = (408, 429)
 TRANSIENT_ERROR = "bus_dir_unset"
 MAX_ATTEMPTS = 5
 RETENTION_DAYS = 7
+RETRY_SECONDS = (10, 600)
 
 # -- fixed values: inbox files ---------------------------------------------------
 MIME_BY_SUFFIX = {

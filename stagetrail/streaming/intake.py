@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
+
+import pandas as pd
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,16 +15,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from stagetrail.constants import FILE_TASKS, MAX_ATTEMPTS, RETENTION_DAYS, TASK_TYPES
+from stagetrail.constants import FILE_TASKS, MAX_ATTEMPTS, RETENTION_DAYS, RETRY_SECONDS
 from stagetrail.operators.contracts import check_messages, delivery_outcome, queue_items
 from stagetrail.schemas import TASK_SCHEMA_TYPE
-from stagetrail.sources.state import VersionedState
+from stagetrail.sources.state import FOLD_EVERY, VersionedState
 
-# A handler gets the tasks of its type, one row per identity, and returns
-# (dedupe_key, status) with status done, rejected or transient.
+# A handler gets the tasks of its type, one row per identity, and returns (dedupe_key, status)
+# or (dedupe_key, status, detail) with status done, rejected or transient.
 Handler = Callable[[DataFrame], DataFrame]
 
 SETTLED = ("done", "rejected")
+# Marks rows of the source that only drives batches.
+TICK = "_tick"
 _STATE = T.StructType(
     [
         T.StructField("dedupe_key", T.StringType()),
@@ -30,8 +36,12 @@ _STATE = T.StructType(
         T.StructField("detail", T.StringType()),
         T.StructField("attempts", T.LongType()),
         T.StructField("deliveries", T.LongType()),
+        T.StructField("handled_at", T.TimestampType()),
+        T.StructField("due_at", T.TimestampType()),
+        T.StructField("task", TASK_SCHEMA_TYPE),
     ]
 )
+_OUTCOME = "dedupe_key string, status string, detail string"
 _RECEIVED = T.StructType(
     [
         T.StructField("value", T.StringType()),
@@ -56,6 +66,26 @@ def by_response(responses: DataFrame) -> Handler:
     return handle
 
 
+def by_call(deliver: Callable[[dict], str]) -> Handler:
+    """Hand each task as a dict to a callable that returns a status; its exception is a failed attempt of that task."""
+
+    @F.pandas_udf("status string, detail string")
+    def call(tasks: pd.Series) -> pd.DataFrame:
+        rows = []
+        for task in tasks:
+            try:
+                rows.append((deliver(json.loads(task)), None))
+            except Exception as exc:  # noqa: BLE001 - a failed task is an attempt, not the end of the batch
+                rows.append(("transient", str(exc)))
+        return pd.DataFrame(rows, columns=["status", "detail"])
+
+    def handle(tasks: DataFrame) -> DataFrame:
+        called = tasks.withColumn("_called", call(F.to_json(F.struct(*tasks.columns))))
+        return called.select("dedupe_key", "_called.status", "_called.detail")
+
+    return handle
+
+
 def file_handlers() -> dict[str, Handler]:
     return {t: accept for t in FILE_TASKS}
 
@@ -64,11 +94,11 @@ def file_handlers() -> dict[str, Handler]:
 class Intake:
     """Micro-batch body over one state folder.
 
-    Per batch number N three folders are written, each replaced when N is retried:
-    ``received/version=N``, ``queue/version=N`` and last ``state/version=N``. Reads
-    only see versions below N, so a retry repeats the same work on the same input.
-    Only done and rejected identities are skipped; a failed one is handled again
-    when it is delivered again.
+    A batch takes the tasks that arrived and those whose retry is due. Per batch number N it writes, each replaced when N
+    is retried: ``received``, ``open`` (what is to be handled), ``outcome`` (what the handlers said), ``queue`` and last
+    ``state``. Handlers run once, when the outcome is written; queue and state are made from it. A handler that fails
+    counts as an attempt of its tasks and stops neither the batch nor other types. Only done and rejected identities are
+    skipped; a failed one is handled again when it is delivered again. State older than the retention is forgotten.
     """
 
     root: str
@@ -104,47 +134,75 @@ class Intake:
     def dead_letters(self, spark: SparkSession) -> DataFrame:
         return self.state.read(spark).filter("status = 'failed'")
 
-    def process(self, messages: DataFrame, batch_id: int) -> None:
+    def process(self, messages: DataFrame, batch_id: int, now: datetime | None = None) -> None:
         spark = messages.sparkSession
-        path = f"{self.root}/received/version={batch_id}"
-        check_messages(messages.select("value")).select("value", "reason", "task").write.mode("overwrite").parquet(path)
-        tasks = spark.read.schema(_RECEIVED).parquet(path).filter("reason IS NULL").select("task.*")
+        clock = F.lit(now or datetime.now(timezone.utc)).cast("timestamp")
+        if TICK in messages.columns:
+            messages = messages.filter(~F.col(TICK))
+        if batch_id and batch_id % FOLD_EVERY == 0:
+            self.state.fold(spark, batch_id, F.col("handled_at") >= clock - F.expr(f"INTERVAL {RETENTION_DAYS} DAYS"))
+        folder = lambda name: f"{self.root}/{name}/version={batch_id}"
+        checked = check_messages(messages.select("value")).select("value", "reason", "task")
+        checked.write.mode("overwrite").parquet(folder("received"))
+        fresh = spark.read.schema(_RECEIVED).parquet(folder("received")).filter("reason IS NULL").select("task.*")
+        waiting = self.state.read(spark, batch_id).filter((F.col("status") == "retry") & (F.col("due_at") <= clock))
 
         names = TASK_SCHEMA_TYPE.names
         first = F.min_by(F.struct(*names), F.struct("created_at", "task_id"))
-        once = tasks.groupBy("dedupe_key").agg(first.alias("t"), F.count(F.lit(1)).alias("deliveries"))
-        once = once.select("t.*", "deliveries")
+        once = fresh.unionByName(waiting.select("task.*")).groupBy("dedupe_key")
+        once = once.agg(first.alias("t"), F.count(F.lit(1)).alias("deliveries")).select("t.*", "deliveries")
         prior = self.state.read(spark, batch_id, only=once).select(
             "dedupe_key", F.col("status").alias("_known"), F.coalesce("attempts", F.lit(0)).alias("_before")
         )
-        open_tasks = once.join(prior, "dedupe_key", "left").filter(~F.coalesce(F.col("_known").isin(*SETTLED), F.lit(False)))
-
-        outcome = None
-        for kind in TASK_TYPES:
-            mine = open_tasks.filter(F.col("type") == kind)
-            if kind in self.handlers:
-                done = self.handlers[kind](mine.select(*names)).withColumn("detail", F.lit(None).cast("string"))
-            else:
-                done = mine.select("dedupe_key", F.lit("rejected").alias("status"), F.lit("unknown_type").alias("detail"))
-            done = done.select("dedupe_key", "status", "detail")
-            outcome = done if outcome is None else outcome.unionByName(done)
-        rows = open_tasks.join(outcome, "dedupe_key", "left")
+        unsettled = once.join(prior, "dedupe_key", "left").filter(~F.coalesce(F.col("_known").isin(*SETTLED), F.lit(False)))
+        unsettled.drop("_known").write.mode("overwrite").parquet(folder("open"))
+        open_tasks = spark.read.parquet(folder("open"))
+        for (kind,) in open_tasks.select("type").distinct().collect():  # the contract knows a handful
+            self._handle(open_tasks.filter(F.col("type") == kind), kind, f"{folder('outcome')}/kind={kind}")
+
+        try:
+            outcome = spark.read.schema(_OUTCOME).parquet(folder("outcome"))
+        except AnalysisException as exc:
+            if exc.getCondition() != "PATH_NOT_FOUND":
+                raise
+            outcome = spark.createDataFrame([], _OUTCOME)
+        rows = open_tasks.join(outcome.select("dedupe_key", "status", "detail"), "dedupe_key", "left")
         settled = F.coalesce(F.col("status").isin(*SETTLED), F.lit(False))
-        attempts = F.when(settled, F.coalesce("_before", F.lit(0))).otherwise(
-            F.coalesce("_before", F.lit(0)) + F.col("deliveries")
-        )
-        rows = rows.withColumns({"attempts": attempts, "_settled": settled})
+        before = F.coalesce("_before", F.lit(0))
+        rows = rows.withColumns({"attempts": F.when(settled, before).otherwise(before + F.col("deliveries")), "_settled": settled})
         exhausted = ~F.col("_settled") & (F.col("attempts") >= self.max_attempts)
+        shortest, longest = RETRY_SECONDS
+        delay = F.least(F.lit(longest), F.lit(shortest) * F.pow(F.lit(2), F.col("attempts") - 1)).cast("long")
+        status = F.when(F.col("_settled"), F.col("status")).when(exhausted, F.lit("failed")).otherwise(F.lit("retry"))
         rows = rows.withColumns(
             {
-                "status": F.when(F.col("_settled"), F.col("status")).when(exhausted, F.lit("failed")).otherwise(F.lit("retry")),
+                "status": status,
                 "detail": F.when(exhausted, F.lit("max_attempts")).otherwise(F.col("detail")),
+                "handled_at": clock,
+                "due_at": F.when(~F.col("_settled") & ~exhausted, F.timestamp_seconds(F.unix_timestamp(clock) + delay)),
+                "task": F.struct(*names),
             }
         )
         # Queue items are stamped with the task's own time, so a retry writes the same rows.
         queued = queue_items(rows.filter("status = 'done'"), F.col("created_at").try_cast("timestamp"))
-        queued.write.mode("overwrite").parquet(f"{self.root}/queue/version={batch_id}")
-        self.state.write(rows, batch_id)
+        queued.write.mode("overwrite").parquet(folder("queue"))
+        self.state.write(rows, batch_id, replace=True)
+
+    def _handle(self, tasks: DataFrame, kind: str, path: str) -> None:
+        """Write what the type's handler says about its tasks; if it fails, that they are to be tried again."""
+        keys = tasks.select("dedupe_key")
+        said = lambda status, detail: keys.withColumns({"status": F.lit(status), "detail": F.lit(detail).cast("string")})
+        if kind not in self.handlers:
+            said("rejected", "unknown_type").write.mode("overwrite").parquet(path)
+            return
+        try:
+            done = self.handlers[kind](tasks.select(*TASK_SCHEMA_TYPE.names))
+            if "detail" not in done.columns:
+                done = done.withColumn("detail", F.lit(None).cast("string"))
+            done = done.groupBy("dedupe_key").agg(F.min("status").alias("status"), F.min("detail").alias("detail"))
+            done.write.mode("overwrite").parquet(path)
+        except Exception as exc:  # noqa: BLE001 - any failure of a handler is an attempt
+            said("transient", f"{type(exc).__name__}: {exc}".splitlines()[0]).write.mode("overwrite").parquet(path)
 
     def counters(self, spark: SparkSession) -> DataFrame:
         """Per batch: messages pulled, acknowledged, returned for retry, and rejected."""
@@ -162,7 +220,13 @@ class Intake:
 
 
 def start_intake(messages: DataFrame, intake: Intake, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """Offsets move on only after a batch is completely written."""
+    """Offsets move on only after a batch is completely written.
+
+    A query that keeps running is also driven by ticks, so that retries come due when no message arrives.
+    """
+    if not available_now:
+        ticks = messages.sparkSession.readStream.format("rate").load().select(F.lit(None).cast("string").alias("value"), F.lit(True).alias(TICK))
+        messages = messages.select("value", F.lit(False).alias(TICK)).unionByName(ticks)
     writer = messages.writeStream.foreachBatch(intake.process).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")).start()
 

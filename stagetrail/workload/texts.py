@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -462,6 +462,43 @@ def intake_stream(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "intake_batches",
+    """WITH links AS (
+  SELECT rtrim(url, '/') AS u, count(*) AS d0, count(*) FILTER (page_id % 3 = 0) AS d1 FROM pages WHERE url LIKE 'https://%' GROUP BY 1),
+second AS (
+  SELECT u, CASE WHEN u LIKE '%?%' THEN d0 + d1 ELSE 0 END AS attempts,
+         CASE WHEN u NOT LIKE '%?%' THEN 'done' WHEN d0 + d1 >= 5 THEN 'failed' ELSE 'retry' END AS status FROM links),
+third AS (
+  SELECT CASE WHEN status = 'retry' AND u LIKE '%utm%' THEN 'done' WHEN status = 'retry' AND attempts + 1 >= 5 THEN 'failed' ELSE status END AS status,
+         CASE WHEN status = 'retry' AND u NOT LIKE '%utm%' THEN attempts + 1 ELSE attempts END AS attempts FROM second)
+SELECT 'telegram_job_link' AS type, status, CASE WHEN status = 'failed' THEN 'max_attempts' END AS detail, count(*) AS tasks,
+       CAST(sum(attempts) AS BIGINT) AS attempts FROM third GROUP BY 2, 3
+UNION ALL
+SELECT 'ocr_job_image', 'rejected', 'unknown_type', count(DISTINCT text), CAST(0 AS BIGINT) FROM documents WHERE lang NOT IN ('fr', 'es')""",
+)
+def intake_batches(t: Tables) -> DataFrame:
+    """Three batches: all tasks while some links are down, a third again at once, and an hour later only what came due."""
+    key = dedupe_key(F.lit("telegram_job_link"), F.lit("telegram"), F.col("url"), F.lit(None).cast("string")).alias("dedupe_key")
+    code = lambda down: F.when(down, 503).otherwise(200).alias("status_code")
+    rest = [F.lit(True).alias("ok"), F.lit(None).cast("string").alias("error_type")]
+    asks = F.contains("url", F.lit("?"))
+    early = t.pages.select(key, code(asks), *rest).distinct()
+    late = t.pages.select(key, code(asks & ~F.contains("url", F.lit("utm"))), *rest).distinct()
+    links = lambda pages: encode_tasks(build_tasks(pages.select("page_id", "url"), "telegram_job_link", "telegram", CREATED))
+    files = t.documents.filter(~F.col("lang").isin("fr", "es")).select(
+        F.concat(F.lit("in/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("file_id"), F.sha2("text", 256).alias("sha256")
+    )
+    images = encode_tasks(build_tasks(files, "ocr_job_image", "drive", CREATED))
+    root = run_folder(t.spark, "batches")
+    first, second = (Intake(root, {"telegram_job_link": by_response(r)}) for r in (early, late))
+    first.process(links(t.pages).unionByName(images), 0, CREATED)
+    first.process(links(t.pages.filter("page_id % 3 = 0")), 1, CREATED + timedelta(seconds=5))
+    second.process(images.limit(0), 2, CREATED + timedelta(hours=1))
+    state = second.state.read(t.spark)
+    return state.groupBy("type", "status", "detail").agg(F.count(F.lit(1)).alias("tasks"), F.sum("attempts").alias("attempts"))
+
+
 @query(
     "intake_queue",
     """SELECT sha256(text) AS sha256, 'text/plain' AS mime, '2024-02-01T00:00:00Z' AS queued_at

@@ -8,6 +8,7 @@ from datetime import datetime, timedelta
 
 import pytest
 from helpers import JOBS, write_ledger
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from stagetrail.operators import quality
@@ -152,8 +153,15 @@ def test_versioned_state(spark, tmp_path):
     state.write(frame(2), 1)
     assert rows(state.read(spark), "ts") == [(datetime(2025, 1, 2),)]
     assert rows(state.read(spark, before=1), "ts") == [(datetime(2025, 1, 1),)]
-    folded = state.compact(spark, str(tmp_path / "t"), 2)
-    assert rows(folded.read(spark), "ts") == [(datetime(2025, 1, 2),)]
+    state.fold(spark, 2)
+    assert rows(state.read(spark), "ts") == [(datetime(2025, 1, 2),)] and state.next_version(spark) == 2
+    state.write(frame(3), 2)
+    assert [rows(state.read(spark, before=n), "ts") for n in (1, 2, 3)] == [[(datetime(2025, 1, d),)] for d in (1, 2, 3)]
+    with pytest.raises(AnalysisException):
+        state.write(frame(4), 2)
+    state.write(frame(4), 2, replace=True)
+    state.fold(spark, 3, F.col("ts") > datetime(2025, 1, 9))
+    assert state.read(spark).count() == 0
 
 
 def hot_events(spark, n=3000):

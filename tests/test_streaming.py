@@ -2,7 +2,7 @@
 
 import json
 import random
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 from test_text import MESSAGES, link_task
@@ -10,7 +10,7 @@ from test_text import MESSAGES, link_task
 from stagetrail import constants as C
 from stagetrail.operators.contracts import build_tasks, check_messages
 from stagetrail.sources.messages import encode_tasks, read_chat_updates, read_messages
-from stagetrail.streaming.intake import Intake, by_response, file_handlers, first_deliveries, start_intake
+from stagetrail.streaming.intake import Intake, by_call, by_response, file_handlers, first_deliveries, start_intake
 from stagetrail.streaming.listener import start_listener
 from stagetrail.streaming.stability import LISTING, stable_files, stable_files_stream
 
@@ -47,7 +47,8 @@ def test_intake_retries_dead_letters_and_settles(spark, tmp_path):
     deliver(spark, tmp_path / "in", "1.txt", [line(b)] * 4 + [line(a)])
     run(spark, tmp_path, down)
     dead = down.dead_letters(spark).collect()
-    assert [(r["dedupe_key"], r["detail"], r["attempts"]) for r in dead] == [(b["dedupe_key"], "max_attempts", 5)]
+    # A fifth attempt, or a sixth when the retry came due by itself in the same batch.
+    assert [(r["dedupe_key"], r["detail"], r["attempts"] in (5, 6)) for r in dead] == [(b["dedupe_key"], "max_attempts", True)]
 
     up = Intake(str(tmp_path / "state"), {C.LINK_TASK: by_response(responses(spark, {b["dedupe_key"]: 200}))})
     deliver(spark, tmp_path / "in", "2.txt", [line(b), line(a)])
@@ -61,14 +62,84 @@ def test_repeated_batch_changes_nothing(spark, tmp_path):
     messages = spark.createDataFrame([(x,) for x in lines], "value string")
     intake = Intake(str(tmp_path / "state"), file_handlers())
     intake.process(messages, 0)
-    first = sorted(map(tuple, intake.state.read(spark).collect())), sorted(map(tuple, intake.queue(spark).collect()))
+    kept = lambda: sorted(tuple(r) for r in intake.state.read(spark).drop("handled_at").collect())
+    first = kept(), sorted(map(tuple, intake.queue(spark).collect()))
     intake.process(messages, 0)
-    assert first == (sorted(map(tuple, intake.state.read(spark).collect())), sorted(map(tuple, intake.queue(spark).collect())))
+    assert first == (kept(), sorted(map(tuple, intake.queue(spark).collect())))
     intake.process(messages, 1)
-    assert intake.state._all(spark).filter("version = 1").count() == 0
+    assert intake.state._all(spark).filter("version = 1").count() == 0 and intake.received(spark).filter("version = 1").count() == 6
     assert intake.queue(spark).count() == 2
 
 
+def link_lines(spark, urls):
+    tasks = build_tasks(spark.createDataFrame([(u,) for u in urls], "url string"), C.LINK_TASK, "telegram", datetime(2025, 1, 1))
+    return spark.createDataFrame([(r["value"],) for r in encode_tasks(tasks).collect()], "value string")
+
+
+def counting(folder, fail=""):
+    """A delivery that leaves a file per call; links with `fail` in them raise."""
+    folder.mkdir(exist_ok=True)
+
+    def deliver(task):
+        import uuid
+
+        (folder / uuid.uuid4().hex).write_text(task["payload"]["url"])
+        if fail and fail in task["payload"]["url"]:
+            raise RuntimeError("no route")
+        return "done"
+
+    return deliver
+
+
+def calls(folder):
+    return sorted(f.read_text() for f in folder.iterdir())
+
+
+def test_a_handler_runs_once_per_task_and_batch(spark, tmp_path):
+    urls = [f"https://a.example/{i}" for i in range(6)]
+    seen = tmp_path / "calls"
+    intake = Intake(str(tmp_path / "state"), {C.LINK_TASK: by_call(counting(seen, fail="/3"))})
+    at = datetime(2025, 1, 1, tzinfo=timezone.utc)
+    intake.process(link_lines(spark, urls + urls[:2]), 0, at)
+    assert calls(seen) == urls
+    got = {r["task"]["payload"]["url"]: (r["status"], r["attempts"], r["detail"]) for r in intake.state.read(spark).collect()}
+    assert got == {u: ("retry", 1, "no route") if u.endswith("3") else ("done", 0, None) for u in urls}
+
+
+def test_retries_come_due_with_growing_delay(spark, tmp_path):
+    seen, nothing = tmp_path / "calls", spark.createDataFrame([], "value string")
+    intake = Intake(str(tmp_path / "state"), {C.LINK_TASK: by_call(counting(seen, fail="bad"))})
+    at = datetime(2025, 1, 1, tzinfo=timezone.utc)
+    intake.process(link_lines(spark, ["https://a.example/bad", "https://a.example/good"]), 0, at)
+    for batch, (seconds, tried) in enumerate([(9, 1), (10, 2), (29, 2), (30, 3), (70, 4), (150, 5), (9999, 5)], 1):
+        intake.process(nothing, batch, at + timedelta(seconds=seconds))
+        assert calls(seen).count("https://a.example/bad") == tried, seconds
+    assert calls(seen).count("https://a.example/good") == 1
+    dead = intake.dead_letters(spark).collect()
+    assert [(r["detail"], r["attempts"], r["due_at"]) for r in dead] == [("max_attempts", 5, None)]
+
+
+def test_a_failing_handler_stops_nobody_else(spark, tmp_path):
+    def broken(tasks):
+        raise ValueError("cannot even start")
+
+    def breaks_later(tasks):
+        return tasks.select("dedupe_key", F.raise_error(F.concat(F.lit("poison "), "task_id")).cast("string").alias("status"))
+
+    files = spark.createDataFrame([("in/1.png", "a" * 64)], "file_id string, sha256 string")
+    lines = link_lines(spark, ["https://a.example/1"])
+    lines = lines.unionByName(encode_tasks(build_tasks(files, "drive_file", "drive", datetime(2025, 1, 1))))
+    lines = lines.unionByName(encode_tasks(build_tasks(files, "ocr_job_image", "drive", datetime(2025, 1, 1))))
+    intake = Intake(str(tmp_path / "state"), {**file_handlers(), C.LINK_TASK: broken, "ocr_job_image": breaks_later}, max_attempts=2)
+    at = datetime(2025, 1, 1, tzinfo=timezone.utc)
+    intake.process(lines, 0, at)
+    got = {r["type"]: (r["status"], r["attempts"]) for r in intake.state.read(spark).collect()}
+    assert got == {C.LINK_TASK: ("retry", 1), "drive_file": ("done", 0), "ocr_job_image": ("retry", 1)}
+    intake.process(lines.limit(0), 1, at + timedelta(hours=1))
+    got = {r["type"]: (r["status"], r["detail"]) for r in intake.state.read(spark).collect()}
+    assert got == {C.LINK_TASK: ("failed", "max_attempts"), "drive_file": ("done", None), "ocr_job_image": ("failed", "max_attempts")}
+
+
 def test_unknown_type_is_rejected(spark, tmp_path):
     lines = [json.dumps(link_task(spark))]
     intake = Intake(str(tmp_path / "state"), file_handlers())
