@@ -129,6 +129,7 @@ def test_a_failing_handler_stops_nobody_else(spark, tmp_path):
     files = spark.createDataFrame([("in/1.png", "a" * 64)], "file_id string, sha256 string")
     lines = link_lines(spark, ["https://a.example/1"])
     lines = lines.unionByName(encode_tasks(build_tasks(files, "drive_file", "drive", datetime(2025, 1, 1))))
+    files = files.withColumn("sha256", F.lit("b" * 64))
     lines = lines.unionByName(encode_tasks(build_tasks(files, "ocr_job_image", "drive", datetime(2025, 1, 1))))
     intake = Intake(str(tmp_path / "state"), {**file_handlers(), C.LINK_TASK: broken, "ocr_job_image": breaks_later}, max_attempts=2)
     at = datetime(2025, 1, 1, tzinfo=timezone.utc)
