@@ -66,6 +66,12 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="stagetrail-")
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate files."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def run_folder(spark: SparkSession, name: str) -> str:
     """A new folder for one run below the shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +15,9 @@ from stagetrail.operators.reconcile import dropped_jobs, events_by_type, reconci
 from stagetrail.operators.sync import decide, decision_counts, next_fingerprints, to_append
 from stagetrail.functions.identity import event_id
 from stagetrail.plans import funnel, views
-from stagetrail.sources.event_table import duplicate_report
+from stagetrail.plans.sync_run import run_sync
+from stagetrail.session import run_folder
+from stagetrail.sources.event_table import duplicate_report, read_events
 from stagetrail.streaming.stability import stable_files
 from stagetrail.workload.registry import Tables, query
 
@@ -465,11 +467,16 @@ def sync_append(t: Tables) -> DataFrame:
 
 @query(
     "sync_saved_state",
-    f"WITH {SYNC_SQL} SELECT count(*) AS n, count(DISTINCT event_id) AS ids FROM decided",
+    f"""WITH {SYNC_SQL}
+SELECT event_id, sha256(CAST(to_json({{'cv_version': s.cv_version, 'event_id': event_id, 'event_type': s.event_type, 'job_id': s.job_id,
+  'keywords': string_split(s.title_family, '_'), 'payload': d.payload, 'source_type': 'text', 'title_family': s.title_family,
+  'ts': strftime(s.ts, '%Y-%m-%dT%H:%M:%SZ')}}) AS VARCHAR)) AS fingerprint
+FROM decided d JOIN single s USING (event_id) JOIN snap USING (event_id)
+WHERE NOT (s.ts < TIMESTAMP '2024-01-10' AND snap.payload_v1 = snap.payload)""",
 )
 def sync_saved_state(t: Tables) -> DataFrame:
-    state = next_fingerprints(decide(snapshot(t), catalog(t)), saved_fingerprints(t))
-    return state.agg(F.count(F.lit(1)).alias("n"), F.count("event_id").alias("ids"))
+    """The fingerprints a run has to save: those of early events are saved already unless their content changed."""
+    return next_fingerprints(decide(snapshot(t), catalog(t)), saved_fingerprints(t))
 
 
 @query(
@@ -705,3 +712,46 @@ def histograms(t: Tables) -> DataFrame:
     from stagetrail.plans.insights import ledger_histograms
 
     return ledger_histograms(ledger(t))
+
+
+# -- a whole sync over files ------------------------------------------------------------
+
+_SYNC_SQL = """
+steps(step, changed) AS (VALUES ('1 dry_run', 0), ('2 preview', 0), ('3 apply', 0), ('4 repeat', 0), ('5 changed', 1)),
+per_job AS (
+  SELECT o_orderkey, o_custkey % 10 = 0 AS touched,
+         CASE o_orderstatus WHEN 'P' THEN 1 WHEN 'O' THEN 2 ELSE 3 + CAST(o_totalprice > 200000 AS INTEGER) END AS n FROM orders),
+sums AS (SELECT CAST(sum(n) AS BIGINT) AS n, CAST(coalesce(sum(n) FILTER (touched), 0) AS BIGINT) AS touched, count(*) AS jobs FROM per_job)
+SELECT step, n AS derived_total, CASE WHEN step < '4' THEN n ELSE 0 END AS new, CASE WHEN changed = 1 THEN touched ELSE 0 END AS updated,
+       CASE WHEN step < '4' THEN 0 WHEN changed = 1 THEN n - touched ELSE n END AS unchanged, CAST(0 AS BIGINT) AS skipped,
+       jobs AS jobs_in_ledger, true AS reconciled, CAST(0 AS BIGINT) AS dropped,
+       CASE WHEN step >= '3' THEN CASE WHEN changed = 1 THEN n + touched ELSE n END ELSE 0 END AS table_rows FROM steps, sums"""
+
+
+@query("sync_run_report", f"WITH {_SYNC_SQL.strip()}")
+def sync_run_report(t: Tables) -> DataFrame:
+    """Dry run, preview, apply, a later repeat and changed companies, from a ledger written one job per line."""
+    root = run_folder(t.spark, "sync-report")
+    # Days of one month, so that the table has few day folders.
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(F.xxhash64("job_id"), F.lit(20)).cast("int"))
+    times = {"created_at_utc": 0, "sent_at_utc": 3, "reply_seen_at_utc": 10}
+    jobs = ledger(t).withColumns({c: F.when(F.col(c).isNotNull(), F.date_format(F.date_add(day, n), "yyyy-MM-dd")) for c, n in times.items()})
+    jobs.write.json(f"{root}/jobs.json")
+    company = F.when(F.regexp_extract("company", "([0-9]+)$", 1).cast("int") % 10 == 0, F.concat("company", F.lit(" (new)")))
+    jobs.withColumn("company", F.coalesce(company, "company")).write.json(f"{root}/jobs_b.json")
+    out = []
+    for step, name, mode, at in (
+        ("1 dry_run", "jobs", "dry_run", RUN_TS),
+        ("2 preview", "jobs", "preview", RUN_TS),
+        ("3 apply", "jobs", "apply", RUN_TS),
+        ("4 repeat", "jobs", "apply", RUN_TS + timedelta(hours=1)),
+        ("5 changed", "jobs_b", "apply", RUN_TS + timedelta(hours=2)),
+    ):
+        report = run_sync(t.spark, f"{root}/{name}.json", f"{root}/table", f"{root}/state", at, mode, layout="lines")
+        d, r = report.decisions, report.reconciliation
+        rows = read_events(t.spark, f"{root}/table").count()
+        counts = (d["derived_total"], d["new"], d["updated"], d["unchanged"], d["skipped_logical_duplicate"])
+        out.append((step, *counts, r["jobs_in_ledger"], r["reconciled"], report.dropped.count(), rows))
+        report.discard()
+    names = "derived_total long, new long, updated long, unchanged long, skipped long, jobs_in_ledger long"
+    return t.spark.createDataFrame(out, f"step string, {names}, reconciled boolean, dropped long, table_rows long")

@@ -3,8 +3,10 @@
 import json
 import random
 import re
+import shutil
 from collections import Counter
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from helpers import JOBS, write_ledger
@@ -16,11 +18,11 @@ from stagetrail.operators.dedup import duplicate_groups, keep_latest, table_coun
 from stagetrail.operators.derive import derive_events
 from stagetrail.operators.percentiles import median, nearest_rank
 from stagetrail.operators.rates import response_rate
-from stagetrail.operators.sync import decide
+from stagetrail.operators.sync import decide, logical_keys
 from stagetrail.plans import funnel, views
 from stagetrail.plans.insights import ledger_histograms, ledger_rates
 from stagetrail.plans.sync_run import run_backfill, run_sync
-from stagetrail.schemas import FIRST_SEEN_SCHEMA
+from stagetrail.schemas import FINGERPRINT_SCHEMA, FIRST_SEEN_SCHEMA
 from stagetrail.sources import event_table, ledger
 from stagetrail.sources.messages import write_report
 from stagetrail.sources.state import VersionedState
@@ -109,7 +111,9 @@ def test_sync_cycle(spark, tmp_path):
     assert dry.reconciliation["reconciled"] and dry.rows_to_append == 18 and dry.dropped.count() == 0
     assert run("preview", NOW).rows_to_append == 18
     applied = run_backfill(spark, path, table, state, NOW, mode="apply")
-    assert applied.export["rows"] == 18 and applied.export["chunks"] == 1
+    assert applied.export["rows"] == 18
+    saved = lambda: VersionedState(f"{state}/fingerprints", FINGERPRINT_SCHEMA, ("event_id",))._all(spark).groupBy("version").count()
+    assert rows(saved(), "version", "count") == [(0, 18)]
     later = NOW + timedelta(days=2)
     again = run("apply", later)
     assert again.decisions["unchanged"] == 18 and again.rows_to_append == 0
@@ -123,6 +127,11 @@ def test_sync_cycle(spark, tmp_path):
     third = run("apply", later)
     want = {"derived_total": 19, "new": 1, "updated": 1, "unchanged": 16, "already_in_table": 0, "skipped_logical_duplicate": 1}
     assert third.decisions == want
+    # Only changed fingerprints are saved: the run that changed nothing saved none, and the last one those of three events.
+    assert rows(saved(), "version", "count") == [(0, 18), (2, 3)]
+    assert not [p for p in Path(third.scratch.removeprefix("file:")).iterdir() if p.name != "dropped"]
+    third.discard()
+    assert not Path(third.scratch.removeprefix("file:")).exists()
     events = event_table.read_events(spark, table)
     assert table_counts(events).first().asDict() == {"total_rows": 20, "distinct_ids": 19, "distinct_jobs": 10, "duplicates": 1}
     assert event_table.duplicate_report(events).first().asDict() == {"duplicate_groups": 1, "extra_rows": 1}
@@ -133,6 +142,42 @@ def test_sync_cycle(spark, tmp_path):
     assert re.search(r"PartitionFilters: \[[^]]*event_date", since._jdf.queryExecution().toString())
 
 
+def test_lines_layout_and_a_run_that_died(spark, tmp_path):
+    lines = tmp_path / "jobs_lines.json"
+    lines.write_text("\n".join(json.dumps(j) for j in JOBS))
+    table, state = str(tmp_path / "table"), str(tmp_path / "state")
+    run = lambda at: run_sync(spark, str(lines), table, state, at, "apply", layout="lines")
+    assert run(NOW).decisions["new"] == 18
+    # As if the run had died before the fingerprints were saved: a later repeat changes nothing.
+    shutil.rmtree(f"{state}/fingerprints")
+    assert run(NOW + timedelta(days=3)).decisions["unchanged"] == 18
+    assert event_table.read_events(spark, table).count() == 18
+
+
+def test_old_layout_read_from_files(spark, tmp_path):
+    path = str(tmp_path / "old")
+    old = spark.createDataFrame([("x1", "k-10", datetime(2025, 2, 1)), ("x2", "k-11", datetime(2025, 2, 1))], "event_id string, job_id string, ts timestamp")
+    old.withColumn("event_date", F.to_date("ts")).write.partitionBy("event_date").parquet(path)
+    ledger_path = write_ledger(tmp_path, JOBS)
+    for mode in ("preview", "apply"):
+        found = run_sync(spark, ledger_path, path, str(tmp_path / "state"), NOW, mode).decisions
+        assert (found["skipped_logical_duplicate"], found["new"]) == (2, 16)
+    assert "event_type" not in event_table.read_events(spark, str(tmp_path / "old" / "event_date=2025-02-01"), as_stored=True).columns
+    stored = event_table.read_events(spark, path, as_stored=True).drop("event_type")
+    assert [r["status"] for r in quality.quality_report(stored, NOW).filter("check_name = 'schema_legacy'").collect()] == ["warn"]
+
+
+def test_sync_reads_only_what_it_must(spark, tmp_path):
+    table = str(tmp_path / "table")
+    run_sync(spark, write_ledger(tmp_path, JOBS), table, str(tmp_path / "state"), NOW, "apply")
+    rows_path = str(tmp_path / "rows")
+    event_table.read_events(spark, table).limit(3).write.parquet(rows_path)
+    plan = decide(spark.read.parquet(rows_path), event_table.read_events(spark, table))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("dynamicpruning") >= 1 or "event_date" in plan
+    keys = logical_keys(event_table.read_events(spark, table), spark.read.parquet(rows_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in keys and keys.index("Aggregate") < keys.index("LeftSemi")
+
+
 def test_legacy_table_counts_as_found(spark):
     derived = spark.createDataFrame(
         [("a", "1", "found"), ("b", "1", "reply"), ("c", "2", "found")], "event_id string, job_id string, event_type string"
