@@ -64,27 +64,37 @@ def split_paragraphs(text: str, long_sentence: int = LONG_SENTENCE) -> list[tupl
     return found
 
 
+def _shingles(words: list[str], size: int) -> list[str]:
+    return [" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))]
+
+
 def shingle_hashes(words: list[str], size: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the word shingles; fewer words make one shingle."""
     digest = xxhash.xxh3_64_intdigest
-    text = [" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))]
-    return np.unique(np.fromiter((digest(s.encode("utf-8", "surrogatepass")) for s in text), np.uint64, len(text)))
+    return np.unique(np.array([digest(s.encode("utf-8", "surrogatepass")) for s in _shingles(words, size)], np.uint64))
 
 
 def _uid(words: list[str]) -> int:
     return xxhash.xxh3_64_intdigest(" ".join(words).encode("utf-8", "surrogatepass"), 1) - (1 << 63)
 
 
-def _band_keys(hashes: np.ndarray, factors: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    """One key per band: the band's number and minima mixed to a long."""
-    mixed = hashes[None, :] * factors[:, None]
-    mixed ^= mixed >> np.uint64(29)
-    least = mixed.min(axis=1).reshape(bands, rows)
-    key = np.arange(bands, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    for r in range(rows):
-        key = (key ^ least[:, r]) * np.uint64(0xFF51AFD7ED558CCD)
-        key ^= key >> np.uint64(32)
-    return key.view(np.int64)
+def _band_keys(paragraphs: list[list[str]], size: int, factors: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """(paragraph, band): the band's number and minima mixed to a long, for many paragraphs at once."""
+    digest, found, starts = xxhash.xxh3_64_intdigest, [], []
+    for words in paragraphs:
+        starts.append(len(found))
+        found += [digest(s.encode("utf-8", "surrogatepass")) for s in _shingles(words, size)]
+    hashes = np.array(found, np.uint64)
+    keys = np.empty((len(paragraphs), bands), np.int64)
+    for band in range(bands):
+        key = np.full(len(paragraphs), band, np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        for r in range(rows):
+            mixed = hashes * factors[band * rows + r]
+            mixed ^= mixed >> np.uint64(29)
+            key = (key ^ np.minimum.reduceat(mixed, starts)) * np.uint64(0xFF51AFD7ED558CCD)
+            key ^= key >> np.uint64(32)
+        keys[:, band] = key.view(np.int64)
+    return keys
 
 
 def paragraph_table(docs: DataFrame, bands: int, rows: int, shingle: int, least_words: int) -> DataFrame:
@@ -98,13 +108,17 @@ def paragraph_table(docs: DataFrame, bands: int, rows: int, shingle: int, least_
         for pdf in batches:
             for first in range(0, len(pdf), BATCH):
                 out: list[tuple] = []
+                worded = []
                 for doc, text in zip(pdf["doc_id"].iloc[first : first + BATCH], pdf["text"].iloc[first : first + BATCH], strict=True):
                     text = text or ""
                     for start, stop in split_paragraphs(text):
                         words = WORD.findall(text[start:stop].lower())
                         if len(words) >= least_words:
-                            out.append((doc, start, stop - start, len(words), _uid(words), _band_keys(shingle_hashes(words, shingle), factors, bands, rows)))
-                yield pd.DataFrame(out, columns=["doc_id", "start", "length", "words", "uid", "bands"])
+                            out.append((doc, start, stop - start, len(words), _uid(words)))
+                            worded.append(words)
+                found = pd.DataFrame(out, columns=["doc_id", "start", "length", "words", "uid"])
+                found["bands"] = list(_band_keys(worded, shingle, factors, bands, rows)) if out else []
+                yield found
 
     schema = "doc_id long, start int, length int, words int, uid long, bands array<long>"
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id is not null").mapInPandas(run, schema)
