@@ -114,17 +114,3 @@ LABELLED_COLUMNS = (
     "language",
     "notes",
 )
-LABELLED_SCHEMA = T.StructType([T.StructField(n, _S) for n in LABELLED_COLUMNS])
-
-RECORD_SCHEMA = T.StructType(
-    [
-        T.StructField("title", _S),
-        T.StructField("company", _S),
-        T.StructField("requirements", T.ArrayType(_S)),
-        T.StructField("location", _S),
-        T.StructField("contact", _S),
-        T.StructField("language", _S),
-        T.StructField("confidence", T.DoubleType()),
-        T.StructField("field_confidence", T.MapType(_S, T.DoubleType())),
-    ]
-)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,13 +72,8 @@ def wanted_file(relative_path: Column) -> Column:
     return suffix_mime(relative_path).isNotNull() & ~temporary & ~skipped
 
 
-def read_inbox(
-    spark: SparkSession, root: str, bus_root: str, suffixes: Sequence[str] = tuple(MIME_BY_SUFFIX)
-) -> DataFrame:
-    """Inbox files as ``(file_id, sha256, version, mime, length, modificationTime)``.
-
-    The suffix filter is given to the file source, so other files are never opened.
-    """
+def _files(spark: SparkSession, root: str, suffixes: Sequence[str]) -> DataFrame:
+    """Files below a folder; the suffix filter is given to the file source, so others are never opened."""
     letters = ["".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in s) for s in suffixes]
     files = (
         spark.read.format("binaryFile")
@@ -85,10 +81,38 @@ def read_inbox(
         .option("pathGlobFilter", "*{" + ",".join(letters) + "}")
         .load(root)
     )
-    path = F.regexp_replace("path", r"^[a-z0-9+.-]+:/+", "/")
+    below = F.substr(_plain_path(), F.lit(len(root.rstrip("/")) + 2))
+    return files.filter(wanted_file(below))
+
+
+def _plain_path() -> Column:
+    return F.regexp_replace("path", r"^[a-z0-9+.-]+:/+", "/")
+
+
+def read_listing(spark: SparkSession, root: str, suffixes: Sequence[str] = tuple(MIME_BY_SUFFIX)) -> DataFrame:
+    """Inbox files as ``(path, size, mtime)``; no file is opened."""
+    return _files(spark, root, suffixes).select("path", F.col("length").alias("size"), F.col("modificationTime").alias("mtime"))
+
+
+def read_inbox(
+    spark: SparkSession,
+    root: str,
+    bus_root: str,
+    suffixes: Sequence[str] = tuple(MIME_BY_SUFFIX),
+    since: datetime | None = None,
+) -> DataFrame:
+    """Inbox files as ``(path, file_id, sha256, version, mime, length, modificationTime)``.
+
+    ``since`` bounds the modification time, in the file source as well.
+    """
+    files = _files(spark, root, suffixes)
+    if since is not None:
+        files = files.filter(F.col("modificationTime") >= F.lit(since).cast("timestamp"))
+    path = _plain_path()
     below = lambda base: F.substr(path, F.lit(len(base.rstrip("/")) + 2))
     digest = F.sha2("content", 256)
-    return files.filter(wanted_file(below(root))).select(
+    return files.select(
+        "path",
         below(bus_root).alias("file_id"),
         digest.alias("sha256"),
         F.left(digest, F.lit(FILE_VERSION_CHARS)).alias("version"),

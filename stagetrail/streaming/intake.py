@@ -19,6 +19,7 @@ from stagetrail.constants import FILE_TASKS, MAX_ATTEMPTS, RETENTION_DAYS, RETRY
 from stagetrail.operators.contracts import check_messages, delivery_outcome, queue_items
 from stagetrail.schemas import TASK_SCHEMA_TYPE
 from stagetrail.sources.state import FOLD_EVERY, VersionedState
+from stagetrail.streaming.listener import heartbeat_rows
 
 # A handler gets the tasks of its type, one row per identity, and returns (dedupe_key, status)
 # or (dedupe_key, status, detail) with status done, rejected or transient.
@@ -219,15 +220,25 @@ class Intake:
         )
 
 
-def start_intake(messages: DataFrame, intake: Intake, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """Offsets move on only after a batch is completely written.
+def start_intake(
+    messages: DataFrame, intake: Intake, checkpoint: str, available_now: bool = True, heartbeats: str | None = None
+) -> StreamingQuery:
+    """Offsets move on only after a batch is completely written; then its heartbeat is, if there is a folder for them.
 
     A query that keeps running is also driven by ticks, so that retries come due when no message arrives.
     """
     if not available_now:
         ticks = messages.sparkSession.readStream.format("rate").load().select(F.lit(None).cast("string").alias("value"), F.lit(True).alias(TICK))
         messages = messages.select("value", F.lit(False).alias(TICK)).unionByName(ticks)
-    writer = messages.writeStream.foreachBatch(intake.process).option("checkpointLocation", checkpoint)
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        now = datetime.now(timezone.utc)
+        intake.process(batch, batch_id, now)
+        if heartbeats:
+            beat = heartbeat_rows("intake", batch, now)
+            beat.write.mode("overwrite").json(f"{heartbeats}/component=intake/batch={batch_id}")
+
+    writer = messages.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")).start()
 
 

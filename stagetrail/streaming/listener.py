@@ -23,9 +23,14 @@ def link_messages(updates: DataFrame, allowed_chats: DataFrame | Sequence[int],
 
 
 def start_listener(
-    updates: DataFrame, allowed_chats: Sequence[int], out: str, checkpoint: str, available_now: bool = True
+    updates: DataFrame,
+    allowed_chats: Sequence[int],
+    out: str,
+    checkpoint: str,
+    available_now: bool = True,
+    heartbeats: str | None = None,
 ) -> StreamingQuery:
-    """Publish tasks as line files, one folder per batch.
+    """Publish tasks as line files, one folder per batch, and a heartbeat per batch if there is a folder for them.
 
     The checkpoint moves past an update only after its task is written; a failed
     write stops the batch and it is repeated whole.
@@ -34,6 +39,8 @@ def start_listener(
     def publish(batch: DataFrame, batch_id: int) -> None:
         now = datetime.now(timezone.utc)
         link_messages(batch, allowed_chats, now).write.mode("overwrite").text(f"{out}/batch={batch_id}")
+        if heartbeats:
+            heartbeat_rows("listener", batch, now).write.mode("overwrite").json(f"{heartbeats}/component=listener/batch={batch_id}")
 
     writer = updates.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="5 seconds")).start()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from functools import reduce
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
@@ -18,6 +19,7 @@ from stagetrail.operators.percentiles import median, nearest_rank
 from stagetrail.operators.records import safe_file_ref
 from stagetrail.operators.scoring import adopted_path, plain_text, score_paths, token_f1, token_set
 from stagetrail.operators.hooks import Extraction
+from stagetrail.plans.watch import watch_folder
 from stagetrail.plans.queue import drain_queue, read_records, run_queue, structure_replies, write_queue_result
 from stagetrail.sources.event_table import read_events
 from stagetrail.sources.messages import encode_tasks, suffix_mime, wanted_file
@@ -530,6 +532,33 @@ def inbox_files(t: Tables) -> DataFrame:
     return named.filter(wanted_file(F.col("path"))).withColumn("mime", suffix_mime(F.col("path")))
 
 
+@query(
+    "folder_watch",
+    """SELECT scan, sha256(text || chr(10)) AS sha256, 'text/plain' AS mime, count(*) AS files
+FROM (SELECT text, CASE WHEN lang IN ('fr', 'es') THEN 3 ELSE 1 END AS scan FROM documents) GROUP BY ALL""",
+)
+def folder_watch(t: Tables) -> DataFrame:
+    """Four scans of a folder with a file per document; some arrive between the second and the third."""
+    root = run_folder(t.spark, "watch")
+    late = F.col("lang").isin("fr", "es")
+    arrive = lambda rows: rows.select("doc_id", "text").write.mode("append").partitionBy("doc_id").text(f"{root}/bus/inbox")
+    out = []
+    arrive(t.documents.filter(~late))
+    for scan in range(4):
+        if scan == 2:
+            arrive(t.documents.filter(late))
+        found = watch_folder(t.spark, f"{root}/bus/inbox", f"{root}/bus", f"{root}/state", f"{root}/tasks", scan, CREATED)
+        out.append(split_messages(found).valid.select(F.lit(scan).alias("scan"), "payload.sha256", "payload.mime"))
+    # Files that stay where they are come again two scans later; only first sightings are looked at here.
+    first = reduce(DataFrame.unionByName, out).groupBy("sha256", "mime", "scan").agg(F.count(F.lit(1)).alias("files"))
+    early = t.documents.filter(~late).select(F.sha2(F.concat("text", F.lit("\n")), 256).alias("sha256"), F.lit(1).alias("again")).distinct()
+    again = first.join(early, "sha256", "left").filter("scan = 3 AND again = 1")
+    kept = t.documents.filter(~late).groupBy(F.sha2(F.concat("text", F.lit("\n")), 256).alias("sha256")).agg(F.count(F.lit(1)).alias("old"))
+    new = again.join(kept, "sha256").select("scan", "sha256", "mime", (F.col("files") - F.col("old")).alias("files")).filter("files > 0")
+    fresh = first.join(early, "sha256", "left").filter("scan = 1 OR again IS NULL").select("scan", "sha256", "mime", "files")
+    return fresh.unionByName(new)
+
+
 @query(
     "file_refs",
     """WITH f AS (SELECT p_partkey, CASE p_type WHEN 'PROMO' THEN '../' WHEN 'LARGE' THEN '/etc/' WHEN 'SMALL' THEN 'a\\..\\' ELSE 'in/..x/' END || p_name AS ref, p_type FROM part)

@@ -178,6 +178,26 @@ def test_sync_reads_only_what_it_must(spark, tmp_path):
     assert "LeftSemi" in keys and keys.index("Aggregate") < keys.index("LeftSemi")
 
 
+def test_table_is_named_swapped_and_reset(spark, tmp_path):
+    path, events = str(tmp_path / "t"), derive_events(ledger.read_ledger(spark, write_ledger(tmp_path, JOBS)), NOW).events
+    for _ in range(2):
+        event_table.append_events(events, path, NOW, dry_run=False)
+    event_table.create_table(spark, "life_events", path)
+    assert spark.table("life_events").count() == 36
+    event_table.rewrite_deduplicated(spark, path, str(tmp_path / "clean"))
+    event_table.swap_in(spark, path, str(tmp_path / "clean"), str(tmp_path / "before"))
+    assert event_table.read_events(spark, path).count() == 18 and event_table.read_events(spark, str(tmp_path / "before")).count() == 36
+    with pytest.raises(FileExistsError):
+        event_table.swap_in(spark, path, str(tmp_path / "before"), str(tmp_path / "before"))
+    with pytest.raises(FileNotFoundError):
+        event_table.swap_in(spark, path, str(tmp_path / "none"), str(tmp_path / "other"))
+    event_table.create_table(spark, "life_events", path, replace=True)
+    assert spark.table("life_events").count() == 18
+    event_table.reset_table(spark, path, str(tmp_path / "last"))
+    assert event_table.read_events(spark, path).count() == 0
+    spark.sql("DROP TABLE life_events")
+
+
 def test_legacy_table_counts_as_found(spark):
     derived = spark.createDataFrame(
         [("a", "1", "found"), ("b", "1", "reply"), ("c", "2", "found")], "event_id string, job_id string, event_type string"

@@ -9,6 +9,8 @@ from test_text import MESSAGES, link_task
 
 from stagetrail import constants as C
 from stagetrail.operators.contracts import build_tasks, check_messages
+from stagetrail.operators.quality import heartbeat_health
+from stagetrail.plans.watch import watch_folder
 from stagetrail.sources.messages import encode_tasks, read_chat_updates, read_messages
 from stagetrail.streaming.intake import Intake, by_call, by_response, file_handlers, first_deliveries, start_intake
 from stagetrail.streaming.listener import start_listener
@@ -152,7 +154,9 @@ def test_unknown_type_is_rejected(spark, tmp_path):
 def test_listener_publishes_valid_links(spark, tmp_path):
     deliver(spark, tmp_path / "in", "0.json", [json.dumps({"update_id": i, **m}) for i, m in enumerate(MESSAGES)])
     stream = read_chat_updates(spark, str(tmp_path / "in"), streaming=True)
-    start_listener(stream, [1, 2], str(tmp_path / "out"), str(tmp_path / "c")).awaitTermination()
+    start_listener(stream, [1, 2], str(tmp_path / "out"), str(tmp_path / "c"), heartbeats=str(tmp_path / "beats")).awaitTermination()
+    health = heartbeat_health(spark.read.json(str(tmp_path / "beats")), datetime.now(timezone.utc)).collect()
+    assert [(r["component"], r["status"]) for r in health] == [("listener", "ok")]
     got = check_messages(read_messages(spark, str(tmp_path / "out"))).collect()
     assert {r["task"]["payload"]["url"] for r in got} == {"https://a.example/safe", "https://b.example/y", "https://d.example"}
     assert all(r["reason"] is None for r in got)
@@ -212,3 +216,25 @@ def test_first_deliveries(spark, tmp_path):
     )
     query.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).groupBy().agg(F.count("*")).first()[0] == 2
+
+
+def test_folder_watch(spark, tmp_path):
+    inbox, bus = tmp_path / "bus" / "inbox", tmp_path / "bus"
+    inbox.mkdir(parents=True)
+    (inbox / "a.txt").write_text("one")
+    (inbox / "sub").mkdir()
+    (inbox / "sub" / "b.PNG").write_text("two")
+    (inbox / "c.txt.partial").write_text("x")
+    scan = lambda n: sorted(
+        r["task"]["payload"]["file_id"]
+        for r in check_messages(watch_folder(spark, str(inbox), str(bus), str(tmp_path / "s"), str(tmp_path / "o"), n, datetime(2025, 1, 1))).collect()
+    )
+    assert scan(0) == []
+    (inbox / "late.txt").write_text("three")
+    assert scan(1) == ["inbox/a.txt", "inbox/sub/b.PNG"] == scan(1)
+    (inbox / "late.txt").write_text("three, longer")
+    (inbox / "a.txt").unlink()
+    assert scan(2) == []
+    (inbox / "a.txt").write_text("one")
+    assert scan(3) == ["inbox/late.txt", "inbox/sub/b.PNG"]
+    assert scan(4) == ["inbox/a.txt"]
