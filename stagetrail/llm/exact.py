@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stagetrail.llm.common import own_exchange, own_text, stored
+from stagetrail.llm.common import discard, own_exchange, own_text, stored
 
 #: Characters the second step looks at; the third reads whole texts, so this bounds work, not results.
 PREFIX = 64
@@ -30,6 +30,7 @@ def exact_groups(docs: DataFrame, prefix: int = PREFIX) -> DataFrame:
     heads = heads.select(own_exchange("size").alias("k"), own_exchange("head").alias("h"))
     refined = slim.join(heads, (F.col("size") == F.col("k")) & (F.col("head") == F.col("h")), "left")
     refined = stored(refined.select("doc_id", "size", "head", F.col("k").isNotNull().alias("open")), "exact-open")
+    discard(slim)
     alone = refined.where("not open").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"))
 
     ids = refined.where("open").select(F.col("doc_id").alias("i"), F.col("size").alias("k"), F.col("head").alias("h")).distinct()

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stagetrail.llm.common import WORD, components, in_cells, own_exchange, per_cell, stored
+from stagetrail.llm.common import WORD, components, discard, in_cells, own_exchange, per_cell, stored
 
 #: A sentence of this many words stands alone as a paragraph; runs of shorter ones stay together.
 LONG_SENTENCE = 12
@@ -193,10 +193,12 @@ def duplicate_paragraphs(
     wanted = met.select(own_exchange("uid").alias("k")).distinct()
     wanted = found.select("uid", "doc_id", "start", "length").join(wanted, F.col("uid") == F.col("k"), "left_semi")
     wanted = wanted.groupBy("uid").agg(first.alias("at")).select("uid", "at.*")
-    hashes = stored(_with_shingles(docs, wanted, shingle), "paragraph-shingles").select(own_exchange("uid").alias("u"), "hashes")
-    cells = in_cells(met, "key", "uid", CHUNK).join(hashes, F.col("uid") == F.col("u")).drop("u")
-    edges = per_cell(cells, "key", _verify(similarity), "a long, b long")
-    joined = components(edges)
+    hashes = stored(_with_shingles(docs, wanted, shingle), "paragraph-shingles")
+    held = hashes.select(own_exchange("uid").alias("u"), "hashes")
+    cells = in_cells(met, "key", "uid", CHUNK).join(held, F.col("uid") == F.col("u")).drop("u")
+    joined = components(per_cell(cells, "key", _verify(similarity), "a long, b long"))
+    discard(met)
+    discard(hashes)
 
     classes = found.groupBy("uid").agg(F.count("*").alias("n"), first.alias("at"))
     classes = classes.join(joined.select(own_exchange("node").alias("node"), "component"), F.col("uid") == F.col("node"), "left")

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stagetrail.llm.common import WORD, components, forest, in_cells, own_exchange, per_cell, stored
+from stagetrail.llm.common import WORD, components, discard, forest, in_cells, own_exchange, per_cell, stored
 
 SEED = 42
 BITS = 64
@@ -143,9 +143,9 @@ def simhash_components(docs: DataFrame, words: int = 4, max_bits: int = 4, segme
     marked = stored(fingerprints(docs, words), "simhash")
     nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
     nodes = stored(nodes, "simhash-nodes")
-    cells = in_cells(stored(anchored(nodes, max_bits, segments), "simhash-anchors"), "anchor", "fp", CHUNK)
-    edges = per_cell(cells, "anchor", _compare(max_bits), "a long, b long")
-    joined = components(edges)
+    sent = stored(anchored(nodes, max_bits, segments), "simhash-anchors")
+    joined = components(per_cell(in_cells(sent, "anchor", "fp", CHUNK), "anchor", _compare(max_bits), "a long, b long"))
+    discard(sent)
     known = nodes.join(joined.select(own_exchange("node").alias("node"), "component"), F.col("fp") == F.col("node"), "left")
     known = stored(known.select("fp", "least", F.coalesce("component", "fp").alias("component")), "simhash-classes")
     smallest = known.groupBy("component").agg(F.min("least").alias("component_id"))
