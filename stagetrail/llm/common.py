@@ -20,6 +20,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+#: Rows that go to a Python worker at once; texts may be long, and several workers share an executor's memory.
+ROWS_PER_BATCH = 1000
+
+
+def texts_of(docs: DataFrame) -> DataFrame:
+    """(doc_id long, text string) for a Python worker, in batches of bounded memory."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows written to the folder all executors share and read back, so that lost executors cost no recomputation."""
     spark = df.sparkSession

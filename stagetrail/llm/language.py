@@ -10,6 +10,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stagetrail.llm.common import ROWS_PER_BATCH
+
 #: Bytes the network reads at once, in both directions; longer texts are read in consecutive windows.
 WINDOW = 64
 HIDDEN = 8
@@ -199,6 +201,7 @@ def identify(docs: DataFrame, model: ByteGru | None, column: str = "language") -
     could be learnt. Every row and column is kept; a column that already has the struct's name is replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
 
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         net = shared.value

@@ -15,14 +15,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from stagetrail.llm.common import stored
+from stagetrail.llm.common import stored, texts_of
 
 CAPACITY = 2048
 #: Lengths above this share of the capacity are grouped and placed by configurations; the rest are best-fitted.
 LARGE = 0.4
 GROUPS = 600
 #: Strings remembered per worker, and the longest that is.
-REMEMBERED, LONGEST_REMEMBERED = 400_000, 48
+REMEMBERED, LONGEST_REMEMBERED = 150_000, 48
 #: Shares into which the pieces of one length are cut to number them.
 SHARES = 64
 
@@ -122,7 +122,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
             yield pd.Series(out)
 
     cut = F.pandas_udf(run, "array<struct<piece: int, start: long, length: long, ids_crc32: long>>")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(cut(F.col("text").cast("string"))).alias("cut")).select("doc_id", "cut.*")
+    return texts_of(docs).select("doc_id", F.explode(cut("text")).alias("cut")).select("doc_id", "cut.*")
 
 
 # ---- the plan: made from the number of pieces of each length, at most `capacity` numbers however many pieces ----

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stagetrail.llm.common import WORD, components, discard, in_cells, own_exchange, per_cell, stored
+from stagetrail.llm.common import WORD, components, discard, in_cells, own_exchange, per_cell, stored, texts_of
 
 #: A sentence of this many words stands alone as a paragraph; runs of shorter ones stay together.
 LONG_SENTENCE = 12
@@ -121,7 +121,7 @@ def paragraph_table(docs: DataFrame, bands: int, rows: int, shingle: int, least_
                 yield found
 
     schema = "doc_id long, start int, length int, words int, uid long, bands array<long>"
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id is not null").mapInPandas(run, schema)
+    return texts_of(docs).where("doc_id is not null").mapInPandas(run, schema)
 
 
 def _with_shingles(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
@@ -139,8 +139,7 @@ def _with_shingles(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFram
                             out.append((s["uid"], shingle_hashes(words, shingle).tobytes()))
                 yield pd.DataFrame(out, columns=["uid", "hashes"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.join(spans, "doc_id").select("text", "spans").mapInPandas(run, "uid long, hashes binary").dropDuplicates(["uid"])
+    return texts_of(docs).join(spans, "doc_id").select("text", "spans").mapInPandas(run, "uid long, hashes binary").dropDuplicates(["uid"])
 
 
 def _verify(similarity: float):

@@ -16,6 +16,8 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stagetrail.llm.common import texts_of
+
 SPACE = "▁"
 #: Segments remembered per worker, and the longest that is.
 REMEMBERED, LONGEST_REMEMBERED = 400_000, 48
@@ -214,4 +216,4 @@ def encode_documents(docs: DataFrame, model_path: str, digests: bool = False) ->
 
     names = ["n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["ids", "decoded"]
     coded = F.pandas_udf(run, "n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "ids array<long>, decoded string")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), coded(F.col("text").cast("string")).alias("coded")).select("doc_id", "coded.*")
+    return texts_of(docs).select("doc_id", coded("text").alias("coded")).select("doc_id", "coded.*")

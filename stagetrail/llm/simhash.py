@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stagetrail.llm.common import WORD, components, discard, forest, in_cells, own_exchange, per_cell, stored
+from stagetrail.llm.common import WORD, components, discard, forest, in_cells, own_exchange, per_cell, stored, texts_of
 
 SEED = 42
 BITS = 64
@@ -47,7 +47,7 @@ def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
     def marked(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(t, words) for t in texts], np.uint64).view(np.int64))
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), marked(F.col("text").cast("string")).alias("fp"))
+    return texts_of(docs).select("doc_id", marked("text").alias("fp"))
 
 
 class Cover:

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stagetrail.llm.common import WORD
+from stagetrail.llm.common import WORD, texts_of
 
 #: Features are hashed to this many places.
 PLACES = 1 << 18
@@ -145,8 +145,7 @@ def train(docs: DataFrame, labels: DataFrame, docs_per_label: int = DOCS_PER_LAB
                 part = pdf.iloc[a : a + TEXTS]
                 yield pd.DataFrame({"doc_id": part["doc_id"], "toxic": part["toxic"], "found": [features(t).tobytes() for t in part["text"]]})
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sample = texts.join(chosen.select(F.col("doc_id").alias("id"), "toxic"), F.col("doc_id") == F.col("id")).select("doc_id", "toxic", "text")
+    sample = texts_of(docs).join(chosen.select(F.col("doc_id").alias("id"), "toxic"), F.col("doc_id") == F.col("id")).select("doc_id", "toxic", "text")
     rows = sorted((r["doc_id"], r["toxic"], bytes(r["found"])) for r in sample.mapInPandas(extract, "doc_id long, toxic int, found binary").collect())
     found, toxic = [np.frombuffer(r[2], np.int32) for r in rows], np.array([r[1] for r in rows])
     if len(set(toxic.tolist())) < 2:
@@ -178,4 +177,4 @@ def severity(docs: DataFrame, labels: DataFrame, docs_per_label: int = DOCS_PER_
             yield pd.DataFrame({"expected_severity": above.sum(axis=1), "grade": (above > 0.5).sum(axis=1), "toxic": above[:, 0] > DECISION})
 
     judge = F.pandas_udf(run, "expected_severity double, grade int, toxic boolean")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), judge(F.col("text").cast("string")).alias("judged")).select("doc_id", "judged.*")
+    return texts_of(docs).select("doc_id", judge("text").alias("judged")).select("doc_id", "judged.*")
