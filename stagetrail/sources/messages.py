@@ -47,8 +47,8 @@ def read_labelled(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_report(report: DataFrame, path: str) -> None:
-    """A report is a handful of rows, so one JSON file."""
-    report.coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    """A report as one JSON file; only its rows meet in one task, not the work behind them."""
+    report.repartition(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
 def suffix_mime(path: Column) -> Column:
