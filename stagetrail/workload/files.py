@@ -104,13 +104,14 @@ def report_file(t: Tables) -> DataFrame:
 
 @query(
     "refused_snapshots",
-    """SELECT n_nationkey, name, name LIKE '%/jobs.json' OR name LIKE '%/jobs_b.json' AS accepted FROM (
-  SELECT n_nationkey, CASE n_nationkey % 4 WHEN 0 THEN '/ledger/jobs.json' WHEN 1 THEN '/ledger/jobs_b.json' WHEN 2 THEN '/ledger/jobs.json.bak'
-         ELSE '/vault/jobs.json.txt' END AS name FROM nation)""",
+    """SELECT p_partkey, name, name LIKE '%/jobs.json' OR name LIKE '%/jobs_b.json' AS accepted FROM (
+  SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN '/ledger/jobs.json' WHEN 1 THEN '/ledger/jobs_b.json' WHEN 2 THEN '/ledger/jobs.json.bak'
+         ELSE '/vault/jobs.json' END AS name FROM part) WHERE name NOT LIKE '/vault%'
+UNION ALL SELECT p_partkey, '/vault/jobs.json', false FROM part WHERE p_partkey % 4 = 3""",
 )
 def refused_snapshots(t: Tables) -> DataFrame:
-    """Which of the paths, one per nation, a sync would take."""
-    names = ["/ledger/jobs.json", "/ledger/jobs_b.json", "/ledger/jobs.json.bak", "/vault/jobs.json.txt"]
+    """Which of the paths, one per part, a sync would take."""
+    names = ["/ledger/jobs.json", "/ledger/jobs_b.json", "/ledger/jobs.json.bak", "/vault/jobs.json"]
 
     def accepted(path: str) -> bool:
         try:
@@ -120,7 +121,7 @@ def refused_snapshots(t: Tables) -> DataFrame:
         return True
 
     judged = F.create_map(*[F.lit(x) for n in names for x in (n, accepted(n))])
-    paths = t.nation.select("n_nationkey", F.element_at(F.array(*[F.lit(n) for n in names]), (F.col("n_nationkey") % 4 + 1).cast("int")).alias("name"))
+    paths = t.part.select("p_partkey", F.element_at(F.array(*[F.lit(n) for n in names]), (F.col("p_partkey") % 4 + 1).cast("int")).alias("name"))
     return paths.withColumn("accepted", judged[F.col("name")])
 
 
