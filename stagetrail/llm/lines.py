@@ -28,6 +28,11 @@ def page_lines(html: F.Column) -> F.Column:
     return F.filter(F.transform(F.split(text, "\n"), lambda line: F.regexp_replace(line, EDGES, "")), lambda line: line != "")
 
 
+def _key(line: F.Column) -> F.Column:
+    """16 bytes that stand for a line wherever lines are counted and compared."""
+    return F.unhex(F.md5(line))
+
+
 def drop_site_lines(pages: DataFrame, ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
     """(page_id, host, lines, dropped, text) of every row of pages; text is the lines that stay.
 
@@ -40,12 +45,14 @@ def drop_site_lines(pages: DataFrame, ratio: float = RATIO, least_pages: int = L
     parsed = pages.select("page_id", url_host(F.col("url").cast("string")).alias("host"), page_lines(F.col("html").cast("string")).alias("all_lines"))
     parsed = stored(parsed, "page-lines")
     totals = parsed.groupBy("host").agg(F.count("*").alias("total")).where(F.col("total") >= least_pages)
-    seen = parsed.select("host", F.explode(F.array_distinct("all_lines")).alias("line")).groupBy("host", "line").agg(F.count("*").alias("n"))
+    keys = F.array_distinct(F.transform("all_lines", _key))
+    seen = parsed.select("host", F.explode(keys).alias("line")).groupBy("host", "line").agg(F.count("*").alias("n"))
     seen = seen.where(F.col("n") > ratio * least_pages)
     common = seen.join(totals.select(own_text("host").alias("h"), "total"), F.col("host") == F.col("h")).where(F.col("n") > F.col("total") * F.lit(ratio))
-    common = common.groupBy("host").agg(F.collect_set("line").alias("common")).select(own_text("host").alias("h"), "common")
+    # Written first, so that its size is known: pages are only moved if the lines of all hosts are too many to send around.
+    common = stored(common.groupBy("host").agg(F.collect_set("line").alias("common")), "common-lines").select(own_text("host").alias("h"), "common")
     joined = parsed.join(common, F.col("host") == F.col("h"), "left")
-    kept = F.when(F.col("common").isNull(), F.col("all_lines")).otherwise(F.filter("all_lines", lambda line: ~F.array_contains(F.col("common"), line)))
+    kept = F.when(F.col("common").isNull(), F.col("all_lines")).otherwise(F.filter("all_lines", lambda line: ~F.array_contains(F.col("common"), _key(line))))
     out = joined.select("page_id", "host", "all_lines", kept.alias("kept"))
     return out.select(
         "page_id",
