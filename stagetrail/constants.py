@@ -47,6 +47,17 @@ TITLE_RULES = (
     ("software_engineer", r"\bsoftware engineer\b|\bdeveloper\b|\bbackend\b|\bfrontend\b|\bfull ?stack\b|מפתח|מתכנת"),
 )
 
+# Every match of a title rule contains one of its words; checked before the rule itself.
+TITLE_WORDS = {
+    "ml_engineer": ("engineer", "mlops", "mle", "מהנדס"),
+    "data_engineer": ("data engineer", "etl", "data pipeline", "מהנדס"),
+    "data_scientist": ("data scien", "מדע"),
+    "bi_analyst": ("bi", "business intelligence", "looker", "tableau"),
+    "data_analyst": ("analyst", "analytics", "אנליסט"),
+    "research": ("research", "חוקר", "מחקר"),
+    "software_engineer": ("software engineer", "developer", "backend", "frontend", "full", "מפתח", "מתכנת"),
+}
+
 # -- fixed values: statistics and data quality ----------------------------------
 WILSON_Z = 1.96
 MIN_GROUP_SIZE = 30
