@@ -2,6 +2,7 @@
 
 import json
 import random
+import time
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
@@ -143,6 +144,23 @@ def test_a_failing_handler_stops_nobody_else(spark, tmp_path):
     assert got == {C.LINK_TASK: ("failed", "max_attempts"), "drive_file": ("done", None), "ocr_job_image": ("failed", "max_attempts")}
 
 
+def test_ticks_drive_retries_when_nothing_arrives(spark, tmp_path):
+    seen = tmp_path / "calls"
+    (tmp_path / "in").mkdir()
+    lines = link_lines(spark, ["https://a.example/bad"]).collect()
+    deliver(spark, tmp_path / "in", "0.txt", [r["value"] for r in lines])
+    intake = Intake(str(tmp_path / "state"), {C.LINK_TASK: by_call(counting(seen, fail="bad"))})
+    query = start_intake(read_messages(spark, str(tmp_path / "in"), streaming=True), intake, str(tmp_path / "c"), available_now=False)
+    try:
+        until = time.time() + 90
+        while time.time() < until and query.isActive and len(calls(seen)) < 2:
+            time.sleep(1)
+    finally:
+        query.stop()
+    assert len(calls(seen)) >= 2
+    assert [(r["status"], r["deliveries"]) for r in intake.state.read(spark).collect()] == [("retry", 1)]
+
+
 def test_unknown_type_is_rejected(spark, tmp_path):
     lines = [json.dumps(link_task(spark))]
     intake = Intake(str(tmp_path / "state"), file_handlers())
