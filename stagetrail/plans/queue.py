@@ -64,11 +64,13 @@ def drain_queue(items: DataFrame, files: DataFrame, extract: Extractor, path_nam
     checked = items.withColumn("mime", F.coalesce("mime", F.lit("image/png"))).withColumn(
         "_safe", safe_file_ref(F.col("file_id"))
     )
-    joined = checked.join(files.select("file_id", "content"), "file_id", "left")
-    problem = F.when(~F.col("_safe"), F.lit("invalid file_id path")).when(F.col("content").isNull(), F.lit("missing image"))
-    routed = joined.withColumn("error", problem).drop("_safe")
-    errors = routed.filter("error IS NOT NULL").drop("content")
-    results = run_extractor(routed.filter("error IS NULL").drop("error"), extract, ATTEMPTS)
+    safe = checked.filter("_safe").drop("_safe")
+    # An inner join lets Spark send a short queue to the files; contents then stay where they are read.
+    found = files.select("file_id", "content").join(safe, "file_id")
+    missing = safe.join(files.select("file_id"), "file_id", "left_anti")
+    unsafe = checked.filter("NOT _safe").drop("_safe").withColumn("error", F.lit("invalid file_id path"))
+    errors = unsafe.unionByName(missing.withColumn("error", F.lit("missing image")))
+    results = run_extractor(found, extract, ATTEMPTS)
     records = structure_replies(results).withColumn("path", F.lit(path_name))
     return QueueResult(records, errors)
 
