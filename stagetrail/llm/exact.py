@@ -25,7 +25,8 @@ def exact_groups(docs: DataFrame, prefix: int = PREFIX) -> DataFrame:
     size, head = F.octet_length(text).cast("long").alias("size"), F.xxhash64(F.substring(text, 1, prefix)).alias("head")
     slim = stored(docs.select(F.col("doc_id").cast("long"), size, head), "exact-slim")
     sizes = slim.groupBy("size").agg(F.count("*").alias("n")).where("n > 1").select(own_exchange("size").alias("k"))
-    alike = slim.join(sizes, F.col("size") == F.col("k"), "left_semi")
+    # A key of its own makes the count combine rows before it shuffles; the join's partitions by length may be hot.
+    alike = slim.join(sizes, F.col("size") == F.col("k"), "left_semi").select(own_exchange("size").alias("size"), "head")
     heads = alike.groupBy("size", "head").agg(F.count("*").alias("n")).where("n > 1")
     heads = heads.select(own_exchange("size").alias("k"), own_exchange("head").alias("h"))
     refined = slim.join(heads, (F.col("size") == F.col("k")) & (F.col("head") == F.col("h")), "left")

@@ -188,10 +188,12 @@ def duplicate_paragraphs(
     keys = found.select("uid", F.explode("bands").alias("key"))
     shared = keys.groupBy("key").agg(F.min("uid").alias("low"), F.max("uid").alias("high")).where("low <> high")
     shared = shared.select(own_exchange("key").alias("k"))
-    met = stored(keys.join(shared, F.col("key") == F.col("k"), "left_semi").distinct(), "paragraph-bands")
+    # Keys of their own make distinct and minimum combine rows before they shuffle; the joins' partitions may be hot.
+    met = keys.join(shared, F.col("key") == F.col("k"), "left_semi").select("uid", own_exchange("key").alias("key"))
+    met = stored(met.distinct(), "paragraph-bands")
     wanted = met.select(own_exchange("uid").alias("k")).distinct()
     wanted = found.select("uid", "doc_id", "start", "length").join(wanted, F.col("uid") == F.col("k"), "left_semi")
-    wanted = wanted.groupBy("uid").agg(first.alias("at")).select("uid", "at.*")
+    wanted = wanted.withColumn("uid", own_exchange("uid")).groupBy("uid").agg(first.alias("at")).select("uid", "at.*")
     hashes = stored(_with_shingles(docs, wanted, shingle), "paragraph-shingles")
     held = hashes.select(own_exchange("uid").alias("u"), "hashes")
     cells = in_cells(met, "key", "uid", CHUNK).join(held, F.col("uid") == F.col("u")).drop("u")
