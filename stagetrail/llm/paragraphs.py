@@ -116,9 +116,10 @@ def paragraph_table(docs: DataFrame, bands: int, rows: int, shingle: int, least_
                         if len(words) >= least_words:
                             out.append((doc, start, stop - start, len(words), _uid(words)))
                             worded.append(words)
-                found = pd.DataFrame(out, columns=["doc_id", "start", "length", "words", "uid"])
-                found["bands"] = list(_band_keys(worded, shingle, factors, bands, rows)) if out else []
-                yield found
+                if out:
+                    found = pd.DataFrame(out, columns=["doc_id", "start", "length", "words", "uid"])
+                    found["bands"] = list(_band_keys(worded, shingle, factors, bands, rows))
+                    yield found
 
     schema = "doc_id long, start int, length int, words int, uid long, bands array<long>"
     return texts_of(docs).where("doc_id is not null").mapInPandas(run, schema)
@@ -137,7 +138,8 @@ def _with_shingles(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFram
                         words = WORD.findall(text[s["start"] : s["start"] + s["length"]].lower())
                         if words and _uid(words) == s["uid"]:
                             out.append((s["uid"], shingle_hashes(words, shingle).tobytes()))
-                yield pd.DataFrame(out, columns=["uid", "hashes"])
+                if out:
+                    yield pd.DataFrame(out, columns=["uid", "hashes"])
 
     return texts_of(docs).join(spans, "doc_id").select("text", "spans").mapInPandas(run, "uid long, hashes binary").dropDuplicates(["uid"])
 

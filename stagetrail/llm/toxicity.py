@@ -25,7 +25,7 @@ STEPS, RATE, DECAY = 200, 0.05, 2e-3
 #: Features of fewer than this share of the sampled documents (and of fewer than two) get no weight.
 LEAST_SHARE = 0.005
 #: A document counts as toxic if its grade is above 0 with more than this probability.
-DECISION = 0.3
+DECISION = 0.35
 REMEMBERED = 400_000
 TEXTS = 128
 

@@ -191,6 +191,10 @@ def test_paragraph_edge_cases(spark):
     assert left == {None: line, 1: line + "\n", 9: rows[3][1]}
 
 
+def test_no_paragraph_is_long_enough(spark):
+    assert paragraphs.duplicate_paragraphs(documents(spark, [None, "", "a b c", "x\ny", "a b c"] * 40)).count() == 0
+
+
 def test_bands_reach_the_recall():
     for similarity in (0.7, 0.8, 0.9):
         bands, rows = paragraphs.tune_bands(similarity, 0.995)
