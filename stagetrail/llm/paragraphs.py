@@ -193,7 +193,7 @@ def duplicate_paragraphs(
     # Keys of their own make distinct and minimum combine rows before they shuffle; the joins' partitions may be hot.
     met = keys.join(shared, F.col("key") == F.col("k"), "left_semi").select("uid", own_exchange("key").alias("key"))
     met = stored(met.distinct(), "paragraph-bands")
-    wanted = met.select(own_exchange("uid").alias("k")).distinct()
+    wanted = met.select("uid").distinct().select(own_exchange("uid").alias("k"))
     wanted = found.select("uid", "doc_id", "start", "length").join(wanted, F.col("uid") == F.col("k"), "left_semi")
     wanted = wanted.withColumn("uid", own_exchange("uid")).groupBy("uid").agg(first.alias("at")).select("uid", "at.*")
     hashes = stored(_with_shingles(docs, wanted, shingle), "paragraph-shingles")
