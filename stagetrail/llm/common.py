@@ -59,6 +59,11 @@ def own_text(column: str) -> F.Column:
     return F.concat(F.col(column), F.lit(""))
 
 
+def text_key(column: str) -> F.Column:
+    """32 bytes that stand for a text; null counts as empty."""
+    return F.unhex(F.sha2(F.coalesce(F.col(column).cast("string"), F.lit("")), 256))
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node reachable over undirected edges between longs.
 

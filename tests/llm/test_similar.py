@@ -1,0 +1,58 @@
+"""Near copies of whole documents, planted by Jaccard similarity and held against all pairs."""
+
+import random
+
+import pytest
+from brute import DOCS, classes, documents, prose, vocabulary
+
+import corpus_pipeline
+from stagetrail.llm import similar
+
+
+def shingles(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b)
+
+
+def planted(seed, low, high, n):
+    """n pairs of texts whose similarity is in [low, high): words of one are changed until it is."""
+    rng = random.Random(seed)
+    words, out = vocabulary(rng), []
+    while len(out) < 2 * n:
+        text = prose(rng, rng.randint(60, 400), words)
+        copy = text.split()
+        while jaccard(shingles(text), shingles(" ".join(copy))) >= high:
+            copy[rng.randrange(len(copy))] = rng.choice(words)
+        if jaccard(shingles(text), shingles(" ".join(copy))) >= low:
+            out += [text, " ".join(copy)]
+    return out
+
+
+@pytest.mark.parametrize(("low", "high", "linked"), [(0.65, 0.8, False), (0.8, 0.85, True), (0.85, 0.9, True), (0.9, 0.99, True)])
+def test_near_stage_goes_by_jaccard(spark, low, high, linked):
+    texts = planted(1, low, high, 40)
+    left = {r["doc_id"] for r in corpus_pipeline.near_copies(spark, documents(spark, texts), "").collect()}
+    assert left == set(range(0, len(texts), 2 if linked else 1))
+
+
+def test_against_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(similar, "CHUNK", 4)
+    texts = planted(2, 0.6, 0.95, 30) + [None, "", " \n", "one", "ONE", "one two three"]
+    base = texts[0].split()
+    for k in range(0, 40, 2):
+        texts.append(" ".join([*base[:k], "changed", *base[k + 1 :]]))
+    sets = [shingles(t) for t in texts]
+    root = classes(range(len(texts)), lambda a, b: jaccard(sets[a], sets[b]) >= 0.8)
+    got = similar.similar_documents(documents(spark, texts, extra=True)).collect()
+    assert {r["doc_id"]: (r["component_id"], r["kept"]) for r in got} == {i: (r, r == i) for i, r in root.items()}
+
+
+def test_edge_cases(spark):
+    assert similar.similar_documents(spark.createDataFrame([], DOCS)).count() == 0
+    rows = [(None, "a b", None, None, None), (7, "a B", None, None, None), (None, "c", None, None, None), (None, "C", None, None, None)]
+    got = similar.similar_documents(spark.createDataFrame(rows, DOCS)).collect()
+    assert sorted((r["component_id"] or 0, r["kept"]) for r in got) == [(0, False), (0, True), (7, False), (7, True)]
