@@ -7,16 +7,16 @@ from pyspark.sql import functions as F
 
 from stagetrail.llm.common import discard, own_exchange, own_text, stored
 
-#: Characters the second step looks at; the third reads whole texts, so this bounds work, not results.
+#: Characters the second step looks at; the third compares whole texts, so this bounds work, not results.
 PREFIX = 64
 
 
 def exact_groups(docs: DataFrame, prefix: int = PREFIX) -> DataFrame:
-    """(doc_id, keep_id, group_size, kept): one row per row of docs; of equal texts the largest doc_id stays.
+    """(doc_id, keep_id, group_size, kept, text_sha256): one row per row of docs; of equal texts the largest doc_id stays.
 
-    1. Texts are grouped by byte length; 2. those that share it by a hash of their first characters; 3. only for
-    documents that share both is the whole text read and hashed (SHA-256). Every step shuffles a few numbers per row,
-    and a text crosses the network only as one row of its own doc_id, so no group of copies meets in one task.
+    1. Texts are grouped by byte length; 2. those that share it by a hash of their first characters; 3. only documents
+    that share both are grouped by the digest of the whole text (SHA-256), which every row carries out of the same pass.
+    Every step shuffles a few numbers or the digest per row, never a text, and no group of copies meets in one task.
 
     Null counts as empty. A null doc_id takes part as the smallest. Rows that share a doc_id and a text stay or go
     together. An empty table gives no rows; other columns are ignored.
@@ -32,14 +32,15 @@ def exact_groups(docs: DataFrame, prefix: int = PREFIX) -> DataFrame:
     refined = slim.join(heads, (F.col("size") == F.col("k")) & (F.col("head") == F.col("h")), "left")
     refined = stored(refined.select("doc_id", "size", "head", F.col("k").isNotNull().alias("open")), "exact-open")
     discard(slim)
-    alone = refined.where("not open").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"))
 
-    ids = refined.where("open").select(F.col("doc_id").alias("i"), F.col("size").alias("k"), F.col("head").alias("h")).distinct()
-    whole = docs.select(F.col("doc_id").cast("long"), size, head, text.alias("whole"))
+    ids = refined.where("open").select(F.col("doc_id").alias("i"), F.col("size").alias("k"), F.col("head").alias("h"), "open").distinct()
+    whole = docs.select(F.col("doc_id").cast("long"), size, head, F.sha2(text, 256).alias("text_sha256"))
     survives = F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("size") == F.col("k")) & (F.col("head") == F.col("h"))
-    read = whole.join(ids, survives, "left_semi").select("doc_id", F.sha2("whole", 256).alias("full"))
+    read = whole.join(ids, survives, "left").select("doc_id", "text_sha256", F.col("open").isNotNull().alias("open"))
     read = stored(read, "exact-full")
-    groups = read.groupBy("full").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-    groups = groups.select(own_text("full").alias("f"), "keep_id", "group_size")
-    grouped = read.join(groups, F.col("full") == F.col("f")).select("doc_id", "keep_id", "group_size")
+    alone = read.where("not open").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "text_sha256")
+    open_ = read.where("open")
+    groups = open_.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+    groups = groups.select(own_text("text_sha256").alias("f"), "keep_id", "group_size")
+    grouped = open_.join(groups, F.col("text_sha256") == F.col("f")).select("doc_id", "keep_id", "group_size", "text_sha256")
     return alone.unionByName(grouped).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))

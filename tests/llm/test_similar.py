@@ -56,3 +56,16 @@ def test_edge_cases(spark):
     rows = [(None, "a b", None, None, None), (7, "a B", None, None, None), (None, "c", None, None, None), (None, "C", None, None, None)]
     got = similar.similar_documents(spark.createDataFrame(rows, DOCS)).collect()
     assert sorted((r["component_id"] or 0, r["kept"]) for r in got) == [(0, False), (0, True), (7, False), (7, True)]
+
+
+def test_a_null_or_repeated_doc_id_does_not_drop_other_texts(spark):
+    rng = random.Random(5)
+    words = vocabulary(rng)
+    base, *clean = (prose(rng, 120, words) for _ in range(5))
+    near = " ".join(["changed", *base.split()[1:]])
+    for stage, copy in ((corpus_pipeline.exact_copies, base), (corpus_pipeline.near_copies, near)):
+        rows = [(5, base), (None, copy), (None, clean[0]), (None, clean[1]), (3 if stage is corpus_pipeline.exact_copies else 9, copy)]
+        rows += [(rows[-1][0], clean[2]), (rows[-1][0], clean[3])]
+        docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCS)
+        got = [(r["doc_id"], r["text"]) for r in stage(spark, docs, "").collect()]
+        assert sorted(got, key=str) == sorted([r for k, r in enumerate(rows) if k not in (1, 4)], key=str)
