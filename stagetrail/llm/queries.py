@@ -54,10 +54,7 @@ def op5_pieces(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents")
-    digest = docs.select(F.col("doc_id").alias("id"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
-    found = exact_groups(docs).join(digest, F.col("doc_id").eqNullSafe(F.col("id")))
-    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    return exact_groups(table(spark, folder, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:

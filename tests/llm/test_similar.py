@@ -1,12 +1,13 @@
 """Near copies of whole documents, planted by Jaccard similarity and held against all pairs."""
 
+import hashlib
 import random
 
 import pytest
 from brute import DOCS, classes, documents, prose, vocabulary
 
 import corpus_pipeline
-from stagetrail.llm import similar
+from stagetrail.llm import queries, similar
 
 
 def shingles(text):
@@ -69,3 +70,13 @@ def test_a_null_or_repeated_doc_id_does_not_drop_other_texts(spark):
         docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCS)
         got = [(r["doc_id"], r["text"]) for r in stage(spark, docs, "").collect()]
         assert sorted(got, key=str) == sorted([r for k, r in enumerate(rows) if k not in (1, 4)], key=str)
+
+
+def test_exact_query_gives_one_row_per_row(spark, tmp_path):
+    rows = [(4, "t"), (4, "t"), (4, "other"), (None, "t"), (None, "u"), (None, None), (7, "")]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCS)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted((tuple(r) for r in queries.op6_exact_dedup(spark, str(tmp_path)).collect()), key=str)
+    digest = {t: hashlib.sha256((t or "").encode()).hexdigest() for _, t in rows}
+    want = [(4, 4, 3, True, "t")] * 2 + [(4, 4, 1, True, "other"), (None, 4, 3, False, "t"), (None, None, 1, True, "u"), (None, 7, 2, False, None), (7, 7, 2, True, "")]
+    assert got == sorted(((*r[:4], digest[r[4]]) for r in want), key=str)
