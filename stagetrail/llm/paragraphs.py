@@ -17,6 +17,10 @@ from stagetrail.llm.common import WORD, components, discard, in_cells, own_excha
 LONG_SENTENCE = 12
 #: Paragraphs of fewer words are never removed.
 LEAST_WORDS = 12
+#: A paragraph of this many words is also cut into pieces where its words say so.
+LONG_RUN = 24
+#: A cut is where the hash of two words is smaller than at this many places on either side.
+REACH = 5
 #: Paragraphs of one side of a comparison cell.
 CHUNK = 1024
 #: Texts in one Arrow row group of Python results.
@@ -64,6 +68,28 @@ def split_paragraphs(text: str, long_sentence: int = LONG_SENTENCE) -> list[tupl
     return found
 
 
+def content_cuts(words: list[str]) -> np.ndarray:
+    """Places of words at which a run is cut: they depend on REACH words before and REACH + 1 after, not on punctuation."""
+    hashes = np.array([xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"), 3) for w in words], np.uint64)
+    pairs = (hashes[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ (hashes[1:] * np.uint64(0xD6E8FEB86659FD93))
+    pairs ^= pairs >> np.uint64(29)
+    n = len(pairs)
+    if n <= 2 * REACH:
+        return np.empty(0, np.int64)
+    at = pairs[REACH : n - REACH]
+    least = np.ones(len(at), bool)
+    for d in range(1, REACH + 1):
+        least &= (at < pairs[REACH - d : n - REACH - d]) & (at < pairs[REACH + d : n - REACH + d])
+    return np.flatnonzero(least) + REACH
+
+
+def content_pieces(words: list[str], least_words: int = LEAST_WORDS) -> list[tuple[int, int]]:
+    """(first, stop) of each piece: from every cut to the first one that is `least_words` or more words further on."""
+    cuts = content_cuts(words)
+    ends = np.searchsorted(cuts, cuts + least_words)
+    return [(int(a), int(cuts[e])) for a, e in zip(cuts, ends, strict=True) if e < len(cuts)]
+
+
 def _shingles(words: list[str], size: int) -> list[str]:
     return [" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))]
 
@@ -215,8 +241,54 @@ def duplicate_paragraphs(
     )
 
 
+def piece_table(docs: DataFrame, least_words: int) -> DataFrame:
+    """(doc_id, start, length, words, uid, parent): the pieces of long paragraphs; parent is where the paragraph starts."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for first in range(0, len(pdf), BATCH):
+                out: list[tuple] = []
+                for doc, text in zip(pdf["doc_id"].iloc[first : first + BATCH], pdf["text"].iloc[first : first + BATCH], strict=True):
+                    for start, stop in split_paragraphs(text or ""):
+                        if stop - start < 2 * LONG_RUN - 1:
+                            continue
+                        spans = [m.span() for m in WORD.finditer(text, start, stop)]
+                        if len(spans) >= LONG_RUN:
+                            words = [text[a:b].lower() for a, b in spans]
+                            for a, b in content_pieces(words, least_words):
+                                out.append((doc, spans[a][0], spans[b - 1][1] - spans[a][0], b - a, _uid(words[a:b]), start))
+                if out:
+                    yield pd.DataFrame(out, columns=["doc_id", "start", "length", "words", "uid", "parent"])
+
+    schema = "doc_id long, start int, length int, words int, uid long, parent int"
+    return texts_of(docs).where("doc_id is not null").mapInPandas(run, schema)
+
+
+def duplicate_passages(docs: DataFrame, least_words: int = LEAST_WORDS, **options) -> DataFrame:
+    """`duplicate_paragraphs`, and the pieces of long paragraphs that repeat elsewhere, in the same columns.
+
+    A passage inside another line, without a sentence end or among short sentences, is part of a paragraph that has no
+    copy. Paragraphs of LONG_RUN words or more that stay are therefore cut where their own words say so, alike in every
+    host, and equal pieces (in lower-cased words) are copies, the first of which is kept. Pieces have 12 words or a few
+    more, so that one changed word leaves them under a Jaccard similarity of 0.8; the pieces beside it are found.
+    Pieces may overlap. A piece is removed only for one that stands before it, so every word stays somewhere.
+    """
+    whole = stored(duplicate_paragraphs(docs, least_words=least_words, **options), "passages")
+    found = stored(piece_table(docs, least_words), "pieces")
+    shared = found.groupBy("uid").agg(F.count("*").alias("n")).where("n > 1").select(own_exchange("uid").alias("u"))
+    met = found.join(shared, F.col("uid") == F.col("u"), "left_semi")
+    gone = whole.where("not kept").select(own_exchange("doc_id").alias("d"), F.col("start").alias("s")).distinct()
+    met = met.join(gone, (F.col("doc_id") == F.col("d")) & (F.col("parent") == F.col("s")), "left_anti")
+    met = stored(met.select("doc_id", "start", "length", "words", own_exchange("uid").alias("component")), "pieces-met")
+    discard(found)
+    groups = met.groupBy("component").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "start", "length")).alias("keep")).where("copies > 1")
+    named = met.join(groups.select(own_exchange("component").alias("c"), "copies", "keep"), F.col("component") == F.col("c"))
+    kept = F.struct("doc_id", "start", "length") == F.col("keep")
+    return whole.unionByName(named.select(*whole.columns[:6], F.col("keep.doc_id").alias("keep_doc_id"), kept.alias("kept")))
+
+
 def remove_paragraphs(docs: DataFrame, duplicates: DataFrame) -> DataFrame:
-    """docs without the paragraphs of `duplicates` that are not kept, n_chars set anew if there is such a column.
+    """docs without the paragraphs and pieces of `duplicates` that are not kept, n_chars set anew if there is such a column.
 
     A document left with no word although it had some is dropped; all others stay, unchanged if nothing is removed.
     """
@@ -232,7 +304,9 @@ def remove_paragraphs(docs: DataFrame, duplicates: DataFrame) -> DataFrame:
             at, kept = 0, []
             for s in spans:
                 kept.append(t[at : s["start"]])
-                at = s["start"] + s["length"]
+                at, before = max(at, s["start"] + s["length"]), at
+                if at == before:
+                    continue
                 if t[at : at + 1] == "\n" and (not s["start"] or t[s["start"] - 1] == "\n"):
                     at += 1
             out.append("".join([*kept, t[at:]]))

@@ -12,7 +12,7 @@ from stagetrail.llm.exact import exact_groups
 from stagetrail.llm.language import predict_languages
 from stagetrail.llm.nearest import nearest_neighbours
 from stagetrail.llm.packing import pack
-from stagetrail.llm.paragraphs import duplicate_paragraphs
+from stagetrail.llm.paragraphs import duplicate_passages
 from stagetrail.llm.pieces import encode_documents
 from stagetrail.llm.simhash import simhash_components
 from stagetrail.llm.toxicity import severity
@@ -41,7 +41,7 @@ def op2_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return duplicate_paragraphs(table(spark, folder, "documents"))
+    return duplicate_passages(table(spark, folder, "documents"))
 
 
 def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
