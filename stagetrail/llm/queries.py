@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stagetrail.llm import lines
+from stagetrail.llm.centroids import cluster_vectors
 from stagetrail.llm.common import table
 from stagetrail.llm.exact import exact_groups
 from stagetrail.llm.language import predict_languages
@@ -74,6 +75,10 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.drop_site_lines(table(spark, folder, "pages"))
 
 
+def op12_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    return cluster_vectors(table(spark, folder, "embeddings"), clusters=40, rounds=5, dims=64, scale=256, seed="2:")
+
+
 _URL_PARTS = """
     SELECT *, translate(regexp_extract(rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
            regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
@@ -87,11 +92,45 @@ def _replaced(text: str) -> str:
     return text
 
 
+def _centroids_sql(clusters: int = 40, rounds: int = 5) -> str:
+    """The rounds written out one after another; sums of integers this small are exact as doubles."""
+    parts = [
+        """kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings WHERE len(list_filter(embedding, lambda x: isfinite(x))) = 64 AND len(embedding) = 64)""",
+        f"""c0 AS MATERIALIZED (
+    SELECT k, v FROM (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id) NULLS LAST, v) - 1 AS k, v FROM kept) WHERE k < {clusters})""",
+    ]
+    for i in range(rounds + 1):
+        parts.append(
+            f"""a{i} AS MATERIALIZED (
+    SELECT row, min({{'d': list_inner_product(kept.v, kept.v) - 2 * list_inner_product(kept.v, c.v) + list_inner_product(c.v, c.v), 'k': k}}) AS best
+    FROM kept, c{i} AS c GROUP BY row)"""
+        )
+        if i < rounds:
+            parts.append(
+                f"""c{i + 1} AS MATERIALIZED (
+    SELECT c.k, coalesce(m.v, c.v) AS v
+    FROM c{i} AS c LEFT JOIN (
+        SELECT k, list(floor(total / n) ORDER BY j) AS v
+        FROM (SELECT best.k AS k, j, sum(x) AS total, count(*) AS n
+              FROM (SELECT row, unnest(v) AS x, generate_subscripts(v, 1) AS j FROM kept) JOIN a{i} USING (row) GROUP BY best.k, j)
+        GROUP BY k) AS m ON c.k = m.k)"""
+            )
+    return f"""
+WITH {", ".join(parts)}
+SELECT vec_id, CAST(best.k AS INTEGER) AS cluster, CAST(best.d AS BIGINT) AS distance,
+       CAST(sum(best.d) OVER (PARTITION BY best.k) AS BIGINT) AS cluster_inertia, CAST(sum(best.d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(list_transform(c.v, lambda x: CAST(x AS BIGINT)), ',')) AS centroid_sha256
+FROM a{rounds} JOIN kept USING (row) JOIN c{rounds} AS c ON best.k = c.k"""
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_nearest_neighbours, op3_substring_dedup, op4_url_filter, op5_pieces,
         op6_exact_dedup, op7_simhash, op8_packing, op9_language, op10_line_dedup,
+        op12_centroids,
     )
 }
 
@@ -130,4 +169,5 @@ cut AS (
 SELECT page_id, host, CAST(len(found) AS BIGINT) AS lines, CAST(len(found) - len(kept) AS BIGINT) AS dropped,
        coalesce(array_to_string(kept, chr(10)), '') AS text
 FROM cut""",
+    "op12_centroids": _centroids_sql(),
 }

@@ -27,7 +27,7 @@ def texts(spark):
 
 def test_registration():
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry_point.queries())
-    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in queries.QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
