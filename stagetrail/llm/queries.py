@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from stagetrail.llm import lines
 from stagetrail.llm.centroids import cluster_vectors
+from stagetrail.llm.collocations import collocations
 from stagetrail.llm.common import table
 from stagetrail.llm.exact import exact_groups
 from stagetrail.llm.language import predict_languages
@@ -79,6 +80,10 @@ def op12_centroids(spark: SparkSession, folder: str) -> DataFrame:
     return cluster_vectors(table(spark, folder, "embeddings"), clusters=40, rounds=5, dims=64, scale=256, seed="2:")
 
 
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(table(spark, folder, "documents"), least=100, depth=5, top=2000)
+
+
 _URL_PARTS = """
     SELECT *, translate(regexp_extract(rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
            regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
@@ -130,7 +135,7 @@ QUERIES = {
     for f in (
         op1_toxicity, op2_nearest_neighbours, op3_substring_dedup, op4_url_filter, op5_pieces,
         op6_exact_dedup, op7_simhash, op8_packing, op9_language, op10_line_dedup,
-        op12_centroids,
+        op12_centroids, op13_collocations,
     )
 }
 
@@ -170,4 +175,31 @@ SELECT page_id, host, CAST(len(found) AS BIGINT) AS lines, CAST(len(found) - len
        coalesce(array_to_string(kept, chr(10)), '') AS text
 FROM cut""",
     "op12_centroids": _centroids_sql(),
+    "op13_collocations": r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents),
+worded AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+places AS (SELECT lang, w, unnest(generate_series(1, len(w))) AS i FROM worded),
+spans AS (SELECT lang, w, i, unnest(generate_series(1, least(5, len(w) - i + 1))) AS d FROM places),
+counts AS MATERIALIZED (
+    SELECT lang, array_to_string(w[i : i + d - 1], ' ') AS phrase, d, count(*) AS f FROM spans GROUP BY ALL),
+totals AS (SELECT lang, sum(f) AS n FROM counts WHERE d = 1 GROUP BY lang),
+candidates AS MATERIALIZED (SELECT lang, phrase, d, f AS a FROM counts WHERE d > 1 AND f >= 100),
+inner_ AS (
+    SELECT DISTINCT c.lang, c.phrase
+    FROM candidates AS c JOIN candidates AS o ON o.lang = c.lang AND o.d > c.d AND 100 * o.a >= 100 * c.a
+    WHERE contains(' ' || o.phrase || ' ', ' ' || c.phrase || ' ')),
+cuts AS (
+    SELECT lang, phrase, a, k, array_to_string(w[1 : k], ' ') AS left_, array_to_string(w[k + 1 : d], ' ') AS right_
+    FROM (SELECT *, string_split(phrase, ' ') AS w, unnest(generate_series(1, d - 1)) AS k
+          FROM candidates ANTI JOIN inner_ USING (lang, phrase))),
+scored AS (
+    SELECT cuts.*, x.f AS l, y.f AS r, n, (1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f) AS score
+    FROM cuts JOIN counts AS x ON x.lang = cuts.lang AND x.phrase = left_
+    JOIN counts AS y ON y.lang = cuts.lang AND y.phrase = right_ JOIN totals ON totals.lang = cuts.lang),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 2000""",
 }
