@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ BLOCK_TAG = (
 )
 TAG = r"<[^>]*>"
 EDGES = r"^[ \t\r\f]+|[ \t\r\f]+$"
-RATIO, LEAST_PAGES = 0.1, 10
+RATIO = 0.1
 
 
 def page_lines(html: F.Column) -> F.Column:
@@ -33,22 +35,24 @@ def _key(line: F.Column) -> F.Column:
     return F.unhex(F.md5(line))
 
 
-def drop_site_lines(pages: DataFrame, ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
+def drop_site_lines(pages: DataFrame, ratio: float = RATIO) -> DataFrame:
     """(page_id, host, lines, dropped, text) of every row of pages; text is the lines that stay.
 
-    A line is dropped from all pages of a host if more than `ratio` of the host's pages contain it and the host has at
-    least `least_pages`. The dropped lines of one host number at most (mean lines of its pages) / ratio, so their set
-    stays small however many pages the host has; counts are combined before the shuffle, and a hot host's pages are
+    A line is dropped from all pages of a host if its pages divided by the host's pages, N, exceed
+    ratio + (1 - ratio) / N: that is, if more than `ratio` of the other pages have it too. For large hosts this is
+    `ratio`; two pages of two agree by repeating a line, and on a host of one page nothing can repeat. The dropped lines of one
+    host number at most (mean lines of its pages) / ratio, so their set stays small however many pages it has; counts are combined before the shuffle, and a hot host's pages are
     split by AQE in the joins. Null html has no lines, null urls and such without a host share the empty host, repeated
     rows count as pages, an empty table gives no rows, other columns are ignored.
     """
     parsed = pages.select("page_id", url_host(F.col("url").cast("string")).alias("host"), page_lines(F.col("html").cast("string")).alias("all_lines"))
     parsed = stored(parsed, "page-lines")
-    totals = parsed.groupBy("host").agg(F.count("*").alias("total")).where(F.col("total") >= least_pages)
+    totals = parsed.groupBy("host").agg(F.count("*").alias("total")).where("total > 1")
     keys = F.array_distinct(F.transform("all_lines", _key))
     seen = parsed.select("host", F.explode(keys).alias("line")).groupBy("host", "line").agg(F.count("*").alias("n"))
-    seen = seen.where(F.col("n") > ratio * least_pages)
-    common = seen.join(totals.select(own_text("host").alias("h"), "total"), F.col("host") == F.col("h")).where(F.col("n") > F.col("total") * F.lit(ratio))
+    seen = seen.where("n > 1")
+    common = seen.join(totals.select(own_text("host").alias("h"), "total"), F.col("host") == F.col("h"))
+    common = common.where(F.col("n") - 1 > (F.col("total") - 1) * F.lit(Decimal(str(ratio))))
     # Written first, so that its size is known: pages are only moved if the lines of all hosts are too many to send around.
     common = stored(common.groupBy("host").agg(F.collect_set("line").alias("common")), "common-lines").select(own_text("host").alias("h"), "common")
     joined = parsed.join(common, F.col("host") == F.col("h"), "left")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -17,10 +17,12 @@ from stagetrail.llm.common import WORD, components, discard, in_cells, own_excha
 LONG_SENTENCE = 12
 #: Paragraphs of fewer words are never removed.
 LEAST_WORDS = 12
-#: A paragraph of this many words is also cut into pieces where its words say so.
+#: A line of this many words is also searched for passages inside it.
 LONG_RUN = 24
-#: A cut is where the hash of two words is smaller than at this many places on either side.
-REACH = 5
+#: Pieces start at words whose hash falls in PIECES of CLASSES classes, seeds in SEEDS of them.
+PIECES, SEEDS, CLASSES = 5, 2, 10
+#: Different words whose hashes a task remembers.
+KNOWN_WORDS = 1 << 18
 #: Paragraphs of one side of a comparison cell.
 CHUNK = 1024
 #: Texts in one Arrow row group of Python results.
@@ -68,26 +70,40 @@ def split_paragraphs(text: str, long_sentence: int = LONG_SENTENCE) -> list[tupl
     return found
 
 
-def content_cuts(words: list[str]) -> np.ndarray:
-    """Places of words at which a run is cut: they depend on REACH words before and REACH + 1 after, not on punctuation."""
-    hashes = np.array([xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"), 3) for w in words], np.uint64)
-    pairs = (hashes[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ (hashes[1:] * np.uint64(0xD6E8FEB86659FD93))
-    pairs ^= pairs >> np.uint64(29)
-    n = len(pairs)
-    if n <= 2 * REACH:
-        return np.empty(0, np.int64)
-    at = pairs[REACH : n - REACH]
-    least = np.ones(len(at), bool)
-    for d in range(1, REACH + 1):
-        least &= (at < pairs[REACH - d : n - REACH - d]) & (at < pairs[REACH + d : n - REACH + d])
-    return np.flatnonzero(least) + REACH
+class WordHashes(dict):
+    def __missing__(self, word: str) -> int:
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
+        self[word] = found = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"), 3)
+        return found
+
 
+def content_pieces(hashes: np.ndarray, lines: np.ndarray, classes: int, size: int = LEAST_WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """(first, uid) of the pieces of `size` words that start where the word's own hash says so, within a line.
 
-def content_pieces(words: list[str], least_words: int = LEAST_WORDS) -> list[tuple[int, int]]:
-    """(first, stop) of each piece: from every cut to the first one that is `least_words` or more words further on."""
-    cuts = content_cuts(words)
-    ends = np.searchsorted(cuts, cuts + least_words)
-    return [(int(a), int(cuts[e])) for a, e in zip(cuts, ends, strict=True) if e < len(cuts)]
+    The choice depends on the word and the one before it, not on punctuation or what else stands around, so a copied
+    passage is cut alike in every host. Of equal words in a row only the first can start a piece.
+    """
+    if len(hashes) < size:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    chosen = hashes % np.uint64(CLASSES) < classes
+    chosen[1:] &= (hashes[1:] != hashes[:-1]) | (lines[1:] != lines[:-1])
+    first = np.flatnonzero(chosen[: len(hashes) - size + 1] & (lines[: len(hashes) - size + 1] == lines[size - 1 :]))
+    uid = np.full(len(first), 0x9E3779B97F4A7C15, np.uint64)
+    for j in range(size):
+        uid = (uid ^ hashes[first + j]) * np.uint64(0xFF51AFD7ED558CCD)
+        uid ^= uid >> np.uint64(32)
+    return first, uid.view(np.int64)
+
+
+def long_lines(text: str) -> list[tuple[int, str]]:
+    """(start, line) of the lines that may have LONG_RUN words."""
+    found, at = [], 0
+    for line in text.split("\n"):
+        if len(line) >= 2 * LONG_RUN - 1:
+            found.append((at, line))
+        at += len(line) + 1
+    return found
 
 
 def _shingles(words: list[str], size: int) -> list[str]:
@@ -123,10 +139,31 @@ def _band_keys(paragraphs: list[list[str]], size: int, factors: np.ndarray, band
     return keys
 
 
+def _mark() -> F.Column:
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
+def _marked(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, mark): a row is known by doc_id and mark, so that texts that share an id, or have none, stay apart.
+
+    Ids go to Python as texts, because pandas has no null among integers.
+    """
+    return texts_of(docs).select(F.col("doc_id").cast("string").alias("doc_id"), "text", _mark().alias("mark"))
+
+
+def _place() -> F.Column:
+    """The order of paragraphs: by doc_id, rows without one last, then the text's hash, then the place in it."""
+    return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark", "start", "length")
+
+
+def _same_row(id_column: str, mark_column: str) -> F.Column:
+    return F.col("doc_id").eqNullSafe(F.col(id_column)) & (F.col("mark") == F.col(mark_column))
+
+
 def paragraph_table(docs: DataFrame, bands: int, rows: int, shingle: int, least_words: int) -> DataFrame:
-    """(doc_id, start, length, words, uid, bands): paragraphs of at least `least_words` words.
+    """(doc_id, mark, start, length, words, uid, bands): paragraphs of at least `least_words` words.
 
-    uid is a hash of the paragraph's lower-cased words; equal uids are exact copies.
+    mark is a hash of the whole text, uid one of the paragraph's lower-cased words; equal uids are exact copies.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -135,25 +172,27 @@ def paragraph_table(docs: DataFrame, bands: int, rows: int, shingle: int, least_
             for first in range(0, len(pdf), BATCH):
                 out: list[tuple] = []
                 worded = []
-                for doc, text in zip(pdf["doc_id"].iloc[first : first + BATCH], pdf["text"].iloc[first : first + BATCH], strict=True):
-                    text = text or ""
+                for row in pdf.iloc[first : first + BATCH].itertuples(index=False):
+                    doc, text = None if row.doc_id is None else int(row.doc_id), row.text or ""
                     for start, stop in split_paragraphs(text):
                         words = WORD.findall(text[start:stop].lower())
                         if len(words) >= least_words:
-                            out.append((doc, start, stop - start, len(words), _uid(words)))
+                            out.append((doc, row.mark, start, stop - start, len(words), _uid(words)))
                             worded.append(words)
                 if out:
-                    found = pd.DataFrame(out, columns=["doc_id", "start", "length", "words", "uid"])
+                    found = pd.DataFrame(out, columns=["doc_id", "mark", "start", "length", "words", "uid"])
+                    found["doc_id"] = pd.array([r[0] for r in out], "Int64")
                     found["bands"] = list(_band_keys(worded, shingle, factors, bands, rows))
                     yield found
 
-    schema = "doc_id long, start int, length int, words int, uid long, bands array<long>"
-    return texts_of(docs).where("doc_id is not null").mapInPandas(run, schema)
+    schema = "doc_id long, mark long, start int, length int, words int, uid long, bands array<long>"
+    return _marked(docs).mapInPandas(run, schema)
 
 
 def _with_shingles(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     """(uid, hashes): the shingles of each wanted paragraph, read again from the text of one document that holds it."""
-    spans = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("uid", "start", "length")).alias("spans"))
+    spans = wanted.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("uid", "start", "length")).alias("spans"))
+    spans = spans.select(own_exchange("doc_id").alias("d"), own_exchange("mark").alias("m"), "spans")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -167,7 +206,8 @@ def _with_shingles(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFram
                 if out:
                     yield pd.DataFrame(out, columns=["uid", "hashes"])
 
-    return texts_of(docs).join(spans, "doc_id").select("text", "spans").mapInPandas(run, "uid long, hashes binary").dropDuplicates(["uid"])
+    read = texts_of(docs).withColumn("mark", _mark()).join(spans, _same_row("d", "m"))
+    return read.select("text", "spans").mapInPandas(run, "uid long, hashes binary").dropDuplicates(["uid"])
 
 
 def _verify(similarity: float):
@@ -200,27 +240,31 @@ def _verify(similarity: float):
 def duplicate_paragraphs(
     docs: DataFrame, similarity: float = 0.8, shingle: int = 5, recall: float = 0.995, least_words: int = LEAST_WORDS
 ) -> DataFrame:
-    """(doc_id, start, length, words, component, copies, keep_doc_id, kept): every paragraph that has a copy.
+    """(doc_id, mark, start, length, words, component, copies, exact, keep_doc_id, kept): every paragraph that has a copy.
 
     A paragraph is a line, or a long sentence or run of short ones within a long line. Two are linked if they are equal
     in lower-cased words or their sets of five-word shingles have a Jaccard similarity of 0.8 or more; links of links
-    form a component, whose first paragraph (smallest doc_id, then start) is kept. Paragraphs without a copy, and those
-    shorter than `least_words`, are not listed. start counts characters of the text.
+    form a component, whose first paragraph (smallest doc_id, then mark, then start) is kept; exact ones have
+    the same words as it. Paragraphs without a copy,
+    and those shorter than `least_words`, are not listed. start counts characters of the text.
 
-    Null and empty texts and null doc_ids have no paragraphs; a doc_id names one document, so repeated rows of it are
-    treated alike; an empty table gives no rows; other columns are ignored.
+    Null and empty texts have no paragraphs. A row is known by doc_id and mark, a hash of its text: rows that share both
+    are treated alike, other texts under the same id, or without an id, are documents of their own; those without one
+    come last. An empty table gives no rows; other columns are ignored.
     """
     bands, rows = tune_bands(similarity, recall)
-    found = stored(paragraph_table(docs, bands, rows, shingle, least_words), "paragraphs")
-    first = F.min(F.struct("doc_id", "start", "length"))
-    keys = found.select("uid", F.explode("bands").alias("key"))
+    banded = stored(paragraph_table(docs, bands, rows, shingle, least_words), "paragraph-keys")
+    first = F.min(_place())
+    keys = banded.select("uid", F.explode("bands").alias("key"))
     shared = keys.groupBy("key").agg(F.min("uid").alias("low"), F.max("uid").alias("high")).where("low <> high")
     shared = shared.select(own_exchange("key").alias("k"))
     # Keys of their own make distinct and minimum combine rows before they shuffle; the joins' partitions may be hot.
     met = keys.join(shared, F.col("key") == F.col("k"), "left_semi").select("uid", own_exchange("key").alias("key"))
     met = stored(met.distinct(), "paragraph-bands")
+    found = stored(banded.drop("bands"), "paragraphs")
+    discard(banded)
     wanted = met.select("uid").distinct().select(own_exchange("uid").alias("k"))
-    wanted = found.select("uid", "doc_id", "start", "length").join(wanted, F.col("uid") == F.col("k"), "left_semi")
+    wanted = found.select("uid", "doc_id", "mark", "start", "length").join(wanted, F.col("uid") == F.col("k"), "left_semi")
     wanted = wanted.withColumn("uid", own_exchange("uid")).groupBy("uid").agg(first.alias("at")).select("uid", "at.*")
     hashes = stored(_with_shingles(docs, wanted, shingle), "paragraph-shingles")
     held = hashes.select(own_exchange("uid").alias("u"), "hashes")
@@ -232,67 +276,128 @@ def duplicate_paragraphs(
     classes = found.groupBy("uid").agg(F.count("*").alias("n"), first.alias("at"))
     classes = classes.join(joined.select(own_exchange("node").alias("node"), "component"), F.col("uid") == F.col("node"), "left")
     classes = stored(classes.select("uid", "n", "at", F.coalesce("component", "uid").alias("component")), "paragraph-classes")
-    groups = classes.groupBy("component").agg(F.sum("n").alias("copies"), F.min("at").alias("keep")).where("copies > 1")
-    groups = groups.select(own_exchange("component").alias("root"), "copies", "keep")
-    named = classes.join(groups, F.col("component") == F.col("root")).select(own_exchange("uid").alias("u"), "component", "copies", "keep")
-    kept = F.struct("doc_id", "start", "length") == F.col("keep")
+    groups = classes.groupBy("component").agg(F.sum("n").alias("copies"), F.min(F.struct("at", "uid")).alias("first")).where("copies > 1")
+    groups = groups.select(own_exchange("component").alias("root"), "copies", F.col("first.at").alias("keep"), F.col("first.uid").alias("like"))
+    named = classes.join(groups, F.col("component") == F.col("root"))
+    named = named.select(own_exchange("uid").alias("u"), "component", "copies", "keep", (F.col("uid") == F.col("like")).alias("exact"))
+    kept = _place().eqNullSafe(F.col("keep"))
     return found.join(named, F.col("uid") == F.col("u")).select(
-        "doc_id", "start", "length", "words", "component", "copies", F.col("keep.doc_id").alias("keep_doc_id"), kept.alias("kept")
+        "doc_id", "mark", "start", "length", "words", "component", "copies", "exact", F.col("keep.doc_id").alias("keep_doc_id"), kept.alias("kept")
     )
 
 
-def piece_table(docs: DataFrame, least_words: int) -> DataFrame:
-    """(doc_id, start, length, words, uid, parent): the pieces of long paragraphs; parent is where the paragraph starts."""
+def _line_hashes(texts: Iterable[str | None], known: WordHashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes of the words of long lines, number of the line, number of the text)."""
+    words: list[str] = []
+    sizes, owners = [], []
+    for k, text in enumerate(texts):
+        for _, line in long_lines(text or ""):
+            own = WORD.findall(line.lower())
+            if len(own) >= LONG_RUN:
+                words += own
+                sizes.append(len(own))
+                owners.append(k)
+    hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    return hashes, np.repeat(np.arange(len(sizes)), sizes), np.repeat(np.array(owners, np.int64), sizes)
+
+
+def _ids(pdf: pd.DataFrame, rows: np.ndarray) -> dict:
+    ids = np.array([None if i is None else int(i) for i in pdf["doc_id"]], object)
+    return {"doc_id": pd.array(ids[rows], "Int64"), "mark": pdf["mark"].to_numpy()[rows]}
+
+
+def seed_table(docs: DataFrame) -> DataFrame:
+    """(doc_id, mark, uid): one piece in five words of long lines, to see which rows share anything."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = WordHashes()
         for pdf in batches:
-            for first in range(0, len(pdf), BATCH):
-                out: list[tuple] = []
-                for doc, text in zip(pdf["doc_id"].iloc[first : first + BATCH], pdf["text"].iloc[first : first + BATCH], strict=True):
-                    for start, stop in split_paragraphs(text or ""):
-                        if stop - start < 2 * LONG_RUN - 1:
-                            continue
-                        spans = [m.span() for m in WORD.finditer(text, start, stop)]
-                        if len(spans) >= LONG_RUN:
-                            words = [text[a:b].lower() for a, b in spans]
-                            for a, b in content_pieces(words, least_words):
-                                out.append((doc, spans[a][0], spans[b - 1][1] - spans[a][0], b - a, _uid(words[a:b]), start))
-                if out:
-                    yield pd.DataFrame(out, columns=["doc_id", "start", "length", "words", "uid", "parent"])
+            hashes, lines, owners = _line_hashes(pdf["text"], known)
+            first, uid = content_pieces(hashes, lines, SEEDS)
+            yield pd.DataFrame({**_ids(pdf, owners[first]), "uid": uid})
+
+    return _marked(docs).mapInPandas(run, "doc_id long, mark long, uid long")
 
-    schema = "doc_id long, start int, length int, words int, uid long, parent int"
-    return texts_of(docs).where("doc_id is not null").mapInPandas(run, schema)
+
+def piece_table(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """(doc_id, mark, start, length, words, uid, parents): the pieces of the long lines of `rows` (doc_id, mark).
+
+    parents are the starts of the paragraphs that a piece lies in.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = WordHashes()
+        for pdf in batches:
+            hashes, lines, owners = _line_hashes(pdf["text"], known)
+            first, uid = content_pieces(hashes, lines, PIECES)
+            starts, stops = np.empty(len(hashes), np.int64), np.empty(len(hashes), np.int64)
+            at, paragraphs = 0, []
+            for k, text in enumerate(pdf["text"]):
+                paragraphs.append(np.array([a for a, _ in split_paragraphs(text or "")], np.int64) + (k << 32))
+                for line_at, line in long_lines(text or ""):
+                    spans = [m.span() for m in WORD.finditer(line)]
+                    if len(spans) >= LONG_RUN:
+                        found = np.array(spans, np.int64) + line_at
+                        starts[at : at + len(spans)], stops[at : at + len(spans)] = found[:, 0], found[:, 1]
+                        at += len(spans)
+            begins = np.concatenate([*paragraphs, np.zeros(0, np.int64)])
+            last = first + LEAST_WORDS - 1
+            low = np.searchsorted(begins, starts[first] + (owners[first] << 32), "right") - 1
+            high = np.searchsorted(begins, stops[last] - 1 + (owners[first] << 32), "right")
+            places = begins & 0xFFFFFFFF
+            found = pd.DataFrame({**_ids(pdf, owners[first]), "start": starts[first], "length": stops[last] - starts[first], "uid": uid})
+            found["parents"] = [places[a:b] for a, b in zip(low, high, strict=True)]
+            yield found
+
+    wanted = rows.select(own_exchange("doc_id").alias("d"), own_exchange("mark").alias("m"))
+    read = docs.select("doc_id", "text").withColumn("mark", _mark()).withColumn("doc_id", F.col("doc_id").cast("long")).join(wanted, _same_row("d", "m"), "left_semi")
+    found = _marked(read).mapInPandas(run, "doc_id long, mark long, start int, length int, uid long, parents array<int>")
+    return found.withColumn("words", F.lit(LEAST_WORDS))
+
+
+def _repeated(pieces: DataFrame) -> DataFrame:
+    """The rows whose uid others have too."""
+    shared = stored(pieces.groupBy("uid").agg(F.count("*").alias("n")).where("n > 1").select("uid"), "shared")
+    return pieces.join(shared.select(own_exchange("uid").alias("u")), F.col("uid") == F.col("u"), "left_semi")
 
 
 def duplicate_passages(docs: DataFrame, least_words: int = LEAST_WORDS, **options) -> DataFrame:
-    """`duplicate_paragraphs`, and the pieces of long paragraphs that repeat elsewhere, in the same columns.
+    """`duplicate_paragraphs`, and the pieces of long lines that repeat elsewhere, in the same columns.
+
+    A passage inside another line is part of a paragraph that has no copy. Rows that share a seed, a run of 12 words that
+    starts at one in five words, chosen by the word itself, are searched again with a piece starting at every other
+    word; equal pieces (in lower-cased words) are copies, the first of which is kept. Lines of fewer than LONG_RUN words
+    are not searched, nor are pieces that touch a paragraph that goes as a near copy, whose words need not stand elsewhere. Pieces overlap, so a passage is found but
+    for the words before its first start and after its last piece, two on the average. A piece is removed only for one
+    that stands before it, so every word stays somewhere.
 
-    A passage inside another line, without a sentence end or among short sentences, is part of a paragraph that has no
-    copy. Paragraphs of LONG_RUN words or more that stay are therefore cut where their own words say so, alike in every
-    host, and equal pieces (in lower-cased words) are copies, the first of which is kept. Pieces have 12 words or a few
-    more, so that one changed word leaves them under a Jaccard similarity of 0.8; the pieces beside it are found.
-    Pieces may overlap. A piece is removed only for one that stands before it, so every word stays somewhere.
+    Nulls, empty texts, repeated rows, ids that several texts share, empty tables and other columns: as there.
     """
     whole = stored(duplicate_paragraphs(docs, least_words=least_words, **options), "passages")
-    found = stored(piece_table(docs, least_words), "pieces")
-    shared = found.groupBy("uid").agg(F.count("*").alias("n")).where("n > 1").select(own_exchange("uid").alias("u"))
-    met = found.join(shared, F.col("uid") == F.col("u"), "left_semi")
-    gone = whole.where("not kept").select(own_exchange("doc_id").alias("d"), F.col("start").alias("s")).distinct()
-    met = met.join(gone, (F.col("doc_id") == F.col("d")) & (F.col("parent") == F.col("s")), "left_anti")
-    met = stored(met.select("doc_id", "start", "length", "words", own_exchange("uid").alias("component")), "pieces-met")
+    seeds = stored(seed_table(docs), "seeds")
+    rows = stored(_repeated(seeds).select(own_exchange("doc_id").alias("doc_id"), own_exchange("mark").alias("mark")).distinct(), "rows-met")
+    discard(seeds)
+    found = stored(piece_table(docs, rows), "pieces")
+    gone = whole.where("not kept and not exact").groupBy("doc_id", "mark").agg(F.collect_set("start").alias("gone"))
+    gone = gone.select(own_exchange("doc_id").alias("d"), own_exchange("mark").alias("m"), "gone")
+    met = _repeated(found).join(gone, _same_row("d", "m"), "left").where(F.col("gone").isNull() | ~F.arrays_overlap("parents", "gone"))
+    met = stored(met.select("doc_id", "mark", "start", "length", "words", own_exchange("uid").alias("component")), "pieces-met")
     discard(found)
-    groups = met.groupBy("component").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "start", "length")).alias("keep")).where("copies > 1")
+    groups = met.groupBy("component").agg(F.count("*").alias("copies"), F.min(_place()).alias("keep")).where("copies > 1")
     named = met.join(groups.select(own_exchange("component").alias("c"), "copies", "keep"), F.col("component") == F.col("c"))
-    kept = F.struct("doc_id", "start", "length") == F.col("keep")
-    return whole.unionByName(named.select(*whole.columns[:6], F.col("keep.doc_id").alias("keep_doc_id"), kept.alias("kept")))
+    kept = _place().eqNullSafe(F.col("keep"))
+    return whole.unionByName(named.select(*whole.columns[:7], F.lit(True).alias("exact"), F.col("keep.doc_id").alias("keep_doc_id"), kept.alias("kept")))
 
 
 def remove_paragraphs(docs: DataFrame, duplicates: DataFrame) -> DataFrame:
     """docs without the paragraphs and pieces of `duplicates` that are not kept, n_chars set anew if there is such a column.
 
-    A document left with no word although it had some is dropped; all others stay, unchanged if nothing is removed.
+    A cut belongs to the rows with its doc_id and mark (a hash of the text): another text under the same id, or without
+    one, is left alone. A document left with no word although it had some is dropped; all others stay, unchanged if
+    nothing is removed, null and empty texts too. Repeated rows are cut alike; an empty table gives no rows; all columns
+    of docs are kept as they are.
     """
-    cut = duplicates.where("not kept").groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", "length"))).alias("_cut"))
+    cut = duplicates.where("not kept").groupBy("doc_id", "mark").agg(F.array_sort(F.collect_set(F.struct("start", "length"))).alias("_cut"))
 
     @F.pandas_udf("string")
     def without(text: pd.Series, cuts: pd.Series) -> pd.Series:
@@ -313,8 +418,9 @@ def remove_paragraphs(docs: DataFrame, duplicates: DataFrame) -> DataFrame:
         return pd.Series(out)
 
     columns = docs.columns
-    cut = stored(cut, "paragraph-cuts").select(own_exchange("doc_id").alias("_cut_id"), "_cut")
-    joined = docs.join(cut, docs["doc_id"].cast("long") == F.col("_cut_id"), "left")
+    cut = stored(cut, "paragraph-cuts").select(own_exchange("doc_id").alias("_cut_id"), own_exchange("mark").alias("_cut_mark"), "_cut")
+    own = docs["doc_id"].cast("long").eqNullSafe(F.col("_cut_id")) & (_mark() == F.col("_cut_mark"))
+    joined = docs.join(cut, own, "left")
     joined = joined.withColumn("_short", without(F.when(F.col("_cut").isNotNull(), F.col("text")), "_cut"))
     left = joined.where(F.col("_cut").isNull() | (F.length(F.regexp_replace("_short", r"[\x20\x09-\x0D]+", "")) > 0))
     left = left.withColumn("text", F.when(F.col("_cut").isNull(), F.col("text")).otherwise(F.col("_short")))

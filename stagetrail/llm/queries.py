@@ -166,7 +166,7 @@ totals AS (SELECT host, count(*) AS total FROM parsed GROUP BY host),
 common AS (
     SELECT host, list(line) AS common
     FROM (SELECT host, line, count(*) AS n FROM (SELECT host, unnest(list_distinct(found)) AS line FROM parsed) GROUP BY host, line)
-    JOIN totals USING (host) WHERE total >= {lines.LEAST_PAGES} AND n > total * {lines.RATIO} GROUP BY host),
+    JOIN totals USING (host) WHERE n - 1 > (total - 1) * {lines.RATIO} GROUP BY host),
 cut AS (
     SELECT page_id, host, found, CASE WHEN common IS NULL THEN found
            ELSE list_filter(found, lambda x: NOT list_contains(common, x)) END AS kept

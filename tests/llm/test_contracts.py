@@ -15,7 +15,7 @@ import __spark_entry__ as entry_point
 import corpus_pipeline
 from check import TABLES, normal
 from stagetrail.llm import language, queries
-from stagetrail.llm.paragraphs import LEAST_WORDS, split_paragraphs
+from stagetrail.llm.paragraphs import LEAST_WORDS, LONG_RUN, PIECES, SEEDS, WordHashes, content_pieces, long_lines, split_paragraphs
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -104,47 +104,89 @@ def test_exact_stage(stages):
     assert after == {max(i for i, u in before.items() if u == t): t for t in before.values()}
 
 
-def test_near_stage(stages):
-    before, after = map(of, stages["near_dedup"])
-    prints = {i: fingerprint(t, corpus_pipeline.WORDS) for i, t in before.items()}
-    root = classes(sorted(prints), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= corpus_pipeline.MAX_BITS)
-    assert after == {i: before[i] for i in set(root.values())}
+def words_of(text):
+    return re.findall("[^\x20\x09-\x0d]+", (text or "").lower())
 
 
-def test_substring_stage(stages):
-    before, after = map(of, stages["substring_dedup"])
+def shingles(w, size=5):
+    return {tuple(w[k : k + size]) for k in range(max(1, len(w) - size + 1))}
 
-    def words(text):
-        return text.lower().split()
 
-    def shingles(w):
-        return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))}
-
-    spans = {(d, a, b): shingles(words(t[a:b])) for d, t in before.items() for a, b in split_paragraphs(t) if len(words(t[a:b])) >= LEAST_WORDS}
-    holders = {}
-    for p, found in spans.items():
-        for s in found:
+def linked(sets, similarity=0.8):
+    """Pairs of keys whose sets have the similarity, among those that share something."""
+    holders, found = {}, set()
+    for p, own in sets.items():
+        for s in own:
             holders.setdefault(s, []).append(p)
-    near = {(p, q) for ps in holders.values() for p in ps for q in ps if p != q and len(spans[p] & spans[q]) >= 0.8 * len(spans[p] | spans[q])}
-    keep = {p for p in spans}
-    root = {p: p for p in spans}
+    for ps in holders.values():
+        for i, p in enumerate(ps):
+            for q in ps[:i]:
+                if (q, p) not in found and len(sets[p] & sets[q]) >= similarity * len(sets[p] | sets[q]):
+                    found.add((q, p))
+    return found
+
 
-    def find(p):
-        while root[p] != p:
-            p = root[p]
-        return p
+def roots(keys, pairs):
+    root = {k: k for k in keys}
 
-    for p, q in near:
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for p, q in pairs:
         a, b = sorted((find(p), find(q)))
         root[b] = a
-    keep = {p for p in spans if find(p) == p}
+    return {k: find(k) for k in keys}
+
+
+def test_near_stage(stages):
+    """Against all pairs: the smallest doc_id stays of texts linked by a Jaccard similarity of 0.8 of five-word shingles."""
+    before, after = map(of, stages["near_dedup"])
+    sets = {i: shingles(words_of(t), corpus_pipeline.WORDS) for i, t in before.items()}
+    root = roots(sets, linked(sets, corpus_pipeline.SIMILARITY))
+    assert after == {i: before[i] for i in set(root.values())}
+
+
+def test_substring_stage(stages):
+    """Against all pairs of paragraphs and all equal pieces of rows that share a seed: whatever stands after the first of its kind is cut out."""
+    before, after = map(of, stages["substring_dedup"])
+    sets, keys = {}, {}
+    for d, t in before.items():
+        for a, b in split_paragraphs(t):
+            if len(words_of(t[a:b])) >= LEAST_WORDS:
+                sets[d, a, b] = shingles(words_of(t[a:b]))
+                keys.setdefault(" ".join(words_of(t[a:b])), []).append((d, a, b))
+    same = {(ps[0], p) for ps in keys.values() for p in ps[1:]}
+    root = roots(sets, linked(sets) | same)
+    gone = {p for p in sets if root[p] != p}
+    inexact = {p for p in gone if words_of(before[p[0]][p[1] : p[2]]) != words_of(before[root[p][0]][root[p][1] : root[p][2]])}
+    lines, seeds, known = [], {}, WordHashes()
+    for d, t in sorted(before.items()):
+        for a, line in long_lines(t):
+            at = [m.span() for m in re.finditer("[^\x20\x09-\x0d]+", line)]
+            if len(at) >= LONG_RUN:
+                words = words_of(line)
+                hashes = np.array([known[w] for w in words], np.uint64)
+                lines.append((d, words, hashes, [(d, a + at[i][0], a + at[i + LEAST_WORDS - 1][1]) for i in range(len(at) - LEAST_WORDS + 1)]))
+                for i in content_pieces(hashes, np.zeros(len(words), int), SEEDS)[0].tolist():
+                    seeds.setdefault(tuple(words[i : i + LEAST_WORDS]), []).append(d)
+    rows = {d for ds in seeds.values() if len(ds) > 1 for d in ds}
+    pieces = {}
+    for d, words, hashes, places in lines:
+        for i in content_pieces(hashes, np.zeros(len(words), int), PIECES)[0].tolist() if d in rows else ():
+            p = places[i]
+            if not any(g[0] == d and g[1] < p[2] and p[1] < g[2] for g in inexact):
+                pieces.setdefault(tuple(words[i : i + LEAST_WORDS]), []).append(p)
+    gone |= {p for ps in pieces.values() for p in sorted(ps)[1:]}
     for d, text in before.items():
-        cut = sorted((a, b) for (i, a, b) in spans if i == d and (i, a, b) not in keep)
-        left = "".join(text[a:b] for a, b in zip([0] + [b for _, b in cut], [a for a, _ in cut] + [len(text)], strict=True))
-        if not cut:
-            assert after[d] == text
-        else:
-            assert after.get(d, "").split() == left.split()
+        cut = sorted((a, b) for (i, a, b) in gone if i == d)
+        at, left = 0, []
+        for a, b in cut:
+            left.append(text[at:a])
+            at = max(at, b)
+        left = "".join([*left, text[at:]])
+        assert words_of(after.get(d, "")) == words_of(left) and (cut or after[d] == text)
 
 
 def test_packing_stage(stages):

@@ -106,15 +106,32 @@ def test_site_lines(spark):
     rows += [(200, None, page("<p>Home</p>")), (201, "https://big.org", None), (202, "https://big.org", ""), (None, "https://big.org", page("Home")), (1, "https://big.org", page("Home"))]
     rows.append((300, "https://big.org", page("<p>" + "word " * 50_000 + "</p>")))
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({c: F.lit("x") for c in ("host", "lines", "line", "total", "n")})
-    found = lines.drop_site_lines(pages, ratio=0.2, least_pages=10)
+    found = lines.drop_site_lines(pages, ratio=0.2)
     got = {}
     for r in found.collect():
         got.setdefault(r["page_id"], []).append((r["host"], r["lines"], r["dropped"], r["text"]))
     assert sum(map(len, got.values())) == len(rows)
     assert got[0] == [("big.org", 7, 5, "Own text 0\nNow and then")]
     assert got[20] == [("big.org", 6, 5, "Own text 20")]
-    assert got[100] == [("small.org", 2, 0, "T\nHome")] and got[200] == [("", 2, 0, "T\nHome")]
+    assert got[100] == [("small.org", 2, 2, "")] and got[200] == [("", 2, 0, "T\nHome")]
     assert got[201] == got[202] == [("big.org", 0, 0, "")] and got[None] == [("big.org", 2, 2, "")]
     assert got[300][0][:3] == ("big.org", 2, 1)
     assert not re.search("Python|Pandas|Arrow", plan_of(found))
     assert lines.drop_site_lines(pages.limit(0)).count() == 0
+
+
+def test_site_lines_on_hosts_of_any_size(spark):
+    """No jump: a line on every page goes from two pages on, one on a twentieth of the pages never does."""
+    rows = []
+    for size in (1, 2, 3, 9, 10, 11, 1000):
+        for i in range(size):
+            own = ["Rare"] if i < max(1, size // 20) else []
+            rows.append((len(rows), f"https://h{size}.org/{i}", "<br>".join(["Menu", f"Own {i}", *own])))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {}
+    for r in lines.drop_site_lines(pages).collect():
+        got.setdefault(int(r["host"][1:-4]), []).append((r["dropped"], "Menu" in r["text"], "Rare" in r["text"]))
+    assert got[1] == [(0, True, True)]
+    for size in (2, 3, 9, 10, 11, 1000):
+        assert len(got[size]) == size and all(d == 1 and not menu for d, menu, _ in got[size])
+        assert sum(rare for _, _, rare in got[size]) == max(1, size // 20)
