@@ -20,7 +20,7 @@ LEAST_WORDS = 12
 #: A line of this many words is also searched for passages inside it.
 LONG_RUN = 24
 #: Pieces start at words whose hash falls in PIECES of CLASSES classes, seeds in SEEDS of them.
-PIECES, SEEDS, CLASSES = 5, 2, 10
+PIECES, SEEDS, CLASSES = 12, 5, 24
 #: Different words whose hashes a task remembers.
 KNOWN_WORDS = 1 << 18
 #: Paragraphs of one side of a comparison cell.
@@ -160,54 +160,149 @@ def _same_row(id_column: str, mark_column: str) -> F.Column:
     return F.col("doc_id").eqNullSafe(F.col(id_column)) & (F.col("mark") == F.col(mark_column))
 
 
-def paragraph_table(docs: DataFrame, bands: int, rows: int, shingle: int, least_words: int) -> DataFrame:
-    """(doc_id, mark, start, length, words, uid, bands): paragraphs of at least `least_words` words.
+def mixed_shingles(hashes: np.ndarray, size: int) -> np.ndarray:
+    """A 64-bit hash of the `size` words from every place on, of the words' own hashes."""
+    found = np.full(max(0, len(hashes) - size + 1), 0x9E3779B97F4A7C15, np.uint64)
+    for j in range(size):
+        found = (found ^ hashes[j : len(hashes) - size + 1 + j]) * np.uint64(0xFF51AFD7ED558CCD)
+        found ^= found >> np.uint64(32)
+    return found
+
 
-    mark is a hash of the whole text, uid one of the paragraph's lower-cased words; equal uids are exact copies.
+def _keys(hashes: np.ndarray, sizes: list[int], shingle: int, factors: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """(paragraph, band): the band's number and minima mixed to a long; the paragraphs' words follow one another."""
+    every = mixed_shingles(hashes, shingle)
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
+    within = np.ones(len(hashes), bool)
+    for j in range(1, shingle):
+        within[starts[1:] - j] = False
+    own = every[within[: len(every)]]
+    firsts = np.concatenate([[0], np.cumsum(np.array(sizes) - shingle + 1)[:-1]]).astype(np.int64)
+    keys = np.empty((len(sizes), bands), np.int64)
+    for band in range(bands):
+        key = np.full(len(sizes), band, np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        for r in range(rows):
+            mixed = own * factors[band * rows + r]
+            mixed ^= mixed >> np.uint64(29)
+            key = (key ^ np.minimum.reduceat(mixed, firsts)) * np.uint64(0xFF51AFD7ED558CCD)
+            key ^= key >> np.uint64(32)
+        keys[:, band] = key.view(np.int64)
+    return keys
+
+
+def read_once(docs: DataFrame, bands: int, rows: int, shingle: int, least_words: int) -> DataFrame:
+    """(doc_id, mark, start, length, words, uid, bands): paragraphs of `least_words` words or more, and seeds.
+
+    mark is a hash of the whole text, uid one of the paragraph's lower-cased words; equal uids are exact copies. Rows
+    without bands are seeds: pieces of long lines, one in five words, with the start of their line.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         factors = np.random.default_rng(7).integers(1 << 32, 1 << 63, bands * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        known = WordHashes()
         for pdf in batches:
             for first in range(0, len(pdf), BATCH):
+                part = pdf.iloc[first : first + BATCH]
                 out: list[tuple] = []
-                worded = []
-                for row in pdf.iloc[first : first + BATCH].itertuples(index=False):
-                    doc, text = None if row.doc_id is None else int(row.doc_id), row.text or ""
+                worded: list[str] = []
+                for k, text in enumerate(part["text"]):
+                    text = text or ""
                     for start, stop in split_paragraphs(text):
                         words = WORD.findall(text[start:stop].lower())
                         if len(words) >= least_words:
-                            out.append((doc, row.mark, start, stop - start, len(words), _uid(words)))
-                            worded.append(words)
+                            out.append((k, start, stop - start, len(words), _uid(words)))
+                            worded += words
                 if out:
-                    found = pd.DataFrame(out, columns=["doc_id", "mark", "start", "length", "words", "uid"])
-                    found["doc_id"] = pd.array([r[0] for r in out], "Int64")
-                    found["bands"] = list(_band_keys(worded, shingle, factors, bands, rows))
+                    hashes = np.fromiter(map(known.__getitem__, worded), np.uint64, len(worded))
+                    found = pd.DataFrame(out, columns=["row", "start", "length", "words", "uid"])
+                    found = pd.DataFrame({**_ids(part, found.pop("row").to_numpy()), **found})
+                    found["bands"] = list(_keys(hashes, [p[3] for p in out], shingle, factors, bands, rows))
+                    yield found
+                lines = LongLines(part["text"], known)
+                at, uid = content_pieces(lines.hashes, lines.lines, SEEDS)
+                if len(at):
+                    found = pd.DataFrame({**_ids(part, lines.owners[at]), "start": lines.starts[at], "length": 0, "words": 0, "uid": uid})
+                    found["bands"] = None
                     yield found
 
     schema = "doc_id long, mark long, start int, length int, words int, uid long, bands array<long>"
     return _marked(docs).mapInPandas(run, schema)
 
 
-def _with_shingles(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """(uid, hashes): the shingles of each wanted paragraph, read again from the text of one document that holds it."""
+class LongLines:
+    """The words of the long lines of some texts one after another: hash, line, text, and the start of the line."""
+
+    def __init__(self, texts: Iterable[str | None], known: WordHashes, only: Iterable | None = None) -> None:
+        words: list[str] = []
+        found: list[tuple] = []
+        self.spans: list[tuple[int, int]] = []
+        for k, (text, wanted) in enumerate(zip(texts, only, strict=True) if only is not None else ((t, None) for t in texts)):
+            for start, line in long_lines(text or ""):
+                if only is not None and start not in wanted:
+                    continue
+                own = WORD.findall(line.lower())
+                if len(own) >= LONG_RUN:
+                    words += own
+                    found.append((len(own), k, start))
+                    if only is not None:
+                        self.spans += [(start + a, start + b) for a, b in (m.span() for m in WORD.finditer(line))]
+        sizes, owners, starts = np.array(found, np.int64).reshape(-1, 3).T
+        self.hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        self.lines, self.owners, self.starts = (np.repeat(x, sizes) for x in (np.arange(len(sizes)), owners, starts))
+
+
+def _ids(pdf: pd.DataFrame, rows: np.ndarray) -> dict:
+    ids = np.array([None if i is None else int(i) for i in pdf["doc_id"]], object)
+    return {"doc_id": pd.array(ids[rows], "Int64"), "mark": pdf["mark"].to_numpy()[rows]}
+
+
+def read_again(docs: DataFrame, wanted: DataFrame, lines: DataFrame, shingle: int) -> DataFrame:
+    """Rows (uid, hashes): the shingles of each wanted paragraph; rows (doc_id, mark, start, length, uid, parents): the
+    pieces of the lines that share a seed, parents being the starts of the paragraphs they lie in.
+
+    The only step that moves texts.
+    """
     spans = wanted.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("uid", "start", "length")).alias("spans"))
-    spans = spans.select(own_exchange("doc_id").alias("d"), own_exchange("mark").alias("m"), "spans")
+    starts = lines.groupBy("doc_id", "mark").agg(F.collect_set("start").alias("lines"))
+    keys = [F.col("doc_id").alias("d"), F.col("mark").alias("m")]
+    asked = spans.select(*keys, "spans", F.lit(None).cast("array<int>").alias("lines"))
+    asked = asked.unionByName(starts.select(*keys, F.lit(None).cast("array<struct<uid:long,start:int,length:int>>").alias("spans"), "lines"))
+    asked = asked.groupBy("d", "m").agg(F.max("spans").alias("spans"), F.max("lines").alias("lines"))
+    asked = stored(asked.select(own_exchange("d").alias("d"), own_exchange("m").alias("m"), "spans", "lines"), "asked")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = WordHashes()
         for pdf in batches:
             for first in range(0, len(pdf), BATCH):
-                out = []
-                for text, spans in zip(pdf["text"].iloc[first : first + BATCH], pdf["spans"].iloc[first : first + BATCH], strict=True):
-                    for s in spans:
+                part = pdf.iloc[first : first + BATCH]
+                sets = []
+                for text, spans in zip(part["text"], part["spans"], strict=True):
+                    for s in spans if spans is not None else ():
                         words = WORD.findall(text[s["start"] : s["start"] + s["length"]].lower())
-                        if words and _uid(words) == s["uid"]:
-                            out.append((s["uid"], shingle_hashes(words, shingle).tobytes()))
-                if out:
-                    yield pd.DataFrame(out, columns=["uid", "hashes"])
-
-    read = texts_of(docs).withColumn("mark", _mark()).join(spans, _same_row("d", "m"))
-    return read.select("text", "spans").mapInPandas(run, "uid long, hashes binary").dropDuplicates(["uid"])
+                        hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+                        sets.append((s["uid"], np.unique(mixed_shingles(hashes, shingle)).tobytes()))
+                if sets:
+                    found = pd.DataFrame(sets, columns=["uid", "hashes"])
+                    yield found.assign(doc_id=None, mark=None, start=None, length=None, parents=None)
+                lines = LongLines(part["text"], known, [set() if x is None else set(x.tolist()) for x in part["lines"]])
+                at, uid = content_pieces(lines.hashes, lines.lines, PIECES)
+                if not len(at):
+                    continue
+                owners, places = lines.owners[at], np.array(lines.spans, np.int64)
+                start, stop = places[at, 0], places[at + LEAST_WORDS - 1, 1]
+                begins = [np.array([a for a, _ in split_paragraphs(text)], np.int64) + (k << 32) for k, text in enumerate(part["text"])]
+                begins = np.concatenate(begins)
+                low = np.searchsorted(begins, start + (owners << 32), "right") - 1
+                high = np.searchsorted(begins, stop - 1 + (owners << 32), "right")
+                begins &= 0xFFFFFFFF
+                found = pd.DataFrame({"uid": uid, **_ids(part, owners), "start": start, "length": stop - start})
+                found["parents"] = [begins[a:b] for a, b in zip(low, high, strict=True)]
+                found["hashes"] = None
+                yield found
+
+    read = texts_of(docs).withColumn("mark", _mark()).join(asked, _same_row("d", "m"))
+    read = read.select(F.col("doc_id").cast("string").alias("doc_id"), "mark", "text", "spans", "lines")
+    return read.mapInPandas(run, "uid long, hashes binary, doc_id long, mark long, start int, length int, parents array<int>")
 
 
 def _verify(similarity: float):
@@ -237,41 +332,68 @@ def _verify(similarity: float):
     return compare
 
 
-def duplicate_paragraphs(
-    docs: DataFrame, similarity: float = 0.8, shingle: int = 5, recall: float = 0.995, least_words: int = LEAST_WORDS
+def _repeated(rows: DataFrame, name: str) -> DataFrame:
+    """The rows whose uid others have too."""
+    shared = stored(rows.groupBy("uid").agg(F.count("*").alias("n")).where("n > 1").select("uid"), name)
+    return rows.join(shared.select(own_exchange("uid").alias("u")), F.col("uid") == F.col("u"), "left_semi")
+
+
+def duplicate_paragraphs(docs: DataFrame, **options) -> DataFrame:
+    """The rows of `duplicate_passages` for whole paragraphs only."""
+    return duplicate_passages(docs, inside=False, **options)
+
+
+def duplicate_passages(
+    docs: DataFrame,
+    similarity: float = 0.8,
+    shingle: int = 5,
+    recall: float = 0.995,
+    least_words: int = LEAST_WORDS,
+    inside: bool = True,
 ) -> DataFrame:
-    """(doc_id, mark, start, length, words, component, copies, exact, keep_doc_id, kept): every paragraph that has a copy.
+    """(doc_id, mark, start, length, words, component, copies, exact, keep_doc_id, kept): every passage that has a copy.
 
     A paragraph is a line, or a long sentence or run of short ones within a long line. Two are linked if they are equal
     in lower-cased words or their sets of five-word shingles have a Jaccard similarity of 0.8 or more; links of links
-    form a component, whose first paragraph (smallest doc_id, then mark, then start) is kept; exact ones have
-    the same words as it. Paragraphs without a copy,
-    and those shorter than `least_words`, are not listed. start counts characters of the text.
-
-    Null and empty texts have no paragraphs. A row is known by doc_id and mark, a hash of its text: rows that share both
-    are treated alike, other texts under the same id, or without an id, are documents of their own; those without one
-    come last. An empty table gives no rows; other columns are ignored.
+    form a component, whose first paragraph (smallest doc_id, then mark, then start) is kept; exact ones have the same
+    words as it. Paragraphs without a copy, and those shorter than `least_words`, are not listed. start counts characters
+    of the text, mark is a hash of it.
+
+    A passage inside another line is part of a paragraph that has no copy. Lines of LONG_RUN words or more that share a
+    seed, a run of 12 words that starts at one in five words, chosen by the word itself, are searched again with a piece
+    starting at every other word; equal pieces (in lower-cased words) are copies, the first of which is kept. Pieces that
+    touch a paragraph that goes as a near copy are left, because its words need not stand elsewhere. Pieces overlap, so a
+    passage is found but for the words before its first start and after its last piece, two on the average. A piece goes
+    only for one that stands before it, so every word stays somewhere.
+
+    Null and empty texts have no paragraphs. A row is known by doc_id and mark: rows that share both are treated alike,
+    other texts under the same id, or without an id, are documents of their own; those without one come last. An empty
+    table gives no rows; other columns are ignored.
     """
+    if least_words < shingle:
+        raise ValueError("a paragraph needs the words of a shingle")
     bands, rows = tune_bands(similarity, recall)
-    banded = stored(paragraph_table(docs, bands, rows, shingle, least_words), "paragraph-keys")
+    reading = stored(read_once(docs, bands, rows, shingle, least_words), "first-reading")
     first = F.min(_place())
-    keys = banded.select("uid", F.explode("bands").alias("key"))
+    keys = reading.where("bands is not null").select("uid", F.explode("bands").alias("key"))
     shared = keys.groupBy("key").agg(F.min("uid").alias("low"), F.max("uid").alias("high")).where("low <> high")
     shared = shared.select(own_exchange("key").alias("k"))
     # Keys of their own make distinct and minimum combine rows before they shuffle; the joins' partitions may be hot.
     met = keys.join(shared, F.col("key") == F.col("k"), "left_semi").select("uid", own_exchange("key").alias("key"))
     met = stored(met.distinct(), "paragraph-bands")
-    found = stored(banded.drop("bands"), "paragraphs")
-    discard(banded)
+    found = stored(reading.where("bands is not null").drop("bands"), "paragraphs")
+    seeds = _repeated(reading.where("bands is null" if inside else "false"), "seeds").select("doc_id", "mark", "start").distinct()
+    seeds = stored(seeds, "seed-lines")
+    discard(reading)
     wanted = met.select("uid").distinct().select(own_exchange("uid").alias("k"))
     wanted = found.select("uid", "doc_id", "mark", "start", "length").join(wanted, F.col("uid") == F.col("k"), "left_semi")
     wanted = wanted.withColumn("uid", own_exchange("uid")).groupBy("uid").agg(first.alias("at")).select("uid", "at.*")
-    hashes = stored(_with_shingles(docs, wanted, shingle), "paragraph-shingles")
+    again = stored(read_again(docs, wanted, seeds, shingle), "second-reading")
+    hashes = again.where("hashes is not null").dropDuplicates(["uid"])
     held = hashes.select(own_exchange("uid").alias("u"), "hashes")
     cells = in_cells(met, "key", "uid", CHUNK).join(held, F.col("uid") == F.col("u")).drop("u")
     joined = components(per_cell(cells, "key", _verify(similarity), "a long, b long"))
     discard(met)
-    discard(hashes)
 
     classes = found.groupBy("uid").agg(F.count("*").alias("n"), first.alias("at"))
     classes = classes.join(joined.select(own_exchange("node").alias("node"), "component"), F.col("uid") == F.col("node"), "left")
@@ -281,111 +403,23 @@ def duplicate_paragraphs(
     named = classes.join(groups, F.col("component") == F.col("root"))
     named = named.select(own_exchange("uid").alias("u"), "component", "copies", "keep", (F.col("uid") == F.col("like")).alias("exact"))
     kept = _place().eqNullSafe(F.col("keep"))
-    return found.join(named, F.col("uid") == F.col("u")).select(
+    whole = found.join(named, F.col("uid") == F.col("u")).select(
         "doc_id", "mark", "start", "length", "words", "component", "copies", "exact", F.col("keep.doc_id").alias("keep_doc_id"), kept.alias("kept")
     )
+    if not inside:
+        return whole
 
-
-def _line_hashes(texts: Iterable[str | None], known: WordHashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hashes of the words of long lines, number of the line, number of the text)."""
-    words: list[str] = []
-    sizes, owners = [], []
-    for k, text in enumerate(texts):
-        for _, line in long_lines(text or ""):
-            own = WORD.findall(line.lower())
-            if len(own) >= LONG_RUN:
-                words += own
-                sizes.append(len(own))
-                owners.append(k)
-    hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    return hashes, np.repeat(np.arange(len(sizes)), sizes), np.repeat(np.array(owners, np.int64), sizes)
-
-
-def _ids(pdf: pd.DataFrame, rows: np.ndarray) -> dict:
-    ids = np.array([None if i is None else int(i) for i in pdf["doc_id"]], object)
-    return {"doc_id": pd.array(ids[rows], "Int64"), "mark": pdf["mark"].to_numpy()[rows]}
-
-
-def seed_table(docs: DataFrame) -> DataFrame:
-    """(doc_id, mark, uid): one piece in five words of long lines, to see which rows share anything."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = WordHashes()
-        for pdf in batches:
-            hashes, lines, owners = _line_hashes(pdf["text"], known)
-            first, uid = content_pieces(hashes, lines, SEEDS)
-            yield pd.DataFrame({**_ids(pdf, owners[first]), "uid": uid})
-
-    return _marked(docs).mapInPandas(run, "doc_id long, mark long, uid long")
-
-
-def piece_table(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """(doc_id, mark, start, length, words, uid, parents): the pieces of the long lines of `rows` (doc_id, mark).
-
-    parents are the starts of the paragraphs that a piece lies in.
-    """
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = WordHashes()
-        for pdf in batches:
-            hashes, lines, owners = _line_hashes(pdf["text"], known)
-            first, uid = content_pieces(hashes, lines, PIECES)
-            starts, stops = np.empty(len(hashes), np.int64), np.empty(len(hashes), np.int64)
-            at, paragraphs = 0, []
-            for k, text in enumerate(pdf["text"]):
-                paragraphs.append(np.array([a for a, _ in split_paragraphs(text or "")], np.int64) + (k << 32))
-                for line_at, line in long_lines(text or ""):
-                    spans = [m.span() for m in WORD.finditer(line)]
-                    if len(spans) >= LONG_RUN:
-                        found = np.array(spans, np.int64) + line_at
-                        starts[at : at + len(spans)], stops[at : at + len(spans)] = found[:, 0], found[:, 1]
-                        at += len(spans)
-            begins = np.concatenate([*paragraphs, np.zeros(0, np.int64)])
-            last = first + LEAST_WORDS - 1
-            low = np.searchsorted(begins, starts[first] + (owners[first] << 32), "right") - 1
-            high = np.searchsorted(begins, stops[last] - 1 + (owners[first] << 32), "right")
-            places = begins & 0xFFFFFFFF
-            found = pd.DataFrame({**_ids(pdf, owners[first]), "start": starts[first], "length": stops[last] - starts[first], "uid": uid})
-            found["parents"] = [places[a:b] for a, b in zip(low, high, strict=True)]
-            yield found
-
-    wanted = rows.select(own_exchange("doc_id").alias("d"), own_exchange("mark").alias("m"))
-    read = docs.select("doc_id", "text").withColumn("mark", _mark()).withColumn("doc_id", F.col("doc_id").cast("long")).join(wanted, _same_row("d", "m"), "left_semi")
-    found = _marked(read).mapInPandas(run, "doc_id long, mark long, start int, length int, uid long, parents array<int>")
-    return found.withColumn("words", F.lit(LEAST_WORDS))
-
-
-def _repeated(pieces: DataFrame) -> DataFrame:
-    """The rows whose uid others have too."""
-    shared = stored(pieces.groupBy("uid").agg(F.count("*").alias("n")).where("n > 1").select("uid"), "shared")
-    return pieces.join(shared.select(own_exchange("uid").alias("u")), F.col("uid") == F.col("u"), "left_semi")
-
-
-def duplicate_passages(docs: DataFrame, least_words: int = LEAST_WORDS, **options) -> DataFrame:
-    """`duplicate_paragraphs`, and the pieces of long lines that repeat elsewhere, in the same columns.
-
-    A passage inside another line is part of a paragraph that has no copy. Rows that share a seed, a run of 12 words that
-    starts at one in five words, chosen by the word itself, are searched again with a piece starting at every other
-    word; equal pieces (in lower-cased words) are copies, the first of which is kept. Lines of fewer than LONG_RUN words
-    are not searched, nor are pieces that touch a paragraph that goes as a near copy, whose words need not stand elsewhere. Pieces overlap, so a passage is found but
-    for the words before its first start and after its last piece, two on the average. A piece is removed only for one
-    that stands before it, so every word stays somewhere.
-
-    Nulls, empty texts, repeated rows, ids that several texts share, empty tables and other columns: as there.
-    """
-    whole = stored(duplicate_paragraphs(docs, least_words=least_words, **options), "passages")
-    seeds = stored(seed_table(docs), "seeds")
-    rows = stored(_repeated(seeds).select(own_exchange("doc_id").alias("doc_id"), own_exchange("mark").alias("mark")).distinct(), "rows-met")
-    discard(seeds)
-    found = stored(piece_table(docs, rows), "pieces")
+    whole = stored(whole, "passages")
+    discard(found)
+    pieces = again.where("hashes is null").withColumn("words", F.lit(LEAST_WORDS))
     gone = whole.where("not kept and not exact").groupBy("doc_id", "mark").agg(F.collect_set("start").alias("gone"))
     gone = gone.select(own_exchange("doc_id").alias("d"), own_exchange("mark").alias("m"), "gone")
-    met = _repeated(found).join(gone, _same_row("d", "m"), "left").where(F.col("gone").isNull() | ~F.arrays_overlap("parents", "gone"))
-    met = stored(met.select("doc_id", "mark", "start", "length", "words", own_exchange("uid").alias("component")), "pieces-met")
-    discard(found)
-    groups = met.groupBy("component").agg(F.count("*").alias("copies"), F.min(_place()).alias("keep")).where("copies > 1")
-    named = met.join(groups.select(own_exchange("component").alias("c"), "copies", "keep"), F.col("component") == F.col("c"))
-    kept = _place().eqNullSafe(F.col("keep"))
+    pieces = _repeated(pieces, "pieces").join(gone, _same_row("d", "m"), "left")
+    pieces = pieces.where(F.col("gone").isNull() | ~F.arrays_overlap("parents", "gone"))
+    pieces = stored(pieces.select("doc_id", "mark", "start", "length", "words", own_exchange("uid").alias("component")), "pieces-met")
+    discard(again)
+    groups = pieces.groupBy("component").agg(F.count("*").alias("copies"), first.alias("keep")).where("copies > 1")
+    named = pieces.join(groups.select(own_exchange("component").alias("c"), "copies", "keep"), F.col("component") == F.col("c"))
     return whole.unionByName(named.select(*whole.columns[:7], F.lit(True).alias("exact"), F.col("keep.doc_id").alias("keep_doc_id"), kept.alias("kept")))
 
 

@@ -16,6 +16,7 @@ from stagetrail.llm.nearest import nearest_neighbours
 from stagetrail.llm.packing import pack
 from stagetrail.llm.paragraphs import duplicate_passages
 from stagetrail.llm.pieces import encode_documents
+from stagetrail.llm.private import digests, find_private
 from stagetrail.llm.simhash import simhash_components
 from stagetrail.llm.toxicity import severity
 from stagetrail.llm.urls import judge_urls
@@ -76,6 +77,10 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.drop_site_lines(table(spark, folder, "pages"))
 
 
+def op11_private(spark: SparkSession, folder: str) -> DataFrame:
+    return digests(find_private(table(spark, folder, "documents")))
+
+
 def op12_centroids(spark: SparkSession, folder: str) -> DataFrame:
     return cluster_vectors(table(spark, folder, "embeddings"), clusters=40, rounds=5, dims=64, scale=256, seed="2:")
 
@@ -135,7 +140,7 @@ QUERIES = {
     for f in (
         op1_toxicity, op2_nearest_neighbours, op3_substring_dedup, op4_url_filter, op5_pieces,
         op6_exact_dedup, op7_simhash, op8_packing, op9_language, op10_line_dedup,
-        op12_centroids, op13_collocations,
+        op11_private, op12_centroids, op13_collocations,
     )
 }
 

@@ -149,7 +149,7 @@ def test_near_stage(stages):
 
 
 def test_substring_stage(stages):
-    """Against all pairs of paragraphs and all equal pieces of rows that share a seed: whatever stands after the first of its kind is cut out."""
+    """Against all pairs of paragraphs and all equal pieces of lines that share a seed: whatever stands after the first of its kind is cut out."""
     before, after = map(of, stages["substring_dedup"])
     sets, keys = {}, {}
     for d, t in before.items():
@@ -168,15 +168,15 @@ def test_substring_stage(stages):
             if len(at) >= LONG_RUN:
                 words = words_of(line)
                 hashes = np.array([known[w] for w in words], np.uint64)
-                lines.append((d, words, hashes, [(d, a + at[i][0], a + at[i + LEAST_WORDS - 1][1]) for i in range(len(at) - LEAST_WORDS + 1)]))
+                lines.append((words, hashes, [(d, a + at[i][0], a + at[i + LEAST_WORDS - 1][1]) for i in range(len(at) - LEAST_WORDS + 1)]))
                 for i in content_pieces(hashes, np.zeros(len(words), int), SEEDS)[0].tolist():
-                    seeds.setdefault(tuple(words[i : i + LEAST_WORDS]), []).append(d)
-    rows = {d for ds in seeds.values() if len(ds) > 1 for d in ds}
+                    seeds.setdefault(tuple(words[i : i + LEAST_WORDS]), []).append(len(lines) - 1)
     pieces = {}
-    for d, words, hashes, places in lines:
-        for i in content_pieces(hashes, np.zeros(len(words), int), PIECES)[0].tolist() if d in rows else ():
+    for k in {k for ks in seeds.values() if len(ks) > 1 for k in ks}:
+        words, hashes, places = lines[k]
+        for i in content_pieces(hashes, np.zeros(len(words), int), PIECES)[0].tolist():
             p = places[i]
-            if not any(g[0] == d and g[1] < p[2] and p[1] < g[2] for g in inexact):
+            if not any(g[0] == p[0] and g[1] < p[2] and p[1] < g[2] for g in inexact):
                 pieces.setdefault(tuple(words[i : i + LEAST_WORDS]), []).append(p)
     gone |= {p for ps in pieces.values() for p in sorted(ps)[1:]}
     for d, text in before.items():
