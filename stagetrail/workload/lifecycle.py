@@ -16,8 +16,9 @@ from stagetrail.operators.sync import decide, decision_counts, next_fingerprints
 from stagetrail.functions.identity import event_id
 from stagetrail.plans import funnel, views
 from stagetrail.plans.sync_run import run_sync
+from stagetrail.sources.key_index import KeyIndex
 from stagetrail.session import run_folder
-from stagetrail.sources.event_table import duplicate_report, read_events
+from stagetrail.sources.event_table import duplicate_report, read_events, table_rows, write_clustered
 from stagetrail.streaming.stability import stable_files
 from stagetrail.workload.registry import Tables, query
 
@@ -446,6 +447,18 @@ def sync_decisions(t: Tables) -> DataFrame:
     return decide(snapshot(t), catalog(t)).select("event_id", "job_id", "event_type", "decision")
 
 
+@query("sync_indexed", f"WITH {SYNC_SQL} SELECT event_id, job_id, event_type, decision FROM decided")
+def sync_indexed(t: Tables) -> DataFrame:
+    """The same decisions over a table in files, its keys looked up in the side tables."""
+    root = run_folder(t.spark, "sync-indexed")
+    write_clustered(table_rows(catalog(t), F.col("exported_at").cast("timestamp")), f"{root}/table", "errorifexists")
+    table, index = read_events(t.spark, f"{root}/table"), KeyIndex(f"{root}/index")
+    index.rebuild(table)
+    table_rows(snapshot(t), F.lit(None).cast("timestamp")).write.parquet(f"{root}/rows")
+    decided = decide(t.spark.read.parquet(f"{root}/rows"), table, index=index)
+    return decided.select("event_id", "job_id", "event_type", "decision")
+
+
 @query("sync_counters", f"WITH {SYNC_SQL} {_COUNTERS_SQL.format(c='decision')}")
 def sync_counters(t: Tables) -> DataFrame:
     return decision_counts(decide(snapshot(t), catalog(t)))
