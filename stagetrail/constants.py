@@ -107,6 +107,7 @@ LINK_TASK = "telegram_job_link"
 FILE_TASKS = ("drive_file", "ocr_job_image")
 TASK_TYPES = (LINK_TASK, *FILE_TASKS)
 TASK_SOURCES = ("telegram", "drive")
+LINK_SOURCE = "telegram"
 TASK_KEYS = ("schema", "task_id", "type", "source", "payload", "dedupe_key", "created_at")
 TASK_PAYLOAD_REQUIRED = ("url", "file_id", "version", "text")
 TASK_PAYLOAD_KEYS = ("url", "file_id", "version", "text", "sha256", "mime")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -10,13 +11,12 @@ from pyspark.sql import functions as F
 
 from stagetrail import constants as C
 from stagetrail.functions.identity import dedupe_key, normalize_url, strict_json
-from stagetrail.functions.text import computed_once, matches
+from stagetrail.functions.text import computed_once
 from stagetrail.functions.times import iso_utc
+from stagetrail.operators.json_contract import Contract
 from stagetrail.schemas import TASK_PAYLOAD_SCHEMA, TASK_SCHEMA_TYPE
 from stagetrail.sources.messages import encode_tasks, message_text
 
-_DATE_TIME = r"^\d{4}-\d{2}-\d{2}[Tt ]\d{2}:\d{2}:\d{2}(?:\.\d+)?(?:[Zz]|[+-]\d{2}:\d{2})$"
-
 
 @dataclass(frozen=True)
 class Split:
@@ -51,118 +51,61 @@ def iso_text(instant: datetime) -> str:
     return instant.strftime("%Y-%m-%dT%H:%M:%SZ")
 
 
-class _Field:
-    """Predicates on one member of the message; each is true when the rule is broken."""
-
-    def __init__(self, name: str):
-        self.kind, self.text = F.col(f"_kind_{name}"), F.col(f"_text_{name}")
-
-    @property
-    def present(self) -> Column:
-        return self.kind.isNotNull()
-
-    def not_text(self, nullable: bool = False) -> Column:
-        return self.present & ~self.kind.isin("STRING", *(("VOID",) if nullable else ()))
-
-    def longer_than(self, limit: int) -> Column:
-        return F.char_length(self.text) > limit
-
-    def mismatches(self, pattern: str) -> Column:
-        return ~matches(self.text, pattern)
-
-    def not_in(self, *allowed: str) -> Column:
-        return self.present & ~F.coalesce(self.text.isin(*allowed), F.lit(False))
-
-
-def _read_members(df: DataFrame) -> DataFrame:
-    """Types and texts of all members as flat columns.
-
-    Flat, because the optimiser copies the parts of a struct into every rule that
-    uses them; a plain column is computed once.
+def task_contract() -> dict:
+    """The schema of task messages, for those who do not read a document of their own."""
+    text = {"type": "string"}
+    optional = {"type": ["string", "null"]}
+    hashed = {"pattern": C.SHA256_PATTERN}
+    sized = {n: optional | {"maxLength": most} for n, most in C.TASK_MAX_LENGTHS.items()}
+    payload = sized | {
+        "url": sized["url"] | {"pattern": C.TASK_URL_PATTERN},
+        "sha256": optional | hashed,
+        "mime": optional | {"enum": [None, *C.TASK_MIMES]},
+    }
+    link = {"source": {"const": C.LINK_SOURCE}, "payload": {"properties": {"url": text}}}
+    file = {"payload": {"properties": {"file_id": text, "sha256": text}, "required": ["sha256"]}}
+    return {
+        "type": "object",
+        "additionalProperties": False,
+        "required": list(C.TASK_KEYS),
+        "properties": {
+            "schema": {"const": C.TASK_SCHEMA},
+            "task_id": text | {"pattern": C.TASK_ID_PATTERN},
+            "type": {"enum": list(C.TASK_TYPES)},
+            "source": {"enum": list(C.TASK_SOURCES)},
+            "payload": {"type": "object", "additionalProperties": False, "required": list(C.TASK_PAYLOAD_REQUIRED), "properties": payload},
+            "dedupe_key": text | hashed,
+            "created_at": text | {"format": "date-time", "maxLength": C.CREATED_AT_MAX},
+        },
+        "allOf": [
+            {"if": {"properties": {"type": {"const": C.LINK_TASK}}}, "then": {"properties": link}},
+            {"if": {"properties": {"type": {"enum": list(C.FILE_TASKS)}}}, "then": {"properties": file}},
+        ],
+    }
+
+
+def check_messages(messages: DataFrame, value: str = "value", schema: Mapping | None = None) -> DataFrame:
+    """Add ``task`` (typed, NULL when invalid) and ``reason`` (first broken rule, NULL when valid).
+
+    The rules are compiled from ``schema``, a JSON Schema document as ``load_contract`` reads it; a message that keeps all
+    of them must also carry the key of its own payload.
     """
-    paths = {n: f"$.{n}" for n in C.TASK_KEYS} | {f"payload_{n}": f"$.payload.{n}" for n in C.TASK_PAYLOAD_KEYS}
-    found = df.withColumns({f"_member_{n}": F.try_variant_get("doc", p, "variant") for n, p in paths.items()})
-    kinds = found.withColumns({f"_kind_{n}": F.schema_of_variant(f"_member_{n}") for n in paths})
-    text = lambda n: F.when(F.col(f"_kind_{n}") == "STRING", F.try_variant_get(f"_member_{n}", "$", "string"))
-    return kinds.withColumns(
-        {
-            **{f"_text_{n}": text(n) for n in paths if n != "payload"},
-            "_root": F.schema_of_variant("doc"),
-            "_keys": F.map_keys(F.try_variant_get("doc", "$", "map<string,variant>")),
-            "_payload_keys": F.map_keys(F.try_variant_get("_member_payload", "$", "map<string,variant>")),
-        }
-    )
-
-
-def _broken_rules() -> list[tuple[str, Column]]:
-    """Every rule in the order the first error is chosen: the root, then by path."""
-    root, keys, payload_keys = F.col("_root"), F.col("_keys"), F.col("_payload_keys")
-    payload_kind = F.col("_kind_payload")
-    listed = lambda names: F.array(*[F.lit(n) for n in names])
-    extra = lambda have, names: F.size(F.array_except(have, listed(names))) > 0
-    lacks = lambda have, names: F.size(F.array_except(listed(names), have)) > 0
-
-    kind, source, created, key = (_Field(n) for n in ("type", "source", "created_at", "dedupe_key"))
-    p = {n: _Field(f"payload_{n}") for n in C.TASK_PAYLOAD_KEYS}
-    is_link = F.coalesce(kind.text == C.LINK_TASK, F.lit(False))
-    is_file = F.coalesce(kind.text.isin(*C.FILE_TASKS), F.lit(False))
-    too_long = lambda n: p[n].longer_than(C.TASK_MAX_LENGTHS[n])
-    bad_time = ~F.rlike(created.text, F.lit(_DATE_TIME)) | (created.text.isNotNull() & created.text.try_cast("timestamp").isNull())
-    own_key = dedupe_key(kind.text, source.text, p["url"].text, p["sha256"].text)
-
-    return [
-        ("not json", F.col("doc").isNull()),
-        ("<root>: type", ~F.startswith(root, F.lit("OBJECT"))),
-        ("<root>: additionalProperties", extra(keys, C.TASK_KEYS)),
-        ("<root>: required", lacks(keys, C.TASK_KEYS)),
-        ("created_at: type", created.not_text()),
-        ("created_at: format", bad_time),
-        ("created_at: maxLength", created.longer_than(C.CREATED_AT_MAX)),
-        ("dedupe_key: type", key.not_text()),
-        ("dedupe_key: pattern", key.mismatches(C.SHA256_PATTERN)),
-        ("payload: type", payload_kind.isNotNull() & ~F.startswith(payload_kind, F.lit("OBJECT"))),
-        ("payload: additionalProperties", extra(payload_keys, C.TASK_PAYLOAD_KEYS)),
-        ("payload: required", lacks(payload_keys, C.TASK_PAYLOAD_REQUIRED)),
-        ("payload: required", is_file & lacks(payload_keys, ("sha256",))),
-        ("payload/file_id: type", p["file_id"].not_text(nullable=True) | (is_file & p["file_id"].not_text())),
-        ("payload/file_id: maxLength", too_long("file_id")),
-        ("payload/mime: type", p["mime"].not_text(nullable=True)),
-        ("payload/mime: enum", (p["mime"].kind != "VOID") & p["mime"].not_in(*C.TASK_MIMES)),
-        ("payload/sha256: type", p["sha256"].not_text(nullable=True) | (is_file & p["sha256"].not_text())),
-        ("payload/sha256: pattern", p["sha256"].mismatches(C.SHA256_PATTERN)),
-        ("payload/text: type", p["text"].not_text(nullable=True)),
-        ("payload/text: maxLength", too_long("text")),
-        ("payload/url: type", p["url"].not_text(nullable=True)),
-        ("payload/url: maxLength", too_long("url")),
-        ("payload/url: pattern", p["url"].mismatches(C.TASK_URL_PATTERN)),
-        ("payload/url: type", is_link & p["url"].not_text()),
-        ("payload/version: type", p["version"].not_text(nullable=True)),
-        ("payload/version: maxLength", too_long("version")),
-        ("schema: const", _Field("schema").not_in(C.TASK_SCHEMA)),
-        ("source: enum", source.not_in(*C.TASK_SOURCES)),
-        ("source: const", is_link & source.not_in("telegram")),
-        ("task_id: type", _Field("task_id").not_text()),
-        ("task_id: pattern", _Field("task_id").mismatches(C.TASK_ID_PATTERN)),
-        ("type: enum", kind.not_in(*C.TASK_TYPES)),
-        ("dedupe_key: does not match payload identity", key.text != own_key),
-    ]
-
-
-def check_messages(messages: DataFrame, value: str = "value") -> DataFrame:
-    """Add ``task`` (typed, NULL when invalid) and ``reason`` (first broken rule, NULL when valid)."""
+    contract = Contract(schema or task_contract())
     texts = messages.withColumn("_message", message_text(messages[value]))
-    parsed = _read_members(texts.withColumn("doc", strict_json(F.col("_message"))))
-    first = F.coalesce(*[F.when(rule, F.lit(reason)) for reason, rule in _broken_rules()])
+    parsed = contract.read_members(texts.withColumn("doc", strict_json(F.col("_message"))))
+    own_key = dedupe_key(*[contract.text(*path) for path in (("type",), ("source",), ("payload", "url"), ("payload", "sha256"))])
+    foreign = F.when(contract.text("dedupe_key") != own_key, F.lit("dedupe_key: does not match payload identity"))
+    first = F.coalesce(F.when(F.col("doc").isNull(), F.lit("not json")), contract.first_error(), foreign)
     reasoned = parsed.withColumn("reason", first)
-    payload = F.struct(*[F.col(f"_text_payload_{n}").alias(n) for n in TASK_PAYLOAD_SCHEMA.names]).alias("payload")
-    members = [payload if n == "payload" else F.col(f"_text_{n}").alias(n) for n in TASK_SCHEMA_TYPE.names]
+    payload = F.struct(*[contract.text("payload", n).alias(n) for n in TASK_PAYLOAD_SCHEMA.names]).alias("payload")
+    members = [payload if n == "payload" else contract.text(n).alias(n) for n in TASK_SCHEMA_TYPE.names]
     task = F.when(F.col("reason").isNull(), F.struct(*members)).alias("task")
     return computed_once(reasoned.select(*messages.columns, "reason", task), "reason", "task")
 
 
-def split_messages(messages: DataFrame, value: str = "value") -> Split:
+def split_messages(messages: DataFrame, value: str = "value", schema: Mapping | None = None) -> Split:
     """Valid tasks, and the raw rest with the reason."""
-    checked = check_messages(messages, value)
+    checked = check_messages(messages, value, schema)
     valid = checked.filter("reason IS NULL").select("task.*", *[c for c in messages.columns if c != value])
     return Split(valid, checked.filter("reason IS NOT NULL").drop("task"))
 

@@ -12,7 +12,7 @@ from stagetrail.operators.hooks import add_title_guess
 from stagetrail.plans.insights import ledger_histograms
 from stagetrail.session import run_folder
 from stagetrail.sources.event_table import append_events, read_events, rewrite_deduplicated, swap_in, write_ndjson
-from stagetrail.sources.ledger import RefusedSnapshot, read_outcomes, refuse_snapshot
+from stagetrail.sources.ledger import read_outcomes, snapshot_refused
 from stagetrail.sources.messages import read_chat_updates, read_labelled, read_messages, write_report
 from stagetrail.streaming.intake import first_deliveries
 from stagetrail.streaming.listener import start_listener
@@ -102,27 +102,31 @@ def report_file(t: Tables) -> DataFrame:
     return t.spark.read.json(f"{root}/report").select("dimension", "value", "n")
 
 
+_PATHS_SQL = r"""SELECT p_partkey, CASE p_partkey % 8 WHEN 0 THEN '/ledger/jobs.json' WHEN 1 THEN '/ledger/jobs_' || p_size || '.json'
+  WHEN 2 THEN '/ledger/jobs.json.bak' WHEN 3 THEN '/Vault/jobs.json' WHEN 4 THEN 'C:\ledger\jobs_b.json' WHEN 5 THEN '/ledger/' || p_brand || '.json'
+  WHEN 6 THEN '/ledger/jobs.json/' ELSE '/ledger/jobs_' || replace(p_name, ' ', '_') || '.json' END AS name FROM part"""
+
+
 @query(
     "refused_snapshots",
-    """SELECT p_partkey, name, name LIKE '%/jobs.json' OR name LIKE '%/jobs_b.json' AS accepted FROM (
-  SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN '/ledger/jobs.json' WHEN 1 THEN '/ledger/jobs_b.json' WHEN 2 THEN '/ledger/jobs.json.bak'
-         ELSE '/vault/jobs.json' END AS name FROM part) WHERE name NOT LIKE '/vault%'
-UNION ALL SELECT p_partkey, '/vault/jobs.json', false FROM part WHERE p_partkey % 4 = 3""",
+    f"""SELECT p_partkey, name, lower(name) NOT LIKE '%vault%' AND regexp_full_match(
+  regexp_extract(rtrim(replace(name, chr(92), '/'), '/'), '[^/]*$'), 'jobs(_\\w+)?\\.json') AS accepted FROM ({_PATHS_SQL})""",
 )
 def refused_snapshots(t: Tables) -> DataFrame:
     """Which of the paths, one per part, a sync would take."""
-    names = ["/ledger/jobs.json", "/ledger/jobs_b.json", "/ledger/jobs.json.bak", "/vault/jobs.json"]
-
-    def accepted(path: str) -> bool:
-        try:
-            refuse_snapshot(path, ["vault"])
-        except RefusedSnapshot:
-            return False
-        return True
-
-    judged = F.create_map(*[F.lit(x) for n in names for x in (n, accepted(n))])
-    paths = t.part.select("p_partkey", F.element_at(F.array(*[F.lit(n) for n in names]), (F.col("p_partkey") % 4 + 1).cast("int")).alias("name"))
-    return paths.withColumn("accepted", judged[F.col("name")])
+    one_of = F.pmod("p_partkey", F.lit(8))
+    names = {
+        0: F.lit("/ledger/jobs.json"),
+        1: F.concat(F.lit("/ledger/jobs_"), "p_size", F.lit(".json")),
+        2: F.lit("/ledger/jobs.json.bak"),
+        3: F.lit("/Vault/jobs.json"),
+        4: F.lit("C:\\ledger\\jobs_b.json"),
+        5: F.concat(F.lit("/ledger/"), "p_brand", F.lit(".json")),
+        6: F.lit("/ledger/jobs.json/"),
+        7: F.concat(F.lit("/ledger/jobs_"), F.replace("p_name", F.lit(" "), F.lit("_")), F.lit(".json")),
+    }
+    path = F.coalesce(*[F.when(one_of == k, name) for k, name in names.items()])
+    return t.part.select("p_partkey", path.alias("name")).withColumn("accepted", ~snapshot_refused(F.col("name"), ["vault"]))
 
 
 @query(

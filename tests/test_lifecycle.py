@@ -103,6 +103,25 @@ def test_refused_snapshots(path):
     ledger.refuse_snapshot("/x/jobs_2024.json")
 
 
+def test_refused_snapshots_of_a_column(spark):
+    """The rule over a column is the rule for one argument."""
+    paths = ["/x/jobs.json", "/x/jobs_2024.json", "jobs.json", "/x/jobs_.json", "/x/my_jobs.json", "/x/jobs.json.bak", "/Secret/jobs.json", "/x/jobs.json/", "/x/jobs.json/.",
+             "c:\\x\\jobs_a.json", "", "/", "/x/jobs_é.json", "/x/jobs_a-b.json", "/x/jobs.json\n", "/x/JOBS.json", "file:/x/jobs_1.json"]
+
+    def refused(path):
+        try:
+            ledger.refuse_snapshot(path, ["secret"])
+        except ledger.RefusedSnapshot:
+            return True
+        return False
+
+    df = spark.createDataFrame([(i, p) for i, p in enumerate([*paths, None])], "i int, source_file string")
+    got = [r["x"] for r in sorted(df.select("i", ledger.snapshot_refused(F.col("source_file"), ["secret"]).alias("x")).collect())]
+    assert got == [*map(refused, paths), True] and got[:4] == [False, False, False, True]
+    assert sorted(r["i"] for r in ledger.from_allowed(df, ["secret"]).collect()) == [i for i, p in enumerate(paths) if not refused(p)]
+
+
+
 def test_sync_cycle(spark, tmp_path):
     path = write_ledger(tmp_path, JOBS)
     table, state = str(tmp_path / "table"), str(tmp_path / "state")
