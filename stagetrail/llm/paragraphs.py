@@ -21,6 +21,8 @@ LEAST_WORDS = 12
 LONG_RUN = 24
 #: Pieces start at words whose hash falls in PIECES of CLASSES classes, seeds in SEEDS of them.
 PIECES, SEEDS, CLASSES = 12, 5, 24
+#: What the first reading finds.
+PARAGRAPH, LINE, SEED = 0, 1, 2
 #: Different words whose hashes a task remembers.
 KNOWN_WORDS = 1 << 18
 #: Paragraphs of one side of a comparison cell.
@@ -96,16 +98,6 @@ def content_pieces(hashes: np.ndarray, lines: np.ndarray, classes: int, size: in
     return first, uid.view(np.int64)
 
 
-def long_lines(text: str) -> list[tuple[int, str]]:
-    """(start, line) of the lines that may have LONG_RUN words."""
-    found, at = [], 0
-    for line in text.split("\n"):
-        if len(line) >= 2 * LONG_RUN - 1:
-            found.append((at, line))
-        at += len(line) + 1
-    return found
-
-
 def _shingles(words: list[str], size: int) -> list[str]:
     return [" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))]
 
@@ -169,7 +161,7 @@ def mixed_shingles(hashes: np.ndarray, size: int) -> np.ndarray:
     return found
 
 
-def _keys(hashes: np.ndarray, sizes: list[int], shingle: int, factors: np.ndarray, bands: int, rows: int) -> np.ndarray:
+def _keys(hashes: np.ndarray, sizes: np.ndarray, shingle: int, factors: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """(paragraph, band): the band's number and minima mixed to a long; the paragraphs' words follow one another."""
     every = mixed_shingles(hashes, shingle)
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
@@ -177,7 +169,7 @@ def _keys(hashes: np.ndarray, sizes: list[int], shingle: int, factors: np.ndarra
     for j in range(1, shingle):
         within[starts[1:] - j] = False
     own = every[within[: len(every)]]
-    firsts = np.concatenate([[0], np.cumsum(np.array(sizes) - shingle + 1)[:-1]]).astype(np.int64)
+    firsts = np.concatenate([[0], np.cumsum(sizes - shingle + 1)[:-1]]).astype(np.int64)
     keys = np.empty((len(sizes), bands), np.int64)
     for band in range(bands):
         key = np.full(len(sizes), band, np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -191,10 +183,11 @@ def _keys(hashes: np.ndarray, sizes: list[int], shingle: int, factors: np.ndarra
 
 
 def read_once(docs: DataFrame, bands: int, rows: int, shingle: int, least_words: int) -> DataFrame:
-    """(doc_id, mark, start, length, words, uid, bands): paragraphs of `least_words` words or more, and seeds.
+    """(kind, doc_id, mark, start, length, words, uid, line, bands): paragraphs, long lines, and seeds, each text read once.
 
-    mark is a hash of the whole text, uid one of the paragraph's lower-cased words; equal uids are exact copies. Rows
-    without bands are seeds: pieces of long lines, one in five words, with the start of their line.
+    mark is a hash of the whole text, uid one of the lower-cased words of the paragraph, line or seed; equal uids are
+    exact copies. Seeds, pieces at one in five words of long lines, have only the uid of their line; a seed that its line
+    has twice has another one, so that it counts as shared.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -203,57 +196,75 @@ def read_once(docs: DataFrame, bands: int, rows: int, shingle: int, least_words:
         for pdf in batches:
             for first in range(0, len(pdf), BATCH):
                 part = pdf.iloc[first : first + BATCH]
-                out: list[tuple] = []
-                worded: list[str] = []
+                found: list[tuple] = []
+                lines: list[tuple] = []
+                words: list[str] = []
                 for k, text in enumerate(part["text"]):
                     text = text or ""
+                    lowered = text.lower()
+                    # Lower case may be longer; then each paragraph is lowered by itself.
+                    plain = len(lowered) == len(text)
+                    line_at, line_words = 0, len(words)
                     for start, stop in split_paragraphs(text):
-                        words = WORD.findall(text[start:stop].lower())
-                        if len(words) >= least_words:
-                            out.append((k, start, stop - start, len(words), _uid(words)))
-                            worded += words
-                if out:
-                    hashes = np.fromiter(map(known.__getitem__, worded), np.uint64, len(worded))
-                    found = pd.DataFrame(out, columns=["row", "start", "length", "words", "uid"])
-                    found = pd.DataFrame({**_ids(part, found.pop("row").to_numpy()), **found})
-                    found["bands"] = list(_keys(hashes, [p[3] for p in out], shingle, factors, bands, rows))
-                    yield found
-                lines = LongLines(part["text"], known)
-                at, uid = content_pieces(lines.hashes, lines.lines, SEEDS)
-                if len(at):
-                    found = pd.DataFrame({**_ids(part, lines.owners[at]), "start": lines.starts[at], "length": 0, "words": 0, "uid": uid})
-                    found["bands"] = None
-                    yield found
-
-    schema = "doc_id long, mark long, start int, length int, words int, uid long, bands array<long>"
+                        if start > line_at and text[start - 1] == "\n":
+                            lines.append((k, line_at, line_words, len(words)))
+                            line_at, line_words = start, len(words)
+                        own = WORD.findall(lowered[start:stop] if plain else text[start:stop].lower())
+                        if len(own) >= least_words:
+                            found.append((k, start, stop - start, len(own), len(words), _uid(own)))
+                        words += own
+                    lines.append((k, line_at, line_words, len(words)))
+                if not words:
+                    continue
+                hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+                if found:
+                    k, start, length, size, at, uid = (np.array(c, np.int64) for c in zip(*found, strict=True))
+                    out = pd.DataFrame({"kind": PARAGRAPH, **_ids(part, k), "start": start, "length": length, "words": size, "uid": uid, "line": None})
+                    taken = np.repeat(at - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
+                    out["bands"] = list(_keys(hashes[taken], size, shingle, factors, bands, rows))
+                    yield out
+                k, start, begin, end = np.array([r for r in lines if r[3] - r[2] >= LONG_RUN], np.int64).reshape(-1, 4).T
+                if not len(k):
+                    continue
+                size = end - begin
+                uid = np.array([_uid(words[a:b]) for a, b in zip(begin.tolist(), end.tolist(), strict=True)], np.int64)
+                yield pd.DataFrame({"kind": LINE, **_ids(part, k), "start": start, "length": None, "words": size, "uid": uid, "line": None, "bands": None})
+                number = np.repeat(np.arange(len(size)), size)
+                taken = np.repeat(begin - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
+                at, seed = content_pieces(hashes[taken], number, SEEDS)
+                out = pd.DataFrame({"number": number[at], "uid": seed})
+                out["line"] = uid[out.pop("number")] + pd.DataFrame({"number": number[at], "uid": seed}).duplicated()
+                yield out.assign(kind=SEED, doc_id=None, mark=None, start=None, length=None, words=None, bands=None)
+
+    schema = "kind int, doc_id long, mark long, start int, length int, words int, uid long, line long, bands array<long>"
     return _marked(docs).mapInPandas(run, schema)
 
 
 class LongLines:
-    """The words of the long lines of some texts one after another: hash, line, text, and the start of the line."""
+    """The words of some lines of some texts one after another: hash, number of the line, number of the text, place."""
 
-    def __init__(self, texts: Iterable[str | None], known: WordHashes, only: Iterable | None = None) -> None:
+    def __init__(self, texts: Iterable[str], starts: Iterable, known: WordHashes) -> None:
         words: list[str] = []
         found: list[tuple] = []
         self.spans: list[tuple[int, int]] = []
-        for k, (text, wanted) in enumerate(zip(texts, only, strict=True) if only is not None else ((t, None) for t in texts)):
-            for start, line in long_lines(text or ""):
-                if only is not None and start not in wanted:
-                    continue
+        for k, (text, wanted) in enumerate(zip(texts, starts, strict=True)):
+            for start in sorted(wanted.tolist()) if wanted is not None else ():
+                stop = text.find("\n", start)
+                line = text[start : stop if stop >= 0 else len(text)]
                 own = WORD.findall(line.lower())
-                if len(own) >= LONG_RUN:
-                    words += own
-                    found.append((len(own), k, start))
-                    if only is not None:
-                        self.spans += [(start + a, start + b) for a, b in (m.span() for m in WORD.finditer(line))]
-        sizes, owners, starts = np.array(found, np.int64).reshape(-1, 3).T
+                words += own
+                found.append((len(own), k))
+                self.spans += [(start + a, start + b) for a, b in (m.span() for m in WORD.finditer(line))]
+        sizes, owners = np.array(found, np.int64).reshape(-1, 2).T
         self.hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        self.lines, self.owners, self.starts = (np.repeat(x, sizes) for x in (np.arange(len(sizes)), owners, starts))
+        self.lines, self.owners = (np.repeat(x, sizes) for x in (np.arange(len(sizes)), owners))
 
 
 def _ids(pdf: pd.DataFrame, rows: np.ndarray) -> dict:
-    ids = np.array([None if i is None else int(i) for i in pdf["doc_id"]], object)
-    return {"doc_id": pd.array(ids[rows], "Int64"), "mark": pdf["mark"].to_numpy()[rows]}
+    """doc_id and mark of the rows; pandas takes a null among integers only with a mask."""
+    none = pdf["doc_id"].isna().to_numpy()
+    ids = pdf["doc_id"].where(~none, "0").astype(np.int64).to_numpy()
+    return {"doc_id": pd.arrays.IntegerArray(ids[rows], none[rows]), "mark": pdf["mark"].to_numpy()[rows]}
 
 
 def read_again(docs: DataFrame, wanted: DataFrame, lines: DataFrame, shingle: int) -> DataFrame:
@@ -284,7 +295,7 @@ def read_again(docs: DataFrame, wanted: DataFrame, lines: DataFrame, shingle: in
                 if sets:
                     found = pd.DataFrame(sets, columns=["uid", "hashes"])
                     yield found.assign(doc_id=None, mark=None, start=None, length=None, parents=None)
-                lines = LongLines(part["text"], known, [set() if x is None else set(x.tolist()) for x in part["lines"]])
+                lines = LongLines(part["text"], part["lines"], known)
                 at, uid = content_pieces(lines.hashes, lines.lines, PIECES)
                 if not len(at):
                     continue
@@ -332,10 +343,14 @@ def _verify(similarity: float):
     return compare
 
 
-def _repeated(rows: DataFrame, name: str) -> DataFrame:
-    """The rows whose uid others have too."""
-    shared = stored(rows.groupBy("uid").agg(F.count("*").alias("n")).where("n > 1").select("uid"), name)
-    return rows.join(shared.select(own_exchange("uid").alias("u")), F.col("uid") == F.col("u"), "left_semi")
+def _shared_lines(reading: DataFrame) -> DataFrame:
+    """(doc_id, mark, start): the first place of each long line that shares a seed with a line of other words."""
+    seeds = reading.where(F.col("kind") == SEED).select("uid", "line")
+    shared = seeds.groupBy("uid").agg(F.min("line").alias("low"), F.max("line").alias("high")).where("low <> high")
+    shared = stored(shared.select("uid"), "seeds").select(own_exchange("uid").alias("u"))
+    met = seeds.join(shared, F.col("uid") == F.col("u"), "left_semi").select(own_exchange("line").alias("line")).distinct()
+    lines = reading.where(F.col("kind") == LINE).drop("line").join(met, F.col("uid") == F.col("line"), "left_semi")
+    return lines.groupBy(own_exchange("uid").alias("uid")).agg(F.min(_place()).alias("at")).select("at.doc_id", "at.mark", "at.start")
 
 
 def duplicate_paragraphs(docs: DataFrame, **options) -> DataFrame:
@@ -360,8 +375,8 @@ def duplicate_passages(
     of the text, mark is a hash of it.
 
     A passage inside another line is part of a paragraph that has no copy. Lines of LONG_RUN words or more that share a
-    seed, a run of 12 words that starts at one in five words, chosen by the word itself, are searched again with a piece
-    starting at every other word; equal pieces (in lower-cased words) are copies, the first of which is kept. Pieces that
+    seed with a line of other words, or have it twice, are searched again, the first of equal lines only: a seed is a run of
+    12 words that starts at one in five words, chosen by the word itself, a piece starts at every other word; equal pieces (in lower-cased words) are copies, the first of which is kept. Pieces that
     touch a paragraph that goes as a near copy are left, because its words need not stand elsewhere. Pieces overlap, so a
     passage is found but for the words before its first start and after its last piece, two on the average. A piece goes
     only for one that stands before it, so every word stays somewhere.
@@ -375,20 +390,20 @@ def duplicate_passages(
     bands, rows = tune_bands(similarity, recall)
     reading = stored(read_once(docs, bands, rows, shingle, least_words), "first-reading")
     first = F.min(_place())
-    keys = reading.where("bands is not null").select("uid", F.explode("bands").alias("key"))
+    paragraphs = reading.where(F.col("kind") == PARAGRAPH)
+    keys = paragraphs.select("uid", F.explode("bands").alias("key"))
     shared = keys.groupBy("key").agg(F.min("uid").alias("low"), F.max("uid").alias("high")).where("low <> high")
     shared = shared.select(own_exchange("key").alias("k"))
     # Keys of their own make distinct and minimum combine rows before they shuffle; the joins' partitions may be hot.
     met = keys.join(shared, F.col("key") == F.col("k"), "left_semi").select("uid", own_exchange("key").alias("key"))
     met = stored(met.distinct(), "paragraph-bands")
-    found = stored(reading.where("bands is not null").drop("bands"), "paragraphs")
-    seeds = _repeated(reading.where("bands is null" if inside else "false"), "seeds").select("doc_id", "mark", "start").distinct()
-    seeds = stored(seeds, "seed-lines")
+    found = stored(paragraphs.drop("kind", "line", "bands"), "paragraphs")
+    lines = stored(_shared_lines(reading.where(F.lit(inside))), "seed-lines")
     discard(reading)
     wanted = met.select("uid").distinct().select(own_exchange("uid").alias("k"))
     wanted = found.select("uid", "doc_id", "mark", "start", "length").join(wanted, F.col("uid") == F.col("k"), "left_semi")
     wanted = wanted.withColumn("uid", own_exchange("uid")).groupBy("uid").agg(first.alias("at")).select("uid", "at.*")
-    again = stored(read_again(docs, wanted, seeds, shingle), "second-reading")
+    again = stored(read_again(docs, wanted, lines, shingle), "second-reading")
     hashes = again.where("hashes is not null").dropDuplicates(["uid"])
     held = hashes.select(own_exchange("uid").alias("u"), "hashes")
     cells = in_cells(met, "key", "uid", CHUNK).join(held, F.col("uid") == F.col("u")).drop("u")
@@ -414,7 +429,8 @@ def duplicate_passages(
     pieces = again.where("hashes is null").withColumn("words", F.lit(LEAST_WORDS))
     gone = whole.where("not kept and not exact").groupBy("doc_id", "mark").agg(F.collect_set("start").alias("gone"))
     gone = gone.select(own_exchange("doc_id").alias("d"), own_exchange("mark").alias("m"), "gone")
-    pieces = _repeated(pieces, "pieces").join(gone, _same_row("d", "m"), "left")
+    shared = stored(pieces.groupBy("uid").agg(F.count("*").alias("n")).where("n > 1").select("uid"), "pieces")
+    pieces = pieces.join(shared.select(own_exchange("uid").alias("u")), F.col("uid") == F.col("u"), "left_semi").join(gone, _same_row("d", "m"), "left")
     pieces = pieces.where(F.col("gone").isNull() | ~F.arrays_overlap("parents", "gone"))
     pieces = stored(pieces.select("doc_id", "mark", "start", "length", "words", own_exchange("uid").alias("component")), "pieces-met")
     discard(again)

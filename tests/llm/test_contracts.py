@@ -15,7 +15,7 @@ import __spark_entry__ as entry_point
 import corpus_pipeline
 from check import TABLES, normal
 from stagetrail.llm import language, queries
-from stagetrail.llm.paragraphs import LEAST_WORDS, LONG_RUN, PIECES, SEEDS, WordHashes, content_pieces, long_lines, split_paragraphs
+from stagetrail.llm.paragraphs import LEAST_WORDS, LONG_RUN, PIECES, SEEDS, WordHashes, content_pieces, split_paragraphs
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -161,19 +161,21 @@ def test_substring_stage(stages):
     root = roots(sets, linked(sets) | same)
     gone = {p for p in sets if root[p] != p}
     inexact = {p for p in gone if words_of(before[p[0]][p[1] : p[2]]) != words_of(before[root[p][0]][root[p][1] : root[p][2]])}
-    lines, seeds, known = [], {}, WordHashes()
+    lines, seeds, known = {}, {}, WordHashes()
     for d, t in sorted(before.items()):
-        for a, line in long_lines(t):
+        a = 0
+        for line in t.split("\n"):
             at = [m.span() for m in re.finditer("[^\x20\x09-\x0d]+", line)]
-            if len(at) >= LONG_RUN:
-                words = words_of(line)
+            words = tuple(words_of(line))
+            if len(at) >= LONG_RUN and words not in lines:
                 hashes = np.array([known[w] for w in words], np.uint64)
-                lines.append((words, hashes, [(d, a + at[i][0], a + at[i + LEAST_WORDS - 1][1]) for i in range(len(at) - LEAST_WORDS + 1)]))
+                lines[words] = (hashes, [(d, a + at[i][0], a + at[i + LEAST_WORDS - 1][1]) for i in range(len(at) - LEAST_WORDS + 1)])
                 for i in content_pieces(hashes, np.zeros(len(words), int), SEEDS)[0].tolist():
-                    seeds.setdefault(tuple(words[i : i + LEAST_WORDS]), []).append(len(lines) - 1)
+                    seeds.setdefault(tuple(words[i : i + LEAST_WORDS]), []).append(words)
+            a += len(line) + 1
     pieces = {}
-    for k in {k for ks in seeds.values() if len(ks) > 1 for k in ks}:
-        words, hashes, places = lines[k]
+    for words in {w for ws in seeds.values() if len(ws) > 1 for w in ws}:
+        hashes, places = lines[words]
         for i in content_pieces(hashes, np.zeros(len(words), int), PIECES)[0].tolist():
             p = places[i]
             if not any(g[0] == p[0] and g[1] < p[2] and p[1] < g[2] for g in inexact):

@@ -64,6 +64,15 @@ def test_texts_under_one_id_and_without_one(spark):
     assert empty.count() == 0 and paragraphs.remove_paragraphs(docs.limit(0), empty).count() == 0
 
 
+def test_a_passage_twice_in_one_line(spark):
+    rng = random.Random(8)
+    words = vocabulary(rng, 3000)
+    p, a, b, c = (prose(rng, 60, words) for _ in range(4))
+    docs = documents(spark, [f"{a} {p} {b} {p} {c}", prose(rng, 200, words)])
+    left = {r["doc_id"]: r["text"] for r in paragraphs.remove_paragraphs(docs, paragraphs.duplicate_passages(docs)).collect()}
+    assert 300 - 60 <= len(left[0].split()) <= 300 - 54 and left[0].startswith(f"{a} {p} {b}") and left[0].endswith(c)
+
+
 def pieces(words, classes=paragraphs.PIECES):
     hashes = np.fromiter(map(paragraphs.WordHashes().__getitem__, words), np.uint64, len(words))
     first, _ = paragraphs.content_pieces(hashes, np.zeros(len(words), int), classes)
