@@ -20,7 +20,7 @@ LEAST_WORDS = 12
 #: A line of this many words is also searched for passages inside it.
 LONG_RUN = 24
 #: Pieces start at words whose hash falls in PIECES of CLASSES classes, seeds in SEEDS of them.
-PIECES, SEEDS, CLASSES = 12, 5, 24
+PIECES, SEEDS, CLASSES = 12, 3, 24
 #: What the first reading finds.
 PARAGRAPH, LINE, SEED = 0, 1, 2
 #: Different words whose hashes a task remembers.
@@ -73,12 +73,29 @@ def split_paragraphs(text: str, long_sentence: int = LONG_SENTENCE) -> list[tupl
 
 
 class WordHashes(dict):
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         if len(self) >= KNOWN_WORDS:
             self.clear()
-        self[word] = found = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"), 3)
+        self[word] = found = xxhash.xxh3_64_intdigest(word, 3)
         return found
 
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
+def lower_words(text: str) -> list[bytes]:
+    """The words of a text in lower case; bytes are split at the six ASCII white-space characters only, as WORD does."""
+    return text.lower().encode("utf-8", "surrogatepass").split()
+
+
+def _word_uids(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each run of words; the runs follow one another."""
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
+    place = (np.arange(len(hashes)) - np.repeat(starts, sizes)).astype(np.uint64)
+    mixed = (hashes ^ ((place + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xFF51AFD7ED558CCD)
+    mixed ^= mixed >> np.uint64(29)
+    return (np.add.reduceat(mixed * np.uint64(0xD6E8FEB86659FD93), starts) + sizes.astype(np.uint64)).view(np.int64)
+
 
 def content_pieces(hashes: np.ndarray, lines: np.ndarray, classes: int, size: int = LEAST_WORDS) -> tuple[np.ndarray, np.ndarray]:
     """(first, uid) of the pieces of `size` words that start where the word's own hash says so, within a line.
@@ -186,7 +203,7 @@ def read_once(docs: DataFrame, bands: int, rows: int, shingle: int, least_words:
     """(kind, doc_id, mark, start, length, words, uid, line, bands): paragraphs, long lines, and seeds, each text read once.
 
     mark is a hash of the whole text, uid one of the lower-cased words of the paragraph, line or seed; equal uids are
-    exact copies. Seeds, pieces at one in five words of long lines, have only the uid of their line; a seed that its line
+    exact copies. Seeds, pieces at one in eight words of long lines, have only the uid of their line; a seed that its line
     has twice has another one, so that it counts as shared.
     """
 
@@ -198,40 +215,38 @@ def read_once(docs: DataFrame, bands: int, rows: int, shingle: int, least_words:
                 part = pdf.iloc[first : first + BATCH]
                 found: list[tuple] = []
                 lines: list[tuple] = []
-                words: list[str] = []
+                words: list[bytes] = []
                 for k, text in enumerate(part["text"]):
                     text = text or ""
-                    lowered = text.lower()
-                    # Lower case may be longer; then each paragraph is lowered by itself.
-                    plain = len(lowered) == len(text)
                     line_at, line_words = 0, len(words)
                     for start, stop in split_paragraphs(text):
                         if start > line_at and text[start - 1] == "\n":
                             lines.append((k, line_at, line_words, len(words)))
                             line_at, line_words = start, len(words)
-                        own = WORD.findall(lowered[start:stop] if plain else text[start:stop].lower())
+                        own = lower_words(text[start:stop])
                         if len(own) >= least_words:
-                            found.append((k, start, stop - start, len(own), len(words), _uid(own)))
+                            found.append((k, start, stop - start, len(own), len(words)))
                         words += own
                     lines.append((k, line_at, line_words, len(words)))
                 if not words:
                     continue
-                hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+                hashes = known.of(words)
                 if found:
-                    k, start, length, size, at, uid = (np.array(c, np.int64) for c in zip(*found, strict=True))
-                    out = pd.DataFrame({"kind": PARAGRAPH, **_ids(part, k), "start": start, "length": length, "words": size, "uid": uid, "line": None})
-                    taken = np.repeat(at - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
-                    out["bands"] = list(_keys(hashes[taken], size, shingle, factors, bands, rows))
+                    k, start, length, size, at = (np.array(c, np.int64) for c in zip(*found, strict=True))
+                    own = hashes[np.repeat(at - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())]
+                    out = pd.DataFrame({"kind": PARAGRAPH, **_ids(part, k), "start": start, "length": length, "words": size, "line": None})
+                    out["uid"] = _word_uids(own, size)
+                    out["bands"] = list(_keys(own, size, shingle, factors, bands, rows))
                     yield out
                 k, start, begin, end = np.array([r for r in lines if r[3] - r[2] >= LONG_RUN], np.int64).reshape(-1, 4).T
                 if not len(k):
                     continue
                 size = end - begin
-                uid = np.array([_uid(words[a:b]) for a, b in zip(begin.tolist(), end.tolist(), strict=True)], np.int64)
+                own = hashes[np.repeat(begin - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())]
+                uid = _word_uids(own, size)
                 yield pd.DataFrame({"kind": LINE, **_ids(part, k), "start": start, "length": None, "words": size, "uid": uid, "line": None, "bands": None})
                 number = np.repeat(np.arange(len(size)), size)
-                taken = np.repeat(begin - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
-                at, seed = content_pieces(hashes[taken], number, SEEDS)
+                at, seed = content_pieces(own, number, SEEDS)
                 out = pd.DataFrame({"number": number[at], "uid": seed})
                 out["line"] = uid[out.pop("number")] + pd.DataFrame({"number": number[at], "uid": seed}).duplicated()
                 yield out.assign(kind=SEED, doc_id=None, mark=None, start=None, length=None, words=None, bands=None)
@@ -244,19 +259,19 @@ class LongLines:
     """The words of some lines of some texts one after another: hash, number of the line, number of the text, place."""
 
     def __init__(self, texts: Iterable[str], starts: Iterable, known: WordHashes) -> None:
-        words: list[str] = []
+        words: list[bytes] = []
         found: list[tuple] = []
         self.spans: list[tuple[int, int]] = []
         for k, (text, wanted) in enumerate(zip(texts, starts, strict=True)):
             for start in sorted(wanted.tolist()) if wanted is not None else ():
                 stop = text.find("\n", start)
                 line = text[start : stop if stop >= 0 else len(text)]
-                own = WORD.findall(line.lower())
+                own = lower_words(line)
                 words += own
                 found.append((len(own), k))
                 self.spans += [(start + a, start + b) for a, b in (m.span() for m in WORD.finditer(line))]
         sizes, owners = np.array(found, np.int64).reshape(-1, 2).T
-        self.hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        self.hashes = known.of(words)
         self.lines, self.owners = (np.repeat(x, sizes) for x in (np.arange(len(sizes)), owners))
 
 
@@ -289,8 +304,7 @@ def read_again(docs: DataFrame, wanted: DataFrame, lines: DataFrame, shingle: in
                 sets = []
                 for text, spans in zip(part["text"], part["spans"], strict=True):
                     for s in spans if spans is not None else ():
-                        words = WORD.findall(text[s["start"] : s["start"] + s["length"]].lower())
-                        hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+                        hashes = known.of(lower_words(text[s["start"] : s["start"] + s["length"]]))
                         sets.append((s["uid"], np.unique(mixed_shingles(hashes, shingle)).tobytes()))
                 if sets:
                     found = pd.DataFrame(sets, columns=["uid", "hashes"])
@@ -376,7 +390,7 @@ def duplicate_passages(
 
     A passage inside another line is part of a paragraph that has no copy. Lines of LONG_RUN words or more that share a
     seed with a line of other words, or have it twice, are searched again, the first of equal lines only: a seed is a run of
-    12 words that starts at one in five words, chosen by the word itself, a piece starts at every other word; equal pieces (in lower-cased words) are copies, the first of which is kept. Pieces that
+    12 words that starts at one in eight words, chosen by the word itself, a piece starts at every other word; equal pieces (in lower-cased words) are copies, the first of which is kept. Pieces that
     touch a paragraph that goes as a near copy are left, because its words need not stand elsewhere. Pieces overlap, so a
     passage is found but for the words before its first start and after its last piece, two on the average. A piece goes
     only for one that stands before it, so every word stays somewhere.

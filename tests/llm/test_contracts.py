@@ -168,7 +168,7 @@ def test_substring_stage(stages):
             at = [m.span() for m in re.finditer("[^\x20\x09-\x0d]+", line)]
             words = tuple(words_of(line))
             if len(at) >= LONG_RUN and words not in lines:
-                hashes = np.array([known[w] for w in words], np.uint64)
+                hashes = known.of([w.encode() for w in words])
                 lines[words] = (hashes, [(d, a + at[i][0], a + at[i + LEAST_WORDS - 1][1]) for i in range(len(at) - LEAST_WORDS + 1)])
                 for i in content_pieces(hashes, np.zeros(len(words), int), SEEDS)[0].tolist():
                     seeds.setdefault(tuple(words[i : i + LEAST_WORDS]), []).append(words)

@@ -35,8 +35,8 @@ def test_spliced_passages_are_found(spark, sentence, size):
     assert all(left[k] == texts[k] for k in range(n))
     cut = [len(texts[n + k].split()) - len(left[n + k].split()) for k in range(n)]
     print("found", sum(c > 0 for c in cut), "of", n, "words removed", sum(cut), "of", size * n)
-    # A passage of 30 words may hold no seed (one in five words, 19 places: 0.01) and loses two words of its 30 at the ends.
-    assert sum(c > 0 for c in cut) >= (0.9 if size < 50 else 0.98) * n and sum(cut) >= (0.85 if size < 50 else 0.93) * size * n
+    # A passage of 30 words may hold no seed (one in eight words, 19 places: 0.08) and loses two words of its 30 at the ends.
+    assert sum(c > 0 for c in cut) >= (0.8 if size < 50 else 0.98) * n and sum(cut) >= (0.75 if size < 50 else 0.93) * size * n
     for k in range(n):
         # What stands around stays, but for the few words of a sentence that is a near copy with its part of the passage.
         before, after = texts[n + k].split(passages[k])
@@ -74,7 +74,7 @@ def test_a_passage_twice_in_one_line(spark):
 
 
 def pieces(words, classes=paragraphs.PIECES):
-    hashes = np.fromiter(map(paragraphs.WordHashes().__getitem__, words), np.uint64, len(words))
+    hashes = paragraphs.WordHashes().of([w.encode() for w in words])
     first, _ = paragraphs.content_pieces(hashes, np.zeros(len(words), int), classes)
     return [tuple(words[a : a + paragraphs.LEAST_WORDS]) for a in first]
 
