@@ -43,6 +43,7 @@ _STATE = T.StructType(
     ]
 )
 _OUTCOME = "dedupe_key string, status string, detail string"
+_COUNTS = T.StructType([T.StructField(n, T.LongType()) for n in ("pulled", "acked", "nacked", "rejected")])
 _RECEIVED = T.StructType(
     [
         T.StructField("value", T.StringType()),
@@ -91,13 +92,30 @@ def file_handlers() -> dict[str, Handler]:
     return {t: accept for t in FILE_TASKS}
 
 
+def write_outcome(handlers: Mapping[str, Handler], tasks: DataFrame, kind: str, path: str) -> None:
+    """Write what the type's handler says about its tasks; if it fails, that they are to be tried again."""
+    keys = tasks.select("dedupe_key")
+    said = lambda status, detail: keys.withColumns({"status": F.lit(status), "detail": F.lit(detail).cast("string")})
+    if kind not in handlers:
+        said("rejected", "unknown_type").write.mode("overwrite").parquet(path)
+        return
+    try:
+        done = handlers[kind](tasks.select(*TASK_SCHEMA_TYPE.names))
+        if "detail" not in done.columns:
+            done = done.withColumn("detail", F.lit(None).cast("string"))
+        done = done.groupBy("dedupe_key").agg(F.min("status").alias("status"), F.min("detail").alias("detail"))
+        done.write.mode("overwrite").parquet(path)
+    except Exception as exc:  # noqa: BLE001 - any failure of a handler is an attempt
+        said("transient", f"{type(exc).__name__}: {exc}".splitlines()[0]).write.mode("overwrite").parquet(path)
+
+
 @dataclass
 class Intake:
     """Micro-batch body over one state folder.
 
     A batch takes the tasks that arrived and those whose retry is due. Per batch number N it writes, each replaced when N
-    is retried: ``received``, ``open`` (what is to be handled), ``outcome`` (what the handlers said), ``queue`` and last
-    ``state``. Handlers run once, when the outcome is written; queue and state are made from it. A handler that fails
+    is retried: ``received``, ``open`` (what is to be handled), ``outcome`` (what the handlers said), ``queue``, ``state``
+    and last ``counters``. Handlers run once, when the outcome is written; queue and state are made from it. A handler that fails
     counts as an attempt of its tasks and stops neither the batch nor other types. Only done and rejected identities are
     skipped; a failed one is handled again when it is delivered again. State older than the retention is forgotten.
     """
@@ -159,7 +177,7 @@ class Intake:
         unsettled.drop("_known").write.mode("overwrite").parquet(folder("open"))
         open_tasks = spark.read.parquet(folder("open"))
         for (kind,) in open_tasks.select("type").distinct().collect():  # the contract knows a handful
-            self._handle(open_tasks.filter(F.col("type") == kind), kind, f"{folder('outcome')}/kind={kind}")
+            write_outcome(self.handlers, open_tasks.filter(F.col("type") == kind), kind, f"{folder('outcome')}/kind={kind}")
 
         try:
             outcome = spark.read.schema(_OUTCOME).parquet(folder("outcome"))
@@ -188,37 +206,26 @@ class Intake:
         queued = queue_items(rows.filter("status = 'done'"), F.col("created_at").try_cast("timestamp"))
         queued.write.mode("overwrite").parquet(folder("queue"))
         self.state.write(rows, batch_id, replace=True)
+        self._count(spark, batch_id).write.mode("overwrite").parquet(folder("counters"))
 
-    def _handle(self, tasks: DataFrame, kind: str, path: str) -> None:
-        """Write what the type's handler says about its tasks; if it fails, that they are to be tried again."""
-        keys = tasks.select("dedupe_key")
-        said = lambda status, detail: keys.withColumns({"status": F.lit(status), "detail": F.lit(detail).cast("string")})
-        if kind not in self.handlers:
-            said("rejected", "unknown_type").write.mode("overwrite").parquet(path)
-            return
-        try:
-            done = self.handlers[kind](tasks.select(*TASK_SCHEMA_TYPE.names))
-            if "detail" not in done.columns:
-                done = done.withColumn("detail", F.lit(None).cast("string"))
-            done = done.groupBy("dedupe_key").agg(F.min("status").alias("status"), F.min("detail").alias("detail"))
-            done.write.mode("overwrite").parquet(path)
-        except Exception as exc:  # noqa: BLE001 - any failure of a handler is an attempt
-            said("transient", f"{type(exc).__name__}: {exc}".splitlines()[0]).write.mode("overwrite").parquet(path)
-
-    def counters(self, spark: SparkSession) -> DataFrame:
-        """Per batch: messages pulled, acknowledged, returned for retry, and rejected."""
-        arrived = self.received(spark).select("version", "reason", "task.dedupe_key")
-        results = self.state._all(spark).select("version", "dedupe_key", "status")
-        rows = arrived.join(results, ["version", "dedupe_key"], "left")
+    def _count(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """What became of the messages of one batch, from the batch's own files."""
+        arrived = self.received(spark).where(F.col("version") == batch_id).select("reason", "task.dedupe_key")
+        results = self.state._all(spark).where(F.col("version") == batch_id).select("dedupe_key", "status")
+        rows = arrived.join(results, "dedupe_key", "left")
         returned = F.coalesce(F.col("status").isin("retry", "failed"), F.lit(False))
         refused = F.col("reason").isNotNull() | F.coalesce(F.col("status") == "rejected", F.lit(False))
-        return rows.groupBy("version").agg(
+        return rows.agg(
             F.count(F.lit(1)).alias("pulled"),
             F.count_if(~returned).alias("acked"),
             F.count_if(returned).alias("nacked"),
             F.count_if(refused).alias("rejected"),
         )
 
+    def counters(self, spark: SparkSession) -> DataFrame:
+        """Per batch: messages pulled, acknowledged, returned for retry, and rejected, one row as each batch left it."""
+        return self._read(spark, "counters", _COUNTS)
+
 
 def start_intake(
     messages: DataFrame, intake: Intake, checkpoint: str, available_now: bool = True, heartbeats: str | None = None

@@ -15,7 +15,7 @@ from stagetrail.operators.reconcile import dropped_jobs, events_by_type, reconci
 from stagetrail.operators.sync import decide, decision_counts, next_fingerprints, to_append
 from stagetrail.functions.identity import event_id
 from stagetrail.plans import funnel, views
-from stagetrail.plans.sync_run import run_sync
+from stagetrail.plans.sync_run import run_sync, start_sync
 from stagetrail.sources.key_index import KeyIndex
 from stagetrail.session import run_folder
 from stagetrail.sources.event_table import duplicate_report, read_events, table_rows, write_clustered
@@ -741,17 +741,22 @@ SELECT step, n AS derived_total, CASE WHEN step < '4' THEN n ELSE 0 END AS new,
        CASE WHEN step >= '3' THEN CASE WHEN changed = 1 THEN n + touched ELSE n END ELSE 0 END AS table_rows FROM steps, sums"""
 
 
+def _ledgers(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """The orders as jobs with days of one month, so that the table has few day folders, and again with changed companies."""
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(F.xxhash64("job_id"), F.lit(20)).cast("int"))
+    times = {"created_at_utc": 0, "sent_at_utc": 3, "reply_seen_at_utc": 10}
+    jobs = ledger(t).withColumns({c: F.when(F.col(c).isNotNull(), F.date_format(F.date_add(day, n), "yyyy-MM-dd")) for c, n in times.items()})
+    company = F.when(F.regexp_extract("company", "([0-9]+)$", 1).cast("int") % 10 == 0, F.concat("company", F.lit(" (new)")))
+    return jobs, jobs.withColumn("company", F.coalesce(company, "company"))
+
+
 @query("sync_run_report", f"WITH {_SYNC_SQL.strip()}")
 def sync_run_report(t: Tables) -> DataFrame:
     """Dry run, preview, apply, a later repeat and changed companies, from a ledger written one job per line."""
     root = run_folder(t.spark, "sync-report")
-    # Days of one month, so that the table has few day folders.
-    day = F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(F.xxhash64("job_id"), F.lit(20)).cast("int"))
-    times = {"created_at_utc": 0, "sent_at_utc": 3, "reply_seen_at_utc": 10}
-    jobs = ledger(t).withColumns({c: F.when(F.col(c).isNotNull(), F.date_format(F.date_add(day, n), "yyyy-MM-dd")) for c, n in times.items()})
+    jobs, changed = _ledgers(t)
     jobs.write.json(f"{root}/jobs.json")
-    company = F.when(F.regexp_extract("company", "([0-9]+)$", 1).cast("int") % 10 == 0, F.concat("company", F.lit(" (new)")))
-    jobs.withColumn("company", F.coalesce(company, "company")).write.json(f"{root}/jobs_b.json")
+    changed.write.json(f"{root}/jobs_b.json")
     out = []
     for step, name, mode, at in (
         ("1 dry_run", "jobs", "dry_run", RUN_TS),
@@ -768,3 +773,33 @@ def sync_run_report(t: Tables) -> DataFrame:
         report.discard()
     names = "derived_total long, new long, updated long, unchanged long, skipped long, jobs_in_ledger long"
     return t.spark.createDataFrame(out, f"step string, {names}, reconciled boolean, dropped long, table_rows long")
+
+
+@query(
+    "sync_triggered",
+    f"""WITH {_SYNC_SQL.strip()[: _SYNC_SQL.strip().index("SELECT step")]}
+SELECT run, n AS derived_total, CASE run WHEN 1 THEN n ELSE 0 END AS new, CASE run WHEN 2 THEN touched ELSE 0 END AS updated,
+       CASE run WHEN 1 THEN 0 ELSE n - touched END AS unchanged, n + touched AS table_rows FROM sums, (VALUES (1), (2)) r(run)""",
+)
+def sync_triggered(t: Tables) -> DataFrame:
+    """Two scheduled runs over a folder in which snapshots arrive: each takes what is new, and names that do not fit are left."""
+    root = run_folder(t.spark, "triggered")
+    jobs, changed = _ledgers(t)
+
+    def arrive(rows: DataFrame, name: str) -> None:
+        # A snapshot is one file with a job a line; it is written beside the folder and moved there when it is whole.
+        rows.coalesce(1).write.json(f"{root}/parts/{name}")
+        files = t.spark._jvm.org.apache.hadoop.fs.Path(root).getFileSystem(t.spark._jsc.hadoopConfiguration())
+        at = t.spark._jvm.org.apache.hadoop.fs.Path
+        files.mkdirs(at(f"{root}/snapshots"))
+        part = next(f.getPath() for f in files.listStatus(at(f"{root}/parts/{name}")) if f.getPath().getName().startswith("part-"))
+        files.rename(part, at(f"{root}/snapshots/{name}"))
+
+    for name, rows in (("jobs_1.json", jobs), ("jobs.json.bak", jobs), ("jobs_2.json", changed)):
+        arrive(rows, name)
+        if name.endswith(".json"):
+            start_sync(t.spark, f"{root}/snapshots", f"{root}/table", f"{root}/state", f"{root}/c", f"{root}/reports", layout="lines").awaitTermination()
+    count = F.lit(read_events(t.spark, f"{root}/table").count()).cast("long").alias("table_rows")
+    runs = t.spark.read.parquet(f"{root}/reports")
+    run = F.regexp_extract("path", "jobs_([0-9])", 1).cast("int").alias("run")
+    return runs.select(run, "derived_total", "new", "updated", "unchanged", count)

@@ -24,6 +24,7 @@ from stagetrail.plans.queue import drain_queue, read_records, run_queue, structu
 from stagetrail.sources.event_table import read_events
 from stagetrail.sources.messages import encode_tasks, suffix_mime, wanted_file
 from stagetrail.streaming.intake import Intake, by_response, file_handlers, start_intake
+from stagetrail.streaming.retries import TimedIntake
 from stagetrail.session import run_folder
 from stagetrail.workload.registry import Tables, query
 
@@ -435,17 +436,21 @@ def delivery_outcomes(t: Tables) -> DataFrame:
     return t.orders.select(outcome.alias("outcome")).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _intake(t: Tables) -> Intake:
-    """Run all document and page messages through the streaming intake once."""
-    root = run_folder(t.spark, "intake")
-    document_messages(t).unionByName(page_messages(t)).write.text(f"{root}/messages")
-    responses = t.pages.select(
+def _page_responses(t: Tables) -> DataFrame:
+    """Links with a question mark are down."""
+    return t.pages.select(
         dedupe_key(F.lit("telegram_job_link"), F.lit("telegram"), F.col("url"), F.lit(None).cast("string")).alias("dedupe_key"),
         F.when(F.contains("url", F.lit("?")), 503).otherwise(200).alias("status_code"),
         F.lit(True).alias("ok"),
         F.lit(None).cast("string").alias("error_type"),
     ).distinct()
-    intake = Intake(f"{root}/state", {**file_handlers(), "telegram_job_link": by_response(responses)})
+
+
+def _intake(t: Tables) -> Intake:
+    """Run all document and page messages through the streaming intake once."""
+    root = run_folder(t.spark, "intake")
+    document_messages(t).unionByName(page_messages(t)).write.text(f"{root}/messages")
+    intake = Intake(f"{root}/state", {**file_handlers(), "telegram_job_link": by_response(_page_responses(t))})
     messages = t.spark.readStream.schema("value string").text(f"{root}/messages")
     start_intake(messages, intake, f"{root}/checkpoint").awaitTermination()
     return intake
@@ -483,6 +488,25 @@ UNION ALL
 SELECT 'ocr_job_image', 'rejected', 'unknown_type', count(DISTINCT text), CAST(0 AS BIGINT) FROM documents WHERE lang NOT IN ('fr', 'es')""",
 )
 def intake_batches(t: Tables) -> DataFrame:
+    state = _three_batches(t).state.read(t.spark)
+    return state.groupBy("type", "status", "detail").agg(F.count(F.lit(1)).alias("tasks"), F.sum("attempts").alias("attempts"))
+
+
+@query(
+    "intake_counters",
+    """WITH p AS (SELECT page_id, url LIKE 'https://%' AND length(rtrim(url, '/')) <= 2000 AS ok, url LIKE '%?%' AS down FROM pages),
+d AS (SELECT count(*) AS n FROM documents WHERE lang NOT IN ('fr', 'es'))
+SELECT CAST(0 AS BIGINT) AS version, count(*) + max(n) AS pulled, count(*) + max(n) - count(*) FILTER (ok AND down) AS acked,
+       count(*) FILTER (ok AND down) AS nacked, count(*) FILTER (NOT ok) + max(n) AS rejected FROM p, d
+UNION ALL
+SELECT 1, count(*), count(*) - count(*) FILTER (ok AND down), count(*) FILTER (ok AND down), count(*) FILTER (NOT ok) FROM p WHERE page_id % 3 = 0
+UNION ALL SELECT 2, 0, 0, 0, 0""",
+)
+def intake_counters(t: Tables) -> DataFrame:
+    return _three_batches(t).counters(t.spark).select("version", "pulled", "acked", "nacked", "rejected")
+
+
+def _three_batches(t: Tables) -> Intake:
     """Three batches: all tasks while some links are down, a third again at once, and an hour later only what came due."""
     key = dedupe_key(F.lit("telegram_job_link"), F.lit("telegram"), F.col("url"), F.lit(None).cast("string")).alias("dedupe_key")
     code = lambda down: F.when(down, 503).otherwise(200).alias("status_code")
@@ -500,8 +524,30 @@ def intake_batches(t: Tables) -> DataFrame:
     first.process(links(t.pages).unionByName(images), 0, CREATED)
     first.process(links(t.pages.filter("page_id % 3 = 0")), 1, CREATED + timedelta(seconds=5))
     second.process(images.limit(0), 2, CREATED + timedelta(hours=1))
-    state = second.state.read(t.spark)
-    return state.groupBy("type", "status", "detail").agg(F.count(F.lit(1)).alias("tasks"), F.sum("attempts").alias("attempts"))
+    return second
+
+
+@query(
+    "intake_timers",
+    """WITH links AS (SELECT rtrim(url, '/') AS u, count(*) AS d FROM pages WHERE url LIKE 'https://%' GROUP BY 1),
+ended AS (
+  SELECT CASE WHEN u LIKE '%?%' THEN 'failed' ELSE 'done' END AS action, CASE WHEN u LIKE '%?%' THEN greatest(5, d) ELSE 0 END AS attempts FROM links
+  UNION ALL SELECT 'done', 0 FROM documents WHERE lang NOT IN ('fr', 'es') GROUP BY text)
+SELECT action, CASE WHEN action = 'failed' THEN 'max_attempts' END AS detail, count(*) AS tasks, CAST(sum(attempts) AS BIGINT) AS attempts
+FROM ended GROUP BY action""",
+)
+def intake_timers(t: Tables) -> DataFrame:
+    """All messages through the keyed state, each retry by its timer, until nothing is open."""
+    root = run_folder(t.spark, "timers")
+    document_messages(t).unionByName(page_messages(t)).write.text(f"{root}/messages")
+    intake = TimedIntake(f"{root}/state", {**file_handlers(), "telegram_job_link": by_response(_page_responses(t))}, delays=(0, 0))
+    query = intake.start(t.spark.readStream.schema("value string").text(f"{root}/messages"), f"{root}/checkpoint", seconds=0)
+    try:
+        if not intake.drain(t.spark, query, 900):
+            raise TimeoutError("tasks are still open")
+    finally:
+        query.stop()
+    return intake.results(t.spark).groupBy("action", "detail").agg(F.count(F.lit(1)).alias("tasks"), F.sum("attempts").alias("attempts"))
 
 
 @query(

@@ -21,7 +21,7 @@ from stagetrail.operators.rates import response_rate
 from stagetrail.operators.sync import decide, logical_keys
 from stagetrail.plans import funnel, views
 from stagetrail.plans.insights import ledger_histograms, ledger_rates
-from stagetrail.plans.sync_run import run_backfill, run_sync
+from stagetrail.plans.sync_run import run_backfill, run_sync, start_sync
 from stagetrail.schemas import FINGERPRINT_SCHEMA, FIRST_SEEN_SCHEMA
 from stagetrail.sources import event_table, ledger
 from stagetrail.sources.messages import write_report
@@ -161,6 +161,23 @@ def test_sync_cycle(spark, tmp_path):
     assert re.search(r"PartitionFilters: \[[^]]*event_date", since._jdf.queryExecution().toString())
 
 
+def test_snapshots_that_arrive_are_synced_once(spark, tmp_path):
+    """A scheduled run takes what is new, once; a name that does not fit and a restart without news change nothing."""
+    folder, table, state = tmp_path / "in", str(tmp_path / "t"), str(tmp_path / "s")
+    folder.mkdir()
+    write_ledger(folder, JOBS, "jobs_1.json")
+    write_ledger(folder, JOBS + [{"job_id": "k-50", "title": "Spy"}], "other.json")
+    run = lambda: start_sync(spark, str(folder), table, state, str(tmp_path / "c"), str(tmp_path / "r")).awaitTermination()
+    run()
+    run()
+    assert event_table.read_events(spark, table).count() == 18
+    write_ledger(folder, [*JOBS, {"job_id": "k-99", "title": "Chef"}], "jobs_2.json")
+    run()
+    reports = spark.read.parquet(str(tmp_path / "r")).orderBy("path").collect()
+    assert [(r["path"][-6:], r["new"], r["unchanged"]) for r in reports] == [("1.json", 18, 0), ("2.json", 1, 18)]
+    assert event_table.read_events(spark, table).count() == 19
+
+
 def test_lines_layout_and_a_run_that_died(spark, tmp_path):
     lines = tmp_path / "jobs_lines.json"
     lines.write_text("\n".join(json.dumps(j) for j in JOBS))
