@@ -86,10 +86,10 @@ def test_a_batch_touches_what_is_due(spark, tmp_path):
 
 def test_settled_identities_expire(spark, tmp_path):
     a = task(spark, "https://a.example/1")
-    intake = TimedIntake(str(tmp_path / "s"), {C.LINK_TASK: answers(spark, {a["dedupe_key"]: 200})}, retention_days=2 / 86400)
+    intake = TimedIntake(str(tmp_path / "s"), {C.LINK_TASK: answers(spark, {a["dedupe_key"]: 200})}, retention_days=30 / 86400)
     deliver(tmp_path / "in", "0.txt", [a])
     run(spark, tmp_path, intake)
-    time.sleep(2.5)
+    time.sleep(31)
     deliver(tmp_path / "in", "1.txt", [a])
     run(spark, tmp_path, intake)
     assert intake.actions(spark).where("action = 'known'").isEmpty() and intake.actions(spark).where("action = 'handle'").count() == 2
