@@ -158,8 +158,8 @@ def train(docs: DataFrame, labels: DataFrame, docs_per_label: int = DOCS_PER_LAB
 def severity(docs: DataFrame, labels: DataFrame, docs_per_label: int = DOCS_PER_LABEL, grades: int = GRADES) -> DataFrame:
     """(doc_id, expected_severity, grade, toxic) of every row of docs, from its whole text.
 
-    expected_severity is the mean of the predicted distribution over grades 0 .. grades - 1, grade its median, toxic
-    whether the grade is above 0 with a probability of more than DECISION. Texts without a word, null ones too, have
+    expected_severity is the mean of the predicted distribution over grades 0 .. grades - 1, grade the number of thresholds
+    passed with a probability of more than DECISION, toxic whether it is above 0. Texts without a word, null ones too, have
     severity and grade 0, and so do all if nothing can be learnt (no row of one of the labels). One row per row of docs;
     an empty table gives no rows; other columns are ignored.
     """
@@ -174,7 +174,8 @@ def severity(docs: DataFrame, labels: DataFrame, docs_per_label: int = DOCS_PER_
             found = [features(t) for t in texts]
             above = fitted.above(np.array([fitted.weights[f].sum() for f in found]))
             above[[len(f) == 0 for f in found]] = 0
-            yield pd.DataFrame({"expected_severity": above.sum(axis=1), "grade": (above > 0.5).sum(axis=1), "toxic": above[:, 0] > DECISION})
+            grade = (above > DECISION).sum(axis=1)
+            yield pd.DataFrame({"expected_severity": above.sum(axis=1), "grade": grade, "toxic": grade > 0})
 
     judge = F.pandas_udf(run, "expected_severity double, grade int, toxic boolean")
     return texts_of(docs).select("doc_id", judge("text").alias("judged")).select("doc_id", "judged.*")
