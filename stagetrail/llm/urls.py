@@ -64,19 +64,21 @@ def judge_urls(pages: DataFrame, rules: DataFrame, id_column: str = "page_id", o
     length the larger string. A URL that no rule fits gets `otherwise` and a null rule. If a rule is listed with several
     verdicts, the smallest string holds (allow before block).
 
-    Distinct (host, path) pairs are turned into the rules that could fit them: every suffix of the host at a dot with
-    every prefix of the path that has the length of some rule's path. The filter removes nearly all of them, block by
+    Distinct (host, path) pairs are turned into the rules that could fit them: every suffix of the host at a dot that has
+    no more labels than the longest rule's host, with every prefix of the path that has the length of some rule's path. The filter removes nearly all of them, block by
     block, and the exact join the rest of the false ones. Rules with a null are ignored; null urls have an empty host
     and path; repeated rows are judged alike; an empty table of pages or rules works; other columns are ignored.
     """
     listed = rules.select(F.translate("host", _UPPER, _LOWER).alias("host"), "path", "verdict").dropna()
     listed = listed.groupBy(F.concat("host", "path").alias("key"), F.length("path").alias("size")).agg(F.min("verdict").alias("verdict"))
     sizes = sorted(r["size"] for r in listed.select("size").distinct().collect())  # no more than a URL has characters
+    most = rules.dropna().agg(F.max(F.size(F.split("host", r"\.")))).first()[0] or 1  # no host has more labels than characters
     blocks = max(1, -(-listed.count() * BITS_PER_KEY // (64 * WORDS)))
 
     parts = pages.select(F.col(id_column), url_host(F.col("url").cast("string")).alias("host"), url_path(F.col("url").cast("string")).alias("path"))
     labels = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    first = F.greatest(F.size(labels) - (most - 1), F.lit(1))
+    suffixes = F.transform(F.sequence(first, F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     prefixes = F.transform(
         F.filter(F.array(*[F.lit(n) for n in sizes]).cast("array<int>"), lambda n: n <= F.length("path")), lambda n: F.substring(F.col("path"), F.lit(1), n)
     )

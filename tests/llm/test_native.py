@@ -135,3 +135,12 @@ def test_site_lines_on_hosts_of_any_size(spark):
     for size in (2, 3, 9, 10, 11, 1000):
         assert len(got[size]) == size and all(d == 1 and not menu for d, menu, _ in got[size])
         assert sum(rare for _, _, rare in got[size]) == max(1, size // 20)
+
+
+def test_urls_of_hosts_with_many_labels(spark):
+    """The work follows the rules' labels, not the square of the host's."""
+    rules = spark.createDataFrame([("com", "/", "allow"), ("a.b.net", "/x/", "block")], "host string, path string, verdict string")
+    host = "a." * 20_000
+    rows = [(1, f"https://{host}com/y"), (2, f"https://{host}b.net/x/z"), (3, f"https://{host}b.net/y"), (4, "https://b.net/x/"), (5, "https://" + "." * 5000 + "com/")]
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in urls.judge_urls(spark.createDataFrame(rows, "page_id long, url string"), rules).collect()}
+    assert got == {1: ("com/", "allow"), 2: ("a.b.net/x/", "block"), 3: (None, "allow"), 4: (None, "allow"), 5: ("com/", "allow")}
