@@ -107,6 +107,7 @@ def test_severity_finds_toxic_documents(spark):
     assert len(got) == len(texts)
     unseen = [i for i in range(800) if i % 3 == 0]
     assert np.mean([got[i]["toxic"] == (hits[i] > 0) for i in unseen]) > 0.95
+    assert all((r["grade"] > 0) == r["toxic"] for r in got.values())
     assert got[802]["toxic"] and not got[800]["toxic"] and not got[801]["toxic"]
     mean = {h: np.mean([got[i]["expected_severity"] for i in unseen if hits[i] == h]) for h in (0, 1, 8)}
     assert mean[0] < 0.3 < mean[1] < mean[8] <= 3
