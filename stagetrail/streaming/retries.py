@@ -165,11 +165,15 @@ class TimedIntake:
 
     def drain(self, spark: SparkSession, query: StreamingQuery, seconds: float) -> bool:
         """Wait until nothing that was handed out is open or waits for a retry; false if the time is over before."""
-        until = time.time() + seconds
+        until, quiet = time.time() + seconds, None
         while query.isActive and time.time() < until:
-            # The first batches take what is there; progress without input says that it was all.
+            # The batch that a stop cut short is repeated first, so two batches without input must follow one another.
             last = query.lastProgress
-            if last is not None and last.numInputRows == 0:
+            if last is None or last.numInputRows:
+                quiet = None
+            elif quiet is None:
+                quiet = last.batchId
+            elif last.batchId > quiet + 1:
                 handed, ended = self.actions(spark).where("action = 'handle'"), self.results(spark)
                 if handed.select("dedupe_key").distinct().join(ended, "dedupe_key", "left_anti").isEmpty():
                     return True
