@@ -61,6 +61,21 @@ def test_retries_settle_or_end(spark, tmp_path):
     assert up.actions(spark).where("action = 'handle'").count() == 7
 
 
+def test_the_store_does_not_depend_on_the_session(spark, tmp_path):
+    name, hdfs = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    before = spark.conf.get(name)
+    spark.conf.set(name, hdfs)
+    try:
+        a = task(spark, "https://a.example/1")
+        deliver(tmp_path / "in", "0.txt", [a])
+        intake = TimedIntake(str(tmp_path / "s"), {C.LINK_TASK: answers(spark, {a["dedupe_key"]: 200})})
+        run(spark, tmp_path, intake)
+        assert results(spark, intake) == {a["dedupe_key"]: ("done", 0, None)}
+        assert spark.conf.get(name) == hdfs
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_a_batch_touches_what_is_due(spark, tmp_path):
     """Of a hundred settled identities none is read again for the one that waits."""
     calls = tmp_path / "calls"
