@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_SETTINGS = {
     # Naive input is UTC and event ids contain UTC text, so one zone everywhere.
@@ -48,6 +50,30 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
     return prepare(spark)
 
 
+#: Whether shuffle files go as soon as the execution that wrote them ends, not when the driver's memory is next collected.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def short_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Executions inside leave no shuffle files; for steps that write their results and never run one DataFrame twice."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """The rows dealt evenly to several tasks a core: a table of few bytes is read by few, whatever each row then costs."""
+    spark = rows.sparkSession
+    return rows.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it in spark.checkpoint.dir.
 

@@ -25,7 +25,7 @@ from stagetrail.sources.event_table import read_events
 from stagetrail.sources.messages import encode_tasks, suffix_mime, wanted_file
 from stagetrail.streaming.intake import Intake, by_response, file_handlers, start_intake
 from stagetrail.streaming.retries import TimedIntake
-from stagetrail.session import run_folder
+from stagetrail.session import run_folder, spread
 from stagetrail.workload.registry import Tables, query
 
 CREATED = datetime(2024, 2, 1)
@@ -650,7 +650,7 @@ def replies(t: Tables) -> DataFrame:
         .when(F.col("p_type") == "SMALL", F.concat(F.lit("Here: "), body, F.lit(" done")))
         .otherwise(body)
     )
-    return t.part.select("p_partkey", reply.alias("reply"))
+    return spread(t.part).select("p_partkey", reply.alias("reply"))
 
 
 @query(
