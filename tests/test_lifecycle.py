@@ -18,11 +18,12 @@ from stagetrail.operators.dedup import duplicate_groups, keep_latest, table_coun
 from stagetrail.operators.derive import derive_events
 from stagetrail.operators.percentiles import median, nearest_rank
 from stagetrail.operators.rates import response_rate
-from stagetrail.operators.sync import decide, logical_keys
+from stagetrail.operators.sync import decide, logical_keys, next_fingerprints
 from stagetrail.plans import funnel, views
 from stagetrail.plans.insights import ledger_histograms, ledger_rates
 from stagetrail.plans.sync_run import run_backfill, run_sync, start_sync
 from stagetrail.schemas import FINGERPRINT_SCHEMA, FIRST_SEEN_SCHEMA
+from stagetrail.session import spread
 from stagetrail.sources import event_table, ledger
 from stagetrail.sources.messages import write_report
 from stagetrail.sources.state import VersionedState
@@ -382,3 +383,27 @@ def test_order_statistics_against_brute_force(spark, seed):
     everything = [v for vs in groups.values() for v in vs]
     assert median(df, "v").first()["median"] == exact(everything)
     assert median(df.limit(0), "v").count() == 0
+
+
+def test_a_sync_leaves_no_shuffle_files(spark, tmp_path):
+    def shuffles():
+        return spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").count("/shuffle_")
+
+    (tmp_path / "jobs.json").write_text("\n".join(f'{{"id": "j{i}", "title": "Data Engineer", "created_at": "2024-01-0{i % 9 + 1}"}}' for i in range(200)))
+    before = shuffles()
+    for _ in range(2):
+        run_sync(spark, str(tmp_path / "jobs.json"), str(tmp_path / "t"), str(tmp_path / "s"), datetime(2024, 2, 1), "apply", layout="lines")
+    assert shuffles() <= before
+
+
+def test_known_fingerprints_are_left_out_by_id_and_value(spark):
+    decided = spark.createDataFrame([("a", "1"), ("a", "2"), ("b", "1"), ("c", None), (None, "1")], "event_id string, fingerprint string")
+    known = spark.createDataFrame([("a", "2"), ("b", "0"), (None, "1")], "event_id string, fingerprint string")
+    got = {tuple(r) for r in next_fingerprints(decided, known).collect()}
+    assert got == {("b", "1"), ("c", None), (None, "1")}
+
+
+def test_a_small_file_is_many_tasks_rows(spark, tmp_path):
+    spark.range(2000).coalesce(1).write.parquet(str(tmp_path / "t"))
+    sizes = spread(spark.read.parquet(str(tmp_path / "t"))).rdd.glom().map(len).collect()
+    assert sum(sizes) == 2000 and len(sizes) >= 4 * spark.sparkContext.defaultParallelism and max(sizes) < 200
