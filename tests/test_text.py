@@ -18,7 +18,7 @@ from stagetrail.operators import safety
 from stagetrail.operators.contracts import build_tasks, check_messages, delivery_outcome, split_messages, validate_tasks
 from stagetrail.operators.records import contact, image_found_events, normalize_records, safe_file_ref, with_reply_object
 from stagetrail.operators.scoring import adopted_path, plain_text, score_paths, token_f1, token_set
-from stagetrail.operators.hooks import Extraction, reply_fault
+from stagetrail.operators.hooks import Extraction, reply_fault, run_extractor
 from stagetrail.plans.queue import read_records, run_queue, structure_replies
 from stagetrail.sources.messages import encode_tasks, read_inbox, read_labelled
 
@@ -352,3 +352,11 @@ def test_inbox(spark, tmp_path):
         "inbox_raw/g.TXT": "text/plain",
     }
     assert len({r["sha256"] for r in got}) == 3 and all(r["version"] == r["sha256"][:16] for r in got)
+
+
+def test_an_extractor_gets_few_images_at_once(spark):
+    images = spark.range(500).select(F.encode(F.col("id").cast("string"), "utf-8").alias("content"), F.lit("image/png").alias("mime")).coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    rows = run_extractor(images, lambda content, mime, feedback: ("{}", 0.0))
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 64
+    assert rows.count() == 500
