@@ -590,7 +590,7 @@ def folder_watch(t: Tables) -> DataFrame:
 
     def arrive(rows: DataFrame) -> None:
         # A file per document in 64 folders, so that listing does not go folder by folder.
-        dealt = rows.select(F.pmod(F.xxhash64("doc_id"), F.lit(64)).alias("folder"), "text")
+        dealt = spread(rows.select(F.pmod(F.xxhash64("doc_id"), F.lit(64)).alias("folder"), "text"))
         dealt.write.mode("append").option("maxRecordsPerFile", 1).partitionBy("folder").text(f"{root}/bus/inbox")
 
     out = []
