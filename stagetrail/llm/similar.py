@@ -1,4 +1,4 @@
-"""Near copies of whole documents: MinHash banding finds candidates, exact Jaccard of word shingles decides."""
+"""Near copies of whole documents: SimHash links and MinHash bands find candidates, exact Jaccard of word shingles decides."""
 
 from __future__ import annotations
 
@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 
 from stagetrail.llm.common import WORD, components, discard, in_cells, own_exchange, per_cell, stored, text_key, texts_of
 from stagetrail.llm.paragraphs import _band_keys, _uid, shingle_hashes
+from stagetrail.llm.simhash import simhash_components
 
 #: A pair at 0.8 shares one of 12 bands of 4 minima with probability 0.998, one at 0.3 with 0.09.
 BANDS, ROWS = 12, 4
+#: Fingerprints this many bits apart or fewer are linked, found by anchors in this many segments.
+MAX_BITS, SEGMENTS = 7, 4
 #: Documents of one side of a comparison cell.
 CHUNK = 1024
 #: Shingles hashed at once.
@@ -59,6 +62,15 @@ def _with_shingles(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFram
     return read.mapInPandas(run, "uid long, hashes binary").dropDuplicates(["uid"])
 
 
+def linked_fingerprints(docs: DataFrame, found: DataFrame, shingle: int) -> DataFrame:
+    """(uid, key): the component of each text's SimHash, so that all texts whose fingerprints are linked meet under one key."""
+    # Texts are known by their digest here, since ids may be null or repeated; a component is then named by one of them.
+    digests = docs.select(F.xxhash64(text_key("text")).alias("doc_id"), "text")
+    linked = simhash_components(digests, shingle, MAX_BITS, SEGMENTS).select(F.col("doc_id").alias("k"), "component_id").distinct()
+    uids = found.select("uid", F.xxhash64("mark").alias("m")).distinct()
+    return uids.join(linked, F.col("m") == F.col("k")).select("uid", F.xxhash64("component_id", F.lit(BANDS)).alias("key"))
+
+
 def _verify(similarity: float):
     def compare(cell: pd.DataFrame) -> list[tuple]:
         """A spanning forest of the pairs at `similarity` or more; the sets stay arrays, since documents may be long."""
@@ -90,7 +102,8 @@ def similar_documents(docs: DataFrame, similarity: float = 0.8, shingle: int = 5
     """(doc_id, mark, uid, component_id, kept): one row per row of docs.
 
     Two texts are linked if they are equal in lower-cased words or their sets of word shingles have a Jaccard similarity
-    of `similarity` or more; links of links form a component. The row with the smallest doc_id is kept, of rows that
+    of `similarity` or more; links of links form a component. Pairs are compared if their SimHash fingerprints are linked
+    (`simhash_components`) or they share a MinHash band, which finds those whose fingerprints lie further apart. The row with the smallest doc_id is kept, of rows that
     share it (or have none) the one with the smallest text digest `mark`; a row with a doc_id goes before one without.
 
     Null and empty texts are equal; rows that share doc_id and text stay or go together; an empty table gives no rows;
@@ -98,6 +111,7 @@ def similar_documents(docs: DataFrame, similarity: float = 0.8, shingle: int = 5
     """
     found = stored(document_table(docs, shingle), "similar")
     keys = found.select("uid", F.explode("bands").alias("key"))
+    keys = keys.unionByName(stored(linked_fingerprints(docs, found, shingle), "similar-fingerprints"))
     shared = keys.groupBy("key").agg(F.min("uid").alias("low"), F.max("uid").alias("high")).where("low <> high")
     shared = shared.select(own_exchange("key").alias("k"))
     # Keys of their own make distinct and minimum combine rows before they shuffle; the joins' partitions may be hot.

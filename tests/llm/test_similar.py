@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from brute import DOCS, classes, documents, prose, vocabulary
 
 import corpus_pipeline
@@ -40,6 +41,16 @@ def test_near_stage_goes_by_jaccard(spark, low, high, linked):
     assert left == set(range(0, len(texts), 2 if linked else 1))
 
 
+def test_linked_fingerprints_are_candidates_of_their_own(spark, monkeypatch):
+    """Without a single band the pairs whose SimHash is linked are still compared, and only those that are alike linked."""
+    table = similar.document_table
+    monkeypatch.setattr(similar, "document_table", lambda docs, shingle: table(docs, shingle).withColumn("bands", F.array().cast("array<long>")))
+    near, far = planted(3, 0.95, 0.999, 10), planted(4, 0.65, 0.8, 10)
+    got = similar.similar_documents(documents(spark, near + far)).collect()
+    assert sum(not r["kept"] for r in got if r["doc_id"] < len(near)) >= 8
+    assert all(r["kept"] for r in got if r["doc_id"] >= len(near))
+
+
 def test_against_all_pairs(spark, monkeypatch):
     monkeypatch.setattr(similar, "CHUNK", 4)
     texts = planted(2, 0.6, 0.95, 30) + [None, "", " \n", "one", "ONE", "one two three"]
