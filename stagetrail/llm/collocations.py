@@ -14,7 +14,7 @@ from stagetrail.llm.common import ROWS_PER_BATCH, discard, own_text, stored
 
 #: Bytes that end a piece, and those between words.
 PIECE_ENDS, SPACES = b".,;:!?\n\v\f\r", b"\x20\t"
-#: Counters of leading word pairs; each task holds one byte for each, the driver one bit.
+#: Counters of word pairs, and as many of word triples; each task holds one byte for each, the driver one bit.
 BUCKETS_LOG2 = 24
 #: Counters in one row of the shuffle.
 CHUNK = 1 << 14
@@ -22,6 +22,8 @@ CHUNK = 1 << 14
 VOCABULARY = 1 << 19
 #: Words looked at together, and suffixes sorted together.
 BLOCK, BUFFER = 1 << 18, 1 << 17
+#: Different suffixes a task adds up before it hands them on.
+HELD = 1 << 19
 #: Suffixes with the same leading words that one task may get.
 GROUP = 1 << 14
 
@@ -51,15 +53,18 @@ class Vocabulary(dict):
         found = np.fromiter(map(self.__getitem__, tokens), np.int32, len(tokens))
         return found[found != _NONE]
 
-    def buckets(self, numbers: np.ndarray, log2: int) -> np.ndarray:
-        """Of 2^log2 counters that of each word and the one after it, -1 where a piece ends in between."""
+    def buckets(self, numbers: np.ndarray, log2: int, size: int = 2) -> np.ndarray:
+        """Of 2^log2 counters that of the `size` words from each place on, -1 where a piece ends in between."""
         if len(self._array) < len(self.words):
             self._array = np.array(self.hashes, np.uint64)
-        h = self._array[numbers]
-        mixed = (h[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ (h[1:] * np.uint64(0xD6E8FEB86659FD93))
-        mixed ^= mixed >> np.uint64(32)
-        at = ((mixed * np.uint64(0xFF51AFD7ED558CCD)) >> np.uint64(64 - log2)).astype(np.int64)
-        return np.where((numbers[:-1] != _END) & (numbers[1:] != _END), at, -1)
+        h, places = self._array[numbers], max(0, len(numbers) - size + 1)
+        mixed, whole = h[:places] * np.uint64(0x9E3779B97F4A7C15), numbers[:places] != _END
+        for j in range(1, size):
+            mixed ^= h[j : places + j] * np.uint64(0xD6E8FEB86659FD93)
+            mixed ^= mixed >> np.uint64(32)
+            mixed *= np.uint64(0xFF51AFD7ED558CCD)
+            whole &= numbers[j : places + j] != _END
+        return np.where(whole, (mixed >> np.uint64(64 - log2)).astype(np.int64), -1)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], known: dict[str, Vocabulary]) -> Iterator[tuple[str, np.ndarray]]:
@@ -84,14 +89,14 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def _leading(docs: DataFrame, least: int) -> DataFrame:
-    """Rows (lang, word, n) of words, and rows (chunk, counters) of leading pairs, from one reading of the texts."""
+    """Rows (lang, word, n) of words, and rows (chunk, counters) of pairs, then triples, from one reading of the texts."""
     schema = "lang string, word binary, n long, chunk int, counters binary"
     limit = min(least, 255)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, Vocabulary] = {}
         counts: dict[str, np.ndarray] = {}
-        counters = np.zeros(1 << BUCKETS_LOG2, np.uint8)
+        counters = np.zeros(2 << BUCKETS_LOG2, np.uint8)
 
         def words() -> Iterator[pa.RecordBatch]:
             for lang, n in counts.items():
@@ -110,9 +115,10 @@ def _leading(docs: DataFrame, least: int) -> DataFrame:
             if before is not None:
                 n[: len(before)] += before
             counts[lang] = n
-            at, times = np.unique(own.buckets(numbers, BUCKETS_LOG2), return_counts=True)
-            at, times = at[at >= 0], times[at >= 0]
-            counters[at] = np.minimum(counters[at] + np.minimum(times, limit), limit)
+            for k, size in enumerate((2, 3)):
+                at, times = np.unique(own.buckets(numbers, BUCKETS_LOG2, size), return_counts=True)
+                at, times = at[at >= 0] + (k << BUCKETS_LOG2), times[at >= 0]
+                counters[at] = np.minimum(counters[at] + np.minimum(times, limit), limit)
             if sum(len(v.words) for v in known.values()) > VOCABULARY:
                 yield from words()
         yield from words()
@@ -128,7 +134,7 @@ def _leading(docs: DataFrame, least: int) -> DataFrame:
 
 
 def _frequent_buckets(leading: DataFrame, least: int) -> bytes:
-    """One bit per counter that reached `least`: 2^BUCKETS_LOG2 / 8 bytes, whatever the input."""
+    """One bit per counter that reached `least`: 2^BUCKETS_LOG2 / 4 bytes, whatever the input."""
     limit = min(least, 255)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,44 +155,66 @@ def _frequent_buckets(leading: DataFrame, least: int) -> bytes:
         return pa.RecordBatch.from_arrays([pa.array([c for c, _ in found], pa.int32()), pa.array([b for _, b in found], pa.binary())], ["chunk", "bits"])
 
     rows = leading.where("chunk is not null").select("chunk", "counters").repartition("chunk").sortWithinPartitions("chunk")
-    bits = bytearray((1 << BUCKETS_LOG2) // 8)
+    bits = bytearray((2 << BUCKETS_LOG2) // 8)
     for r in rows.mapInArrow(run, "chunk int, bits binary").collect():
         bits[r["chunk"] * CHUNK // 8 : (r["chunk"] + 1) * CHUNK // 8] = r["bits"]
     return bytes(bits)
 
 
+def _added_up(table: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different rows of table, and the sum of each one's n."""
+    order = np.lexsort(table.T[::-1])
+    table = table[order]
+    first = np.flatnonzero(np.concatenate([[True], (table[1:] != table[:-1]).any(axis=1)]))
+    return table[first], np.add.reduceat(n[order], first)
+
+
 def _suffixes(docs: DataFrame, bits: bytes, depth: int) -> DataFrame:
-    """(lang, suffix, n): up to `depth` words from every place on, as far as each leading pair can be frequent."""
+    """(lang, suffix, n): up to `depth` words from every place on, as far as each pair and each triple can be frequent."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = np.unpackbits(np.frombuffer(shared.value, np.uint8)).astype(bool)
+        pairs, triples = np.unpackbits(np.frombuffer(shared.value, np.uint8)).astype(bool).reshape(2, -1)
         known: dict[str, Vocabulary] = {}
+        held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+
+        def suffixes() -> Iterator[pa.RecordBatch]:
+            for lang, parts in held.items():
+                words = known[lang].words
+                table, n = _added_up(*map(np.concatenate, zip(*parts, strict=True)))
+                for a in range(0, len(n), BLOCK):
+                    found = [b" ".join([words[w] for w in row if w]) for row in table[a : a + BLOCK].tolist()]
+                    columns = [pa.array([lang] * len(found), pa.string()), pa.array(found, pa.binary()), pa.array(n[a : a + BLOCK], pa.int64())]
+                    yield pa.RecordBatch.from_arrays(columns, ["lang", "suffix", "n"])
+            held.clear()
+
         for lang, numbers in _blocks(batches, known):
             own = known[lang]
             at = own.buckets(numbers, BUCKETS_LOG2)
-            goes_on = (at >= 0) & frequent[at]
+            goes_on = (at >= 0) & pairs[at]
             starts = np.flatnonzero(goes_on)
-            if not len(starts):
-                continue
-            padded = np.concatenate([numbers, np.zeros(depth, numbers.dtype)])
-            goes_on = np.concatenate([goes_on, np.zeros(depth, bool)])
-            table = np.zeros((len(starts), depth), np.int32)
-            open_ = np.ones(len(starts), bool)
-            table[:, 0] = numbers[starts]
-            for j in range(1, depth):
-                open_ &= goes_on[starts + j - 1]
-                table[:, j] = np.where(open_, padded[starts + j], 0)
-            order = np.lexsort(table.T[::-1])
-            table = table[order]
-            first = np.flatnonzero(np.concatenate([[True], (table[1:] != table[:-1]).any(axis=1)]))
-            n = np.diff(np.append(first, len(table)))
-            words = own.words
-            suffixes = [b" ".join([words[w] for w in row if w]) for row in table[first].tolist()]
-            columns = [pa.array([lang] * len(n), pa.string()), pa.array(suffixes, pa.binary()), pa.array(n, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["lang", "suffix", "n"])
+            if len(starts):
+                padded = np.concatenate([numbers, np.zeros(depth, numbers.dtype)])
+                goes_on = np.concatenate([goes_on, np.zeros(depth, bool)])
+                at = own.buckets(numbers, BUCKETS_LOG2, 3)
+                by_three = np.concatenate([(at >= 0) & triples[at], np.zeros(depth + 2, bool)])
+                table = np.zeros((len(starts), depth), np.int32)
+                open_ = np.ones(len(starts), bool)
+                table[:, 0] = numbers[starts]
+                for j in range(1, depth):
+                    open_ &= goes_on[starts + j - 1]
+                    if j > 1:
+                        open_ &= by_three[starts + j - 2]
+                    table[:, j] = np.where(open_, padded[starts + j], 0)
+                held.setdefault(lang, []).append(_added_up(table, np.ones(len(table), np.int64)))
+            if sum(len(n) for parts in held.values() for _, n in parts) > HELD:
+                held = {k: [_added_up(*map(np.concatenate, zip(*parts, strict=True)))] for k, parts in held.items()}
+                if sum(len(n) for parts in held.values() for _, n in parts) > HELD // 2:
+                    yield from suffixes()
             if sum(len(v.words) for v in known.values()) > VOCABULARY:
+                yield from suffixes()
                 known.clear()
+        yield from suffixes()
 
     found = _texts(docs).mapInArrow(run, "lang string, suffix binary, n long")
     return found.select("lang", F.col("suffix").cast("string").alias("suffix"), "n").groupBy("lang", "suffix").agg(F.sum("n").alias("n"))
