@@ -14,12 +14,15 @@ from stagetrail.llm.common import ROWS_PER_BATCH, discard, own_text, stored
 
 #: Bytes that end a piece, and those between words.
 PIECE_ENDS, SPACES = b".,;:!?\n\v\f\r", b"\x20\t"
-#: Counters of word pairs, and as many of word triples; each task holds one byte for each, the driver one bit.
-BUCKETS_LOG2 = 24
+#: Counters of one kind; each task holds one byte for each, the driver one bit. Kinds: word pairs, pairs by another hash,
+#: triples, and phrases of four to COUNTED words together.
+BUCKETS_LOG2, KINDS, COUNTED = 24, 4, 5
+#: Tasks a core that read the texts: each hands on its own counters and its own count of every frequent suffix.
+TASKS_A_CORE = 2
 #: Counters in one row of the shuffle.
 CHUNK = 1 << 14
 #: Words a task knows at once before it hands on their counts.
-VOCABULARY = 1 << 19
+VOCABULARY = 1 << 17
 #: Words looked at together, and suffixes sorted together.
 BLOCK, BUFFER = 1 << 18, 1 << 17
 #: Different suffixes a task adds up before it hands them on.
@@ -36,6 +39,7 @@ class Vocabulary(dict):
 
     def __init__(self, lang: str) -> None:
         super().__init__({b"\n": _END, b"": _NONE})
+        self.lang = lang
         self.words: list[bytes] = [b""]
         self.hashes: list[int] = [0]
         self.seed = xxhash.xxh32_intdigest(lang.encode("utf-8", "surrogatepass"))
@@ -53,18 +57,33 @@ class Vocabulary(dict):
         found = np.fromiter(map(self.__getitem__, tokens), np.int32, len(tokens))
         return found[found != _NONE]
 
-    def buckets(self, numbers: np.ndarray, log2: int, size: int = 2) -> np.ndarray:
-        """Of 2^log2 counters that of the `size` words from each place on, -1 where a piece ends in between."""
+    def buckets(self, numbers: np.ndarray, log2: int, longest: int) -> Iterator[tuple[int, np.ndarray]]:
+        """(size, the counter of the `size` words from each place on, -1 where a piece ends in between) for each size.
+
+        There are 2^log2 counters of each kind, one kind after the other; pairs have one of either kind.
+        """
         if len(self._array) < len(self.words):
             self._array = np.array(self.hashes, np.uint64)
-        h, places = self._array[numbers], max(0, len(numbers) - size + 1)
-        mixed, whole = h[:places] * np.uint64(0x9E3779B97F4A7C15), numbers[:places] != _END
-        for j in range(1, size):
-            mixed ^= h[j : places + j] * np.uint64(0xD6E8FEB86659FD93)
+        h, whole = self._array[numbers], numbers != _END
+        mixed, mask, kind = h * np.uint64(0x9E3779B97F4A7C15), np.uint64((1 << log2) - 1), 0
+        for j in range(1, longest):
+            places = max(0, len(numbers) - j)
+            mixed, whole = mixed[:places], whole[:places] & (numbers[j:] != _END)
+            mixed ^= h[j:] * np.uint64(0xD6E8FEB86659FD93)
             mixed ^= mixed >> np.uint64(32)
             mixed *= np.uint64(0xFF51AFD7ED558CCD)
-            whole &= numbers[j : places + j] != _END
-        return np.where(whole, (mixed >> np.uint64(64 - log2)).astype(np.int64), -1)
+            for k in range(1, 3 if j == 1 else 2):
+                at = (mixed >> np.uint64(64 - k * log2) & mask).astype(np.int32) + np.int32(min(kind, KINDS - 1) << log2)
+                yield j + 1, np.where(whole, at, np.int32(-1))
+                kind += 1
+
+    def only(self, table: np.ndarray) -> tuple[Vocabulary, np.ndarray]:
+        """A vocabulary of only the words of the table, and the table in its numbers."""
+        fresh, used = Vocabulary(self.lang), np.unique(table)
+        number = np.zeros(len(self.words), table.dtype)
+        for w in used[used != _END].tolist():
+            number[w] = fresh[self.words[w]]
+        return fresh, number[table]
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], known: dict[str, Vocabulary]) -> Iterator[tuple[str, np.ndarray]]:
@@ -83,20 +102,27 @@ def _blocks(batches: Iterator[pa.RecordBatch], known: dict[str, Vocabulary]) ->
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
+    """(lang, text) in a number of tasks that the cores set, not the size of the input: a task's memory is bounded anyway."""
+    spark = docs.sparkSession
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("und"))
-    return docs.select(lang.alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
+    texts = docs.select(lang.alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
+    return texts.coalesce(TASKS_A_CORE * spark.sparkContext.defaultParallelism)
+
 
+def _counters(depth: int) -> int:
+    return min(KINDS, max(2, depth)) << BUCKETS_LOG2
 
-def _leading(docs: DataFrame, least: int) -> DataFrame:
-    """Rows (lang, word, n) of words, and rows (chunk, counters) of pairs, then triples, from one reading of the texts."""
+
+def _leading(docs: DataFrame, least: int, depth: int) -> DataFrame:
+    """Rows (lang, word, n) of words, and rows (chunk, counters) of one kind after the other, from one reading of the texts."""
     schema = "lang string, word binary, n long, chunk int, counters binary"
-    limit = min(least, 255)
+    limit, size = min(least, 255), _counters(depth)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, Vocabulary] = {}
         counts: dict[str, np.ndarray] = {}
-        counters = np.zeros(2 << BUCKETS_LOG2, np.uint8)
+        counters = np.zeros(size, np.uint8)
 
         def words() -> Iterator[pa.RecordBatch]:
             for lang, n in counts.items():
@@ -115,9 +141,8 @@ def _leading(docs: DataFrame, least: int) -> DataFrame:
             if before is not None:
                 n[: len(before)] += before
             counts[lang] = n
-            for k, size in enumerate((2, 3)):
-                at, times = np.unique(own.buckets(numbers, BUCKETS_LOG2, size), return_counts=True)
-                at, times = at[at >= 0] + (k << BUCKETS_LOG2), times[at >= 0]
+            for _, at in own.buckets(numbers, BUCKETS_LOG2, min(depth, COUNTED)):
+                at, times = np.unique(at[at >= 0], return_counts=True)
                 counters[at] = np.minimum(counters[at] + np.minimum(times, limit), limit)
             if sum(len(v.words) for v in known.values()) > VOCABULARY:
                 yield from words()
@@ -133,8 +158,8 @@ def _leading(docs: DataFrame, least: int) -> DataFrame:
     return _texts(docs).mapInArrow(run, schema)
 
 
-def _frequent_buckets(leading: DataFrame, least: int) -> bytes:
-    """One bit per counter that reached `least`: 2^BUCKETS_LOG2 / 4 bytes, whatever the input."""
+def _frequent_buckets(leading: DataFrame, least: int, depth: int) -> bytes:
+    """One bit per counter that reached `least`: 2^BUCKETS_LOG2 / 8 bytes a kind, whatever the input."""
     limit = min(least, 255)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,7 +180,7 @@ def _frequent_buckets(leading: DataFrame, least: int) -> bytes:
         return pa.RecordBatch.from_arrays([pa.array([c for c, _ in found], pa.int32()), pa.array([b for _, b in found], pa.binary())], ["chunk", "bits"])
 
     rows = leading.where("chunk is not null").select("chunk", "counters").repartition("chunk").sortWithinPartitions("chunk")
-    bits = bytearray((2 << BUCKETS_LOG2) // 8)
+    bits = bytearray(_counters(depth) // 8)
     for r in rows.mapInArrow(run, "chunk int, bits binary").collect():
         bits[r["chunk"] * CHUNK // 8 : (r["chunk"] + 1) * CHUNK // 8] = r["bits"]
     return bytes(bits)
@@ -170,11 +195,12 @@ def _added_up(table: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def _suffixes(docs: DataFrame, bits: bytes, depth: int) -> DataFrame:
-    """(lang, suffix, n): up to `depth` words from every place on, as far as each pair and each triple can be frequent."""
+    """(lang, suffix, n): up to `depth` words from every place on, as far as every counted phrase in them can be frequent."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
+    longest = min(depth, COUNTED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs, triples = np.unpackbits(np.frombuffer(shared.value, np.uint8)).astype(bool).reshape(2, -1)
+        packed = np.frombuffer(shared.value, np.uint8)
         known: dict[str, Vocabulary] = {}
         held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
 
@@ -188,32 +214,41 @@ def _suffixes(docs: DataFrame, bits: bytes, depth: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(columns, ["lang", "suffix", "n"])
             held.clear()
 
+        def add_up() -> None:
+            for lang, parts in held.items():
+                held[lang] = [_added_up(*map(np.concatenate, zip(*parts, strict=True)))]
+
         for lang, numbers in _blocks(batches, known):
-            own = known[lang]
-            at = own.buckets(numbers, BUCKETS_LOG2)
-            goes_on = (at >= 0) & pairs[at]
-            starts = np.flatnonzero(goes_on)
+            passes = [np.ones(len(numbers) + depth, bool) for _ in range(longest + 1)]
+            for size, at in known[lang].buckets(numbers, BUCKETS_LOG2, longest):
+                passes[size][: len(at)] &= (at >= 0) & (packed[at >> 3] >> (7 - (at & 7)) & 1 > 0)
+                passes[size][len(at) :] = False
+            starts = np.flatnonzero(passes[2])
             if len(starts):
                 padded = np.concatenate([numbers, np.zeros(depth, numbers.dtype)])
-                goes_on = np.concatenate([goes_on, np.zeros(depth, bool)])
-                at = own.buckets(numbers, BUCKETS_LOG2, 3)
-                by_three = np.concatenate([(at >= 0) & triples[at], np.zeros(depth + 2, bool)])
                 table = np.zeros((len(starts), depth), np.int32)
                 open_ = np.ones(len(starts), bool)
                 table[:, 0] = numbers[starts]
                 for j in range(1, depth):
-                    open_ &= goes_on[starts + j - 1]
-                    if j > 1:
-                        open_ &= by_three[starts + j - 2]
+                    for size in range(2, min(j + 1, longest) + 1):
+                        open_ &= passes[size][starts + j + 1 - size]
                     table[:, j] = np.where(open_, padded[starts + j], 0)
                 held.setdefault(lang, []).append(_added_up(table, np.ones(len(table), np.int64)))
             if sum(len(n) for parts in held.values() for _, n in parts) > HELD:
-                held = {k: [_added_up(*map(np.concatenate, zip(*parts, strict=True)))] for k, parts in held.items()}
+                add_up()
                 if sum(len(n) for parts in held.values() for _, n in parts) > HELD // 2:
                     yield from suffixes()
             if sum(len(v.words) for v in known.values()) > VOCABULARY:
-                yield from suffixes()
-                known.clear()
+                # Most words are in no suffix that is held: those are forgotten, what is held stays.
+                add_up()
+                for k in set(known) - set(held):
+                    del known[k]
+                for k, [(table, n)] in held.items():
+                    known[k], table = known[k].only(table)
+                    held[k] = [(table, n)]
+                if sum(len(v.words) for v in known.values()) > VOCABULARY // 2:
+                    yield from suffixes()
+                    known.clear()
         yield from suffixes()
 
     found = _texts(docs).mapInArrow(run, "lang string, suffix binary, n long")
@@ -285,10 +320,10 @@ def _sorted_counts(routed: DataFrame, least: int, depth: int) -> DataFrame:
 def frequent_phrases(docs: DataFrame, least: int = 100, depth: int = 5) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(phrases, words, totals): (lang, phrase, words, a) of 2 to `depth` words with a >= least; (lang, phrase, a) of all
     words; (lang, n)."""
-    leading = stored(_leading(docs, least), "leading-words")
+    leading = stored(_leading(docs, least, depth), "leading-words")
     words = leading.where("chunk is null").groupBy("lang", F.col("word").cast("string").alias("phrase")).agg(F.sum("n").alias("a"))
     words = stored(words, "words")
-    bits = _frequent_buckets(leading, least)
+    bits = _frequent_buckets(leading, least, depth)
     discard(leading)
     rest = stored(_suffixes(docs, bits, depth), "suffixes")
 

@@ -87,3 +87,64 @@ def test_quicksort_counts_weighted_prefixes():
                 want[tuple(row[:d])] += w
     got = {tuple(table[r, :d].tolist()): n for r, d, n in op.quicksort(table, weights, 20)}
     assert got == {p: n for p, n in want.items() if n >= 20}
+
+
+def suffixes_of(spark, monkeypatch, texts, least):
+    """The suffixes that were handed on while the phrases of the texts were counted."""
+    kept = []
+
+    def stored(df, name):
+        out = op_stored(df, name)
+        if name == "suffixes":
+            kept.extend(r["suffix"] for r in out.select("suffix").collect())
+        return out
+
+    op_stored = op.stored
+    monkeypatch.setattr(op, "stored", stored)
+    docs = spark.createDataFrame([(t, "en") for t in texts], "text string, lang string")
+    op.frequent_phrases(docs, least, 5)
+    return kept
+
+
+def test_suffixes_end_where_no_longer_phrase_can_be_frequent(spark, monkeypatch):
+    """Each of 64 triples comes about 60 times, each of 256 four-word phrases about 15 times."""
+    rng = random.Random(1)
+    texts = [rng.choices("abcd", k=400) for _ in range(10)]
+    f = Counter(" ".join(t[i : i + d]) for t in texts for d in range(2, 6) for i in range(len(t) - d + 1))
+    found = suffixes_of(spark, monkeypatch, [" ".join(t) for t in texts], 30)
+    assert len(found) == len(set(found)) >= 60
+    assert min(f[p] for p in found) >= 30
+
+
+def test_rare_pairs_rarely_pass_for_frequent_ones(spark, monkeypatch):
+    """One counter in 50 is frequent: of 5000 rare pairs about 100 share one such, about two share both."""
+    monkeypatch.setattr(op, "BUCKETS_LOG2", 10)
+    monkeypatch.setattr(op, "CHUNK", 1 << 10)
+    texts = [". ".join(f"f{i} g{i}" for i in range(20))] * 100 + [". ".join(f"r{i} s{i}" for i in range(k, k + 50)) for k in range(0, 5000, 50)]
+    found = suffixes_of(spark, monkeypatch, texts, 100)
+    assert {f"f{i} g{i}" for i in range(20)} <= set(found)
+    assert len(found) < 20 + 15
+
+
+def test_tasks_that_read_the_texts_do_not_grow_with_the_input(spark):
+    docs = spark.createDataFrame([("a b", "en")] * 400, "text string, lang string").repartition(200)
+    assert op._texts(docs).rdd.getNumPartitions() <= op.TASKS_A_CORE * spark.sparkContext.defaultParallelism
+
+
+@pytest.mark.parametrize("vocabulary", [400, 60])
+def test_words_are_forgotten_between_batches(spark, monkeypatch, vocabulary):
+    """Held suffixes are kept in a smaller vocabulary, or handed on where that is too large still."""
+    monkeypatch.setattr(op, "VOCABULARY", vocabulary)
+    monkeypatch.setattr(op, "ROWS_PER_BATCH", 10)
+    rows = [(g, f"{t} " + " ".join(f"rare{i}x{j}" for j in range(40))) for i, (g, t) in enumerate(prose(6, 80))]
+    docs = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
+    assert run(docs, least=5, depth=5, top=40) == brute(rows, 5, 5, 40)
+
+
+def test_only_keeps_the_words_of_a_table():
+    words = op.Vocabulary("en")
+    numbers = words.numbers([b"a b c d", b"e b"])
+    table = np.array([[numbers[1], numbers[3], 0], [numbers[5], numbers[1], numbers[3]]])
+    fresh, renumbered = words.only(table)
+    assert [[fresh.words[w] for w in row] for row in renumbered.tolist()] == [[b"b", b"d", b""], [b"e", b"b", b"d"]]
+    assert len(fresh.words) == 4 and fresh.lang == "en"
