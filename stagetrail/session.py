@@ -70,6 +70,24 @@ def short_shuffles(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(SHUFFLE_CLEANUP, before)
 
 
+#: What opening a file counts for, in bytes, when files are dealt to tasks.
+OPEN_COST = "spark.sql.files.openCostInBytes"
+
+
+@contextmanager
+def small_files(spark: SparkSession) -> Iterator[None]:
+    """Executions inside read thousands of small files a task; by Spark's own figure of 4 MB a file it would be a few dozen."""
+    before = spark.conf.get(OPEN_COST, None)
+    spark.conf.set(OPEN_COST, "16k")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(OPEN_COST)
+        else:
+            spark.conf.set(OPEN_COST, before)
+
+
 def spread(rows: DataFrame) -> DataFrame:
     """The rows dealt evenly to several tasks a core: a table of few bytes is read by few, whatever each row then costs."""
     spark = rows.sparkSession
