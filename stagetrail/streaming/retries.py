@@ -10,8 +10,7 @@ import time
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -22,6 +21,7 @@ from stagetrail.streaming.intake import SETTLED, Handler, write_outcome
 
 OUTCOME = "dedupe_key string, status string, detail string, attempt long"
 ACTION = "dedupe_key string, action string, attempt long, attempts long, task string, detail string"
+_ACTION = Row(*[c.split()[0] for c in ACTION.split(", ")])
 _ENTRY = "status string, attempt bigint, attempts bigint, deliveries bigint, task string"
 _DAY_MS = 24 * 3600 * 1000
 #: Entry and timers are column families of their own, which only this state store has.
@@ -30,7 +30,11 @@ _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 
 
 class _Retries(StatefulProcessor):
-    """What became of one identity, and when it is to be tried again."""
+    """What became of one identity, and when it is to be tried again.
+
+    Rows come and go one by one, not as a frame an identity, and each answer of the state store is asked for once: with
+    few rows an identity, both would cost far more than what is decided here.
+    """
 
     def __init__(self, max_attempts: int, delays: tuple[float, float], retention_ms: int):
         self.max_attempts, self.delays, self.retention_ms = max_attempts, delays, retention_ms
@@ -39,58 +43,60 @@ class _Retries(StatefulProcessor):
         self.handle = handle
         self.entry = handle.getValueState("entry", _ENTRY, self.retention_ms)
 
-    def _forget_timers(self) -> None:
-        for at in list(self.handle.listTimers()):
-            self.handle.deleteTimer(at)
-
-    def _hand_out(self, out: list, key: str, attempt: int, attempts: int, deliveries: int, task: str) -> None:
-        self._forget_timers()
+    def _hand_out(self, key: str, attempt: int, attempts: int, deliveries: int, task: str) -> Row:
         self.entry.update(("open", attempt + 1, attempts, deliveries, task))
-        out.append((key, "handle", attempt + 1, attempts, task, None))
+        return _ACTION(key, "handle", attempt + 1, attempts, task, None)
 
-    def _said(self, out: list, key: str, status: str, detail: str | None, now: int) -> None:
-        _, attempt, attempts, deliveries, task = self.entry.get()
+    def _said(self, key: str, entry: tuple, status: str, detail: str | None, now: int) -> tuple[tuple, Row | None]:
+        """The entry after an outcome, and what is to be said about it."""
+        _, attempt, attempts, deliveries, task = entry
         if status in SETTLED:
-            self.entry.update((status, attempt, attempts, 0, None))
-            out.append((key, status, attempt, attempts, task, detail))
-            return
+            return (status, attempt, attempts, 0, None), _ACTION(key, status, attempt, attempts, task, detail)
         attempts += deliveries
         if attempts >= self.max_attempts:
-            self.entry.update(("failed", attempt, attempts, 0, None))
-            out.append((key, "failed", attempt, attempts, task, "max_attempts"))
-            return
+            return ("failed", attempt, attempts, 0, None), _ACTION(key, "failed", attempt, attempts, task, "max_attempts")
         shortest, longest = self.delays
-        self.entry.update(("retry", attempt, attempts, 1, task))
         self.handle.registerTimer(now + int(1000 * min(longest, shortest * 2 ** (attempts - 1))))
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        out: list[tuple] = []
-        arrived = pd.concat(list(rows))
-        for row in arrived[arrived["kind"] == "invalid"].itertuples():
-            out.append((key[0], "quarantined", 0, 0, row.task, row.detail))
-        for row in arrived[arrived["kind"] == "outcome"].itertuples():
+        return ("retry", attempt, attempts, 1, task), None
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        outcomes, deliveries, first, entry = [], 0, None, None
+        for row in rows:
+            if row["kind"] == "invalid":
+                yield _ACTION(key[0], "quarantined", 0, 0, row["task"], row["detail"])
+            elif row["kind"] == "outcome":
+                outcomes.append((row["attempt"], row["status"], row["detail"]))
+            else:
+                # The first issue of a task, as in a batch of deliveries.
+                issue = [(v is None, v or "") for v in (row["created_at"], row["task_id"])]
+                first = (issue, row["task"]) if not deliveries or issue < first[0] else first
+                deliveries += 1
+        if outcomes or deliveries:
+            entry = self.entry.get()
+        for attempt, status, detail in outcomes:
             # An outcome counts once: that of an attempt which is not open is a repeat of a batch.
-            if self.entry.exists() and self.entry.get()[0] == "open" and self.entry.get()[1] == row.attempt:
-                self._said(out, key[0], row.status, row.detail, timerValues.getCurrentProcessingTimeInMs())
-        tasks = arrived[arrived["kind"] == "task"]
-        if len(tasks):
-            # The first issue of a task, as in a batch of deliveries.
-            task = tasks.sort_values(["created_at", "task_id"])["task"].iloc[0]
-            status, attempt, attempts, deliveries, _ = self.entry.get() if self.entry.exists() else (None, 0, 0, 0, None)
+            if entry is not None and entry[0] == "open" and entry[1] == attempt:
+                entry, said = self._said(key[0], entry, status, detail, timerValues.getCurrentProcessingTimeInMs())
+                self.entry.update(entry)
+                if said is not None:
+                    yield said
+        if deliveries:
+            status, attempt, attempts, open_ones, task = entry if entry is not None else (None, 0, 0, 0, None)
             if status in SETTLED:
-                out.append((key[0], "known", attempt, attempts, None, status))
+                yield _ACTION(key[0], "known", attempt, attempts, None, status)
             elif status == "open":
-                self.entry.update((status, attempt, attempts, deliveries + len(tasks), self.entry.get()[4]))
+                self.entry.update((status, attempt, attempts, open_ones + deliveries, task))
             else:
-                self._hand_out(out, key[0], attempt, attempts, len(tasks), task)
-        yield pd.DataFrame(out, columns=[c.split()[0] for c in ACTION.split(", ")])
+                if status == "retry":  # it does not wait any longer
+                    for at in list(self.handle.listTimers()):
+                        self.handle.deleteTimer(at)
+                yield self._hand_out(key[0], attempt, attempts, deliveries, first[1])
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        out: list[tuple] = []
-        if self.entry.exists() and self.entry.get()[0] == "retry":
-            _, attempt, attempts, deliveries, task = self.entry.get()
-            self._hand_out(out, key[0], attempt, attempts, deliveries, task)
-        yield pd.DataFrame(out, columns=[c.split()[0] for c in ACTION.split(", ")])
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        entry = self.entry.get()
+        if entry is not None and entry[0] == "retry":
+            _, attempt, attempts, deliveries, task = entry
+            yield self._hand_out(key[0], attempt, attempts, deliveries, task)
 
     def close(self) -> None:
         pass
@@ -135,7 +141,7 @@ class TimedIntake:
 
     def start(self, messages: DataFrame, checkpoint: str, seconds: float = 10) -> StreamingQuery:
         processor = _Retries(self.max_attempts, self.delays, int(self.retention_days * _DAY_MS))
-        acted = self.rows(messages).groupBy("dedupe_key").transformWithStateInPandas(
+        acted = self.rows(messages).groupBy("dedupe_key").transformWithState(
             statefulProcessor=processor, outputStructType=ACTION, outputMode="Update", timeMode="ProcessingTime"
         )
         writer = acted.writeStream.outputMode("update").foreachBatch(self._act).option("checkpointLocation", checkpoint)
